@@ -59,3 +59,63 @@ def _census_oracles():
 
 
 _census_oracles()
+
+
+def _range_parts_sql(base: str, column: str, n: int) -> str:
+    """Rows of ``base`` inside the range rule's bounds with their part index."""
+    return (f"WITH base AS ({base}), "
+            f"b AS (SELECT COALESCE(CAST(FLOOR(MIN({column})) AS BIGINT), 0) AS lo, "
+            f"COALESCE(CAST(FLOOR(MAX({column})) AS BIGINT), 0) AS hi FROM base), "
+            f"s AS (SELECT lo, hi, (hi - lo + 1) // {n} AS size FROM b) "
+            f"SELECT base.*, CAST(CASE WHEN size = 0 THEN {n - 1} "
+            f"ELSE LEAST(({column} - lo) // size, {n - 1}) END AS INTEGER) AS part "
+            f"FROM base, s WHERE {column} >= lo AND {column} < hi + 1")
+
+
+def _query_oracles():
+    from . import registry as R
+    spja = R.SPJA_SQL
+    ORACLES["read_sql"] = "SELECT * FROM lineitem"
+    ORACLES["read_sql_list"] = " UNION ALL ".join(R.READ_LIST_SQL)
+    ORACLES["read_sql_partitioned"] = (
+        f"SELECT * EXCLUDE (part) FROM ({_range_parts_sql(spja, 'l_orderkey', R.PARTS)}) q")
+    ORACLES["parquet_scan"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'"
+    ORACLES["jdbc_filtered_scan"] = f"SELECT * FROM ({census_measured_sql()}) m WHERE {READBACK_WHERE}"
+    ORACLES["range_predicate"] = _range_parts_sql("SELECT * FROM lineitem", "l_orderkey", R.PARTS)
+    ORACLES["partition_assign"] = ORACLES["range_predicate"]
+    ORACLES["in_list_cast"] = R.IN_LIST_SQL
+    ORACLES["partition_bounds"] = (
+        "SELECT COALESCE(CAST(FLOOR(MIN(l_orderkey)) AS BIGINT), 0) AS min, "
+        "COALESCE(CAST(FLOOR(MAX(l_orderkey)) AS BIGINT), 0) AS max FROM lineitem")
+    ORACLES["partition_counts"] = (
+        f"SELECT CAST(p.range AS INTEGER) AS part, COALESCE(c.n, 0) AS n FROM range({R.PARTS}) p "
+        f"LEFT JOIN (SELECT part, COUNT(*) AS n FROM "
+        f"({_range_parts_sql('SELECT l_orderkey FROM lineitem', 'l_orderkey', R.PARTS)}) x "
+        f"GROUP BY part) c ON p.range = c.part")
+    join = "SELECT * FROM nation n, region r WHERE n.n_regionkey = r.r_regionkey"
+    ORACLES["cross_source_equi_join"] = join
+    ORACLES["federated_sql"] = join
+    ORACLES["spja_three_way"] = spja
+    ORACLES["spja_revenue"] = spja
+    ORACLES["count_rows"] = f"SELECT COUNT(*) AS n FROM ({R.COUNT_SQL}) q"
+    ORACLES["min_max"] = (
+        "SELECT COALESCE(CAST(FLOOR(MIN(l_extendedprice)) AS BIGINT), 0) AS min, "
+        "COALESCE(CAST(FLOOR(MAX(l_extendedprice)) AS BIGINT), 0) AS max FROM lineitem")
+    ORACLES["group_sum"] = (
+        "SELECT CASE WHEN l_returnflag = 'R' THEN TRUE WHEN l_returnflag = 'A' THEN FALSE END "
+        "AS flag, ROUND(SUM(l_quantity), 2) AS sum_qty FROM lineitem GROUP BY 1")
+    ORACLES["fed_group_agg"] = R.FED_AGG_SQL.replace("db1.", "").replace("db2.", "")
+    ORACLES["head"] = f"SELECT * FROM ({census_expanded_sql()}) e ORDER BY id LIMIT 5"
+    ORACLES["page"] = (f"SELECT * FROM ({census_expanded_sql()}) e ORDER BY id "
+                       f"LIMIT 100000 OFFSET 100000")
+    ORACLES["limit_then_partition"] = _range_parts_sql(
+        "SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000", "l_orderkey", 3)
+    ORACLES["order_by"] = R.ORDER_BY_SQL
+    ORACLES["sql_scalar_udf"] = "SELECT o_orderkey, o_custkey + 1 AS next_custkey FROM orders"
+    ORACLES["federated_pushdown"] = (
+        f"SELECT c_mktsegment, ROUND(SUM(l_extendedprice), 2) AS revenue, COUNT(*) AS n_lines "
+        f"FROM lineitem l, ({R.PUSHDOWN_VIEW_SQL}) oc WHERE l.l_orderkey = oc.o_orderkey "
+        f"GROUP BY c_mktsegment")
+
+
+_query_oracles()

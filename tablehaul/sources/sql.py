@@ -85,9 +85,11 @@ class CatalogSource:
     def attach(self, spark: SparkSession) -> "CatalogSource":
         db = check_identifier(self.database)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        from .fs import path_exists
         for name, path in self.tables.items():
             check_identifier(name)
-            if not spark.catalog.tableExists(f"{db}.{name}"):
+            # A table target not written yet has no files; it is registered by its first write.
+            if not spark.catalog.tableExists(f"{db}.{name}") and path_exists(spark, path):
                 spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} USING parquet "
                           f"LOCATION '{path}'")
         return self
