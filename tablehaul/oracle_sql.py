@@ -119,3 +119,31 @@ def _query_oracles():
 
 
 _query_oracles()
+
+
+def _sink_oracles():
+    ORACLES["csv_scan"] = census_like_sql("orders")
+    ORACLES["land_raw"] = census_like_sql("orders")
+    ORACLES["csv_multi_scan"] = ("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS "
+                                 "c_nationkey, c_acctbal, c_mktsegment FROM customer")
+    ORACLES["csv_infer"] = (
+        "SELECT * FROM (VALUES ('c_custkey', 'bigint', false), ('c_name', 'string', false), "
+        "('c_nationkey', 'bigint', false), ('c_acctbal', 'double', false), "
+        "('c_mktsegment', 'string', false)) t(column_name, data_type, nullable)")
+    measured = census_measured_sql()
+    ORACLES["parquet_sink"] = measured
+    ORACLES["publish_if_absent"] = measured
+    ORACLES["load_if_incomplete"] = measured
+    ORACLES["csv_sink"] = "SELECT * FROM orders"
+    ORACLES["jdbc_bulk_sink"] = (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+        "CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders")
+    ORACLES["arrow_batches"] = "SELECT * FROM lineitem"
+    expanded = census_expanded_sql()
+    ORACLES["census_pipeline"] = f"SELECT * FROM ({expanded}) e WHERE {SIMPLE_WHERE}"
+    ORACLES["census_etl_only"] = ORACLES["census_expand"]
+    ORACLES["census_filter_from_jdbc"] = (
+        f"SELECT * FROM ({expanded}) e WHERE ({READBACK_WHERE}) AND ({SIMPLE_WHERE})")
+
+
+_sink_oracles()

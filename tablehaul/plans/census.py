@@ -66,6 +66,7 @@ class CensusConfig:
     method: str = "md5"
     etl_only: bool = False
     write_csv: bool = True
+    filter_on: str = "published"          # or "readback": filter the target's read-back subset
 
 
 @dataclass
@@ -114,6 +115,10 @@ def run_census(spark: SparkSession, cfg: CensusConfig, raw: DataFrame | None = N
     if cfg.publish_path and "published" in cfg.load_from:
         frame = spark.read.parquet(cfg.publish_path)
         result.frames["published"] = frame
+    if cfg.filter_on == "readback":
+        if result.readback is None:
+            raise ValueError("filter_on='readback' needs a table target read back")
+        frame = result.readback
     result.simple = simple_filter(frame)
     result.complex = complex_filter(frame)
     return result

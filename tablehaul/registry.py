@@ -330,3 +330,137 @@ def q_federated_pushdown(spark, sf_dir):
         "db2": {"path": sf_dir, "tables": ["orders", "customer"],
                 "views": {"order_customer": PUSHDOWN_VIEW_SQL}},
     }, PUSHDOWN_SQL)
+
+
+# ---- 2.1 file sources / 2.2 sinks (write to the shared scratch folder, read back) ------------
+
+def _census_csv(spark, sf_dir):
+    """The census-shaped raw table written once as CSV (the file the job lands)."""
+    from .sources.fs import committed
+    path = scratch_for(spark, sf_dir, "files", "census_raw.csv")
+    if not committed(spark, path):
+        census_raw(spark, sf_dir).write.mode("overwrite").csv(path, header=True)
+    return path
+
+
+def _customer_csv_files(spark, sf_dir):
+    """``customer`` written as several CSV files (at most 500 records each)."""
+    from .sources.fs import committed
+    path = scratch_for(spark, sf_dir, "files", "customer_csv")
+    if not committed(spark, path):
+        (table(spark, sf_dir, "customer").write.mode("overwrite")
+         .option("maxRecordsPerFile", 500).csv(path, header=True))
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(str(s.getPath().toString()) for s in fs.listStatus(p)
+                  if s.getPath().getName().endswith(".csv"))
+
+
+@query
+def q_csv_scan(spark, sf_dir):
+    from .sources.files import csv_scan
+    return csv_scan(spark, _census_csv(spark, sf_dir))
+
+
+@query
+def q_csv_multi_scan(spark, sf_dir):
+    from .sources.files import csv_multi_scan
+    return csv_multi_scan(spark, _customer_csv_files(spark, sf_dir))
+
+
+@query
+def q_csv_infer(spark, sf_dir):
+    from .sources.files import csv_infer
+    schema = csv_infer(spark, _customer_csv_files(spark, sf_dir)[0])
+    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields]
+    return spark.createDataFrame(rows, "column_name string, data_type string, nullable boolean")
+
+
+@query
+def q_land_raw(spark, sf_dir):
+    from .sources.files import land_raw
+    return land_raw(spark, _census_csv(spark, sf_dir), scratch_for(spark, sf_dir, "raw"),
+                    preview=0)
+
+
+def _measured(spark, sf_dir):
+    return C.add_census_measures(C.census_project(census_raw(spark, sf_dir)))
+
+
+@query
+def q_parquet_sink(spark, sf_dir):
+    from .sinks import parquet_sink
+    path = scratch_for(spark, sf_dir, "sink", "measured.parquet")
+    parquet_sink(_measured(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query
+def q_csv_sink(spark, sf_dir):
+    from .sinks import csv_sink
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_for(spark, sf_dir, "sink", "orders.csv")
+    csv_sink(orders, path)
+    return spark.read.schema(orders.schema).csv(path, header=True)
+
+
+@query
+def q_publish_if_absent(spark, sf_dir):
+    from .sinks import publish_if_absent
+    path = scratch_for(spark, sf_dir, "published", "measured.parquet")
+    publish_if_absent(_measured(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query
+def q_jdbc_bulk_sink(spark, sf_dir):
+    from .sinks import bulk_sink
+    target = census_target(spark, sf_dir)
+    bulk_sink(table(spark, sf_dir, "orders"), target, "orders_loaded", mode="overwrite")
+    return spark.table(f"{target.database}.orders_loaded")
+
+
+@query
+def q_load_if_incomplete(spark, sf_dir):
+    from .sinks import load_if_incomplete
+    measured = _measured(spark, sf_dir)
+    target = census_target(spark, sf_dir)
+    load_if_incomplete(measured, target, "census_measured", measured.count())
+    return target.table(spark, "census_measured")
+
+
+@query
+def q_arrow_batches(spark, sf_dir):
+    from .streaming import arrow_batches
+    return arrow_batches(table(spark, sf_dir, "lineitem"))
+
+
+# ---- 2.12 the census job --------------------------------------------------------------------
+
+def _run_census(spark, sf_dir, **kw):
+    """The whole job: land the census CSV, expand, load the table target if
+    incomplete, publish if absent, read back, filter."""
+    from .plans.census import CensusConfig, run_census
+    cfg = CensusConfig(raw_dir=scratch_for(spark, sf_dir, "job", "raw"),
+                       expanded_dir=scratch_for(spark, sf_dir, "job", "large"),
+                       source_path=_census_csv(spark, sf_dir),
+                       target=census_target(spark, sf_dir), table="census_pipeline",
+                       publish_path=scratch_for(spark, sf_dir, "job", "bucket", "large",
+                                                "census.parquet"), **kw)
+    return run_census(spark, cfg)
+
+
+@query
+def q_census_pipeline(spark, sf_dir):
+    return _run_census(spark, sf_dir).simple
+
+
+@query
+def q_census_etl_only(spark, sf_dir):
+    return _run_census(spark, sf_dir, etl_only=True).expanded
+
+
+@query
+def q_census_filter_from_jdbc(spark, sf_dir):
+    return _run_census(spark, sf_dir, filter_on="readback").simple

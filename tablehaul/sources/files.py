@@ -22,32 +22,51 @@ DATETIME_PATTERN = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$"
 CSV_SCAN_INFER_ROWS = 10_000
 
 
-def _widen_inferred(schema: T.StructType) -> T.StructType:
-    """Spark's CSV inference, reduced to the int64/float64/bool/string kinds."""
-    fields = []
-    for f in schema.fields:
-        dt = f.dataType
-        if isinstance(dt, (T.IntegerType, T.ShortType, T.ByteType)):
-            dt = T.LongType()
-        elif isinstance(dt, T.DecimalType):
-            dt = T.DoubleType()
-        elif isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            dt = T.StringType()
-        fields.append(T.StructField(f.name, dt, True))
-    return T.StructType(fields)
+def _cell_kinds(spark: SparkSession, path: str | Sequence[str], rows: int):
+    """Per column of a CSV: the set of cell classes over the first ``rows`` records and
+    whether an empty cell was seen. One bounded aggregation, evaluated in the JVM."""
+    header = spark.read.csv(path, header=True, inferSchema=False).schema
+    names = [f.name for f in header]
+    raw = (spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+           .csv(path, header=True).limit(rows))
+
+    def kind(c):
+        return (F.when(c.startswith('"'), F.lit("string"))
+                .when(c.rlike(BOOL_PATTERN), F.lit("bool"))
+                .when(c.rlike(DECIMAL_PATTERN), F.lit("float"))
+                .when(c.rlike(INTEGER_PATTERN), F.lit("int"))
+                .when(c.rlike(DATETIME_PATTERN), F.lit("datetime"))
+                .otherwise(F.lit("string")))
+
+    aggs = []
+    for i, n in enumerate(names):
+        c = F.col(f"`{n}`")
+        empty = c.isNull() | (c == "")
+        aggs.append(F.collect_set(F.when(~empty, kind(c))).alias(f"k{i}"))
+        aggs.append(F.max(empty.cast("int")).alias(f"n{i}"))
+    summary = raw.agg(*aggs).first()
+    return [(n, set(summary[f"k{i}"] or []), bool(summary[f"n{i}"])) for i, n in enumerate(names)]
 
 
 def infer_csv_schema(spark: SparkSession, path: str | Sequence[str],
                      rows: int = CSV_SCAN_INFER_ROWS) -> T.StructType:
-    """Infer a CSV schema from the header and the first ``rows`` data lines only.
+    """Column types from the header and the first ``rows`` records only (bounded read).
 
-    Only ``rows + 1`` lines reach the inference (a bounded read), so the cost does
-    not grow with the file.
+    int64 when every non-empty cell is an integer, float64 for integers and
+    decimals, boolean for true/false, otherwise string (dates stay text).
     """
-    lines = spark.read.text(path).limit(rows + 1)
-    sample = lines.rdd.map(lambda r: r[0])
-    inferred = spark.read.csv(sample, header=True, inferSchema=True)
-    return _widen_inferred(inferred.schema)
+    fields = []
+    for name, kinds, _ in _cell_kinds(spark, path, rows):
+        if kinds == {"int"}:
+            dt = T.LongType()
+        elif kinds and kinds <= {"int", "float"}:
+            dt = T.DoubleType()
+        elif kinds == {"bool"}:
+            dt = T.BooleanType()
+        else:
+            dt = T.StringType()
+        fields.append(T.StructField(name, dt, True))
+    return T.StructType(fields)
 
 
 def csv_scan(spark: SparkSession, path: str | Sequence[str],
@@ -70,33 +89,10 @@ def csv_infer(spark: SparkSession, path: str, rows: int = CSV_INFER_RECORDS) ->
     no class at all) gives string. A column is nullable iff an empty cell was
     seen. Runs as one Spark aggregation over the bounded sample.
     """
-    header = spark.read.csv(path, header=True, inferSchema=False).schema
-    names = [f.name for f in header]
-    raw = (spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-           .csv(path, header=True).limit(rows))
-
-    def kind(c):
-        return (F.when(c.startswith('"'), F.lit("string"))
-                .when(c.rlike(BOOL_PATTERN), F.lit("bool"))
-                .when(c.rlike(DECIMAL_PATTERN), F.lit("float"))
-                .when(c.rlike(INTEGER_PATTERN), F.lit("int"))
-                .when(c.rlike(DATETIME_PATTERN), F.lit("datetime"))
-                .otherwise(F.lit("string")))
-
-    aggs = []
-    for i, n in enumerate(names):
-        c = F.col(f"`{n}`")
-        empty = c.isNull() | (c == "")
-        aggs.append(F.collect_set(F.when(~empty, kind(c))).alias(f"k{i}"))
-        aggs.append(F.max(empty.cast("int")).alias(f"n{i}"))
-    summary = raw.agg(*aggs).first()
-
     fields = []
-    for i, n in enumerate(names):
-        kinds = set(summary[f"k{i}"] or [])
-        nullable = bool(summary[f"n{i}"])
+    for n, kinds, nullable in _cell_kinds(spark, path, rows):
         if len(kinds) == 1:
-            k = kinds.pop()
+            k = next(iter(kinds))
         elif kinds == {"int", "float"}:
             k = "float"
         else:
