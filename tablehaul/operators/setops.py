@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def replicate(df: DataFrame, times: int) -> DataFrame:
+def replicate(df: DataFrame, times: int, min_partitions: int | None = None) -> DataFrame:
     """UNION ALL of ``df`` with itself ``times`` times, as one Generate over one scan.
 
     Each input row is exploded into ``times`` exact copies inside the scan's
-    stage: no shuffle, no join and no ``times``-way union in the plan. Filters
-    that do not use the copy number are pushed below the Generate by Catalyst.
+    stage: no join and no ``times``-way union in the plan. Filters that do not
+    use the copy number are pushed below the Generate by Catalyst.
+
+    The output is ``times`` larger than the input, so an input with fewer
+    partitions than the cluster's parallelism (``min_partitions``, default
+    ``defaultParallelism``) is first spread round-robin: that shuffle moves
+    only the input rows (1/times of the output), and every task then generates
+    and writes an equal share. Inputs with enough partitions are not shuffled.
     """
     if times < 0:
         raise ValueError("times must be >= 0")
@@ -21,6 +27,10 @@ def replicate(df: DataFrame, times: int) -> DataFrame:
         return df.limit(0)
     if times == 1:
         return df
+    if min_partitions is None:
+        min_partitions = df.sparkSession.sparkContext.defaultParallelism
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        df = df.repartition(min_partitions)
     copy = "__tablehaul_copy"
     return (df.withColumn(copy, F.explode(F.sequence(F.lit(1), F.lit(times))))
               .drop(copy))
