@@ -147,3 +147,82 @@ def _sink_oracles():
 
 
 _sink_oracles()
+
+
+def _norm_oracles():
+    from . import registry as R
+    k2 = "l_orderkey, l_linenumber"
+    ORACLES["norm_int_widen"] = ("SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS c_small, "
+                                 "CAST(l_linenumber AS BIGINT) AS c_int, "
+                                 "CAST(l_linenumber AS SMALLINT) AS pg_small FROM lineitem")
+    ORACLES["norm_u64_double"] = (f"SELECT {k2}, CAST(l_orderkey * 1000003 AS DOUBLE) AS u64, "
+                                  f"CAST(l_linenumber AS BIGINT) AS u32 FROM lineitem")
+    ORACLES["norm_float_widen"] = (f"SELECT {k2}, CAST(CAST(l_discount AS FLOAT) AS DOUBLE) AS f32, "
+                                   f"CAST(l_discount AS FLOAT) AS pg_f32 FROM lineitem")
+    ORACLES["norm_decimal"] = (
+        f"SELECT {k2}, CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS DECIMAL(38,10)) AS pg_dec, "
+        f"CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS DOUBLE) AS my_dec, "
+        f"CAST(CAST(l_quantity AS DECIMAL(10,0)) AS BIGINT) AS num0 FROM lineitem")
+    ORACLES["norm_tinyint_bool"] = (f"SELECT {k2}, (l_linenumber % 2) <> 0 AS flag, "
+                                    f"CAST(l_linenumber % 2 AS BIGINT) AS flag_pd FROM lineitem")
+    ORACLES["norm_uuid"] = f"SELECT {k2}, {R.uuid_canonical_sql()} AS u FROM lineitem"
+    ORACLES["norm_json"] = (
+        f"SELECT {k2}, '{{\"flag\":\"' || l_returnflag || '\",\"line\":' || "
+        f"CAST(l_linenumber AS VARCHAR) || ',\"qty\":' || "
+        f"CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '}}' AS doc FROM lineitem")
+    ORACLES["norm_hstore"] = (
+        f"SELECT {k2}, '{{\"flag\":\"' || l_returnflag || '\",\"status\":' || CASE WHEN "
+        f"l_linestatus = 'O' THEN 'null' ELSE '\"' || l_linestatus || '\"' END || '}}' AS kv "
+        f"FROM lineitem")
+    ORACLES["norm_inet"] = (f"SELECT {k2}, '10.' || CAST(l_orderkey % 256 AS VARCHAR) || '.' || "
+                            f"CAST(l_linenumber AS VARCHAR) || '.0/24' AS net FROM lineitem")
+    ORACLES["norm_textlike"] = (f"SELECT {k2}, rpad(l_returnflag, 5, ' ') AS code, "
+                                f"l_linestatus AS status FROM lineitem")
+    s = "((l_orderkey * 37 + l_linenumber * 1013) % 86400)"
+    ORACLES["norm_time"] = (
+        f"SELECT {k2}, lpad(CAST({s} // 3600 AS VARCHAR), 2, '0') || ':' || "
+        f"lpad(CAST(({s} // 60) % 60 AS VARCHAR), 2, '0') || ':' || "
+        f"lpad(CAST({s} % 60 AS VARCHAR), 2, '0') || "
+        f"CASE WHEN l_linenumber % 3 = 0 THEN '.062547' ELSE '' END AS t FROM lineitem")
+    ORACLES["norm_timestamp"] = (
+        "SELECT o_orderkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) - "
+        "to_hours(CASE WHEN o_orderkey % 3 = 0 THEN 8 WHEN o_orderkey % 3 = 1 THEN -4 ELSE 0 END) "
+        "AS tstz, o_orderdate AS ts, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d FROM orders")
+    ORACLES["norm_text_temporal"] = (
+        "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d_txt, o_orderdate + "
+        "to_hours(CAST(o_orderkey % 24 AS INTEGER)) + CASE WHEN o_orderkey % 2 = 0 THEN "
+        "INTERVAL 500 MILLISECOND ELSE INTERVAL 0 SECOND END AS ts_txt, o_orderdate AS dt_txt "
+        "FROM orders")
+    ORACLES["norm_text_blob"] = (f"SELECT {k2}, l_returnflag || l_linestatus AS txt_blob, "
+                                 f"CAST(l_returnflag AS BLOB) AS raw_blob FROM lineitem")
+    ORACLES["norm_infinity"] = (
+        f"SELECT {k2}, CASE WHEN l_linenumber = 1 THEN DATE '9999-12-31' WHEN l_linenumber = 2 "
+        f"THEN DATE '0001-01-01' ELSE CAST(l_shipdate AS DATE) END AS d_txt, "
+        f"CASE WHEN l_linenumber = 1 THEN TIMESTAMP '9999-12-31 23:59:59.999999' "
+        f"WHEN l_linenumber = 2 THEN TIMESTAMP '0001-01-01 00:00:00' ELSE l_shipdate END AS ts_txt "
+        f"FROM lineitem")
+    arr = ("CASE WHEN l_linenumber = 1 THEN []::BIGINT[] WHEN l_linenumber = 7 THEN NULL "
+           "ELSE [l_partkey, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_suppkey END, "
+           "CAST(l_linenumber AS BIGINT)]::BIGINT[] END")
+    ORACLES["norm_array_text"] = f"SELECT {k2}, {arr} AS arr FROM lineitem"
+    ORACLES["norm_array_no_null"] = (
+        f"SELECT {k2}, {arr} AS arr, CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 1 "
+        f"THEN false ELSE l_linenumber % 3 = 0 END AS has_null FROM lineitem")
+    ORACLES["norm_bool_text"] = (f"SELECT {k2}, CASE l_returnflag WHEN 'R' THEN true WHEN 'A' "
+                                 f"THEN false ELSE NULL END AS b FROM lineitem")
+    ORACLES["norm_empty_null"] = (f"SELECT {k2}, CASE WHEN l_linestatus = 'O' THEN NULL ELSE "
+                                  f"l_returnflag END AS v FROM lineitem")
+    ORACLES["norm_bytes"] = (f"SELECT {k2}, unhex(substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8)) "
+                             f"AS by FROM lineitem")
+    dense = ", ".join(f"CASE WHEN l_linenumber = {i} THEN CAST(l_quantity AS FLOAT) "
+                      f"ELSE CAST(0 AS FLOAT) END" for i in range(1, 8))
+    ORACLES["norm_vector"] = (
+        f"SELECT {k2}, [{dense}] AS sv, unhex(printf('%02x%02x', (l_partkey % 1024) >> 2, "
+        f"((l_partkey % 1024) & 3) << 6)) AS bits FROM lineitem")
+    ORACLES["normalize_table"] = ("SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, "
+                                  "CAST(label AS BIGINT) AS label FROM embeddings")
+    ORACLES["resolve_dynamic"] = ("SELECT o_orderkey AS a, o_totalprice AS b, o_orderpriority AS c, "
+                                  "o_custkey AS d FROM orders")
+
+
+_norm_oracles()

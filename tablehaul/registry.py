@@ -464,3 +464,235 @@ def q_census_etl_only(spark, sf_dir):
 @query
 def q_census_filter_from_jdbc(spark, sf_dir):
     return _run_census(spark, sf_dir, filter_on="readback").simple
+
+
+# ---- 2.9 type normalisation (source-typed columns derived from the shared tables) -----------
+
+def _normalized(spark, sf_dir, name, keep, derive, specs):
+    """``derive`` builds source-typed columns; ``specs`` = (column, source, target, type)."""
+    from .functions.normalize import normalize_column
+    d = table(spark, sf_dir, name).selectExpr(*keep, *derive)
+    return d.select(*keep, *[normalize_column(d, c, s, tg, ty) for c, s, tg, ty in specs])
+
+
+UUID_HEX = "md5(CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING))"
+
+
+def uuid_canonical_sql(h: str = UUID_HEX) -> str:
+    return (f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' "
+            f"|| substr({h}, 17, 4) || '-' || substr({h}, 21, 12)")
+
+
+def uuid_spelled_sql(h: str = UUID_HEX) -> str:
+    fours = " || '-' || ".join(f"substr({h}, {1 + 4 * i}, 4)" for i in range(8))
+    return (f"CASE l_linenumber % 4 WHEN 0 THEN {uuid_canonical_sql(h)} "
+            f"WHEN 1 THEN upper({h}) WHEN 2 THEN '{{' || {uuid_canonical_sql(h)} || '}}' "
+            f"ELSE upper({fours}) END")
+
+
+ARRAY_TEXT_SQL = ("CASE WHEN l_linenumber = 1 THEN '{}' WHEN l_linenumber = 7 THEN '' "
+                  "ELSE '{' || CAST(l_partkey AS STRING) || ',' || CASE WHEN l_linenumber % 3 = 0 "
+                  "THEN 'NULL' ELSE CAST(l_suppkey AS STRING) END || ',' || "
+                  "CAST(l_linenumber AS STRING) || '}' END")
+SHIFT_HOURS = "CAST(o_orderkey % 24 AS INT)"
+
+
+@query
+def q_norm_int_widen(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey"],
+                       ["CAST(l_linenumber AS SMALLINT) AS c_small", "l_linenumber AS c_int",
+                        "CAST(l_linenumber AS SMALLINT) AS pg_small"],
+                       [("c_small", "mysql", "arrow", "smallint"),
+                        ("c_int", "mysql", "arrow", "int"),
+                        ("pg_small", "postgres", "arrow", "int2")])
+
+
+@query
+def q_norm_u64_double(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["l_orderkey * 1000003 AS u64", "l_linenumber AS u32"],
+                       [("u64", "mysql", "arrow", "bigint unsigned"),
+                        ("u32", "mysql", "arrow", "int unsigned")])
+
+
+@query
+def q_norm_float_widen(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["CAST(l_discount AS FLOAT) AS f32", "CAST(l_discount AS FLOAT) AS pg_f32"],
+                       [("f32", "mysql", "arrow", "float"), ("pg_f32", "postgres", "arrow", "float4")])
+
+
+@query
+def q_norm_decimal(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["CAST(l_extendedprice AS DECIMAL(15,2)) AS pg_dec",
+                        "CAST(l_extendedprice AS DECIMAL(15,2)) AS my_dec",
+                        "CAST(l_quantity AS DECIMAL(10,0)) AS num0"],
+                       [("pg_dec", "postgres", "arrow", "numeric(15,2)"),
+                        ("my_dec", "mysql", "arrow", "decimal(15,2)"),
+                        ("num0", "oracle", "arrow", "number(10,0)")])
+
+
+@query
+def q_norm_tinyint_bool(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["CAST(l_linenumber % 2 AS TINYINT) AS flag",
+                        "CAST(l_linenumber % 2 AS TINYINT) AS flag_pd"],
+                       [("flag", "mysql", "arrow", "tinyint"),
+                        ("flag_pd", "mysql", "pandas", "tinyint")])
+
+
+@query
+def q_norm_uuid(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       [f"{uuid_spelled_sql()} AS u"], [("u", "postgres", "arrow", "uuid")])
+
+
+@query
+def q_norm_json(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["'{\"qty\": ' || CAST(CAST(l_quantity AS BIGINT) AS STRING) || "
+                        "', \"flag\": \"' || l_returnflag || '\", \"line\": ' || "
+                        "CAST(l_linenumber AS STRING) || '}' AS doc"],
+                       [("doc", "postgres", "arrow", "jsonb")])
+
+
+@query
+def q_norm_hstore(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["map('flag', l_returnflag, 'status', CASE WHEN l_linestatus = 'O' "
+                        "THEN NULL ELSE l_linestatus END) AS kv"],
+                       [("kv", "postgres", "pandas", "hstore")])
+
+
+@query
+def q_norm_inet(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["'10.' || CAST(l_orderkey % 256 AS STRING) || '.' || "
+                        "CAST(l_linenumber AS STRING) || '.0/24' AS net"],
+                       [("net", "postgres", "arrow", "cidr")])
+
+
+@query
+def q_norm_textlike(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["rpad(l_returnflag, 5, ' ') AS code", "l_linestatus AS status"],
+                       [("code", "postgres", "arrow", "bpchar"),
+                        ("status", "postgres", "arrow", "enum")])
+
+
+@query
+def q_norm_time(spark, sf_dir):
+    s = "((l_orderkey * 37 + l_linenumber * 1013) % 86400)"
+    txt = (f"lpad(CAST({s} DIV 3600 AS STRING), 2, '0') || ':' || "
+           f"lpad(CAST(({s} DIV 60) % 60 AS STRING), 2, '0') || ':' || "
+           f"lpad(CAST({s} % 60 AS STRING), 2, '0') || "
+           f"CASE WHEN l_linenumber % 3 = 0 THEN '.062547' ELSE '' END")
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       [f"{txt} AS t"], [("t", "postgres", "pandas", "time")])
+
+
+@query
+def q_norm_timestamp(spark, sf_dir):
+    tz = ("date_format(o_orderdate + make_interval(0, 0, 0, 0, " + SHIFT_HOURS + ", 0, 0), "
+          "'yyyy-MM-dd HH:mm:ss') || CASE WHEN o_orderkey % 3 = 0 THEN '+08' "
+          "WHEN o_orderkey % 3 = 1 THEN '-04' ELSE '-00' END")
+    return _normalized(spark, sf_dir, "orders", ["o_orderkey"],
+                       [f"{tz} AS tstz", "o_orderdate AS ts", "CAST(o_orderdate AS DATE) AS d"],
+                       [("tstz", "postgres", "pandas", "timestamptz"),
+                        ("ts", "postgres", "pandas", "timestamp"),
+                        ("d", "postgres", "pandas", "date")])
+
+
+@query
+def q_norm_text_temporal(spark, sf_dir):
+    ts = ("date_format(o_orderdate + make_interval(0, 0, 0, 0, " + SHIFT_HOURS + ", 0, 0), "
+          "'yyyy-MM-dd HH:mm:ss') || CASE WHEN o_orderkey % 2 = 0 THEN '.5' ELSE '' END")
+    return _normalized(spark, sf_dir, "orders", ["o_orderkey"],
+                       ["CAST(CAST(o_orderdate AS DATE) AS STRING) AS d_txt", f"{ts} AS ts_txt",
+                        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") AS dt_txt"],
+                       [("d_txt", "trino", "arrow", "date"),
+                        ("ts_txt", "trino", "arrow", "timestamp"),
+                        ("dt_txt", "bigquery", "arrow", "datetime")])
+
+
+@query
+def q_norm_text_blob(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["CAST(l_returnflag || l_linestatus AS BINARY) AS txt_blob",
+                        "CAST(l_returnflag AS BINARY) AS raw_blob"],
+                       [("txt_blob", "mysql", "arrow", "blob_utf8"),
+                        ("raw_blob", "mysql", "arrow", "blob")])
+
+
+@query
+def q_norm_infinity(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["CASE WHEN l_linenumber = 1 THEN 'infinity' WHEN l_linenumber = 2 THEN "
+                        "'-infinity' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS d_txt",
+                        "CASE WHEN l_linenumber = 1 THEN 'infinity' WHEN l_linenumber = 2 THEN "
+                        "'-infinity' ELSE date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') END AS ts_txt"],
+                       [("d_txt", "postgres", "arrow", "date"),
+                        ("ts_txt", "postgres", "arrow", "timestamp")])
+
+
+@query
+def q_norm_array_text(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       [f"{ARRAY_TEXT_SQL} AS arr"], [("arr", "postgres", "arrow", "_int8")])
+
+
+@query
+def q_norm_array_no_null(spark, sf_dir):
+    out = _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                      [f"{ARRAY_TEXT_SQL} AS arr"], [("arr", "postgres", "pandas", "_int8")])
+    return out.withColumn("has_null", F.exists("arr", lambda x: x.isNull()))
+
+
+@query
+def q_norm_bool_text(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["CASE l_returnflag WHEN 'R' THEN 't' WHEN 'A' THEN 'f' ELSE '' END AS b"],
+                       [("b", "postgres", "arrow", "bool")])
+
+
+@query
+def q_norm_empty_null(spark, sf_dir):
+    from .functions.normalize import empty_as_null
+    d = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber",
+        "CASE WHEN l_linestatus = 'O' THEN '' ELSE l_returnflag END AS v")
+    return empty_as_null(d, ["v"])
+
+
+@query
+def q_norm_bytes(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["chr(92) || 'x' || substr(md5(CAST(l_orderkey AS STRING)), 1, 8) AS by"],
+                       [("by", "postgres", "arrow", "bytea")])
+
+
+@query
+def q_norm_vector(spark, sf_dir):
+    return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
+                       ["'{' || CAST(l_linenumber AS STRING) || ':' || "
+                        "CAST(CAST(l_quantity AS BIGINT) AS STRING) || '}/7' AS sv",
+                        "lpad(bin(l_partkey % 1024), 10, '0') AS bits"],
+                       [("sv", "postgres", "arrow", "sparsevec"),
+                        ("bits", "postgres", "arrow", "bit(10)")])
+
+
+@query
+def q_normalize_table(spark, sf_dir):
+    from .functions.normalize import normalize_table
+    return normalize_table(table(spark, sf_dir, "embeddings"), "postgres", "pandas",
+                           {"embedding": "vector"})
+
+
+@query
+def q_resolve_dynamic(spark, sf_dir):
+    from .functions.normalize import resolve_dynamic
+    d = table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS a", "CAST(o_totalprice AS STRING) AS b",
+        "o_orderpriority AS c", "CAST(o_custkey AS STRING) AS d")
+    return resolve_dynamic(d, {"a": "INTEGER"}, order_by="a")
