@@ -65,11 +65,25 @@ def main() -> None:
     benches["expand"] = expand
     benches["filter"] = filters_parquet
     benches["aggregate"] = aggregate
-    try:
-        from tablehaul.functions.normalize import bench_normalize
-        benches["normalise"] = lambda: noop(bench_normalize(spark, sf_dir))
-    except ImportError:
-        pass
+    from tablehaul.functions.normalize import normalize_table
+    from tablehaul.operators.setops import spread
+
+    def normalise():
+        # a wide table whose columns arrive with source types that all need a rule
+        wide = spread(t("lineitem")).selectExpr(
+            "l_orderkey", "CAST(l_linenumber AS SMALLINT) AS small_c",
+            "CAST(l_discount AS FLOAT) AS real_c",
+            "CAST(l_extendedprice AS DECIMAL(15,2)) AS num_c",
+            "md5(CAST(l_orderkey AS STRING) || CAST(l_linenumber AS STRING)) AS uuid_c",
+            "'{\"q\": ' || CAST(CAST(l_quantity AS BIGINT) AS STRING) || '}' AS json_c",
+            "CASE l_returnflag WHEN 'R' THEN 't' WHEN 'A' THEN 'f' ELSE '' END AS bool_c",
+            "'{' || CAST(l_partkey AS STRING) || ',NULL,' || CAST(l_suppkey AS STRING) || '}' AS arr_c",
+            "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') || '+02' AS tstz_c")
+        noop(normalize_table(wide, "postgres", "arrow", {
+            "uuid_c": "uuid", "json_c": "jsonb", "bool_c": "bool", "arr_c": "_int8",
+            "tstz_c": "timestamptz"}))
+
+    benches["normalise"] = normalise
 
     expand()  # the filter bench reads the expanded table
     results = {}

@@ -301,12 +301,19 @@ def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow
 
 
 def normalize_table(df: DataFrame, source: str, target: str = "arrow",
-                    types: dict | None = None) -> DataFrame:
-    """Every column through its rule, in one projection."""
+                    types: dict | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Every column through its rule, in one projection.
+
+    Text parsing (JSON, arrays, regexes) is CPU-heavy per row, so an input with
+    fewer partitions than the cluster's parallelism is spread first (see
+    ``spread``); pass ``min_partitions=0`` to keep the input partitioning.
+    """
+    from ..operators.setops import spread
     types = {k: v for k, v in (types or {}).items()}
     unknown = set(types) - set(df.columns)
     if unknown:
         raise KeyError(f"declared types for missing columns: {sorted(unknown)}")
+    df = spread(df, min_partitions)
     return df.select(*[normalize_column(df, n, source, target, types.get(n)) for n in df.columns])
 
 

@@ -8,6 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's parallelism)
+    when it has fewer partitions; otherwise return it unchanged.
+
+    Used before CPU-heavy row-wise work on small inputs (a single small file is one
+    scan task). Large inputs already arrive in many splits and are not shuffled.
+    The round-robin exchange is retry-safe (Spark sorts rows before assigning them).
+    """
+    if min_partitions is None:
+        min_partitions = df.sparkSession.sparkContext.defaultParallelism
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        return df.repartition(min_partitions)
+    return df
+
+
 def replicate(df: DataFrame, times: int, min_partitions: int | None = None) -> DataFrame:
     """UNION ALL of ``df`` with itself ``times`` times, as one Generate over one scan.
 
@@ -27,10 +42,7 @@ def replicate(df: DataFrame, times: int, min_partitions: int | None = None) -> D
         return df.limit(0)
     if times == 1:
         return df
-    if min_partitions is None:
-        min_partitions = df.sparkSession.sparkContext.defaultParallelism
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
+    df = spread(df, min_partitions)
     copy = "__tablehaul_copy"
     return (df.withColumn(copy, F.explode(F.sequence(F.lit(1), F.lit(times))))
               .drop(copy))
