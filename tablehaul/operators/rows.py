@@ -10,6 +10,8 @@ from .partition import part_expr, plan_ranges
 # Preview rows per stage, and the export page size.
 PREVIEW_ROWS = 5
 PAGE_ROWS = 100_000
+# Pages ending beyond this row take the distributed path instead of a top-k merge.
+TOPK_PAGE_ROWS = 50_000
 
 
 def _order(df: DataFrame, order_by):
@@ -24,15 +26,44 @@ def head(df: DataFrame, n: int = PREVIEW_ROWS, order_by=None) -> DataFrame:
     return _order(df, order_by).limit(n)
 
 
-def page(df: DataFrame, order_by, offset: int, n: int = PAGE_ROWS) -> DataFrame:
+def page(df: DataFrame, order_by, offset: int, n: int = PAGE_ROWS,
+         max_topk_rows: int = TOPK_PAGE_ROWS) -> DataFrame:
     """Rows ``[offset, offset + n)`` in ``order_by`` order.
 
-    Planned as a bounded top-(offset + n) per task; meant for previews and
-    shallow pages. Bulk export writes partitions instead of paging.
+    Shallow pages (``offset + n <= max_topk_rows``) are a bounded top-k per task
+    merged into one result. Deeper pages never pass through one place: the
+    table is range-partitioned on the order keys and sorted inside each
+    partition, fixed by a reliable checkpoint (in ``spark.checkpoint.dir``), the
+    rows per partition are counted (one number per partition reaches the
+    driver), and each task cuts its own slice of the page.
     """
     if order_by is None:
         raise ValueError("a page needs an order")
-    return _order(df, order_by).offset(offset).limit(n)
+    if offset < 0 or n < 0:
+        raise ValueError("offset and n must be >= 0")
+    if offset + n <= max_topk_rows:
+        return _order(df, order_by).offset(offset).limit(n)
+    from .. import session
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    session.ensure_checkpoint_dir(df.sparkSession)
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint()
+    counts = dict(ordered.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    starts, acc = {}, 0
+    for p in range(ordered.rdd.getNumPartitions()):
+        starts[p] = acc
+        acc += counts.get(p, 0)
+    lo, hi = offset, offset + n
+
+    def cut(batches):
+        from pyspark import TaskContext
+        pos = starts.get(TaskContext.get().partitionId(), 0)
+        for b in batches:
+            a, z = max(lo - pos, 0), min(hi - pos, b.num_rows)
+            if z > a:
+                yield b.slice(a, z - a)
+            pos += b.num_rows
+
+    return ordered.mapInArrow(cut, ordered.schema)
 
 
 def limit_then_partition(df: DataFrame, limit: int, order_by, column: str, n: int,

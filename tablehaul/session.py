@@ -35,6 +35,9 @@ def get_session(master: str | None = None, app_name: str = "tablehaul",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the whole cluster
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

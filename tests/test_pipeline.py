@@ -40,3 +40,16 @@ def test_spja_filters_reach_scans(spark, sf_dir):
     assert "EqualTo(c_mktsegment,BUILDING)" in plan
     assert "LessThan(o_orderdate" in plan and "GreaterThan(l_shipdate" in plan
     assert q.count() > 0
+
+
+def test_deep_page_matches_topk_page(spark):
+    from pyspark.sql import functions as F
+
+    from tablehaul.operators.rows import page
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"),
+                                     (F.col("id") % 13).alias("v"))
+    for offset, n in ((0, 10), (1234, 100), (4990, 50)):
+        shallow = [tuple(r) for r in page(df, "k", offset, n).collect()]
+        deep = [tuple(r) for r in page(df, "k", offset, n, max_topk_rows=0).collect()]
+        assert sorted(shallow) == sorted(deep)
+        assert [r[0] for r in sorted(deep)] == list(range(offset, min(offset + n, 5000)))
