@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.census import (RANDOM_SEED, add_census_measures, census_project,
                                 complex_filter, readback_filter, simple_filter)
-from ..operators.setops import replicate
+from ..operators.setops import replicate, spread
 from ..sinks import csv_sink, load_if_incomplete, parquet_sink, publish_if_absent
 from ..sources.files import land_raw
 from ..sources.fs import committed
@@ -23,8 +23,12 @@ def census_expand_plan(raw: DataFrame, times: int = EXPAND_TIMES, seed: int = RA
     """Project -> income/weight draws -> blank income of non-earners -> ``times`` copies.
 
     The draws are taken before replication, so the copies are exact duplicates.
-    One narrow stage: scan, project, hash, generate; no shuffle.
+    A raw input with fewer partitions than the cluster's parallelism is spread
+    first (only raw rows cross the exchange), so the draws, the copies and the
+    write all run on every core; large inputs keep their splits and the whole
+    plan is one narrow stage: scan, project, hash, generate.
     """
+    raw = spread(raw)
     return replicate(add_census_measures(census_project(raw), seed=seed, method=method), times)
 
 
