@@ -12,23 +12,21 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tablehaul.session import get_session  # noqa: E402
+from tablehaul.session import get_session, scratch_path  # noqa: E402
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    scratch = tempfile.mkdtemp(prefix="tablehaul-bench-")
     spark = get_session(f"local[{cpus}]", app_name="tablehaul-bench",
-                        shuffle_partitions=cpus,
-                        extra={"spark.driver.memory": "16g",
-                               "spark.checkpoint.dir": f"file:{scratch}/ckpt"})
+                        shuffle_partitions=cpus, extra={"spark.driver.memory": "16g"})
+    # written tables go under the session's spark.checkpoint.dir, a fresh folder per run
+    scratch = scratch_path(spark, "bench", unique=True)
 
     from tablehaul.operators.census import complex_filter, simple_filter
     from tablehaul.plans.census import census_expand_plan
@@ -43,7 +41,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     src = parquet_dir_source(spark, sf_dir)
-    expanded_path = f"file:{scratch}/large/census.parquet"
+    expanded_path = f"{scratch}/large/census.parquet"
 
     def load(n):
         return lambda: noop(read_sql(spark, src, "SELECT * FROM lineitem",
