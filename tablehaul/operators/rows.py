@@ -46,7 +46,13 @@ def page(df: DataFrame, order_by, offset: int, n: int = PAGE_ROWS,
     from .. import session
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     session.ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint()
+    # A hash of the whole row breaks ties, so one hot key value can still be split
+    # across range partitions (the page order among equal keys is arbitrary anyway).
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__tablehaul_tie")
+    ranged = (df.withColumn("__tablehaul_tie", tie)
+                .repartitionByRange(*keys, "__tablehaul_tie")
+                .sortWithinPartitions(*keys, "__tablehaul_tie"))
+    ordered = ranged.drop("__tablehaul_tie").checkpoint()
     counts = dict(ordered.groupBy(F.spark_partition_id().alias("p")).count().collect())
     starts, acc = {}, 0
     for p in range(ordered.rdd.getNumPartitions()):

@@ -53,3 +53,19 @@ def test_deep_page_matches_topk_page(spark):
         deep = [tuple(r) for r in page(df, "k", offset, n, max_topk_rows=0).collect()]
         assert sorted(shallow) == sorted(deep)
         assert [r[0] for r in sorted(deep)] == list(range(offset, min(offset + n, 5000)))
+
+
+def test_deep_page_splits_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from tablehaul.operators.rows import page
+    # a third of the rows share one key value
+    df = spark.range(0, 9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"))
+    got = page(df, "k", 2000, 4000, max_topk_rows=0)
+    rows = got.collect()
+    assert len(rows) == 4000
+    keys = sorted(r.k for r in rows)
+    expected = sorted(r.k for r in df.orderBy("k").collect())[2000:6000]
+    assert keys == expected
