@@ -49,8 +49,10 @@ ARRAY_ELEMS = {"_int2": T.ShortType(), "_int4": T.IntegerType(), "_int8": T.Long
 
 def uuid_canonical(c: Column) -> Column:
     """Any spelling (braces, hyphens anywhere, upper case) -> lower-case 8-4-4-4-12."""
-    hexs = F.lower(F.regexp_replace(c.cast("string"), r"[{}\-]", ""))
-    return F.regexp_replace(hexs, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    hexs = F.lower(F.translate(c.cast("string"), "{}-", ""))
+    return F.when(F.length(hexs) == 32, F.concat_ws(
+        "-", *[F.substring(hexs, start, size)
+               for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])).otherwise(hexs)
 
 
 def json_compact(c: Column) -> Column:
@@ -82,10 +84,16 @@ def bool_text(c: Column) -> Column:
 def array_text(c: Column, elem: T.DataType) -> Column:
     """Postgres array text ``{a,b,NULL}`` -> array (NULL elements kept); ``{}`` -> empty;
     ``''`` -> NULL; other text shorter than ``{}`` raises."""
-    body = F.regexp_replace(F.regexp_replace(c, r"^\{", ""), r"\}$", "")
+    body = F.substring(c, F.lit(2), F.length(c) - 2)  # strip the braces
     parts = F.split(body, ",")
-    items = F.transform(parts, lambda x: F.when(F.trim(x) == "NULL", F.lit(None))
-                        .otherwise(F.regexp_replace(F.trim(x), r'^"(.*)"$', "$1")))
+
+    def item(x):
+        t = F.trim(x)
+        quoted = t.startswith('"') & t.endswith('"') & (F.length(t) >= 2)
+        return (F.when(t == "NULL", F.lit(None))
+                .when(quoted, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t))
+
+    items = F.transform(parts, item)
     if not isinstance(elem, T.StringType):
         items = F.transform(items, lambda x: x.cast(elem))
     return (F.when(c.isNull() | (c == ""), F.lit(None).cast(T.ArrayType(elem)))
