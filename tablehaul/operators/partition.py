@@ -91,9 +91,10 @@ def partition_assign(df: DataFrame, column: str, n: int, bounds=None,
     projection + filter fused into the scan's stage.
     """
     lo, hi = _bounds(df, column, bounds)
-    labelled = df.withColumn(part_col, part_expr(column, lo, hi, n, keep_nulls,
-                                                 _integral(df, column)))
-    return labelled.where(F.col(part_col).isNotNull())
+    # filter on the column itself (pushed into the scan), then label
+    kept = df.where(_in_parts(column, lo, hi, keep_nulls))
+    return kept.withColumn(part_col, part_expr(column, lo, hi, n, keep_nulls,
+                                               _integral(df, column)))
 
 
 def partition_counts(df: DataFrame, column: str, n: int, bounds=None,
@@ -105,15 +106,21 @@ def partition_counts(df: DataFrame, column: str, n: int, bounds=None,
     """
     spark = df.sparkSession
     lo, hi = _bounds(df, column, bounds)
-    counts = (df.select(part_expr(column, lo, hi, n, keep_nulls, _integral(df, column))
+    counts = (df.where(_in_parts(column, lo, hi, keep_nulls))
+                .select(part_expr(column, lo, hi, n, keep_nulls, _integral(df, column))
                         .alias("part"))
-                .where(F.col("part").isNotNull())
                 .groupBy("part").agg(F.count(F.lit(1)).alias("n")))
     all_parts = _part_ids(spark, n + (1 if keep_nulls else 0))
     return (all_parts.join(counts, "part", "left")
             .select("part", F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n")))
 
 
+def _in_parts(column: str, lo: int, hi: int, keep_nulls: bool):
+    c = F.col(column)
+    inside = (c >= F.lit(lo)) & (c < F.lit(hi + 1))
+    return inside | c.isNull() if keep_nulls else inside
+
+
 def _integral(df: DataFrame, column: str) -> bool:
     from pyspark.sql import types as T
     return isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType,
