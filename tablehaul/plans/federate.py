@@ -77,9 +77,25 @@ def register_source(spark: SparkSession, name: str, spec) -> None:
         spark.sql(f"CREATE TABLE {name}.{tname.split('.')[-1]} USING jdbc OPTIONS ({opt_sql})")
 
 
+OWNER_PROPERTY = "tablehaul.source"
+
+
+def _owned(spark: SparkSession, name: str) -> bool:
+    rows = spark.sql(f"DESCRIBE DATABASE EXTENDED {name}").collect()
+    props = " ".join(str(r[1]) for r in rows if str(r[0]).lower().startswith("properties"))
+    return OWNER_PROPERTY in props
+
+
 def _replace_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-    spark.sql(f"CREATE DATABASE {name}")
+    """(Re)create the database a source is registered under. Only databases this
+    module created (tagged with a property) are ever dropped; any other
+    database of that name is left alone and the registration fails."""
+    if spark.catalog.databaseExists(name):
+        if not _owned(spark, name):
+            raise ValueError(f"database {name!r} exists and was not created for a source; "
+                             f"choose another source name")
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    spark.sql(f"CREATE DATABASE {name} WITH DBPROPERTIES ('{OWNER_PROPERTY}' = 'true')")
 
 
 def federated_sql(spark: SparkSession, sources: dict, sql: str) -> DataFrame:

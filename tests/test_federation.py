@@ -27,3 +27,16 @@ def test_equi_join_broadcasts_checked_small_side(spark, sf_dir):
     j = equi_join(n, r, n.n_regionkey == r.r_regionkey, broadcast_max_rows=100)
     assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
     assert j.count() == 25
+
+
+def test_foreign_database_is_never_replaced(spark, sf_dir):
+    import pytest
+
+    from tablehaul.plans.federate import register_source
+    spark.sql("CREATE DATABASE IF NOT EXISTS th_users_own_db")
+    with pytest.raises(ValueError):
+        register_source(spark, "th_users_own_db", sf_dir)
+    assert spark.catalog.databaseExists("th_users_own_db")
+    register_source(spark, "th_fed_src", sf_dir)
+    register_source(spark, "th_fed_src", sf_dir)  # its own database is replaced
+    assert spark.table("th_fed_src.region").count() == 5
