@@ -1,0 +1,69 @@
+"""JDBC wiring without a database: what read_sql and bulk_sink hand to Spark's JDBC data source.
+
+No database can be started in this environment, so the database round trip is
+replaced: the bounds probe returns a fixed MIN/MAX row and the partitioned read
+records its arguments.
+"""
+
+from pyspark.sql import types as T
+
+from tablehaul.sinks.core import jdbc_write_options
+from tablehaul.sources import sql as S
+
+
+def test_partitioned_read_sends_range_predicates(spark, monkeypatch):
+    seen = {}
+
+    def fake_query(self, spark_, sql):
+        seen.setdefault("probe", sql)
+        return spark_.createDataFrame([(0.0, 1314.0)], "lo double, hi double")
+
+    def fake_parts(self, spark_, sql, predicates):
+        seen["sql"], seen["predicates"], seen["props"] = sql, predicates, dict(self.properties)
+        return spark_.range(0)
+
+    monkeypatch.setattr(S.JdbcSource, "query", fake_query)
+    monkeypatch.setattr(S.JdbcSource, "query_parts", fake_parts)
+    src = S.JdbcSource("jdbc:postgresql://db:5432/x", {"user": "u", "fetchsize": "10000"})
+    S.read_sql(spark, src, "SELECT * FROM test_table", partition_on="test_int", partition_num=3,
+               pre_execution_query="SET statement_timeout = 2151")
+    assert seen["probe"] == ("SELECT MIN(test_int) AS lo, MAX(test_int) AS hi "
+                             "FROM (SELECT * FROM test_table) tablehaul_bounds")
+    assert seen["sql"] == "SELECT * FROM test_table"
+    assert seen["predicates"] == ["0 <= test_int AND test_int < 438",
+                                  "438 <= test_int AND test_int < 876",
+                                  "876 <= test_int AND test_int < 1315"]
+    assert seen["props"]["sessionInitStatement"] == "SET statement_timeout = 2151"
+    seen.clear()
+    S.read_sql(spark, src, "SELECT * FROM t", partition_on="c", partition_range=(1, 3),
+               partition_num=8, keep_nulls=True)
+    assert "probe" not in seen  # given bounds: no MIN/MAX query
+    assert seen["predicates"][:7] == ["1 <= c AND c < 1"] * 7
+    assert seen["predicates"][7:] == ["1 <= c AND c < 4", "c IS NULL"]
+
+
+def test_bulk_load_options():
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType()),
+                           T.StructField("x", T.DoubleType()), T.StructField("d", T.DateType())])
+    opts = jdbc_write_options(schema, S.JdbcSource("jdbc:postgresql://db/x", {"user": "u"}),
+                              "census", 100000)
+    assert opts == {"url": "jdbc:postgresql://db/x", "dbtable": "census", "batchsize": "100000",
+                    "user": "u"}
+
+
+def test_loaded_types_follow_the_ddl_rule(spark):
+    from tablehaul.sinks.core import _as_loaded, ddl_types
+    df = spark.range(3).selectExpr("id", "CAST(id AS INT) AS n", "CAST(id AS DOUBLE) AS x",
+                                   "CAST(id AS SHORT) AS s", "date_from_unix_date(CAST(id AS INT)) AS d",
+                                   "CAST(id AS FLOAT) AS f")
+    loaded = _as_loaded(df)
+    assert [f.dataType.simpleString() for f in loaded.schema.fields] == [
+        "bigint", "int", "double", "string", "string", "string"]
+    assert ddl_types(df.schema) == {"id": "BIGINT", "n": "INTEGER", "x": "DOUBLE PRECISION",
+                                    "s": "TEXT", "d": "TEXT", "f": "TEXT"}
+
+
+def test_source_routing(spark):
+    assert isinstance(S.as_source(spark, "postgresql://u@h/db"), S.JdbcSource)
+    assert S.as_source(spark, {"url": "mysql://h/db", "properties": {"user": "u"}}).url == \
+        "jdbc:mysql://h/db"
