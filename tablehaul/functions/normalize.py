@@ -189,8 +189,12 @@ def _spark_kind(dt: T.DataType) -> str:
 
 
 def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow",
-                     src_type: str | None = None) -> Column:
-    """The normalised value of column ``name`` (aliased to the same name)."""
+                     src_type: str | None = None, u64: str = "double") -> Column:
+    """The normalised value of column ``name`` (aliased to the same name).
+
+    ``u64="decimal"`` keeps unsigned 64-bit values exact as decimal(20,0)
+    instead of the lossy double of the reference mapping.
+    """
     source, target = source.lower(), target.lower()
     if source in ("redshift", "postgresql"):
         source = "postgres"
@@ -214,7 +218,9 @@ def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow
         return out(c.cast("long"))
     m = UNSIGNED.match(t)
     if m:
-        return out(c.cast("double") if m.group(1) == "bigint" else c.cast("long"))
+        if m.group(1) != "bigint":
+            return out(c.cast("long"))
+        return out(c.cast(T.DecimalType(20, 0)) if u64 == "decimal" else c.cast("double"))
     # floats
     if t in ("float4", "real", "float", "smallmoney"):
         keep = pg_arrow or (source == "mssql" and t in ("real", "smallmoney") and target == "arrow")
@@ -258,17 +264,16 @@ def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow
             e = e.cast("timestamp_ntz")
         return out(e)
     if t in ("timestamp", "datetime", "datetime2", "smalldatetime"):
-        if is_text:
-            if source == "postgres":
-                e = saturate_infinity(c, "timestamp")
-            elif source == "bigquery":
-                e = F.to_timestamp_ntz(c, F.lit(BIGQUERY_DATETIME))
-            else:
-                e = F.to_timestamp_ntz(c, F.lit(TRINO_TIMESTAMP))
-        else:
+        if not is_text:
             e = c.cast("timestamp_ntz")
-        if source == "bigquery" and t == "timestamp" and is_text:
-            e = epoch_text_timestamp(c)
+        elif source == "postgres":
+            e = saturate_infinity(c, "timestamp")
+        elif source == "bigquery" and t == "timestamp":
+            e = epoch_text_timestamp(c)  # an instant, delivered as epoch seconds
+        elif source == "bigquery":
+            e = F.to_timestamp_ntz(c, F.lit(BIGQUERY_DATETIME))
+        else:
+            e = F.to_timestamp_ntz(c, F.lit(TRINO_TIMESTAMP))
         return out(e)
     if t in ("timestamptz", "timestamp with time zone", "datetimeoffset"):
         if is_text:
@@ -309,7 +314,8 @@ def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow
 
 
 def normalize_table(df: DataFrame, source: str, target: str = "arrow",
-                    types: dict | None = None, min_partitions: int | None = None) -> DataFrame:
+                    types: dict | None = None, min_partitions: int | None = None,
+                    u64: str = "double") -> DataFrame:
     """Every column through its rule, in one projection.
 
     Text parsing (JSON, arrays, regexes) is CPU-heavy per row, so an input with
@@ -322,7 +328,8 @@ def normalize_table(df: DataFrame, source: str, target: str = "arrow",
     if unknown:
         raise KeyError(f"declared types for missing columns: {sorted(unknown)}")
     df = spread(df, min_partitions)
-    return df.select(*[normalize_column(df, n, source, target, types.get(n)) for n in df.columns])
+    return df.select(*[normalize_column(df, n, source, target, types.get(n), u64)
+                       for n in df.columns])
 
 
 def empty_as_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -137,3 +137,11 @@ def test_resolve_dynamic(spark):
         resolve_dynamic(df.selectExpr("CAST(NULL AS STRING) AS z"))
     empty = resolve_dynamic(df.where("false").select("a"))
     assert empty.schema["a"].dataType == T.StringType()
+
+
+def test_unsigned_bigint_double_or_exact_decimal(spark):
+    df = spark.createDataFrame([(decimal.Decimal("18446744073709551615"),)], "u decimal(20,0)")
+    d = normalize_table(df, "mysql", "arrow", {"u": "bigint unsigned"}).first().u
+    assert isinstance(d, float) and d == 1.8446744073709552e19
+    e = normalize_table(df, "mysql", "arrow", {"u": "bigint unsigned"}, u64="decimal").first().u
+    assert e == decimal.Decimal("18446744073709551615")
