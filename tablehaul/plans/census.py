@@ -34,7 +34,7 @@ def census_expand_plan(raw: DataFrame, times: int = EXPAND_TIMES, seed: int = RA
 
 def census_expand(raw: DataFrame, times: int = EXPAND_TIMES, seed: int = RANDOM_SEED,
                   parquet_path: str | None = None, csv_path: str | None = None,
-                  method: str = "md5") -> DataFrame:
+                  method: str = "md5", max_records_per_file: int | None = None) -> DataFrame:
     """Expanded census table; written to ``parquet_path`` (and CSV) unless already there.
 
     When ``parquet_path`` holds a committed copy it is reloaded and nothing is
@@ -45,7 +45,8 @@ def census_expand(raw: DataFrame, times: int = EXPAND_TIMES, seed: int = RANDOM_
     if parquet_path is None:
         return census_expand_plan(raw, times, seed, method)
     if not committed(spark, parquet_path):
-        parquet_sink(census_expand_plan(raw, times, seed, method), parquet_path)
+        parquet_sink(census_expand_plan(raw, times, seed, method), parquet_path,
+                     max_records_per_file=max_records_per_file)
         if csv_path:
             csv_sink(spark.read.parquet(parquet_path), csv_path)
     return spark.read.parquet(parquet_path)

@@ -139,3 +139,13 @@ def test_arrow_batches(spark):
     assert arrow_batches(df, 10).count() == 25
     sizes = [b.num_rows for b in iter_arrow_batches(df, 10)]
     assert sizes == [10, 10, 5]
+
+
+def test_parquet_sink_bounds_file_size(spark, tmp_path):
+    import glob
+
+    from tablehaul.sinks import parquet_sink
+    path = str(tmp_path / "bounded")
+    parquet_sink(spark.range(0, 1000, numPartitions=1), path, max_records_per_file=300)
+    assert len(glob.glob(f"{path}/*.parquet")) == 4
+    assert spark.read.parquet(path).count() == 1000
