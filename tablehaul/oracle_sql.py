@@ -226,3 +226,10 @@ def _norm_oracles():
 
 
 _norm_oracles()
+
+
+ORACLES["row_generator"] = (
+    "SELECT i AS a, CAST(i AS DOUBLE) AS b, i % 2 = 0 AS c, CAST(i AS VARCHAR) AS d, "
+    "CASE i % 3 WHEN 0 THEN true WHEN 1 THEN false ELSE NULL END AS e "
+    "FROM (SELECT unnest(range(n)) AS i FROM (SELECT COUNT(*) AS n FROM orders "
+    "GROUP BY o_orderstatus) g) t")

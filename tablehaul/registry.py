@@ -696,3 +696,17 @@ def q_resolve_dynamic(spark, sf_dir):
         "CAST(o_orderkey AS STRING) AS a", "CAST(o_totalprice AS STRING) AS b",
         "o_orderpriority AS c", "CAST(o_custkey AS STRING) AS d")
     return resolve_dynamic(d, {"a": "INTEGER"}, order_by="a")
+
+
+# ---- 2.1 generator source, sized by the data ---------------------------------------------
+
+GENERATOR_SCHEMA = "a long, b double, c boolean not null, d string, e boolean"
+
+
+@query
+def q_row_generator(spark, sf_dir):
+    """One generated part per order status, as many rows as that status has orders."""
+    from .sources.generator import row_generator
+    sizes = [r["n"] for r in table(spark, sf_dir, "orders").groupBy("o_orderstatus")
+             .agg(F.count(F.lit(1)).alias("n")).orderBy("o_orderstatus").collect()]
+    return row_generator(spark, sizes, GENERATOR_SCHEMA)
