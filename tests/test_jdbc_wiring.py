@@ -48,7 +48,7 @@ def test_bulk_load_options():
     opts = jdbc_write_options(schema, S.JdbcSource("jdbc:postgresql://db/x", {"user": "u"}),
                               "census", 100000)
     assert opts == {"url": "jdbc:postgresql://db/x", "dbtable": "census", "batchsize": "100000",
-                    "user": "u"}
+                    "numPartitions": "20", "user": "u"}
 
 
 def test_loaded_types_follow_the_ddl_rule(spark):
