@@ -36,6 +36,10 @@ JDBC_SCHEMES = {
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
+# Rows per JDBC fetch unless the caller sets ``fetchsize``: drivers that default to
+# 0 (Postgres) would otherwise hold a task's whole result in memory.
+DEFAULT_FETCH_ROWS = 10_000
+
 
 def check_identifier(name: str) -> str:
     """Allow only ``[A-Za-z0-9_]`` names (each part of a dotted name) into DDL/SQL text."""
@@ -53,9 +57,14 @@ class JdbcSource:
     url: str
     properties: dict = field(default_factory=dict)
 
+    def read_properties(self) -> dict:
+        props = {"fetchsize": str(DEFAULT_FETCH_ROWS)}
+        props.update({k: str(v) for k, v in self.properties.items()})
+        return props
+
     def reader(self, spark: SparkSession):
         r = spark.read.format("jdbc").option("url", self.url)
-        for k, v in self.properties.items():
+        for k, v in self.read_properties().items():
             r = r.option(k, v)
         return r
 
@@ -63,9 +72,8 @@ class JdbcSource:
         return self.reader(spark).option("dbtable", f"({sql}) tablehaul_q").load()
 
     def query_parts(self, spark: SparkSession, sql: str, predicates: list[str]) -> DataFrame:
-        props = {k: str(v) for k, v in self.properties.items()}
         return spark.read.jdbc(self.url, f"({sql}) tablehaul_part", predicates=predicates,
-                               properties=props)
+                               properties=self.read_properties())
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return self.reader(spark).option("dbtable", check_identifier(name)).load()

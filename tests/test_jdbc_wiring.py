@@ -19,7 +19,7 @@ def test_partitioned_read_sends_range_predicates(spark, monkeypatch):
         return spark_.createDataFrame([(0.0, 1314.0)], "lo double, hi double")
 
     def fake_parts(self, spark_, sql, predicates):
-        seen["sql"], seen["predicates"], seen["props"] = sql, predicates, dict(self.properties)
+        seen["sql"], seen["predicates"], seen["props"] = sql, predicates, self.read_properties()
         return spark_.range(0)
 
     monkeypatch.setattr(S.JdbcSource, "query", fake_query)
@@ -34,6 +34,8 @@ def test_partitioned_read_sends_range_predicates(spark, monkeypatch):
                                   "438 <= test_int AND test_int < 876",
                                   "876 <= test_int AND test_int < 1315"]
     assert seen["props"]["sessionInitStatement"] == "SET statement_timeout = 2151"
+    assert seen["props"]["fetchsize"] == "10000"  # the caller's value wins over the default
+    assert S.JdbcSource("jdbc:x").read_properties() == {"fetchsize": "10000"}
     seen.clear()
     S.read_sql(spark, src, "SELECT * FROM t", partition_on="c", partition_range=(1, 3),
                partition_num=8, keep_nulls=True)
