@@ -217,22 +217,26 @@ def read_sql(spark: SparkSession, conn, sql: str | Sequence[str], partition_on:
 
     validate_num(partition_num)
     check_identifier(partition_on)
+    if partition_range is not None and (len(partition_range) != 2 or None in partition_range):
+        raise ValueError("partition_range needs both a lower and an upper bound")
+    c = F.col(partition_on)
+    if isinstance(source, CatalogSource) and partition_range is None:
+        # Probed bounds enclose every non-NULL value, so the union of the parts is
+        # exactly the non-NULL rows: no MIN/MAX pass over the SQL is needed, and
+        # Spark splits the scan into tasks itself.
+        df = source.query(spark, sql)
+        return df if keep_nulls else df.where(c.isNotNull())
     if partition_range is None:
         lo, hi = partition_bounds_sql(source, spark, sql, partition_on)
     else:
-        if len(partition_range) != 2 or None in partition_range:
-            raise ValueError("partition_range needs both a lower and an upper bound")
         lo, hi = int(partition_range[0]), int(partition_range[1])
     ranges = plan_ranges(lo, hi, partition_num)
     preds = range_predicates(partition_on, ranges, keep_nulls)
     if isinstance(source, JdbcSource):
         return source.query_parts(spark, sql, preds)
-    # Catalog source: the union of the part predicates is one range predicate
-    # (plus NULLs); Spark already splits the scan into tasks, so the parts are
-    # not materialised separately.
-    df = source.query(spark, sql)
-    c = F.col(partition_on)
+    # Catalog source with given bounds: the union of the part predicates is one range
+    # predicate (plus NULLs), pushed into the scan.
     keep = (c >= F.lit(ranges[0][0])) & (c < F.lit(ranges[-1][1]))
     if keep_nulls:
         keep = keep | c.isNull()
-    return df.where(keep)
+    return source.query(spark, sql).where(keep)
