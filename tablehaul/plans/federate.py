@@ -18,8 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.sql import (CatalogSource, JdbcSource, check_identifier, parquet_dir_source,
-                           to_jdbc_url)
+from ..sources.sql import (CatalogSource, JdbcSource, check_identifier, is_database_url,
+                           parquet_dir_source, to_jdbc_url)
 
 JDBC_CATALOG = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
 
@@ -51,8 +51,7 @@ def register_source(spark: SparkSession, name: str, spec) -> None:
     if isinstance(spec, JdbcSource):
         spec = {"url": spec.url, "properties": spec.properties}
     if isinstance(spec, str):
-        if spec.startswith("jdbc:") or "://" in spec and not spec.startswith(
-                ("file:", "hdfs:", "s3a:")):
+        if is_database_url(spec):
             spec = {"url": spec}
         else:
             _replace_database(spark, name)

@@ -151,13 +151,18 @@ def to_jdbc_url(conn: str) -> str:
     return f"jdbc:{jdbc_scheme}://{rest}"
 
 
+def is_database_url(conn: str) -> bool:
+    """``jdbc:…`` or a known database scheme; every other path is a file system."""
+    m = re.match(r"^([a-z][a-z0-9+.-]*)://", conn)
+    return conn.startswith("jdbc:") or bool(m and m.group(1) in JDBC_SCHEMES)
+
+
 def as_source(spark: SparkSession, conn) -> JdbcSource | CatalogSource:
     if isinstance(conn, (JdbcSource, CatalogSource)):
         return conn
     if isinstance(conn, dict):
         return JdbcSource(to_jdbc_url(conn["url"]), dict(conn.get("properties", {})))
-    if isinstance(conn, str) and (conn.startswith("jdbc:") or re.match(r"^[a-z]+://", conn)
-                                  and not conn.startswith(("file://", "hdfs://", "s3a://"))):
+    if isinstance(conn, str) and is_database_url(conn):
         return JdbcSource(to_jdbc_url(conn))
     return parquet_dir_source(spark, conn)
 

@@ -69,3 +69,10 @@ def test_source_routing(spark):
     assert isinstance(S.as_source(spark, "postgresql://u@h/db"), S.JdbcSource)
     assert S.as_source(spark, {"url": "mysql://h/db", "properties": {"user": "u"}}).url == \
         "jdbc:mysql://h/db"
+
+
+def test_file_system_paths_are_not_databases():
+    for path in ("/data/x", "file:/data/x", "hdfs://nn/x", "s3a://b/x", "gs://b/x", "abfss://c@a/x"):
+        assert not S.is_database_url(path)
+    for url in ("jdbc:postgresql://h/db", "postgresql://h/db", "mssql://h/db", "redshift://h/db"):
+        assert S.is_database_url(url)
