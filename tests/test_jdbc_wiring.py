@@ -76,3 +76,12 @@ def test_file_system_paths_are_not_databases():
         assert not S.is_database_url(path)
     for url in ("jdbc:postgresql://h/db", "postgresql://h/db", "mssql://h/db", "redshift://h/db"):
         assert S.is_database_url(url)
+
+
+def test_federation_registers_a_jdbc_catalog_without_connecting(spark):
+    from tablehaul.plans.federate import JDBC_CATALOG, register_source
+    register_source(spark, "th_remote", {"url": "postgresql://h:5432/db",
+                                         "properties": {"user": "u", "driver": "org.postgresql.Driver"}})
+    assert spark.conf.get("spark.sql.catalog.th_remote") == JDBC_CATALOG
+    assert spark.conf.get("spark.sql.catalog.th_remote.url") == "jdbc:postgresql://h:5432/db"
+    assert spark.conf.get("spark.sql.catalog.th_remote.user") == "u"
