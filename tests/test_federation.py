@@ -40,3 +40,15 @@ def test_foreign_database_is_never_replaced(spark, sf_dir):
     register_source(spark, "th_fed_src", sf_dir)
     register_source(spark, "th_fed_src", sf_dir)  # its own database is replaced
     assert spark.table("th_fed_src.region").count() == 5
+
+
+def test_fed_group_agg_dataframe_form(spark):
+    from tablehaul.plans.spja import fed_group_agg
+    from tests.test_partition import TEST_TABLE, TT_SCHEMA
+    a = spark.createDataFrame(TEST_TABLE, TT_SCHEMA)
+    b = spark.createDataFrame(TEST_STR, "id int, test_language string, test_hello string")
+    rows = fed_group_agg(a, b, "test_int", "id", "test_bool", "test_float", "test_int",
+                         "test_nullint").collect()
+    got = [(r.test_bool, None if r.avg_test_float is None else round(r.avg_test_float, 6),
+            r.sum_test_int) for r in rows]
+    assert got == [(True, None, 1), (False, 3.0, 3), (None, 5.45, 4)]
