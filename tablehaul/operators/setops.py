@@ -18,7 +18,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if min_partitions is None:
         min_partitions = df.sparkSession.sparkContext.defaultParallelism
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if not min_partitions:
+        return df
+    # A plan that already shuffles has spark.sql.shuffle.partitions partitions; asking
+    # it for its RDD would make adaptive execution run its shuffle stages now.
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    if df.rdd.getNumPartitions() < min_partitions:  # scan splits: no job runs
         return df.repartition(min_partitions)
     return df
 

@@ -91,3 +91,18 @@ def test_filter_pushed_below_replicate(spark, tmp_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(keep_type), IsNotNull(region), IsNotNull(age_group)" in plan
     assert q.count() == 200
+
+
+def test_building_plans_runs_no_job(spark, sf_dir):
+    from tablehaul.functions.normalize import normalize_table
+    from tablehaul.plans.census import census_expand_plan
+    from tablehaul.plans.census_source import census_like
+    sc = spark.sparkContext
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    sc.setJobGroup("th_build_only", "plan construction")
+    try:
+        census_expand_plan(census_like(orders))
+        normalize_table(orders.join(orders.select("o_orderkey"), "o_orderkey"), "postgres")
+        assert sc.statusTracker().getJobIdsForGroup("th_build_only") == []
+    finally:
+        sc.setJobGroup(None, None)
