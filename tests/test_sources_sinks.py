@@ -79,6 +79,9 @@ def test_read_sql_variants(spark, tmp_path):
     with pytest.raises(ValueError):
         read_sql(spark, src, "SELECT * FROM test_table", partition_on="test_int",
                  partition_num=0)
+    with pytest.raises(ValueError):
+        read_sql(spark, src, "SELECT * FROM test_table", partition_on="test_str",
+                 partition_num=2)
     with pytest.raises(ValueError):
         read_sql(spark, src, "SELECT * FROM test_table", partition_on="test_int",
                  partition_range=(0, None), partition_num=2)
