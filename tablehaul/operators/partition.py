@@ -44,12 +44,22 @@ def bounds_columns(column: str):
             F.coalesce(F.floor(F.max(c)).cast("bigint"), F.lit(0).cast("bigint")).alias("max"))
 
 
+def check_numeric(df: DataFrame, column: str) -> None:
+    """Only integer, floating and decimal columns can be range-partitioned."""
+    from pyspark.sql import types as T
+    dt = df.schema[column].dataType
+    if not isinstance(dt, T.NumericType):
+        raise ValueError(f"cannot partition on {column!r}: {dt.simpleString()} is not numeric")
+
+
 def partition_bounds(df: DataFrame, column: str) -> DataFrame:
     """One-row DataFrame ``(min, max)`` of ``column`` — a distributed partial aggregate."""
+    check_numeric(df, column)
     return df.agg(*bounds_columns(column))
 
 
 def _bounds(df: DataFrame, column: str, bounds) -> tuple[int, int]:
+    check_numeric(df, column)
     if bounds is not None:
         if len(bounds) != 2 or None in bounds:
             raise ValueError("bounds needs both a lower and an upper value")

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.partition import plan_ranges, range_predicates, validate_num
+from ..operators.partition import check_numeric, plan_ranges, range_predicates, validate_num
 from ..operators.setops import union_parts
 
 # URL schemes and the JDBC scheme/driver each one maps to.
@@ -230,7 +230,7 @@ def read_sql(spark: SparkSession, conn, sql: str | Sequence[str], partition_on:
         # exactly the non-NULL rows: no MIN/MAX pass over the SQL is needed, and
         # Spark splits the scan into tasks itself.
         df = source.query(spark, sql)
-        _check_numeric(df, partition_on)
+        check_numeric(df, partition_on)
         return df if keep_nulls else df.where(c.isNotNull())
     if partition_range is None:
         lo, hi = partition_bounds_sql(source, spark, sql, partition_on)
@@ -243,16 +243,9 @@ def read_sql(spark: SparkSession, conn, sql: str | Sequence[str], partition_on:
     # Catalog source with given bounds: the union of the part predicates is one range
     # predicate (plus NULLs), pushed into the scan.
     df = source.query(spark, sql)
-    _check_numeric(df, partition_on)
+    check_numeric(df, partition_on)
     keep = (c >= F.lit(ranges[0][0])) & (c < F.lit(ranges[-1][1]))
     if keep_nulls:
         keep = keep | c.isNull()
     return df.where(keep)
 
-
-def _check_numeric(df: DataFrame, column: str) -> None:
-    """Only integer, floating and decimal columns can be range-partitioned."""
-    from pyspark.sql import types as T
-    if not isinstance(df.schema[column].dataType, T.NumericType):
-        raise ValueError(f"cannot partition on {column!r}: "
-                         f"{df.schema[column].dataType.simpleString()} is not numeric")

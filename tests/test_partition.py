@@ -94,3 +94,10 @@ def test_result_independent_of_input_partitioning(spark):
     a = partition_counts(df, "id", 6).orderBy("part").collect()
     b = partition_counts(df.repartition(13), "id", 6).orderBy("part").collect()
     assert a == b
+
+
+def test_non_numeric_column_is_refused(spark):
+    with pytest.raises(ValueError):
+        partition_counts(tt(spark), "test_str", 2)
+    with pytest.raises(ValueError):
+        partition_bounds(tt(spark), "test_str")
