@@ -152,3 +152,12 @@ def test_parquet_sink_bounds_file_size(spark, tmp_path):
     parquet_sink(spark.range(0, 1000, numPartitions=1), path, max_records_per_file=300)
     assert len(glob.glob(f"{path}/*.parquet")) == 4
     assert spark.read.parquet(path).count() == 1000
+
+
+def test_arrow_batches_mixed_types(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    batches = list(iter_arrow_batches(df, 2500))
+    assert [b.num_rows for b in batches[:-1]] == [2500] * (len(batches) - 1)
+    assert sum(b.num_rows for b in batches) == df.count()
+    assert str(batches[0].schema.field("l_shipdate").type) == "timestamp[us]"
+    assert arrow_batches(df, 1000).exceptAll(df).count() == 0
