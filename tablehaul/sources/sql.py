@@ -103,6 +103,12 @@ class CatalogSource:
         return self
 
     def query(self, spark: SparkSession, sql: str) -> DataFrame:
+        """Analyse ``sql`` with this source's database as the current one.
+
+        Names resolve during ``spark.sql`` (eagerly), after which the previous
+        current database is restored. Threads that share one session and build
+        queries at the same moment should qualify table names instead.
+        """
         self.attach(spark)
         previous = spark.catalog.currentDatabase()
         spark.catalog.setCurrentDatabase(self.database)
