@@ -3,3 +3,10 @@
 One module per operator; ``queries.py`` holds the registered queries and their SQL.
 Nothing else in the library imports this subpackage.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

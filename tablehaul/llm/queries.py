@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sharding, url_filter
+from . import exact_dedup, langid, merkle, packing, sharding, url_filter
 from .common import read
 
 QUERIES: dict = {}
@@ -102,3 +102,36 @@ WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM n
 """
+
+
+# ---- 5 packing ----------------------------------------------------------------------
+
+def tokenizer_path(name: str) -> str:
+    """Vocabulary files come with an installed package, on every machine; never copied here."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_packing(spark, sf_dir):
+    out = packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+# ---- 10 document fingerprints -------------------------------------------------------
+
+@query
+def op10_document_fingerprints(spark, sf_dir):
+    out = merkle.fingerprints(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+                      "near_next", "changed_from")
+
+
+# ---- 9 language ID ------------------------------------------------------------------
+
+@query
+def op9_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.predict(docs.select("doc_id", "text"), langid.fit(docs), keep=["doc_id"])
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
