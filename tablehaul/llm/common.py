@@ -26,7 +26,7 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "llm", tag, unique=True)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # an empty table may have no file to take it from
 
 
 def ascii_lower(c: Column) -> Column:
@@ -45,16 +45,17 @@ def lookup(left: DataFrame, right: DataFrame, key: str, values: list[str], weigh
 
     ``right`` has one row per key and ``weight``, the rows of ``left`` with that key (``total`` in all).
     Hot keys (fewer than HOT_SHARE, by their weight) are broadcast; their rows go through the shuffled
-    join under filler keys dealt evenly by ``spread``, so no task gets a hot key's rows.
+    join under filler keys dealt evenly by ``spread``, as do rows without a key, so no task gets a hot
+    key's rows.
     """
     packed = right.select(F.col(key).alias("_rk"), F.struct(*values).alias("_rv"), F.col(weight).alias("_rw"))
     is_hot = F.col("_rw") * HOT_SHARE > F.lit(total)
     hot = packed.where(is_hot).select(F.col("_rk").alias("_hk"), F.col("_rv").alias("_hv"))
     rest = packed.where(~is_hot).select("_rk", "_rv")
-    dealt = F.concat(F.col(key), F.lit("#"),
+    dealt = F.concat(F.coalesce(F.col(key), F.lit("")), F.lit("#"),
                      F.pmod(F.xxhash64(*spread), F.lit(HOT_SPREAD)).cast("string"))
     probe = (left.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-             .withColumn("_jk", F.when(F.col("_hk").isNull(), F.col(key)).otherwise(dealt)))
+             .withColumn("_jk", F.when(F.col("_hk").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(dealt)))
     joined = probe.join(rest, F.col("_jk") == F.col("_rk"), "left")
     found = F.coalesce(F.col("_hv"), F.col("_rv"))
     return joined.select(*[left[c] for c in left.columns if c not in values],

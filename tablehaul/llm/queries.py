@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, merkle, packing, sharding, url_filter
+from . import exact_dedup, langid, merkle, near_dedup, packing, sharding, url_filter
 from .common import read
 
 QUERIES: dict = {}
@@ -135,3 +135,10 @@ def op9_language_id(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = langid.predict(docs.select("doc_id", "text"), langid.fit(docs), keep=["doc_id"])
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+# ---- 7 MinHash near-dedup -----------------------------------------------------------
+
+@query
+def op7_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(read(spark, sf_dir, "documents"))
