@@ -10,7 +10,7 @@ from ..session import scratch_path
 # A key is hot when it holds more than one row in HOT_SHARE; fewer than HOT_SHARE such keys can exist,
 # which bounds the side that ``lookup`` broadcasts.
 HOT_SHARE = 1000
-# Hot rows are dealt over this many filler keys, which match nothing.
+# Hot rows are dealt over this many fillers, which match nothing.
 HOT_SPREAD = 65536
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -41,22 +41,22 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
 
 def lookup(left: DataFrame, right: DataFrame, key: str, values: list[str], weight: str, total: int,
            spread: list[str]) -> DataFrame:
-    """Left join that gives every row of ``left`` the ``values`` of its string ``key`` in ``right``.
+    """Left join that gives every row of ``left`` the ``values`` of its ``key`` in ``right``.
 
     ``right`` has one row per key and ``weight``, the rows of ``left`` with that key (``total`` in all).
-    Hot keys (fewer than HOT_SHARE, by their weight) are broadcast; their rows go through the shuffled
-    join under filler keys dealt evenly by ``spread``, as do rows without a key, so no task gets a hot
-    key's rows.
+    Hot keys (fewer than HOT_SHARE, by their weight) are broadcast; their rows, and rows without a key, go
+    through the shuffled join with a filler beside the key that nothing matches, dealt by ``spread``, so no
+    task gets a hot key's rows.
     """
     packed = right.select(F.col(key).alias("_rk"), F.struct(*values).alias("_rv"), F.col(weight).alias("_rw"))
     is_hot = F.col("_rw") * HOT_SHARE > F.lit(total)
     hot = packed.where(is_hot).select(F.col("_rk").alias("_hk"), F.col("_rv").alias("_hv"))
-    rest = packed.where(~is_hot).select("_rk", "_rv")
-    dealt = F.concat(F.coalesce(F.col(key), F.lit("")), F.lit("#"),
-                     F.pmod(F.xxhash64(*spread), F.lit(HOT_SPREAD)).cast("string"))
+    rest = packed.where(~is_hot).select("_rk", "_rv", F.lit(0).cast("long").alias("_rf"))
+    filler = F.pmod(F.xxhash64(*spread), F.lit(HOT_SPREAD)) + 1
+    settled = F.col("_hk").isNotNull() | F.col(key).isNull()
     probe = (left.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-             .withColumn("_jk", F.when(F.col("_hk").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(dealt)))
-    joined = probe.join(rest, F.col("_jk") == F.col("_rk"), "left")
+             .withColumn("_jf", F.when(settled, filler).otherwise(F.lit(0).cast("long"))))
+    joined = probe.join(rest, (F.col(key) == F.col("_rk")) & (F.col("_jf") == F.col("_rf")), "left")
     found = F.coalesce(F.col("_hv"), F.col("_rv"))
     return joined.select(*[left[c] for c in left.columns if c not in values],
                          *[found[v].alias(v) for v in values])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, merkle, near_dedup, packing, sharding, url_filter
+from . import exact_dedup, langid, merkle, near_dedup, packing, sharding, spm, substring_dedup, url_filter
 from .common import read
 
 QUERIES: dict = {}
@@ -142,3 +142,25 @@ def op9_language_id(spark, sf_dir):
 @query
 def op7_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(read(spark, sf_dir, "documents"))
+
+
+# ---- 6 substring dedup --------------------------------------------------------------
+
+@query
+def op6_substring_dedup(spark, sf_dir):
+    out = substring_dedup.cut_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "removed", "n_removed")
+
+
+# ---- 8 SentencePiece encoding and decoding ------------------------------------------
+
+@query
+def op8_sentencepiece(spark, sf_dir):
+    path = tokenizer_path("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_sha256", F.sha2("text", 256)).withColumn("n_chars", F.length("text"))
+    encoded = spm.encode(docs, path, keep=["doc_id", "text_sha256", "n_chars"])
+    out = spm.decode(encoded, path)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+                      "parity", F.length("decoded").cast("long").alias("decoded_chars"),
+                      (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
