@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, merkle, near_dedup, packing, sharding, spm, substring_dedup, url_filter
+from . import exact_dedup, html_text, langid, merkle, near_dedup, packing, sharding, spm, substring_dedup, url_filter
 from .common import read
 
 QUERIES: dict = {}
@@ -164,3 +164,11 @@ def op8_sentencepiece(spark, sf_dir):
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
                       "parity", F.length("decoded").cast("long").alias("decoded_chars"),
                       (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
+
+
+# ---- 4 HTML extraction --------------------------------------------------------------
+
+@query
+def op4_html_extraction(spark, sf_dir):
+    out = html_text.extract(read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return out.withColumn("n_chars", F.length("text").cast("long"))
