@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +34,15 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)  # an empty table may have no file to take it from
 
 
+def per_worker(key: Any, make: Callable[[], Any]) -> Any:
+    """One object per Python worker process, kept from task to task (functions travel by value, so a
+    module's own globals would start anew with every task)."""
+    kept = sys.modules.setdefault("_tablehaul_worker", types.ModuleType("_tablehaul_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only, whatever the locale."""
     return F.translate(c, UPPER, LOWER)

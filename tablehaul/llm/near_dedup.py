@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, saved
+from .common import lookup, per_worker, saved
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -176,7 +176,7 @@ def _node(words: list[str]) -> str:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, place, text) -> doc_id, place, node, bands; node and bands are null without a word."""
-    shingler = Shingler()
+    shingler = per_worker("shingler", Shingler)
     for batch in batches:
         texts = batch.column("text").to_pylist()
         start = 0
@@ -202,7 +202,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, text) -> node, n, shingles: sorted 64-bit numbers, one for each occurrence of a shingle."""
-    shingler = Shingler()
+    shingler = per_worker("shingler", Shingler)
     for batch in batches:
         nodes, sets = [], []
         for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):

@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import per_worker
+
 MARK = "\N{LOWER ONE EIGHTH BLOCK}"  # sentencepiece's sign for a space
 MEMO_CHUNKS = 400_000
 BATCH_CHARS = 2_000_000
@@ -54,7 +56,7 @@ def normalizer_of(proto):
     if spec.precompiled_charsmap:
         steps.append(normalizers.Precompiled(spec.precompiled_charsmap))
     if spec.remove_extra_whitespaces:
-        steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()]
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if spec.add_dummy_prefix:
         steps.append(normalizers.Prepend(" "))
     if spec.escape_whitespaces:
@@ -116,14 +118,17 @@ class Encoder:
         self.chunk = re.compile(f"{MARK}+[^{MARK}]*")
         self.memo: dict[str, tuple[bytes, bool]] = {}
 
-    def _checked(self, found: list[int], text: str) -> tuple[bytes, bool]:
-        wanted = self.reference.encode(text)
+    def _checked(self, found: list[int], text: str, before: str = "") -> tuple[bytes, bool]:
+        """sentencepiece's ids of a text (that stands after another), and whether they are those found."""
+        wanted = self.reference.encode(before + text)[len(self.reference.encode(before)):]
         return np.array(wanted, "<u4").tobytes(), wanted == found
 
     def _learn(self, chunks: list[str]) -> dict[str, tuple[bytes, bool]]:
         """Many chunks as one text: no piece crosses their borders, so each gets its own ids."""
+        bare = [c for c in chunks if not c.strip(MARK)]  # the end of a text; these would run into the next chunk
+        out = {c: self._checked(self.plain.encode(c, add_special_tokens=False).ids, " " * len(c), "\n") for c in bare}
+        chunks = [c for c in chunks if c not in out]
         groups = [chunks[i:i + CHUNKS_PER_CALL] for i in range(0, len(chunks), CHUNKS_PER_CALL)]
-        out = {}
         texts = ["".join(g) for g in groups]
         for group, text, e in zip(groups, texts, self.plain.encode_batch(texts, add_special_tokens=False)):
             starts = np.cumsum([0] + [len(c) for c in group[:-1]])
@@ -169,7 +174,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str]
     schema = ", ".join(f"`{c}` {dict(docs.dtypes)[c]}" for c in keep) + ", ids binary, parity boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model_path)
+        encoder = per_worker(("sentencepiece", model_path), lambda: Encoder(model_path))
         for batch in batches:
             texts = batch.column(text).to_pylist()
             found = [x for part in _parts([t or "" for t in texts], len, BATCH_CHARS) for x in encoder.encode(part)]

@@ -1,0 +1,58 @@
+import random
+
+import corpus_pipeline as C
+from helpers import documents, near_classes, odd_texts, prose, tables
+
+from tablehaul.llm.queries import QUERIES
+
+
+def rows():
+    rng = random.Random(9)
+    out = []
+    for i in range(60):
+        words = [f"{rng.choice('bdf')}um{k}" for k in range(400)] if i % 2 else [f"{rng.choice('lmn')}zzk{k}" for k in range(400)]
+        text = "\n".join(prose(rng, 14, words).capitalize() + "." for _ in range(5))
+        out.append((i, text, "aa" if i % 2 else "bb", "s"))
+    out += [(100, out[3][1].upper(), "aa", "s"), (101, out[4][1] + " end", "bb", "s"), (102, "123 456", None, None), (103, None, None, None)]
+    return out
+
+
+def test_stages(spark, tmp_path):
+    data = rows()
+    sf_dir = tables(spark, tmp_path, documents=documents(spark, data))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert [n for n, _ in C.STAGES] == ["language_id", "exact_dedup", "near_dedup", "substring_dedup", "packing"]
+    left = {}
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.dtypes == docs.dtypes
+        docs = spark.createDataFrame(out.collect(), out.schema)
+        left[name] = {r.doc_id: r.text for r in docs.collect()}
+    assert set(left["language_id"]) == set(range(60)) | {100, 101}
+    assert set(left["language_id"]) - set(left["exact_dedup"]) == {3}  # of equal texts the largest id stays
+    classes = near_classes(sorted(left["exact_dedup"].items()))
+    assert set(left["near_dedup"]) == set(classes.values()) and 101 not in left["near_dedup"]
+    assert left["substring_dedup"] == left["near_dedup"]  # nothing else repeats: clean texts stay whole
+
+
+def test_run(spark, tmp_path):
+    sf_dir = tables(spark, tmp_path, documents=documents(spark, rows()))
+    pieces = C.run(spark, sf_dir).collect()
+    per_doc = {}
+    for r in pieces:
+        per_doc[r.doc_id] = per_doc.get(r.doc_id, 0) + r.length
+        assert r.offset + r.length <= 2048
+    assert set(per_doc) == (set(range(60)) - {3}) | {100}
+    assert all(per_doc[r.doc_id] == r.doc_tokens for r in pieces)
+
+
+def test_odd_and_empty_tables(spark, tmp_path):
+    data = [(i, t, None if i % 3 else "aa", None) for i, t in enumerate(odd_texts())]
+    some = tables(spark, tmp_path / "a", documents=documents(spark, data * 2))
+    assert C.run(spark, some).count() > 0
+    none = tables(spark, tmp_path / "b", documents=documents(spark, data).limit(0))
+    assert C.run(spark, none).count() == 0
+
+
+def test_every_operator_has_a_query():
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
