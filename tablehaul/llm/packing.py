@@ -25,18 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import per_worker
+
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 GROUP_DOCS = 2048
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 4096
-MEMO_WORDS = 800_000
+MEMO_WORDS = 1_000_000
 CHARS_AT_ONCE = 4_000_000
 
 # The tokenizer's own split of lower-cased text, over the alphabet that PLAIN admits; fixed values.
 LETTERS = "a-zªµºß-öø-ɏ"
 DIGITS = "0-9²³¹¼½¾"
-WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\\s{LETTERS}{DIGITS}]+")
+WORD = re.compile(f"[{LETTERS}]+|[{DIGITS}]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s{LETTERS}{DIGITS}]+")
 PLAIN = re.compile("[\t\n\v\f\r -~\xa0-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
 
 
@@ -97,7 +99,7 @@ def tokenize(rows: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame
     schema = ", ".join(f"`{c}` {dict(rows.dtypes)[c]}" for c in keep) + ", ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = per_worker(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
         end = np.array([END_ID], "<u2").tobytes()
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
