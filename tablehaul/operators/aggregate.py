@@ -10,13 +10,13 @@ from .partition import bounds_columns
 
 
 def count_rows(df: DataFrame, alias: str = "n") -> DataFrame:
-    """``COUNT(*)`` as a one-row DataFrame (parquet answers it from footers)."""
+    """``COUNT(*)`` as a one-row DataFrame; a filtered or plain scan reads no more columns than it needs."""
     return df.agg(F.count(F.lit(1)).alias(alias))
 
 
 def min_max(df: DataFrame, column: str) -> DataFrame:
-    """``(min, max)`` of a numeric column as integers (floor; NULL -> 0)."""
-    return df.agg(*bounds_columns(column))
+    """``(min, max)`` of a numeric column as integers (floor; NULL -> 0; NaN and infinities are passed over)."""
+    return df.agg(*bounds_columns(df, column))
 
 
 def group_sum(df: DataFrame, key: str | list[str], value: str, alias: str | None = None) -> DataFrame:

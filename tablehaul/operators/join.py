@@ -1,28 +1,18 @@
-"""Equi-joins with a size-checked broadcast of the small side."""
+"""Equi-joins, planned by Catalyst."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a join side counts as small enough to copy to every task.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def equi_join(left: DataFrame, right: DataFrame, on, how: str = "inner", broadcast_right: bool = False) -> DataFrame:
+    """Join on equal keys.
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def equi_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
-              broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join on equal keys; the right side is broadcast only after its size is proven.
-
-    Sources without statistics (JDBC relations) would otherwise plan as a
-    sort-merge join with two shuffles. When the right side is larger than the
-    bound the join is left to the planner (sort-merge / shuffled hash, with
-    AQE converting at runtime and splitting skewed partitions).
+    The planner chooses from the sizes in bytes it knows (and AQE from those it
+    measures: a side found small is broadcast at runtime, skewed partitions are
+    split). ``broadcast_right`` is for callers who know that the right side is
+    bounded, such as a dimension of a fixed size from a source without statistics.
+    Nothing runs while the plan is built.
     """
-    if broadcast_max_rows and fits(right, broadcast_max_rows):
-        right = F.broadcast(right)
-    return left.join(right, on, how)
+    return left.join(F.broadcast(right) if broadcast_right else right, on, how)

@@ -4,7 +4,8 @@ The range rule: with bounds [lo, hi] and n parts, ``size = (hi - lo + 1) // n``;
 part i covers ``[lo + i*size, lo + (i+1)*size)`` and the last part ends at
 ``hi + 1``. When n exceeds the number of values, size is 0: the first n-1 parts
 are empty and the last holds every row. Rows whose column is NULL or outside
-``[lo, hi + 1)`` belong to no part.
+``[lo, hi + 1)`` belong to no part. In floating columns NaN counts as NULL, and
+infinite values lie outside every range; neither moves the bounds.
 """
 
 from __future__ import annotations
@@ -37,9 +38,17 @@ def range_predicates(column: str, ranges: list[tuple[int, int]], keep_nulls: boo
     return preds
 
 
-def bounds_columns(column: str):
-    """MIN/MAX aggregates of the rule: floor to integer, NULL (empty input) -> 0."""
+def _missing(df: DataFrame, column: str):
+    """NULL, or NaN in a floating column."""
     c = F.col(column)
+    return c.isNull() | F.isnan(c) if _floating(df, column) else c.isNull()
+
+
+def bounds_columns(df: DataFrame, column: str):
+    """MIN/MAX aggregates of the rule: floor to integer, no finite value (empty input) -> 0."""
+    c = F.col(column)
+    if _floating(df, column):
+        c = F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
     return (F.coalesce(F.floor(F.min(c)).cast("bigint"), F.lit(0).cast("bigint")).alias("min"),
             F.coalesce(F.floor(F.max(c)).cast("bigint"), F.lit(0).cast("bigint")).alias("max"))
 
@@ -55,7 +64,7 @@ def check_numeric(df: DataFrame, column: str) -> None:
 def partition_bounds(df: DataFrame, column: str) -> DataFrame:
     """One-row DataFrame ``(min, max)`` of ``column`` — a distributed partial aggregate."""
     check_numeric(df, column)
-    return df.agg(*bounds_columns(column))
+    return df.agg(*bounds_columns(df, column))
 
 
 def _bounds(df: DataFrame, column: str, bounds) -> tuple[int, int]:
@@ -68,27 +77,25 @@ def _bounds(df: DataFrame, column: str, bounds) -> tuple[int, int]:
     return int(row["min"]), int(row["max"])
 
 
-def part_expr(column: str, lo: int, hi: int, n: int, keep_nulls: bool = False,
-              integral: bool = True):
-    """Part index of each row as a column expression (NULL when the row is in no part).
+def part_expr(df: DataFrame, column: str, lo: int, hi: int, n: int, keep_nulls: bool = False):
+    """Part index of each row of ``df`` as a column expression (NULL when the row is in no part).
 
     Integral columns use exact integer division; fractional ones ``floor(x / size)``.
     """
     n = validate_num(n)
     c = F.col(column)
     size = (hi - lo + 1) // n
-    inside = (c >= F.lit(lo)) & (c < F.lit(hi + 1))
     if size == 0:
         idx = F.lit(n - 1)
     else:
-        if integral:
+        if _integral(df, column):
             step = F.expr(f"(CAST(`{column}` AS BIGINT) - {lo}) div {size}")
         else:
             step = F.floor((c - F.lit(lo)) / F.lit(size))
-        idx = F.least(step.cast("int"), F.lit(n - 1))
-    expr = F.when(inside, idx)
+        idx = F.least(step, F.lit(n - 1).cast("bigint")).cast("int")
+    expr = F.when(_in_parts(df, column, lo, hi, False), idx)
     if keep_nulls:
-        expr = expr.when(c.isNull(), F.lit(n))
+        expr = expr.when(_missing(df, column), F.lit(n))
     return expr.cast("int")
 
 
@@ -96,15 +103,14 @@ def partition_assign(df: DataFrame, column: str, n: int, bounds=None,
                      keep_nulls: bool = False, part_col: str = "part") -> DataFrame:
     """Label each row with its part; drop rows that fall in no part.
 
-    With ``keep_nulls`` NULL rows are kept in an extra part ``n``. Only the
+    With ``keep_nulls`` NULL (and NaN) rows are kept in an extra part ``n``. Only the
     bounds (two numbers) are computed eagerly; the labelling is a narrow
     projection + filter fused into the scan's stage.
     """
     lo, hi = _bounds(df, column, bounds)
     # filter on the column itself (pushed into the scan), then label
-    kept = df.where(_in_parts(column, lo, hi, keep_nulls))
-    return kept.withColumn(part_col, part_expr(column, lo, hi, n, keep_nulls,
-                                               _integral(df, column)))
+    kept = df.where(_in_parts(df, column, lo, hi, keep_nulls))
+    return kept.withColumn(part_col, part_expr(df, column, lo, hi, n, keep_nulls))
 
 
 def partition_counts(df: DataFrame, column: str, n: int, bounds=None,
@@ -116,19 +122,18 @@ def partition_counts(df: DataFrame, column: str, n: int, bounds=None,
     """
     spark = df.sparkSession
     lo, hi = _bounds(df, column, bounds)
-    counts = (df.where(_in_parts(column, lo, hi, keep_nulls))
-                .select(part_expr(column, lo, hi, n, keep_nulls, _integral(df, column))
-                        .alias("part"))
+    counts = (df.where(_in_parts(df, column, lo, hi, keep_nulls))
+                .select(part_expr(df, column, lo, hi, n, keep_nulls).alias("part"))
                 .groupBy("part").agg(F.count(F.lit(1)).alias("n")))
     all_parts = _part_ids(spark, n + (1 if keep_nulls else 0))
     return (all_parts.join(counts, "part", "left")
             .select("part", F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n")))
 
 
-def _in_parts(column: str, lo: int, hi: int, keep_nulls: bool):
+def _in_parts(df: DataFrame, column: str, lo: int, hi: int, keep_nulls: bool):
     c = F.col(column)
     inside = (c >= F.lit(lo)) & (c < F.lit(hi + 1))
-    return inside | c.isNull() if keep_nulls else inside
+    return inside | _missing(df, column) if keep_nulls else inside
 
 
 def _integral(df: DataFrame, column: str) -> bool:
@@ -137,5 +142,10 @@ def _integral(df: DataFrame, column: str) -> bool:
                                                    T.LongType))
 
 
+def _floating(df: DataFrame, column: str) -> bool:
+    from pyspark.sql import types as T
+    return isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+
+
 def _part_ids(spark: SparkSession, k: int) -> DataFrame:
     return spark.range(k).select(F.col("id").cast("int").alias("part"))

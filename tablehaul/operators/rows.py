@@ -5,84 +5,65 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .partition import part_expr, plan_ranges
+from .partition import partition_assign
 
 # Preview rows per stage, and the export page size.
 PREVIEW_ROWS = 5
 PAGE_ROWS = 100_000
-# Pages ending beyond this row take the distributed path instead of a top-k merge.
-TOPK_PAGE_ROWS = 50_000
 
 
-def _order(df: DataFrame, order_by):
-    if order_by is None:
-        return df
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    return df.orderBy(*keys)
+def _keys(order_by) -> list[str]:
+    if not order_by:
+        raise ValueError("an order is needed")
+    return [order_by] if isinstance(order_by, str) else list(order_by)
+
+
+def _total_order(df: DataFrame, order_by) -> list:
+    """The keys, then every other column: rows that tie in it are equal rows."""
+    keys = _keys(order_by)
+    return [F.col(f"`{c}`") for c in [*keys, *(c for c in df.columns if c not in keys)]]
 
 
 def head(df: DataFrame, n: int = PREVIEW_ROWS, order_by=None) -> DataFrame:
     """First ``n`` rows; with ``order_by`` the n smallest keys (per-task top-n, then merge)."""
-    return _order(df, order_by).limit(n)
+    return (df if order_by is None else df.orderBy(*_keys(order_by))).limit(n)
 
 
-def page(df: DataFrame, order_by, offset: int, n: int = PAGE_ROWS,
-         max_topk_rows: int = TOPK_PAGE_ROWS) -> DataFrame:
-    """Rows ``[offset, offset + n)`` in ``order_by`` order.
+def page(df: DataFrame, order_by, offset: int = 0, n: int = PAGE_ROWS, after=None) -> DataFrame:
+    """One page of ``n`` rows in a total order: ``order_by``, then all other columns.
 
-    Shallow pages (``offset + n <= max_topk_rows``) are a bounded top-k per task
-    merged into one result. Deeper pages never pass through one place: the
-    table is range-partitioned on the order keys and sorted inside each
-    partition, fixed by a reliable checkpoint (in ``spark.checkpoint.dir``), the
-    rows per partition are counted (one number per partition reaches the
-    driver), and each task cuts its own slice of the page.
+    One path for every size, and nothing runs before an action: a top-k per task, merged. Equal orders on
+    every page mean that consecutive pages neither repeat nor lose a row.
+
+    A reader that walks through a large table passes ``after``, the ``order_by`` values of the last row of
+    the page before (keyset paging): the comparison is pushed into the scan and each page costs a top-n
+    of ``n`` rows, however deep it lies. ``order_by`` must then be a key. ``offset`` counts rows instead; each task then
+    ranks ``offset + n`` rows, which suits browsing. A whole table is exported by a sink, not by pages.
     """
-    if order_by is None:
-        raise ValueError("a page needs an order")
     if offset < 0 or n < 0:
         raise ValueError("offset and n must be >= 0")
-    if offset + n <= max_topk_rows:
-        return _order(df, order_by).offset(offset).limit(n)
-    from .. import session
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    session.ensure_checkpoint_dir(df.sparkSession)
-    # A hash of the whole row breaks ties, so one hot key value can still be split
-    # across range partitions (the page order among equal keys is arbitrary anyway).
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__tablehaul_tie")
-    ranged = (df.withColumn("__tablehaul_tie", tie)
-                .repartitionByRange(*keys, "__tablehaul_tie")
-                .sortWithinPartitions(*keys, "__tablehaul_tie"))
-    ordered = ranged.drop("__tablehaul_tie").checkpoint()
-    counts = dict(ordered.groupBy(F.spark_partition_id().alias("p")).count().collect())
-    starts, acc = {}, 0
-    for p in range(ordered.rdd.getNumPartitions()):
-        starts[p] = acc
-        acc += counts.get(p, 0)
-    lo, hi = offset, offset + n
-
-    def cut(batches):
-        from pyspark import TaskContext
-        pos = starts.get(TaskContext.get().partitionId(), 0)
-        for b in batches:
-            a, z = max(lo - pos, 0), min(hi - pos, b.num_rows)
-            if z > a:
-                yield b.slice(a, z - a)
-            pos += b.num_rows
-
-    return ordered.mapInArrow(cut, ordered.schema)
+    keys = _keys(order_by)
+    if after is not None:
+        values = [after] if len(keys) == 1 and not isinstance(after, (tuple, list)) else list(after)
+        if len(values) != len(keys):
+            raise ValueError("after needs one value per order column")
+        later = F.lit(False)
+        for k, v in reversed(list(zip(keys, values))):  # lexicographic comparison
+            later = (F.col(f"`{k}`") > F.lit(v)) | ((F.col(f"`{k}`") == F.lit(v)) & later)
+        # implied by the comparison, and simple enough for the scan
+        df = df.where((F.col(f"`{keys[0]}`") >= F.lit(values[0])) & later)
+    return df.orderBy(*_total_order(df, order_by)).offset(offset).limit(n)
 
 
 def limit_then_partition(df: DataFrame, limit: int, order_by, column: str, n: int,
                          part_col: str = "part") -> DataFrame:
     """``LIMIT`` inside the derived table, then the range parts of ``column`` over it.
 
-    The limited table is ordered so every part sees the same rows; bounds are
-    the MIN/MAX of the limited rows (NULL and out-of-range rows dropped).
+    The limited table follows a total order and is written once (a reliable checkpoint), so its bounds and
+    its parts see the same rows. Bounds are the floored MIN/MAX of the limited rows; NULL rows are dropped.
     """
-    limited = _order(df, order_by).limit(limit)
-    row = limited.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    lo = int(row["lo"]) if row["lo"] is not None else 0
-    hi = int(row["hi"]) if row["hi"] is not None else 0
-    plan_ranges(lo, hi, n)
-    labelled = limited.withColumn(part_col, part_expr(column, lo, hi, n))
-    return labelled.where(F.col(part_col).isNotNull())
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    limited = df.orderBy(*_total_order(df, order_by)).limit(limit).checkpoint()
+    return partition_assign(limited, column, n, part_col=part_col)

@@ -8,47 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's parallelism)
-    when it has fewer partitions; otherwise return it unchanged.
-
-    Used before CPU-heavy row-wise work on small inputs (a single small file is one
-    scan task). Large inputs already arrive in many splits and are not shuffled.
-    The round-robin exchange is retry-safe (Spark sorts rows before assigning them).
-    """
-    if min_partitions is None:
-        min_partitions = df.sparkSession.sparkContext.defaultParallelism
-    if not min_partitions:
-        return df
-    # A plan that already shuffles has spark.sql.shuffle.partitions partitions; asking
-    # it for its RDD would make adaptive execution run its shuffle stages now.
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    if df.rdd.getNumPartitions() < min_partitions:  # scan splits: no job runs
-        return df.repartition(min_partitions)
-    return df
-
-
-def replicate(df: DataFrame, times: int, min_partitions: int | None = None) -> DataFrame:
+def replicate(df: DataFrame, times: int, partitions: int | None = None) -> DataFrame:
     """UNION ALL of ``df`` with itself ``times`` times, as one Generate over one scan.
 
     Each input row is exploded into ``times`` exact copies inside the scan's
     stage: no join and no ``times``-way union in the plan. Filters that do not
     use the copy number are pushed below the Generate by Catalyst.
 
-    The output is ``times`` larger than the input, so an input with fewer
-    partitions than the cluster's parallelism (``min_partitions``, default
-    ``defaultParallelism``) is first spread round-robin: that shuffle moves
-    only the input rows (1/times of the output), and every task then generates
-    and writes an equal share. Inputs with enough partitions are not shuffled.
+    The output is ``times`` larger than the input. A caller whose input has too
+    few splits for that (a single small file) passes ``partitions``: the input
+    rows are then dealt out round-robin first (Spark sorts them for that, so a
+    retry deals alike). By default nothing is shuffled.
     """
     if times < 0:
         raise ValueError("times must be >= 0")
+    if partitions:
+        df = df.repartition(partitions)
     if times == 0:
         return df.limit(0)
     if times == 1:
         return df
-    df = spread(df, min_partitions)
     copy = "__tablehaul_copy"
     return (df.withColumn(copy, F.explode(F.sequence(F.lit(1), F.lit(times))))
               .drop(copy))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.census import (RANDOM_SEED, add_census_measures, census_project,
                                 complex_filter, readback_filter, simple_filter)
-from ..operators.setops import replicate, spread
+from ..operators.setops import replicate
 from ..sinks import csv_sink, load_if_incomplete, parquet_sink, publish_if_absent
 from ..sources.files import land_raw
-from ..sources.fs import committed
+from ..sources.fs import committed, read_note, write_note
 from ..sources.sql import CatalogSource, JdbcSource, check_identifier
 
 # Fixed value: copies of the census table in the expanded dataset.
@@ -19,36 +19,44 @@ EXPAND_TIMES = 100
 
 
 def census_expand_plan(raw: DataFrame, times: int = EXPAND_TIMES, seed: int = RANDOM_SEED,
-                       method: str = "md5") -> DataFrame:
+                       method: str = "md5", partitions: int | None = None) -> DataFrame:
     """Project -> income/weight draws -> blank income of non-earners -> ``times`` copies.
 
-    The draws are taken before replication, so the copies are exact duplicates.
-    A raw input with fewer partitions than the cluster's parallelism is spread
-    first (only raw rows cross the exchange), so the draws, the copies and the
-    write all run on every core; large inputs keep their splits and the whole
-    plan is one narrow stage: scan, project, hash, generate.
+    The draws are taken before replication, so the copies are exact duplicates. The plan is one narrow
+    stage: scan, project, hash, generate. A raw input in too few splits is dealt over ``partitions`` first
+    (only raw rows cross that exchange).
     """
-    raw = spread(raw)
+    if partitions:
+        raw = raw.repartition(partitions)
     return replicate(add_census_measures(census_project(raw), seed=seed, method=method), times)
 
 
 def census_expand(raw: DataFrame, times: int = EXPAND_TIMES, seed: int = RANDOM_SEED,
                   parquet_path: str | None = None, csv_path: str | None = None,
-                  method: str = "md5", max_records_per_file: int | None = None) -> DataFrame:
+                  method: str = "md5", max_records_per_file: int | None = None,
+                  partitions: int | None = None) -> DataFrame:
     """Expanded census table; written to ``parquet_path`` (and CSV) unless already there.
 
-    When ``parquet_path`` holds a committed copy it is reloaded and nothing is
-    recomputed. Otherwise the plan is written once as parquet and the CSV copy is
-    produced from the written parquet (no second evaluation of the plan).
+    A copy counts as there when its write finished and the note beside it names the same ``times``,
+    ``seed`` and ``method``; otherwise it is written anew. Each path is judged by itself, and the CSV copy is
+    made from the written parquet. Paths belong to one input: use another folder for another table.
     """
     spark = raw.sparkSession
     if parquet_path is None:
-        return census_expand_plan(raw, times, seed, method)
-    if not committed(spark, parquet_path):
-        parquet_sink(census_expand_plan(raw, times, seed, method), parquet_path,
+        return census_expand_plan(raw, times, seed, method, partitions)
+    made = {"times": times, "seed": seed, "method": method}
+
+    def there(path: str) -> bool:
+        return committed(spark, path) and read_note(spark, path) == made
+
+    rewritten = not there(parquet_path)
+    if rewritten:
+        parquet_sink(census_expand_plan(raw, times, seed, method, partitions), parquet_path,
                      max_records_per_file=max_records_per_file)
-        if csv_path:
-            csv_sink(spark.read.parquet(parquet_path), csv_path)
+        write_note(spark, parquet_path, made)
+    if csv_path and (rewritten or not there(csv_path)):
+        csv_sink(spark.read.parquet(parquet_path), csv_path)
+        write_note(spark, csv_path, made)
     return spark.read.parquet(parquet_path)
 
 
@@ -72,6 +80,7 @@ class CensusConfig:
     etl_only: bool = False
     write_csv: bool = True
     filter_on: str = "published"          # or "readback": filter the target's read-back subset
+    partitions: int | None = None         # deal a raw input in few splits over so many first
 
 
 @dataclass
@@ -100,7 +109,8 @@ def run_census(spark: SparkSession, cfg: CensusConfig, raw: DataFrame | None = N
         raw = land_raw(spark, cfg.source_path, cfg.raw_dir, preview=0)
     exp_dir = cfg.expanded_dir.rstrip("/")
     expanded = census_expand(raw, cfg.times, cfg.seed, f"{exp_dir}/census.parquet",
-                             f"{exp_dir}/census.csv" if cfg.write_csv else None, cfg.method)
+                             f"{exp_dir}/census.csv" if cfg.write_csv else None, cfg.method,
+                             partitions=cfg.partitions)
     result = CensusResult(raw=raw, expanded=expanded)
     if cfg.target is not None:
         check_identifier(cfg.table)

@@ -8,117 +8,108 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .fs import committed, path_exists
-
-# Fixed values of the multi-file CSV inference rule: records examined, and the
-# patterns that classify one cell (booleans compare case-insensitively).
-CSV_INFER_RECORDS = 50
-BOOL_PATTERN = r"(?i)^(true)$|^(false)$"
-DECIMAL_PATTERN = r"^-?(\d+\.\d+)$"
-INTEGER_PATTERN = r"^-?(\d+)$"
+from ..operators.setops import union_parts
+from .fs import committed, complete
+
+# The patterns of one CSV cell (booleans compare case-insensitively).
+BOOL_PATTERN = r"(?i)^(true|false)$"
+DECIMAL_PATTERN = r"^-?\d+\.\d+$"
+INTEGER_PATTERN = r"^-?\d+$"
 DATETIME_PATTERN = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$"
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[XXX]"
 
-# Rows the single-file CSV scan looks at to choose column types.
-CSV_SCAN_INFER_ROWS = 10_000
 
+def _as_paths(path: str | Sequence[str]) -> list[str]:
+    paths = [path] if isinstance(path, str) else list(path)
+    if not paths:
+        raise ValueError("no CSV files")
+    return paths
 
-def _cell_kinds(spark: SparkSession, path: str | Sequence[str], rows: int):
-    """Per column of a CSV: the set of cell classes over the first ``rows`` records and
-    whether an empty cell was seen. One bounded aggregation, evaluated in the JVM."""
-    header = spark.read.csv(path, header=True, inferSchema=False).schema
-    names = [f.name for f in header]
-    raw = (spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-           .csv(path, header=True).limit(rows))
 
-    def kind(c):
-        return (F.when(c.startswith('"'), F.lit("string"))
-                .when(c.rlike(BOOL_PATTERN), F.lit("bool"))
-                .when(c.rlike(DECIMAL_PATTERN), F.lit("float"))
-                .when(c.rlike(INTEGER_PATTERN), F.lit("int"))
-                .when(c.rlike(DATETIME_PATTERN), F.lit("datetime"))
-                .otherwise(F.lit("string")))
+def _read_by_name(spark: SparkSession, paths: list[str], types: dict[str, T.DataType] | None = None) -> DataFrame:
+    """CSV files (or folders) with headers as one table, columns matched by name.
 
+    Paths whose headers list the columns in the same order are one read; other orders are read with
+    their own and united by name. Within a read the header of every file is checked, so a file that
+    disagrees with its folder fails instead of swapping columns. A column outside ``types`` is text.
+    """
+    by_header: dict[tuple, list[str]] = {}
+    for p in paths:  # one line of each path
+        by_header.setdefault(tuple(spark.read.csv(p, header=True).columns), []).append(p)
+    names = next(iter(by_header))
+    frames = []
+    for header, group in by_header.items():
+        if set(header) != set(names):
+            raise ValueError(f"headers differ: {list(names)} and {list(header)}")
+        schema = T.StructType([T.StructField(n, (types or {}).get(n, T.StringType())) for n in header])
+        frames.append(spark.read.schema(schema).csv(group, header=True, mode="FAILFAST", enforceSchema=False,
+                                                    timestampFormat=TIMESTAMP_FORMAT).select(*[f"`{n}`" for n in names]))
+    return union_parts(frames)
+
+
+def _cells(text: DataFrame) -> list[tuple[str, dict]]:
+    """What holds for all non-empty cells of each text column: one aggregation over all rows."""
+    patterns = {"integer": INTEGER_PATTERN, "number": f"{INTEGER_PATTERN}|{DECIMAL_PATTERN}",
+                "bool": BOOL_PATTERN, "datetime": DATETIME_PATTERN}
     aggs = []
-    for i, n in enumerate(names):
-        c = F.col(f"`{n}`")
-        empty = c.isNull() | (c == "")
-        aggs.append(F.collect_set(F.when(~empty, kind(c))).alias(f"k{i}"))
-        aggs.append(F.max(empty.cast("int")).alias(f"n{i}"))
-    summary = raw.agg(*aggs).first()
-    return [(n, set(summary[f"k{i}"] or []), bool(summary[f"n{i}"])) for i, n in enumerate(names)]
+    for i, name in enumerate(text.columns):
+        cell = F.col(f"`{name}`")
+        empty = F.coalesce(cell == "", F.lit(True))
+        aggs += [F.bool_and(F.when(~empty, cell.rlike(p))).alias(f"{k}{i}") for k, p in patterns.items()]
+        aggs.append(F.bool_or(empty).alias(f"empty{i}"))
+    found = text.agg(*aggs).first()
+    return [(n, {k: found[f"{k}{i}"] for k in (*patterns, "empty")}) for i, n in enumerate(text.columns)]
 
 
-def infer_csv_schema(spark: SparkSession, path: str | Sequence[str],
-                     rows: int = CSV_SCAN_INFER_ROWS) -> T.StructType:
-    """Column types from the header and the first ``rows`` records only (bounded read).
+def csv_infer(spark: SparkSession, path: str | Sequence[str], rows: int | None = None) -> T.StructType:
+    """Schema of one or many CSV files from every cell (or, when asked, the first ``rows`` records).
 
-    int64 when every non-empty cell is an integer, float64 for integers and
-    decimals, boolean for true/false, otherwise string (dates stay text).
+    A column whose non-empty cells are all integers is long; integers and decimals make a double; true and
+    false a boolean; date-times a timestamp; anything else, or no value at all, is a string. A column is
+    nullable iff it has an empty cell.
     """
+    text = _read_by_name(spark, _as_paths(path))
     fields = []
-    for name, kinds, _ in _cell_kinds(spark, path, rows):
-        if kinds == {"int"}:
-            dt = T.LongType()
-        elif kinds and kinds <= {"int", "float"}:
-            dt = T.DoubleType()
-        elif kinds == {"bool"}:
-            dt = T.BooleanType()
-        else:
-            dt = T.StringType()
-        fields.append(T.StructField(name, dt, True))
+    for name, has in _cells(text if rows is None else text.limit(rows)):
+        kind = (T.LongType() if has["integer"] else T.DoubleType() if has["number"] else
+                T.BooleanType() if has["bool"] else T.TimestampType() if has["datetime"] else T.StringType())
+        fields.append(T.StructField(name, kind, bool(has["empty"])))
     return T.StructType(fields)
 
 
-def csv_scan(spark: SparkSession, path: str | Sequence[str],
-             infer_rows: int = CSV_SCAN_INFER_ROWS,
+def infer_csv_schema(spark: SparkSession, path: str | Sequence[str], rows: int | None = None) -> T.StructType:
+    """Column types of the single-file scan: those of ``csv_infer``, but date-times stay text."""
+    return T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampType) else f.dataType, True)
+        for f in csv_infer(spark, path, rows).fields])
+
+
+def csv_scan(spark: SparkSession, path: str | Sequence[str], infer_rows: int | None = None,
              schema: T.StructType | str | None = None) -> DataFrame:
-    """Lazy CSV read with a header; types from the first ``infer_rows`` rows.
+    """CSV read with a header; types from all rows, unless a schema or ``infer_rows`` is given.
 
-    A missing path raises (Spark's PATH_NOT_FOUND).
+    Inference reads the files once more; pass a schema where that is too dear. A missing path raises
+    (Spark's PATH_NOT_FOUND).
     """
     if schema is None:
         schema = infer_csv_schema(spark, path, infer_rows)
-    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST")
-
-
-def csv_infer(spark: SparkSession, path: str, rows: int = CSV_INFER_RECORDS) -> T.StructType:
-    """Schema of a CSV file by the per-cell pattern rule over its first ``rows`` records.
-
-    Each non-empty cell is classed bool / float / int / datetime / string; a
-    column with one class gets it, {int, float} gives float, anything else (or
-    no class at all) gives string. A column is nullable iff an empty cell was
-    seen. Runs as one Spark aggregation over the bounded sample.
-    """
-    fields = []
-    for n, kinds, nullable in _cell_kinds(spark, path, rows):
-        if len(kinds) == 1:
-            k = next(iter(kinds))
-        elif kinds == {"int", "float"}:
-            k = "float"
-        else:
-            k = "string"
-        dt = {"int": T.LongType(), "float": T.DoubleType(), "bool": T.BooleanType(),
-              "datetime": T.TimestampType(), "string": T.StringType()}[k]
-        fields.append(T.StructField(n, dt, nullable))
-    return T.StructType(fields)
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return _read_by_name(spark, _as_paths(path), {f.name: f.dataType for f in schema.fields}).select(
+        *[f"`{f.name}`" for f in schema.fields])
 
 
 def csv_multi_scan(spark: SparkSession, paths: Sequence[str],
                    schema: T.StructType | None = None) -> DataFrame:
-    """Many CSV files as one table with one schema (given, or ``csv_infer`` of the first).
+    """Many CSV files as one table with one schema (given, or ``csv_infer`` of all of them).
 
-    Headers are skipped per file. Empty cells are NULL for non-string columns and
-    ``''`` for string columns. Zone-less datetimes are read as UTC instants.
+    Columns are matched by the names in each file's header. Empty cells are NULL for non-string columns
+    and ``''`` for string columns. Zone-less datetimes are read as UTC instants.
     """
-    paths = list(paths)
-    if not paths:
-        raise ValueError("no CSV files")
+    paths = _as_paths(paths)
     if schema is None:
-        schema = csv_infer(spark, paths[0])
-    # Read with every column nullable; the declared nullability is checked by the caller's schema.
-    read_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    df = spark.read.schema(read_schema).csv(
-        paths, header=True, mode="FAILFAST", timestampFormat="yyyy-MM-dd'T'HH:mm:ss[XXX]")
+        schema = csv_infer(spark, paths)
+    df = _read_by_name(spark, paths, {f.name: f.dataType for f in schema.fields})
     out = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
@@ -153,18 +144,20 @@ def land_raw(spark: SparkSession, source_path: str, raw_dir: str,
              preview: int = 5) -> DataFrame:
     """Land a raw CSV in ``raw_dir`` (unless already there) and archive it as parquet.
 
-    ``source_path`` is any Hadoop path. The CSV is copied only when
-    ``raw_dir/csv_name`` is missing (a missing path is the only trigger); the
-    parquet archive is written when it has no ``_SUCCESS`` marker. Returns the
-    landed table, read from the parquet archive.
+    ``source_path`` is any Hadoop path. The CSV is copied unless ``raw_dir/csv_name``
+    is complete: a plain file, or a folder with the ``_SUCCESS`` marker of a
+    finished write (a half-written one is landed anew). The parquet archive is
+    written when it has no such marker. Returns the landed table, read from the
+    parquet archive.
     """
     raw_dir = raw_dir.rstrip("/")
     csv_path = f"{raw_dir}/{csv_name}"
     parquet_path = f"{raw_dir}/{parquet_name}"
-    if not path_exists(spark, csv_path):
+    landed_now = not complete(spark, csv_path)
+    if landed_now:
         src = csv_scan(spark, source_path)
         src.write.mode("overwrite").csv(csv_path, header=True)
-    if not committed(spark, parquet_path):
+    if landed_now or not committed(spark, parquet_path):
         csv_scan(spark, csv_path).write.mode("overwrite").parquet(parquet_path)
     landed = spark.read.parquet(parquet_path)
     if preview:

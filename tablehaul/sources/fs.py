@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 
+# Name of the file ``write_note`` leaves in a folder; the underscore hides it from readers.
+NOTE = "_tablehaul.json"
+
 
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -22,6 +27,38 @@ def committed(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs_and_path(spark, path)
+    return bool(fs.exists(jpath)) and not fs.getFileStatus(jpath).isDirectory()
+
+
+def complete(spark: SparkSession, path: str) -> bool:
+    """True for a plain file, or a folder whose Spark write finished."""
+    return is_file(spark, path) or committed(spark, path)
+
+
+def write_note(spark: SparkSession, folder: str, note: dict) -> None:
+    """Record how a written folder was made, in a file that Spark's readers pass over."""
+    fs, jpath = _fs_and_path(spark, folder.rstrip("/") + "/" + NOTE)
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(json.dumps(note, sort_keys=True).encode()))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, folder: str) -> dict | None:
+    path = folder.rstrip("/") + "/" + NOTE
+    if not path_exists(spark, path):
+        return None
+    fs, jpath = _fs_and_path(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs_and_path(spark, path)
     return bool(fs.delete(jpath, True))

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from tablehaul.operators.partition import (partition_assign, partition_bounds, partition_counts,
                                            plan_ranges, range_predicates)
-from tablehaul.sources.sql import partition_sql
 
 TEST_TABLE = [
     (1, 3, "str1", None, True),
@@ -35,8 +34,6 @@ def test_plan_ranges_worked_examples():
 def test_range_predicates_text():
     preds = range_predicates("c", [(0, 2), (2, 10)], keep_nulls=True)
     assert preds == ["0 <= c AND c < 2", "2 <= c AND c < 10", "c IS NULL"]
-    sql = partition_sql("SELECT * FROM t", "c", [(0, 2)])
-    assert sql == ["SELECT * FROM (SELECT * FROM t) tablehaul_part WHERE 0 <= c AND c < 2"]
 
 
 def test_counts_on_test_int(spark):
@@ -101,3 +98,14 @@ def test_non_numeric_column_is_refused(spark):
         partition_counts(tt(spark), "test_str", 2)
     with pytest.raises(ValueError):
         partition_bounds(tt(spark), "test_str")
+
+
+def test_nan_counts_as_null(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0,), (5.0,), (9.5,), (float("nan"),), (None,), (inf,), (-inf,)], "x double")
+    assert tuple(partition_bounds(df, "x").first()) == (1, 9)
+    got = partition_assign(df, "x", 2)
+    assert sorted((r.x, r.part) for r in got.collect()) == [(1.0, 0), (5.0, 1), (9.5, 1)]
+    kept = partition_assign(df, "x", 2, keep_nulls=True)
+    assert kept.count() == 5 and kept.where("part = 2").count() == 2
+    assert sorted(tuple(r) for r in partition_counts(df, "x", 2, keep_nulls=True).collect()) == [(0, 1), (1, 2), (2, 2)]

@@ -42,30 +42,71 @@ def test_spja_filters_reach_scans(spark, sf_dir):
     assert q.count() > 0
 
 
-def test_deep_page_matches_topk_page(spark):
-    from pyspark.sql import functions as F
+def pages(page, df, order_by, n):
+    out, offset = [], 0
+    while True:
+        rows = page(df, order_by, offset, n).collect()
+        if not rows:
+            return out
+        out += rows
+        offset += n
 
+
+def test_pages_neither_repeat_nor_lose_rows(spark):
     from tablehaul.operators.rows import page
-    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"),
-                                     (F.col("id") % 13).alias("v"))
-    for offset, n in ((0, 10), (1234, 100), (4990, 50)):
-        shallow = [tuple(r) for r in page(df, "k", offset, n).collect()]
-        deep = [tuple(r) for r in page(df, "k", offset, n, max_topk_rows=0).collect()]
-        assert sorted(shallow) == sorted(deep)
-        assert [r[0] for r in sorted(deep)] == list(range(offset, min(offset + n, 5000)))
+    df = spark.range(0, 900).selectExpr("id % 7 AS k", "id DIV 3 AS v").repartition(5)  # ties, and equal rows
+    rows = pages(page, df, "k", 250)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, df.collect()))
+    assert [r.k for r in rows] == sorted(r.k for r in df.collect())
+
 
+def test_keyset_pages_push_the_key(spark, tmp_path):
+    from tablehaul.operators.rows import page
+    spark.range(0, 1000).selectExpr("id % 10 AS a", "id AS b", "id * 2 AS c").write.parquet(str(tmp_path / "t"))
+    df, got, after = spark.read.parquet(str(tmp_path / "t")), [], None
+    while rows := page(df, ["a", "b"], n=130, after=after).collect():
+        got += [(r.a, r.b) for r in rows]
+        after = got[-1]
+    assert got == sorted((i % 10, i) for i in range(1000))
+    plan = page(df, ["a", "b"], n=5, after=(3, 500))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(a,3)" in plan
 
-def test_deep_page_splits_a_hot_key(spark):
-    from pyspark.sql import functions as F
 
+def test_page_runs_nothing_before_an_action(spark):
     from tablehaul.operators.rows import page
-    # a third of the rows share one key value
-    df = spark.range(0, 9000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
-        F.col("id").alias("v"))
-    got = page(df, "k", 2000, 4000, max_topk_rows=0)
-    rows = got.collect()
-    assert len(rows) == 4000
-    keys = sorted(r.k for r in rows)
-    expected = sorted(r.k for r in df.orderBy("k").collect())[2000:6000]
-    assert keys == expected
+    spark.sparkContext.setJobGroup("paging", "paging")
+    page(spark.range(0, 100_000), "id", 50_000, 10)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("paging") == ()
+    spark.sparkContext.setJobGroup("none", "none")
+
+
+def test_limit_then_partition_keeps_negative_fractions(spark):
+    import pytest
+
+    from tablehaul.operators.rows import limit_then_partition
+    df = spark.createDataFrame([(-1.5,), (0.2,), (3.9,), (None,), (float("nan"),)], "x double")
+    got = {r.x: r.part for r in limit_then_partition(df, 10, "x", "x", 2).collect()}
+    assert got == {-1.5: 0, 0.2: 0, 3.9: 1}
+    with pytest.raises(ValueError):
+        limit_then_partition(df, 10, None, "x", 2)
+    with pytest.raises(ValueError):
+        limit_then_partition(spark.createDataFrame([("a",)], "x string"), 10, "x", "x", 2)
+
+
+def test_census_expand_notices_other_parameters_and_a_missing_csv(spark, sf_dir, tmp_path):
+    import shutil
+
+    from tablehaul.plans.census import census_expand
+    raw = census_like(spark.read.parquet(f"{sf_dir}/orders.parquet")).limit(40)
+    n = raw.count()
+    paths = {"parquet_path": str(tmp_path / "p"), "csv_path": str(tmp_path / "c")}
+    assert census_expand(raw, times=2, parquet_path=paths["parquet_path"]).count() == 2 * n
+    assert census_expand(raw, times=2, **paths).count() == 2 * n
+    assert spark.read.csv(paths["csv_path"], header=True).count() == 2 * n  # made although the parquet was there
+    assert census_expand(raw, times=5, **paths).count() == 5 * n
+    assert spark.read.csv(paths["csv_path"], header=True).count() == 5 * n
+    before = {r.income for r in census_expand(raw, times=5, **paths).collect()}
+    assert {r.income for r in census_expand(raw, times=5, seed=3, **paths).collect()} != before
+    shutil.rmtree(paths["csv_path"])
+    census_expand(raw, times=5, seed=3, **paths)
+    assert spark.read.csv(paths["csv_path"], header=True).count() == 5 * n
