@@ -29,12 +29,3 @@ def spja_three_way(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
                .join(c, o.o_custkey == c.c_custkey))
     return (joined.groupBy("l_orderkey", "o_orderdate", priority_col)
             .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")))
-
-
-def fed_group_agg(a: DataFrame, b: DataFrame, a_key: str, b_key: str, group_col: str,
-                  avg_col: str, sum_col: str, notnull_col: str) -> DataFrame:
-    """Join, ``notnull_col IS NOT NULL``, AVG and SUM per group, ordered by the sum."""
-    joined = a.join(b, F.col(a_key) == F.col(b_key)).where(F.col(notnull_col).isNotNull())
-    return (joined.groupBy(group_col)
-            .agg(F.avg(avg_col).alias(f"avg_{avg_col}"), F.sum(sum_col).alias(f"sum_{sum_col}"))
-            .orderBy(f"sum_{sum_col}"))

@@ -1,5 +1,5 @@
 """Bounded Arrow batch streams over DataFrames (the loader's batch iterator)."""
 
-from .batches import arrow_batches, iter_arrow_batches
+from .batches import arrow_batches, decode_batches, iter_arrow_batches
 
-__all__ = ["arrow_batches", "iter_arrow_batches"]
+__all__ = ["arrow_batches", "decode_batches", "iter_arrow_batches"]

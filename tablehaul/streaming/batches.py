@@ -1,10 +1,8 @@
-"""Arrow record batches of a bounded size.
+"""Arrow record batches of a bounded size for a consumer.
 
-``arrow_batches`` re-chunks every partition into batches of exactly
-``batch_size`` rows (the last one per partition may be shorter) inside the
-executors via ``mapInArrow`` — the distributed form, for per-batch work.
-``iter_arrow_batches`` is the consumer edge: it pulls one partition at a time
-to the caller and yields batches, so the caller never holds the whole table.
+``arrow_batches`` turns a result into rows that each hold one encoded Arrow batch, made on the executors;
+``iter_arrow_batches`` is the consumer edge: it pulls them partition by partition, so the caller never holds
+the whole table, and no row becomes a Python object on the way.
 """
 
 from __future__ import annotations
@@ -13,53 +11,47 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # Default rows per streamed batch and per whole-result batch.
 STREAM_BATCH_ROWS = 10_000
 RESULT_BATCH_ROWS = 65_536
 
 
-def _rechunk(batch_size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[pa.RecordBatch] = []
-        held = 0
-        for b in batches:
-            start = 0
-            while start < b.num_rows:
-                take = min(batch_size - held, b.num_rows - start)
-                pending.append(b.slice(start, take))
-                held += take
-                start += take
-                if held == batch_size:
-                    yield pa.Table.from_batches(pending).combine_chunks().to_batches()[0]
-                    pending, held = [], 0
-        if held:
-            yield pa.Table.from_batches(pending).combine_chunks().to_batches()[0]
-    return run
-
-
 def arrow_batches(df: DataFrame, batch_size: int = STREAM_BATCH_ROWS) -> DataFrame:
-    """Same rows, carried through Arrow batches of at most ``batch_size`` rows per task."""
+    """(n_rows, batch): the rows of ``df`` in Arrow IPC streams of at most ``batch_size`` rows each."""
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
-    return df.mapInArrow(_rechunk(batch_size), df.schema)
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
 
-def iter_arrow_batches(df: DataFrame, batch_size: int = STREAM_BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """Yield the result as Arrow batches of at most ``batch_size`` rows.
+        for b in batches:
+            for start in range(0, b.num_rows, batch_size):
+                part = b.slice(start, batch_size)
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema) as writer:
+                    writer.write_batch(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.num_rows], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                    names=["n_rows", "batch"])
 
-    Rows arrive partition by partition (``toLocalIterator``); memory on the
-    caller is bounded by one partition plus one batch.
-    """
-    if batch_size < 1:
-        raise ValueError("batch_size must be >= 1")
-    from pyspark.sql.pandas.types import to_arrow_schema
-    schema = to_arrow_schema(df.schema)
-    rows: list[dict] = []
-    for r in df.toLocalIterator(prefetchPartitions=True):
-        rows.append(r.asDict())
-        if len(rows) == batch_size:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-            rows = []
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+    return df.mapInArrow(encode, "n_rows int, batch binary")
+
+
+def decode_batches(encoded: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """The rows of encoded batches."""
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        for b in batches:
+            for raw in b.column("batch"):
+                yield from pa.ipc.open_stream(raw.as_buffer())
+
+    return encoded.mapInArrow(decode, schema)
+
+
+def iter_arrow_batches(df: DataFrame, batch_size: int = STREAM_BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Yield the result as Arrow batches of at most ``batch_size`` rows, partition by partition."""
+    for row in arrow_batches(df, batch_size).toLocalIterator():
+        yield from pa.ipc.open_stream(row["batch"])

@@ -1,32 +1,46 @@
-"""One SQL statement over two sources (FIXTURES §2 federated golden)."""
+"""One SQL statement over two sources."""
 
 from tablehaul.plans.federate import federated_sql
 
-TEST_STR = [(i, f"lang{i}", f"hello{i}") for i in range(9)]
+TOWNS = [(1, "north", 10.0), (2, "south", None), (3, "north", 2.5), (4, None, 1.0)]
+VISITS = [(1, 3), (1, 4), (2, 5), (3, 1), (9, 7)]
 
 
-def test_fed_group_agg_golden(spark, tmp_path):
-    from tests.test_partition import TEST_TABLE, TT_SCHEMA
-    d1, d2 = tmp_path / "db1", tmp_path / "db2"
-    spark.createDataFrame(TEST_TABLE, TT_SCHEMA).write.parquet(str(d1 / "test_table.parquet"))
-    spark.createDataFrame(TEST_STR, "id int, test_language string, test_hello string") \
-        .write.parquet(str(d2 / "test_str.parquet"))
-    sql = ("select test_bool, AVG(test_float) as avg_float, SUM(test_int) as sum_int "
-           "from db1.test_table as a, db2.test_str as b where a.test_int = b.id AND "
-           "test_nullint is not NULL GROUP BY test_bool ORDER BY sum_int")
-    rows = federated_sql(spark, {"db1": str(d1), "db2": str(d2)}, sql).collect()
-    got = [(r.test_bool, None if r.avg_float is None else round(r.avg_float, 6), r.sum_int)
-           for r in rows]
-    assert got == [(True, None, 1), (False, 3.0, 3), (None, 5.45, 4)]
+def towns_and_visits(spark):
+    return (spark.createDataFrame(TOWNS, "town int, side string, area double"),
+            spark.createDataFrame(VISITS, "place int, guests int"))
 
 
-def test_equi_join_broadcasts_checked_small_side(spark, sf_dir):
+def test_group_over_two_sources(spark, tmp_path):
+    towns, visits = towns_and_visits(spark)
+    towns.write.parquet(str(tmp_path / "a" / "towns.parquet"))
+    visits.write.parquet(str(tmp_path / "b" / "visits.parquet"))
+    sql = ("SELECT side, SUM(guests) AS guests, AVG(area) AS area FROM left_db.towns "
+           "JOIN right_db.visits ON town = place GROUP BY side ORDER BY guests")
+    rows = federated_sql(spark, {"left_db": str(tmp_path / "a"), "right_db": str(tmp_path / "b")}, sql).collect()
+    assert [tuple(r) for r in rows] == [("south", 5, None), ("north", 8, 7.5)]
+
+
+def test_an_earlier_frame_survives_a_new_registration(spark, tmp_path):
+    towns, visits = towns_and_visits(spark)
+    towns.write.parquet(str(tmp_path / "a" / "towns.parquet"))
+    visits.write.parquet(str(tmp_path / "b" / "towns.parquet"))
+    earlier = federated_sql(spark, {"th_same_name": str(tmp_path / "a")}, "SELECT * FROM th_same_name.towns")
+    later = federated_sql(spark, {"th_same_name": str(tmp_path / "b")}, "SELECT * FROM th_same_name.towns")
+    assert (earlier.count(), later.count()) == (4, 5)
+
+
+def test_equi_join_runs_nothing_while_planning(spark, sf_dir):
     from tablehaul.operators.join import equi_join
     n = spark.read.parquet(f"{sf_dir}/nation.parquet")
     r = spark.read.parquet(f"{sf_dir}/region.parquet")
-    j = equi_join(n, r, n.n_regionkey == r.r_regionkey, broadcast_max_rows=100)
-    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
-    assert j.count() == 25
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    j = equi_join(n, r.hint("merge"), n.n_regionkey == r.r_regionkey)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before
+    assert "SortMergeJoin" in j._jdf.queryExecution().executedPlan().toString()
+    known = equi_join(n, r, n.n_regionkey == r.r_regionkey, broadcast_right=True)
+    assert "BroadcastHashJoin" in known._jdf.queryExecution().executedPlan().toString()
+    assert j.count() == known.count() == 25
 
 
 def test_foreign_database_is_never_replaced(spark, sf_dir):
@@ -40,15 +54,3 @@ def test_foreign_database_is_never_replaced(spark, sf_dir):
     register_source(spark, "th_fed_src", sf_dir)
     register_source(spark, "th_fed_src", sf_dir)  # its own database is replaced
     assert spark.table("th_fed_src.region").count() == 5
-
-
-def test_fed_group_agg_dataframe_form(spark):
-    from tablehaul.plans.spja import fed_group_agg
-    from tests.test_partition import TEST_TABLE, TT_SCHEMA
-    a = spark.createDataFrame(TEST_TABLE, TT_SCHEMA)
-    b = spark.createDataFrame(TEST_STR, "id int, test_language string, test_hello string")
-    rows = fed_group_agg(a, b, "test_int", "id", "test_bool", "test_float", "test_int",
-                         "test_nullint").collect()
-    got = [(r.test_bool, None if r.avg_test_float is None else round(r.avg_test_float, 6),
-            r.sum_test_int) for r in rows]
-    assert got == [(True, None, 1), (False, 3.0, 3), (None, 5.45, 4)]

@@ -5,7 +5,7 @@ replaced: the bounds probe returns a fixed MIN/MAX row and the partitioned read
 records its arguments.
 """
 
-from pyspark.sql import types as T
+import pytest
 
 from tablehaul.sinks.core import jdbc_write_options
 from tablehaul.sources import sql as S
@@ -14,11 +14,11 @@ from tablehaul.sources import sql as S
 def test_partitioned_read_sends_range_predicates(spark, monkeypatch):
     seen = {}
 
-    def fake_query(self, spark_, sql):
+    def fake_query(self, spark_, sql, prepare=None):
         seen.setdefault("probe", sql)
         return spark_.createDataFrame([(0.0, 1314.0)], "lo double, hi double")
 
-    def fake_parts(self, spark_, sql, predicates):
+    def fake_parts(self, spark_, sql, predicates, prepare=None):
         seen["sql"], seen["predicates"], seen["props"] = sql, predicates, self.read_properties()
         return spark_.range(0)
 
@@ -45,10 +45,7 @@ def test_partitioned_read_sends_range_predicates(spark, monkeypatch):
 
 
 def test_bulk_load_options():
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.IntegerType()),
-                           T.StructField("x", T.DoubleType()), T.StructField("d", T.DateType())])
-    opts = jdbc_write_options(schema, S.JdbcSource("jdbc:postgresql://db/x", {"user": "u"}),
-                              "census", 100000)
+    opts = jdbc_write_options(S.JdbcSource("jdbc:postgresql://db/x", {"user": "u"}), "census", 100000)
     assert opts == {"url": "jdbc:postgresql://db/x", "dbtable": "census", "batchsize": "100000",
                     "numPartitions": "20", "user": "u"}
 
@@ -67,8 +64,74 @@ def test_loaded_types_follow_the_ddl_rule(spark):
 
 def test_source_routing(spark):
     assert isinstance(S.as_source(spark, "postgresql://u@h/db"), S.JdbcSource)
-    assert S.as_source(spark, {"url": "mysql://h/db", "properties": {"user": "u"}}).url == \
-        "jdbc:mysql://h/db"
+    source = S.as_source(spark, {"url": "mysql://x:y@h/db", "properties": {"user": "u"}})
+    assert source.url == "jdbc:mysql://h/db"
+    assert (source.properties["user"], source.properties["password"]) == ("u", "y")
+    assert S.as_source(spark, {"format": "bigquery", "options": {"parentProject": "p"}}) == \
+        S.FormatSource("bigquery", {"parentProject": "p"})
+
+
+@pytest.mark.parametrize("conn, url, properties", [
+    ("postgresql://u:p%40ss%2F1@h:5432/db?sslmode=require", "jdbc:postgresql://h:5432/db?sslmode=require",
+     {"user": "u", "password": "p@ss/1", "driver": "org.postgresql.Driver"}),
+    ("redshift://h:5439/db", "jdbc:postgresql://h:5439/db", {"driver": "org.postgresql.Driver"}),
+    ("mysql://u@h/my%20db", "jdbc:mysql://h/my%20db", {"user": "u", "driver": "com.mysql.cj.jdbc.Driver"}),
+    ("mssql://u:p@h:1433/db?encrypt=false", "jdbc:sqlserver://h:1433;databaseName=db;encrypt=false",
+     {"user": "u", "password": "p", "driver": "com.microsoft.sqlserver.jdbc.SQLServerDriver"}),
+    ("mssql://h/db?applicationName=a;b", "jdbc:sqlserver://h;databaseName=db;applicationName={a;b}",
+     {"driver": "com.microsoft.sqlserver.jdbc.SQLServerDriver"}),
+    ("oracle://u:p@h:1521/svc", "jdbc:oracle:thin:@//h:1521/svc",
+     {"user": "u", "password": "p", "driver": "oracle.jdbc.OracleDriver"}),
+    ("trino://u@h:8080/cat/schema", "jdbc:trino://h:8080/cat/schema", {"user": "u", "driver": "io.trino.jdbc.TrinoDriver"}),
+    ("sqlite:///tmp/x%20y.db", "jdbc:sqlite:/tmp/x y.db", {"driver": "org.sqlite.JDBC"}),
+    ("jdbc:derby:x", "jdbc:derby:x", {}),
+])
+def test_urls_take_each_drivers_form(conn, url, properties):
+    assert S.parse_url(conn) == (url, properties)
+
+
+def test_unknown_urls_are_refused():
+    for conn in ("ftp://h/x", "postgresql", "nothing:x"):
+        with pytest.raises(ValueError):
+            S.parse_url(conn)
+
+
+def test_text_before_the_query_is_an_option_of_the_reader(spark, monkeypatch):
+    class Reader(dict):
+        def option(self, k, v):
+            self[k] = v
+            return self
+
+        def load(self):
+            return self
+
+    monkeypatch.setattr(S.JdbcSource, "reader", lambda self, spark_: Reader())
+    got = S.JdbcSource("jdbc:x").query(spark, "SELECT * FROM t", "WITH t AS (SELECT 1)")
+    assert got == {"prepareQuery": "WITH t AS (SELECT 1)", "dbtable": "(SELECT * FROM t) tablehaul_q"}
+
+
+def test_an_outage_is_not_a_missing_table(spark, monkeypatch):
+    from tablehaul.sinks import load_if_incomplete
+
+    def down(self, spark_, name):
+        raise RuntimeError("host does not exist or was not found")
+
+    monkeypatch.setattr(S.JdbcSource, "has_table", down)
+    with pytest.raises(RuntimeError):
+        load_if_incomplete(spark.range(3), S.JdbcSource("jdbc:x"), "t", 3)
+
+
+def test_federated_tables_take_ranges():
+    from tablehaul.plans.federate import relation_statements
+    remote = S.jdbc_source("postgresql://u@h/db")
+    plain, ranged = relation_statements("src", remote, ["s.big"], {"v": "SELECT 1 AS k"},
+                                        {"v": {"column": "k", "lower": 0, "upper": 99, "num": 8}})
+    assert plain.startswith("CREATE TABLE src.big USING jdbc") and "partitionColumn" not in plain
+    assert "partitionColumn 'k', lowerBound '0', upperBound '99', numPartitions '8'" in ranged
+    with pytest.raises(ValueError):
+        relation_statements("src", remote, ["a.t", "b.t"], {}, {})
+    with pytest.raises(KeyError):
+        relation_statements("src", remote, ["t"], {}, {"u": {}})
 
 
 def test_file_system_paths_are_not_databases():

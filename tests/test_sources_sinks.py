@@ -9,8 +9,8 @@ from tablehaul.sinks import (bulk_sink, ddl_types, load_if_incomplete, publish_i
                              table_count)
 from tablehaul.sources.files import csv_infer, csv_multi_scan, csv_scan
 from tablehaul.sources.generator import row_generator
-from tablehaul.sources.sql import CatalogSource, check_identifier, read_sql, to_jdbc_url
-from tablehaul.streaming import arrow_batches, iter_arrow_batches
+from tablehaul.sources.sql import CatalogSource, check_identifier, read_sql
+from tablehaul.streaming import arrow_batches, decode_batches, iter_arrow_batches
 
 DATA = os.path.join(os.path.dirname(__file__), "data")
 
@@ -94,11 +94,7 @@ def test_group_sum_golden(spark, tmp_path):
     assert got == {None: 10.9, False: 5.2, True: -10.0}
 
 
-def test_url_mapping_and_identifiers():
-    assert to_jdbc_url("postgresql://u:p@h:5432/db") == "jdbc:postgresql://u:p@h:5432/db"
-    assert to_jdbc_url("redshift://h:5439/db") == "jdbc:postgresql://h:5439/db"
-    assert to_jdbc_url("mssql://h:1433/db") == "jdbc:sqlserver://h:1433/db"
-    assert to_jdbc_url("jdbc:derby:x") == "jdbc:derby:x"
+def test_identifiers():
     with pytest.raises(ValueError):
         check_identifier("census; DROP TABLE x")
     assert check_identifier("db.census_2021") == "db.census_2021"
@@ -135,11 +131,14 @@ def test_load_if_incomplete(spark, tmp_path):
     assert spark.table("th_test_target.t").count() == 100
     bulk_sink(df, target, "t")  # append
     assert spark.table("th_test_target.t").count() == 200
+    assert load_if_incomplete(df, target, "t", 100) is True  # a table loaded twice is not complete
+    assert spark.table("th_test_target.t").count() == 100
 
 
 def test_arrow_batches(spark):
     df = spark.range(0, 25, numPartitions=1)
-    assert arrow_batches(df, 10).count() == 25
+    assert sorted(r.n_rows for r in arrow_batches(df, 10).collect()) == [5, 10, 10]
+    assert decode_batches(arrow_batches(df, 10), df.schema).count() == 25
     sizes = [b.num_rows for b in iter_arrow_batches(df, 10)]
     assert sizes == [10, 10, 5]
 
@@ -160,4 +159,58 @@ def test_arrow_batches_mixed_types(spark, sf_dir):
     assert [b.num_rows for b in batches[:-1]] == [2500] * (len(batches) - 1)
     assert sum(b.num_rows for b in batches) == df.count()
     assert str(batches[0].schema.field("l_shipdate").type) == "timestamp[us]"
-    assert arrow_batches(df, 1000).exceptAll(df).count() == 0
+    assert decode_batches(arrow_batches(df, 1000), df.schema).exceptAll(df).count() == 0
+
+
+def test_half_written_folder_is_landed_anew(spark, tmp_path):
+    from tablehaul.sources.files import land_raw
+    source, raw = str(tmp_path / "src"), tmp_path / "raw"
+    spark.range(50).selectExpr("id", "id * 2 AS x").write.csv(source, header=True)
+    (raw / "census.csv" / "_temporary").mkdir(parents=True)
+    (raw / "census.csv" / "part-00000.csv").write_text("id,x\n0,0\n")
+    assert land_raw(spark, source, str(raw)).count() == 50
+    plain = tmp_path / "plain"
+    plain.mkdir()
+    (plain / "census.csv").write_text("id,x\n1,2\n3,4\n")
+    assert land_raw(spark, source, str(plain)).count() == 2  # a plain file counts as landed
+
+
+def test_types_come_from_all_rows_and_columns_from_headers(spark, tmp_path):
+    late = tmp_path / "late.csv"
+    late.write_text("n,m\n" + "".join(f"{i},{i}\n" for i in range(10_000)) + "1.5,x\n")
+    df = csv_scan(spark, str(late))
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["double", "string"]
+    assert df.count() == 10_001 and df.where("n = 1.5").count() == 1
+    (tmp_path / "ab.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "ba.csv").write_text("b,a\ny,2\n")
+    (tmp_path / "ac.csv").write_text("a,c\n1,x\n")
+    both = csv_multi_scan(spark, [str(tmp_path / "ab.csv"), str(tmp_path / "ba.csv")])
+    assert sorted(map(tuple, both.collect())) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError):
+        csv_multi_scan(spark, [str(tmp_path / "ab.csv"), str(tmp_path / "ac.csv")])
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,x\n")
+    (folder / "2.csv").write_text("b,a\ny,2\n")
+    with pytest.raises(Exception):  # within one folder the headers must agree
+        csv_scan(spark, str(folder), schema="a string, b string").collect()
+
+
+def test_partitioned_read_puts_each_part_in_one_task(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "t")
+    spark.range(0, 1000, numPartitions=7).selectExpr("IF(id % 10 = 0, NULL, id) AS k", "id AS v").write.parquet(path)
+    src = CatalogSource("th_parts_src", {"t": path})
+    for n in (1, 8):
+        df = read_sql(spark, src, "SELECT * FROM t", partition_on="k", partition_num=n, keep_nulls=True, part_col="part")
+        placed = df.withColumn("task", F.spark_partition_id())
+        assert df.rdd.getNumPartitions() == n + 1
+        assert placed.where("task <> part").count() == 0 and placed.count() == 1000
+        assert placed.where("part = %d AND k IS NOT NULL" % n).count() == 0
+    assert read_sql(spark, src, "SELECT * FROM t", partition_on="k", partition_num=8).columns == ["k", "v"]
+
+
+def test_a_moved_source_is_read_from_its_new_place(spark, tmp_path):
+    for name, n in (("a", 3), ("b", 5)):
+        spark.range(n).write.parquet(str(tmp_path / name / "t"))
+        assert CatalogSource("th_moved_src", {"t": str(tmp_path / name / "t")}).table(spark, "t").count() == n
