@@ -64,11 +64,9 @@ def main() -> None:
     benches["filter"] = filters_parquet
     benches["aggregate"] = aggregate
     from tablehaul.functions.normalize import normalize_table
-    from tablehaul.operators.setops import spread
-
     def normalise():
         # a wide table whose columns arrive with source types that all need a rule
-        wide = spread(t("lineitem")).selectExpr(
+        wide = t("lineitem").repartition(cpus).selectExpr(
             "l_orderkey", "CAST(l_linenumber AS SMALLINT) AS small_c",
             "CAST(l_discount AS FLOAT) AS real_c",
             "CAST(l_extendedprice AS DECIMAL(15,2)) AS num_c",

@@ -29,35 +29,51 @@ ARROW_DECIMAL = T.DecimalType(38, 10)
 # Text formats of temporal values delivered as text.
 TRINO_DATE = "yyyy-MM-dd"
 TRINO_TIMESTAMP = "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"
+TIME_TEXT = "HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"
+ORACLE_DATE = "yyyy-MM-dd[ HH:mm:ss]"
 BIGQUERY_DATETIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSSSS][.SSSS][.SSS][.SS][.S]"
 BIGQUERY_TIME = "HH:mm:ss"
 
 TEXT_TYPES = {"text", "varchar", "bpchar", "char", "name", "enum", "citext", "ltree", "lquery",
               "ltxtquery", "string", "nvarchar", "nchar", "ntext", "varchar2", "nvarchar2",
-              "clob", "longtext", "mediumtext", "tinytext", "inet", "cidr", "macaddr"}
+              "character", "character varying", "clob", "nclob", "long", "rowid", "longtext",
+              "mediumtext", "tinytext", "set", "xml", "interval", "geography", "inet", "cidr",
+              "macaddr"}
 INT_TYPES = {"int2": T.ShortType(), "smallint": T.ShortType(), "int4": T.IntegerType(),
              "int": T.IntegerType(), "integer": T.IntegerType(), "int8": T.LongType(),
              "bigint": T.LongType(), "tinyint": T.ByteType(), "mediumint": T.IntegerType(),
-             "year": T.ShortType(), "oid": T.LongType()}
+             "year": T.ShortType(), "oid": T.LongType(), "int64": T.LongType(),
+             "serial": T.IntegerType(), "bigserial": T.LongType()}
 UNSIGNED = re.compile(r"^(tinyint|smallint|mediumint|int|integer|bigint) unsigned$")
 ARRAY_ELEMS = {"_int2": T.ShortType(), "_int4": T.IntegerType(), "_int8": T.LongType(),
                "_float4": T.FloatType(), "_float8": T.DoubleType(), "_numeric": ARROW_DECIMAL,
-               "_bool": T.BooleanType(), "_text": T.StringType(), "_varchar": T.StringType()}
+               "_bool": T.BooleanType(), "_text": T.StringType(), "_varchar": T.StringType(),
+               "_bpchar": T.StringType(), "_date": T.DateType(), "_timestamp": T.TimestampNTZType()}
+# Types that take a length or precision which changes nothing in the mapping.
+WITH_LENGTH = re.compile(r"^(varchar|char|bpchar|nvarchar|nchar|varchar2|nvarchar2|character varying|character|"
+                         r"raw|binary|varbinary|float|tinyint|smallint|mediumint|int|integer|bigint|timestamp|"
+                         r"timestamptz|datetime|datetime2|datetimeoffset|time)\s*\(\s*(\d+|max)(\s+(byte|char))?\s*\)(.*)$")
 
 
 # ---- single-rule column functions ----------------------------------------------------------
 
 def uuid_canonical(c: Column) -> Column:
-    """Any spelling (braces, hyphens anywhere, upper case) -> lower-case 8-4-4-4-12."""
+    """Any spelling (braces, hyphens anywhere, upper case) -> lower-case 8-4-4-4-12; other text raises."""
     hexs = F.lower(F.translate(c.cast("string"), "{}-", ""))
-    return F.when(F.length(hexs) == 32, F.concat_ws(
-        "-", *[F.substring(hexs, start, size)
-               for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])).otherwise(hexs)
+    dashed = F.concat_ws("-", *[F.substring(hexs, start, size)
+                                for start, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    return (F.when(hexs.rlike("^[0-9a-f]{32}$"), dashed)
+            .when(c.isNotNull(), F.raise_error(F.concat(F.lit("not a uuid: "), c.cast("string"))).cast("string")))
 
 
 def json_compact(c: Column) -> Column:
-    """JSON text -> compact JSON text (object keys sorted, numbers canonical)."""
-    return F.to_json(F.parse_json(c.cast("string")))
+    """JSON text -> compact JSON text (object keys sorted, numbers canonical).
+
+    Text that does not parse strictly (an object with a key twice, say, which a text-preserving JSON type
+    may hold) keeps its own text, trimmed: one odd document never fails the job.
+    """
+    text = c.cast("string")
+    return F.coalesce(F.to_json(F.try_parse_json(text)), F.trim(text))
 
 
 def map_json(c: Column) -> Column:
@@ -75,27 +91,27 @@ def time_text(c: Column) -> Column:
 
 
 def bool_text(c: Column) -> Column:
-    """'t' / 'f' / '' -> true / false / NULL; anything else raises."""
-    return (F.when(c.isNull() | (c == ""), F.lit(None).cast("boolean"))
-            .when(c == "t", F.lit(True)).when(c == "f", F.lit(False))
+    """'t' / 'true' / '1' and 'f' / 'false' / '0' in any case, '' as NULL; anything else raises."""
+    word = F.lower(F.trim(c))
+    return (F.when(c.isNull() | (word == ""), F.lit(None).cast("boolean"))
+            .when(word.isin("t", "true", "1"), F.lit(True)).when(word.isin("f", "false", "0"), F.lit(False))
             .otherwise(F.raise_error(F.concat(F.lit("not a boolean: "), c)).cast("boolean")))
 
 
 def array_text(c: Column, elem: T.DataType) -> Column:
-    """Postgres array text ``{a,b,NULL}`` -> array (NULL elements kept); ``{}`` -> empty;
-    ``''`` -> NULL; other text shorter than ``{}`` raises."""
+    """Postgres array text ``{a,"b,c",NULL}`` -> array (NULL elements kept); ``{}`` -> empty;
+    ``''`` -> NULL; other text shorter than ``{}`` raises. Commas, quotes and backslashes in a quoted
+    element are its own."""
     body = F.substring(c, F.lit(2), F.length(c) - 2)  # strip the braces
-    parts = F.split(body, ",")
+    # an element, quoted or plain, up to the comma or the end
+    parts = F.regexp_extract_all(F.concat(body, F.lit(",")), F.lit(r'\s*("(?:[^"\\]|\\.)*"|[^",]*)\s*,'), F.lit(1))
 
     def item(x):
         t = F.trim(x)
-        quoted = t.startswith('"') & t.endswith('"') & (F.length(t) >= 2)
-        return (F.when(t == "NULL", F.lit(None))
-                .when(quoted, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t))
+        bare = F.regexp_replace(F.substring(t, F.lit(2), F.length(t) - 2), r"\\(.)", "$1")
+        return (F.when(t == "NULL", F.lit(None)).when(t.startswith('"'), bare).otherwise(t)).cast(elem)
 
     items = F.transform(parts, item)
-    if not isinstance(elem, T.StringType):
-        items = F.transform(items, lambda x: x.cast(elem))
     return (F.when(c.isNull() | (c == ""), F.lit(None).cast(T.ArrayType(elem)))
             .when(c == "{}", F.array().cast(T.ArrayType(elem)))
             .when(F.length(c) < 3, F.raise_error(F.concat(F.lit("bad array text: "), c))
@@ -106,12 +122,20 @@ def array_text(c: Column, elem: T.DataType) -> Column:
 def sparsevec_dense(c: Column) -> Column:
     """``{i:v,…}/dim`` (1-based) -> dense array<float> with zeros filled in."""
     dim = F.regexp_extract(c, r"/(\d+)$", 1).cast("int")
-    body = F.regexp_extract(c, r"^\{(.*)\}", 1)
-    entries = F.when(body == "", F.create_map().cast("map<int,float>")).otherwise(
-        F.str_to_map(body, F.lit(","), F.lit(":")).cast("map<int,float>"))
+    places = F.regexp_extract_all(c, F.lit(r"(\d+)\s*:"), F.lit(1)).cast("array<int>")
+    values = F.regexp_extract_all(c, F.lit(r":\s*([^,}]+)"), F.lit(1)).cast("array<float>")
+    entries = F.array_sort(F.zip_with(places, values, lambda p, v: F.struct(p.alias("at"), v.alias("v"))))
+
+    def zeros(n):
+        return F.array_repeat(F.lit(0.0).cast("float"), n.cast("int"))
+
+    def run(e, k):  # the zeros before an entry, and the entry
+        before = F.when(k > 0, F.element_at(entries, k)["at"]).otherwise(F.lit(0))
+        return F.array_append(zeros(e["at"] - before - 1), e["v"])
+
+    last = F.when(F.size(entries) > 0, F.element_at(entries, -1)["at"]).otherwise(F.lit(0))
     return F.when(c.isNull(), F.lit(None).cast("array<float>")).otherwise(
-        F.transform(F.sequence(F.lit(1), dim),
-                    lambda i: F.coalesce(F.element_at(entries, i), F.lit(0.0).cast("float"))))
+        F.concat(F.flatten(F.transform(entries, run)), zeros(dim - last)))
 
 
 def bits_packed(c: Column) -> Column:
@@ -150,7 +174,12 @@ def epoch_text_timestamp(c: Column) -> Column:
 # ---- the rule table ------------------------------------------------------------------------
 
 def _declared(name: str) -> str:
-    return name.strip().lower()
+    """A declared type name in lower case, without a length or precision that changes nothing."""
+    name = re.sub(r"\s+", " ", name.strip().lower())
+    m = WITH_LENGTH.match(name)
+    if m:
+        return (m[1] + m[5]).strip()
+    return name
 
 
 def _spark_kind(dt: T.DataType) -> str:
@@ -183,9 +212,11 @@ def _spark_kind(dt: T.DataType) -> str:
         return "timestamptz"
     if isinstance(dt, T.MapType):
         return "hstore"
+    if isinstance(dt, T.TimeType):
+        return "time"
     if isinstance(dt, T.ArrayType):
         return "array"
-    return dt.simpleString()
+    return "other"
 
 
 def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow",
@@ -222,39 +253,42 @@ def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow
             return out(c.cast("long"))
         return out(c.cast(T.DecimalType(20, 0)) if u64 == "decimal" else c.cast("double"))
     # floats
-    if t in ("float4", "real", "float", "smallmoney"):
-        keep = pg_arrow or (source == "mssql" and t in ("real", "smallmoney") and target == "arrow")
+    if t in ("float4", "real", "float", "smallmoney", "binary_float"):
+        keep = (pg_arrow and t != "float") or (source == "mssql" and t in ("real", "smallmoney") and target == "arrow")
         return out(c.cast("float" if keep else "double"))
-    if t in ("float8", "double", "double precision", "money", "float64"):
+    if t in ("float8", "double", "double precision", "money", "float64", "binary_double"):
         return out(c.cast("double"))
     # decimals
-    dm = re.match(r"^(numeric|decimal|number)(\((\d+)(,\s*(-?\d+))?\))?$", t)
+    dm = re.match(r"^(numeric|decimal|number|bignumeric|bigdecimal|dec)(\s*\((\d+|\*)(,\s*(-?\d+))?\))?$", t)
     if dm:
-        scale = int(dm.group(5)) if dm.group(5) is not None else None
+        # a precision alone means scale 0; neither means any scale
+        scale = int(dm.group(5)) if dm.group(5) is not None else 0 if dm.group(3) not in (None, "*") else None
         if source == "oracle":
             return out(c.cast("long") if scale == 0 else c.cast("double"))
         if pg_arrow:
             return out(saturate_infinity(c, "numeric") if is_text else c.cast(ARROW_DECIMAL))
         return out(c.cast("double"))
     # booleans
-    if t in ("bool", "boolean", "bit(1)"):
+    if t in ("bool", "boolean", "bit(1)") or (t == "bit" and source in ("mssql", "mysql")):
         return out(bool_text(c) if is_text else c.cast("boolean"))
     # text-like
-    if t == "uuid":
+    if t in ("uuid", "uniqueidentifier"):
         return out(uuid_canonical(c))
     if t in ("json", "jsonb"):
         return out(json_compact(c))
     if t == "hstore":
         return out(map_json(c) if isinstance(field.dataType, T.MapType) else c.cast("string"))
-    if t in TEXT_TYPES or t.startswith(("varchar", "char", "bpchar", "nvarchar")):
+    if t in TEXT_TYPES:
         return out(c.cast("string"))
     if t in ("blob", "longblob", "mediumblob", "tinyblob", "blob_utf8"):
         return out(c.cast("string") if t == "blob_utf8" else c.cast("binary"))
-    if t in ("bytea", "binary", "varbinary", "bytes", "image", "raw"):
+    if t in ("bytea", "binary", "varbinary", "bytes", "image", "raw", "long raw", "bfile"):
         if source == "bigquery" and t == "bytes":
             return out(c.cast("string"))
         return out(bytea_hex(c) if is_text else c.cast("binary"))
     # temporal
+    if t == "date" and source == "oracle":  # it has a time of day
+        return out(F.to_timestamp_ntz(c, F.lit(ORACLE_DATE)) if is_text else c.cast("timestamp_ntz"))
     if t == "date":
         if is_text:
             e = saturate_infinity(c, "date") if source == "postgres" else F.to_date(c, TRINO_DATE)
@@ -275,7 +309,7 @@ def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow
         else:
             e = F.to_timestamp_ntz(c, F.lit(TRINO_TIMESTAMP))
         return out(e)
-    if t in ("timestamptz", "timestamp with time zone", "datetimeoffset"):
+    if t in ("timestamptz", "timestamp with time zone", "timestamp with local time zone", "datetimeoffset"):
         if is_text:
             e = saturate_infinity(c, "timestamptz") if source == "postgres" else c.cast("timestamp")
         else:
@@ -284,11 +318,12 @@ def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow
             # the UTC wall clock of the instant, whatever the session zone
             e = F.convert_timezone(None, F.lit("UTC"), e.cast("timestamp_ntz"))
         return out(e)
-    if t == "time":
+    if t in ("time", "timetz", "time with time zone", "time without time zone"):
+        typed = isinstance(field.dataType, T.TimeType)
         if target == "pandas":
-            return out(time_text(F.to_timestamp_ntz(c.cast("string"), F.lit("HH:mm:ss[.SSSSSS]"))
-                                 if is_text else c))
-        return out(c.cast("time") if is_text else time_text(c).cast("time"))
+            return out(time_text(F.to_timestamp_ntz(c.cast("string"), F.lit(TIME_TEXT))
+                                 if is_text or typed else c))
+        return out(c if typed else c.cast("time") if is_text else time_text(c).cast("time"))
     # arrays and vectors
     if t in ARRAY_ELEMS:
         elem = ARRAY_ELEMS[t]
@@ -303,31 +338,33 @@ def normalize_column(df: DataFrame, name: str, source: str, target: str = "arrow
     if t == "sparsevec":
         e = sparsevec_dense(c)
         return out(e.cast("array<double>") if target == "pandas" else e)
-    if t.startswith("bit"):
+    if re.match(r"^(bit|bit varying|varbit)(\s*\(\d+\))?$", t):
         return out(bits_packed(c) if is_text else c.cast("binary"))
     if t == "array":
         elem = field.dataType.elementType
         if target == "pandas" and isinstance(elem, (T.FloatType, T.DecimalType)):
             return out(c.cast("array<double>"))
         return out(c)
-    return out(c)
+    if src_type:
+        raise ValueError(f"no rule for the declared type {src_type!r} of column {name!r}")
+    return out(c)  # a type that no rule touches, as Spark read it
 
 
 def normalize_table(df: DataFrame, source: str, target: str = "arrow",
-                    types: dict | None = None, min_partitions: int | None = None,
+                    types: dict | None = None, partitions: int | None = None,
                     u64: str = "double") -> DataFrame:
     """Every column through its rule, in one projection.
 
-    Text parsing (JSON, arrays, regexes) is CPU-heavy per row, so an input with
-    fewer partitions than the cluster's parallelism is spread first (see
-    ``spread``); pass ``min_partitions=0`` to keep the input partitioning.
+    Text parsing (JSON, arrays, regexes) is CPU-heavy per row: for an input in
+    few splits, ``partitions`` deals the rows over so many tasks first. A declared
+    type without a rule raises.
     """
-    from ..operators.setops import spread
     types = {k: v for k, v in (types or {}).items()}
     unknown = set(types) - set(df.columns)
     if unknown:
         raise KeyError(f"declared types for missing columns: {sorted(unknown)}")
-    df = spread(df, min_partitions)
+    if partitions:
+        df = df.repartition(partitions)
     return df.select(*[normalize_column(df, n, source, target, types.get(n), u64)
                        for n in df.columns])
 
@@ -342,8 +379,9 @@ def empty_as_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def resolve_dynamic(df: DataFrame, declared: dict | None = None, order_by: str | None = None) -> DataFrame:
     """Types of text columns from a dynamically typed source (SQLite rule).
 
-    A declared type wins (affinity: INT -> long, REAL/FLOA/DOUB -> double,
-    CHAR/CLOB/TEXT -> string, BLOB -> binary). Otherwise the first non-NULL
+    A declared type wins (by its name: BOOL -> boolean, DATE -> date, TIME -> time, DATETIME and
+    TIMESTAMP -> timestamp; else by affinity: INT -> long, CHAR/CLOB/TEXT -> string, BLOB -> binary,
+    REAL/FLOA/DOUB and all others -> double). Otherwise the first non-NULL
     value (in ``order_by`` order) decides: integer text -> long, decimal text ->
     double, else string. A column with no rows is string; a column whose
     values are all NULL raises. The first values are found with one
@@ -366,6 +404,10 @@ def resolve_dynamic(df: DataFrame, declared: dict | None = None, order_by: str |
             firsts[n] = v
 
     def affinity(decl: str) -> str:
+        named = {"BOOL": "boolean", "BOOLEAN": "boolean", "DATE": "date", "TIME": "time",
+                 "DATETIME": "timestamp_ntz", "TIMESTAMP": "timestamp_ntz"}.get(re.sub(r"\s*\(.*", "", decl.strip()))
+        if named:
+            return named
         if "INT" in decl:
             return "long"
         if any(k in decl for k in ("CHAR", "CLOB", "TEXT")):
@@ -390,5 +432,7 @@ def resolve_dynamic(df: DataFrame, declared: dict | None = None, order_by: str |
                 kind = "double"
             else:
                 kind = "string"
-        cols.append(F.col(f"`{n}`").cast(kind).alias(n))
+        c = F.col(f"`{n}`")
+        text = isinstance(df.schema[n].dataType, T.StringType)
+        cols.append((bool_text(c) if kind == "boolean" and text else c.cast(kind)).alias(n))
     return df.select(*cols)

@@ -1,37 +1,58 @@
 """Independent SQL statements (DuckDB dialect) that recompute each registered query.
 
 They read the same parquet tables as plain views and are used only to check
-results; nothing in the library executes them.
+results; nothing in the library executes them. Columns, codes, ranges, seeds and
+texts are spelled out here, not imported from the code they check.
 """
 
 from __future__ import annotations
 
-from .operators.census import (CENSUS_COLUMNS, INCOME_RANGE, NO_INCOME_CODES, RANDOM_SEED,
-                               WEIGHT_RANGE)
-from .plans.census_source import census_like_sql
-
 TIMES = 100
+PARTS = 4
+
+# The census job's columns: short name, raw name, and how the stand-in for the census file derives it.
+CENSUS = """
+id             | resident_id_m                | o_orderkey
+social         | approx_social_grade          | 1 + o_orderkey % 4
+birth          | country_of_birth_3a          | 1 + o_custkey % 3
+econ           | economic_activity_status_10m | CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN -8 ELSE 1 + o_orderkey % 9 END
+ethnic         | ethnic_group_tb_6a           | 1 + o_custkey % 6
+health         | health_in_general            | 1 + o_orderkey % 5
+fam_type       | hh_families_type_6a          | 1 + (o_custkey + o_orderkey) % 6
+hours_worked   | hours_per_week_worked        | 1 + o_orderkey % 4
+education      | in_full_time_education       | 1 + o_orderkey % 2
+industry       | industry_10a                 | 1 + o_custkey % 10
+london         | iol22cd                      | 'E0900000' || CAST(1 + o_custkey % 9 AS VARCHAR)
+mar_stat       | legal_partnership_status_6a  | 1 + o_orderkey % 6
+occupation     | occupation_10a               | 1 + (o_custkey * 7 + o_orderkey) % 10
+region         | region                       | 'E1200000' || CAST(1 + o_custkey % 9 AS VARCHAR)
+religion       | religion_tb                  | 1 + o_custkey % 9
+residence_type | residence_type               | CASE WHEN o_orderkey % 17 = 0 THEN 'C' ELSE 'H' END
+age_group      | resident_age_7d              | 1 + o_orderkey % 7
+sex            | sex                          | 1 + o_custkey % 2
+keep_type      | usual_short_student          | 1 + o_orderkey % 2
+"""
+_COLUMNS = [[x.strip() for x in line.split("|", 2)] for line in CENSUS.strip().splitlines()]
+SHORTS = ", ".join(short for short, _, _ in _COLUMNS)
 
 
-def draw_sql(key: str, lo: int, hi: int, name: str, seed: int = RANDOM_SEED) -> str:
-    """The md5 draw of ``random_int`` in DuckDB syntax."""
-    return (f"({lo} + (('0x' || substr(md5(concat_ws('|', CAST({key} AS VARCHAR), "
-            f"'{seed}', '{name}')), 1, 15))::BIGINT % {hi - lo + 1}))")
+def census_raw_sql() -> str:
+    return "SELECT " + ", ".join(f"{sql} AS {raw}" for _, raw, sql in _COLUMNS) + " FROM orders"
 
 
 def census_projected_sql() -> str:
-    cols = ", ".join(f"{raw} AS {short}" for raw, short in CENSUS_COLUMNS)
-    return f"SELECT {cols} FROM ({census_like_sql('orders')}) raw_census"
+    return "SELECT " + ", ".join(f"{sql} AS {short}" for short, _, sql in _COLUMNS) + " FROM orders"
 
 
 def census_measured_sql(blank: bool = True) -> str:
-    shorts = ", ".join(short for _, short in CENSUS_COLUMNS)
-    income = draw_sql("id", *INCOME_RANGE, "income")
-    weight = draw_sql("id", *WEIGHT_RANGE, "weight")
-    codes = ", ".join(str(c) for c in NO_INCOME_CODES)
+    def draw(name: str, lo: int, width: int) -> str:
+        digits = f"substr(md5(CAST(id AS VARCHAR) || '|1949|{name}'), 1, 15)"
+        return f"({lo} + ('0x' || {digits})::BIGINT % {width})"
+
+    income = draw("income", 10000, 90001)
     if blank:
-        income = f"CASE WHEN econ IN ({codes}) THEN NULL ELSE {income} END"
-    return f"SELECT {shorts}, {income} AS income, {weight} AS weight FROM ({census_projected_sql()}) p"
+        income = f"CASE WHEN econ IN (-8, 5, 6, 7, 8, 9) THEN NULL ELSE {income} END"
+    return f"SELECT {SHORTS}, {income} AS income, {draw('weight', 75, 51)} AS weight FROM ({census_projected_sql()}) p"
 
 
 def census_expanded_sql() -> str:
@@ -48,14 +69,13 @@ ORACLES: dict[str, str] = {}
 
 
 def _census_oracles():
-    shorts = ", ".join(short for _, short in CENSUS_COLUMNS)
     ORACLES["census_project"] = census_projected_sql()
     ORACLES["add_random_int"] = census_measured_sql(blank=False)
     ORACLES["blank_by_code"] = census_measured_sql(blank=True)
     ORACLES["simple_filter"] = f"SELECT * FROM ({census_expanded_sql()}) e WHERE {SIMPLE_WHERE}"
     ORACLES["complex_filter"] = f"SELECT * FROM ({census_expanded_sql()}) e WHERE {COMPLEX_WHERE}"
     ORACLES["replicate"] = f"SELECT o.* FROM orders o, range({TIMES}) copies"
-    ORACLES["census_expand"] = f"SELECT {shorts}, income, weight FROM ({census_expanded_sql()}) e"
+    ORACLES["census_expand"] = f"SELECT {SHORTS}, income, weight FROM ({census_expanded_sql()}) e"
 
 
 _census_oracles()
@@ -68,108 +88,130 @@ def _range_parts_sql(base: str, column: str, n: int) -> str:
             f"COALESCE(CAST(FLOOR(MAX({column})) AS BIGINT), 0) AS hi FROM base), "
             f"s AS (SELECT lo, hi, (hi - lo + 1) // {n} AS size FROM b) "
             f"SELECT base.*, CAST(CASE WHEN size = 0 THEN {n - 1} "
-            f"ELSE LEAST(({column} - lo) // size, {n - 1}) END AS INTEGER) AS part "
+            f"ELSE LEAST(FLOOR(({column} - lo) / size), {n - 1}) END AS INTEGER) AS part "
             f"FROM base, s WHERE {column} >= lo AND {column} < hi + 1")
 
 
+# NULL and NaN rows belong to no part, so the check leaves them out from the start.
+FRACTIONAL = ("SELECT l_orderkey, l_linenumber, l_extendedprice - 20000.25 AS x FROM lineitem "
+              "WHERE l_linenumber NOT IN (5, 6)")
+REVENUE = """
+SELECT l_orderkey, o_orderdate, o_orderpriority, ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS revenue
+FROM lineitem, orders, customer
+WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey AND c_mktsegment = 'BUILDING'
+  AND o_orderdate < TIMESTAMP '1995-03-15' AND l_shipdate > TIMESTAMP '1995-03-15' GROUP BY 1, 2, 3"""
+
+
 def _query_oracles():
-    from . import registry as R
-    spja = R.SPJA_SQL
     ORACLES["read_sql"] = "SELECT * FROM lineitem"
-    ORACLES["read_sql_list"] = " UNION ALL ".join(R.READ_LIST_SQL)
-    ORACLES["read_sql_partitioned"] = (
-        f"SELECT * EXCLUDE (part) FROM ({_range_parts_sql(spja, 'l_orderkey', R.PARTS)}) q")
+    ORACLES["read_sql_list"] = "SELECT * FROM orders WHERE o_orderstatus IS NOT NULL"
+    ORACLES["read_sql_partitioned"] = _range_parts_sql(
+        "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem WHERE l_quantity > 10", "l_orderkey", PARTS)
+    ORACLES["read_sql_prepared"] = ("SELECT l_orderkey, l_linenumber, o_totalprice FROM lineitem, orders "
+                                    "WHERE o_orderkey = l_orderkey AND o_totalprice > 150000")
     ORACLES["parquet_scan"] = "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'"
-    ORACLES["jdbc_filtered_scan"] = f"SELECT * FROM ({census_measured_sql()}) m WHERE {READBACK_WHERE}"
-    ORACLES["range_predicate"] = _range_parts_sql("SELECT * FROM lineitem", "l_orderkey", R.PARTS)
-    ORACLES["partition_assign"] = ORACLES["range_predicate"]
-    ORACLES["in_list_cast"] = R.IN_LIST_SQL
-    ORACLES["partition_bounds"] = (
-        "SELECT COALESCE(CAST(FLOOR(MIN(l_orderkey)) AS BIGINT), 0) AS min, "
-        "COALESCE(CAST(FLOOR(MAX(l_orderkey)) AS BIGINT), 0) AS max FROM lineitem")
+    ORACLES["filtered_table_scan"] = f"SELECT * FROM ({census_measured_sql()}) m WHERE {READBACK_WHERE}"
+    ORACLES["range_predicate"] = (
+        f"SELECT *, 1 AS n_parts FROM ({_range_parts_sql('SELECT * FROM lineitem', 'l_orderkey', PARTS)}) q")
+    ORACLES["partition_assign"] = _range_parts_sql(FRACTIONAL, "x", PARTS)
+    ORACLES["in_list_cast"] = ("SELECT o_custkey::INTEGER AS custkey, o_orderkey FROM orders "
+                               "WHERE o_orderpriority = '1-URGENT' OR o_orderpriority = '2-HIGH'")
+    ORACLES["partition_bounds"] = "SELECT min(l_orderkey) AS min, max(l_orderkey) AS max FROM lineitem"
     ORACLES["partition_counts"] = (
-        f"SELECT CAST(p.range AS INTEGER) AS part, COALESCE(c.n, 0) AS n FROM range({R.PARTS}) p "
+        f"SELECT CAST(p.range AS INTEGER) AS part, COALESCE(c.n, 0) AS n FROM range({PARTS}) p "
         f"LEFT JOIN (SELECT part, COUNT(*) AS n FROM "
-        f"({_range_parts_sql('SELECT l_orderkey FROM lineitem', 'l_orderkey', R.PARTS)}) x "
+        f"({_range_parts_sql('SELECT l_orderkey FROM lineitem', 'l_orderkey', PARTS)}) x "
         f"GROUP BY part) c ON p.range = c.part")
-    join = "SELECT * FROM nation n, region r WHERE n.n_regionkey = r.r_regionkey"
-    ORACLES["cross_source_equi_join"] = join
-    ORACLES["federated_sql"] = join
-    ORACLES["spja_three_way"] = spja
-    ORACLES["spja_revenue"] = spja
-    ORACLES["count_rows"] = f"SELECT COUNT(*) AS n FROM ({R.COUNT_SQL}) q"
+    ORACLES["cross_source_equi_join"] = "SELECT * FROM nation n, region r WHERE n.n_regionkey = r.r_regionkey"
+    ORACLES["federated_sql"] = ("SELECT s_suppkey, s_name, (SELECT n_name FROM nation WHERE n_nationkey = s_nationkey) "
+                                "AS nation FROM supplier")
+    ORACLES["spja_three_way"] = REVENUE
+    ORACLES["spja_revenue"] = REVENUE
+    ORACLES["count_rows"] = "SELECT COUNT(*) AS n FROM lineitem WHERE l_shipdate > TIMESTAMP '1995-03-15'"
     ORACLES["min_max"] = (
         "SELECT COALESCE(CAST(FLOOR(MIN(l_extendedprice)) AS BIGINT), 0) AS min, "
         "COALESCE(CAST(FLOOR(MAX(l_extendedprice)) AS BIGINT), 0) AS max FROM lineitem")
     ORACLES["group_sum"] = (
         "SELECT CASE WHEN l_returnflag = 'R' THEN TRUE WHEN l_returnflag = 'A' THEN FALSE END "
         "AS flag, ROUND(SUM(l_quantity), 2) AS sum_qty FROM lineitem GROUP BY 1")
-    ORACLES["fed_group_agg"] = R.FED_AGG_SQL.replace("db1.", "").replace("db2.", "")
+    ORACLES["fed_group_agg"] = (
+        "SELECT o_orderstatus, COUNT(l_discount) AS n_lines, ROUND(AVG(l_extendedprice), 2) AS mean_price, "
+        "SUM(l_quantity) AS quantity FROM lineitem, orders WHERE l_orderkey = o_orderkey GROUP BY o_orderstatus")
     ORACLES["head"] = f"SELECT * FROM ({census_expanded_sql()}) e ORDER BY id LIMIT 5"
     ORACLES["page"] = (f"SELECT * FROM ({census_expanded_sql()}) e ORDER BY id "
                        f"LIMIT 100000 OFFSET 100000")
     ORACLES["limit_then_partition"] = _range_parts_sql(
-        "SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000", "l_orderkey", 3)
-    ORACLES["order_by"] = R.ORDER_BY_SQL
+        "SELECT l_orderkey, l_linenumber, l_extendedprice - 20000.25 AS x FROM "
+        "(SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000) l "
+        "WHERE l_linenumber NOT IN (5, 6)", "x", 3)
+    ORACLES["order_by"] = "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders"
     ORACLES["sql_scalar_udf"] = "SELECT o_orderkey, o_custkey + 1 AS next_custkey FROM orders"
     ORACLES["federated_pushdown"] = (
-        f"SELECT c_mktsegment, ROUND(SUM(l_extendedprice), 2) AS revenue, COUNT(*) AS n_lines "
-        f"FROM lineitem l, ({R.PUSHDOWN_VIEW_SQL}) oc WHERE l.l_orderkey = oc.o_orderkey "
-        f"GROUP BY c_mktsegment")
+        "SELECT c_mktsegment, ROUND(SUM(l_extendedprice), 2) AS revenue, COUNT(*) AS n_lines "
+        "FROM lineitem, orders, customer WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey "
+        "GROUP BY c_mktsegment")
+    ORACLES["union_parts"] = ("SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL "
+                              "SELECT s_suppkey, s_name FROM supplier, range(2)")
 
 
 _query_oracles()
 
 
 def _sink_oracles():
-    ORACLES["csv_scan"] = census_like_sql("orders")
-    ORACLES["land_raw"] = census_like_sql("orders")
+    ORACLES["csv_scan"] = census_raw_sql()
+    ORACLES["land_raw"] = census_raw_sql()
     ORACLES["csv_multi_scan"] = ("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS "
                                  "c_nationkey, c_acctbal, c_mktsegment FROM customer")
-    ORACLES["csv_infer"] = (
-        "SELECT * FROM (VALUES ('c_custkey', 'bigint', false), ('c_name', 'string', false), "
-        "('c_nationkey', 'bigint', false), ('c_acctbal', 'double', false), "
-        "('c_mktsegment', 'string', false)) t(column_name, data_type, nullable)")
+    ORACLES["csv_infer"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, '{kind}' AS data_type, false AS nullable, COUNT(*) AS n_values, "
+        f"COUNT(DISTINCT {name}) AS n_distinct FROM customer"
+        for name, kind in (("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "bigint"),
+                           ("c_acctbal", "double"), ("c_mktsegment", "string")))
     measured = census_measured_sql()
     ORACLES["parquet_sink"] = measured
     ORACLES["publish_if_absent"] = measured
     ORACLES["load_if_incomplete"] = measured
     ORACLES["csv_sink"] = "SELECT * FROM orders"
-    ORACLES["jdbc_bulk_sink"] = (
+    ORACLES["bulk_table_sink"] = (
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
         "CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders")
     ORACLES["arrow_batches"] = "SELECT * FROM lineitem"
     expanded = census_expanded_sql()
     ORACLES["census_pipeline"] = f"SELECT * FROM ({expanded}) e WHERE {SIMPLE_WHERE}"
     ORACLES["census_etl_only"] = ORACLES["census_expand"]
-    ORACLES["census_filter_from_jdbc"] = (
+    ORACLES["census_filter_readback"] = (
         f"SELECT * FROM ({expanded}) e WHERE ({READBACK_WHERE}) AND ({SIMPLE_WHERE})")
+    ORACLES["census_readback"] = f"SELECT * FROM ({expanded}) e WHERE {READBACK_WHERE}"
 
 
 _sink_oracles()
 
 
 def _norm_oracles():
-    from . import registry as R
     k2 = "l_orderkey, l_linenumber"
     ORACLES["norm_int_widen"] = ("SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS c_small, "
                                  "CAST(l_linenumber AS BIGINT) AS c_int, "
-                                 "CAST(l_linenumber AS SMALLINT) AS pg_small FROM lineitem")
+                                 "CAST(l_linenumber AS SMALLINT) AS pg_small, "
+                                 "CAST(l_linenumber AS BIGINT) AS bq_int FROM lineitem")
     ORACLES["norm_u64_double"] = (f"SELECT {k2}, CAST(l_orderkey * 1000003 AS DOUBLE) AS u64, "
                                   f"CAST(l_linenumber AS BIGINT) AS u32 FROM lineitem")
     ORACLES["norm_float_widen"] = (f"SELECT {k2}, CAST(CAST(l_discount AS FLOAT) AS DOUBLE) AS f32, "
-                                   f"CAST(l_discount AS FLOAT) AS pg_f32 FROM lineitem")
+                                   f"CAST(l_discount AS FLOAT) AS pg_f32, CAST(CAST(CAST(l_discount AS FLOAT) AS VARCHAR) AS DOUBLE) "
+                                   f"AS ora_f32, l_extendedprice AS ora_f64 FROM lineitem")
     ORACLES["norm_decimal"] = (
         f"SELECT {k2}, CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS DECIMAL(38,10)) AS pg_dec, "
         f"CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS DOUBLE) AS my_dec, "
-        f"CAST(CAST(l_quantity AS DECIMAL(10,0)) AS BIGINT) AS num0 FROM lineitem")
+        f"CAST(CAST(l_quantity AS DECIMAL(10,0)) AS BIGINT) AS num0, "
+        f"CAST(CAST(l_quantity AS DECIMAL(10,0)) AS BIGINT) AS num10, l_extendedprice AS bq_big FROM lineitem")
     ORACLES["norm_tinyint_bool"] = (f"SELECT {k2}, (l_linenumber % 2) <> 0 AS flag, "
                                     f"CAST(l_linenumber % 2 AS BIGINT) AS flag_pd FROM lineitem")
-    ORACLES["norm_uuid"] = f"SELECT {k2}, {R.uuid_canonical_sql()} AS u FROM lineitem"
+    spelled = "regexp_replace(md5(l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR), '^(.{8})(.{4})(.{4})(.{4})', '\\1-\\2-\\3-\\4-')"
+    ORACLES["norm_uuid"] = f"SELECT {k2}, {spelled} AS u, {spelled} AS ms_u FROM lineitem"
     ORACLES["norm_json"] = (
         f"SELECT {k2}, '{{\"flag\":\"' || l_returnflag || '\",\"line\":' || "
         f"CAST(l_linenumber AS VARCHAR) || ',\"qty\":' || "
-        f"CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '}}' AS doc FROM lineitem")
+        f"CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '}}' AS doc, "
+        f"'{{\"a\": 1, \"a\": ' || l_linenumber::VARCHAR || '}}' AS twice FROM lineitem")
     ORACLES["norm_hstore"] = (
         f"SELECT {k2}, '{{\"flag\":\"' || l_returnflag || '\",\"status\":' || CASE WHEN "
         f"l_linestatus = 'O' THEN 'null' ELSE '\"' || l_linestatus || '\"' END || '}}' AS kv "
@@ -179,20 +221,21 @@ def _norm_oracles():
     ORACLES["norm_textlike"] = (f"SELECT {k2}, rpad(l_returnflag, 5, ' ') AS code, "
                                 f"l_linestatus AS status FROM lineitem")
     s = "((l_orderkey * 37 + l_linenumber * 1013) % 86400)"
-    ORACLES["norm_time"] = (
-        f"SELECT {k2}, lpad(CAST({s} // 3600 AS VARCHAR), 2, '0') || ':' || "
-        f"lpad(CAST(({s} // 60) % 60 AS VARCHAR), 2, '0') || ':' || "
-        f"lpad(CAST({s} % 60 AS VARCHAR), 2, '0') || "
-        f"CASE WHEN l_linenumber % 3 = 0 THEN '.062547' ELSE '' END AS t FROM lineitem")
+    spoken = (f"lpad(CAST({s} // 3600 AS VARCHAR), 2, '0') || ':' || "
+              f"lpad(CAST(({s} // 60) % 60 AS VARCHAR), 2, '0') || ':' || "
+              f"lpad(CAST({s} % 60 AS VARCHAR), 2, '0') || "
+              f"CASE WHEN l_linenumber % 3 = 0 THEN '.062547' ELSE '' END")
+    ORACLES["norm_time"] = f"SELECT {k2}, {spoken} AS t, {spoken} AS typed FROM lineitem"
     ORACLES["norm_timestamp"] = (
         "SELECT o_orderkey, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) - "
         "to_hours(CASE WHEN o_orderkey % 3 = 0 THEN 8 WHEN o_orderkey % 3 = 1 THEN -4 ELSE 0 END) "
         "AS tstz, o_orderdate AS ts, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d FROM orders")
+    shifted = ("o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) + CASE WHEN o_orderkey % 2 = 0 THEN "
+               "INTERVAL 500 MILLISECOND ELSE INTERVAL 0 SECOND END")
+    later = "o_orderdate + INTERVAL 3 HOUR + INTERVAL 4 MINUTE + INTERVAL 5 SECOND"
     ORACLES["norm_text_temporal"] = (
-        "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d_txt, o_orderdate + "
-        "to_hours(CAST(o_orderkey % 24 AS INTEGER)) + CASE WHEN o_orderkey % 2 = 0 THEN "
-        "INTERVAL 500 MILLISECOND ELSE INTERVAL 0 SECOND END AS ts_txt, o_orderdate AS dt_txt "
-        "FROM orders")
+        f"SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d_txt, {shifted} AS ts_txt, o_orderdate AS dt_txt, "
+        f"{shifted} AS ts3_txt, {shifted} AS dt6_txt, {later} AS ora_txt, {later} AS ora_date FROM orders")
     ORACLES["norm_text_blob"] = (f"SELECT {k2}, l_returnflag || l_linestatus AS txt_blob, "
                                  f"CAST(l_returnflag AS BLOB) AS raw_blob FROM lineitem")
     ORACLES["norm_infinity"] = (
@@ -204,12 +247,14 @@ def _norm_oracles():
     arr = ("CASE WHEN l_linenumber = 1 THEN []::BIGINT[] WHEN l_linenumber = 7 THEN NULL "
            "ELSE [l_partkey, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_suppkey END, "
            "CAST(l_linenumber AS BIGINT)]::BIGINT[] END")
-    ORACLES["norm_array_text"] = f"SELECT {k2}, {arr} AS arr FROM lineitem"
+    ORACLES["norm_array_text"] = (f"SELECT {k2}, {arr} AS arr, [l_returnflag || ',x', 'plain', NULL, 'NULL'] AS words, "
+                                  f"[CAST(l_shipdate AS DATE)] AS days FROM lineitem")
     ORACLES["norm_array_no_null"] = (
         f"SELECT {k2}, {arr} AS arr, CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 1 "
         f"THEN false ELSE l_linenumber % 3 = 0 END AS has_null FROM lineitem")
-    ORACLES["norm_bool_text"] = (f"SELECT {k2}, CASE l_returnflag WHEN 'R' THEN true WHEN 'A' "
-                                 f"THEN false ELSE NULL END AS b FROM lineitem")
+    flag = "CASE l_returnflag WHEN 'R' THEN true WHEN 'A' THEN false END"
+    ORACLES["norm_bool_text"] = (f"SELECT {k2}, {flag} AS b, {flag} AS tr, {flag} AS bq, {flag} AS ms, "
+                                 f"l_returnflag = 'R' AS ms_typed FROM lineitem")
     ORACLES["norm_empty_null"] = (f"SELECT {k2}, CASE WHEN l_linestatus = 'O' THEN NULL ELSE "
                                   f"l_returnflag END AS v FROM lineitem")
     ORACLES["norm_bytes"] = (f"SELECT {k2}, unhex(substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8)) "
@@ -222,7 +267,7 @@ def _norm_oracles():
     ORACLES["normalize_table"] = ("SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, "
                                   "CAST(label AS BIGINT) AS label FROM embeddings")
     ORACLES["resolve_dynamic"] = ("SELECT o_orderkey AS a, o_totalprice AS b, o_orderpriority AS c, "
-                                  "o_custkey AS d FROM orders")
+                                  "o_custkey AS d, o_orderstatus = 'F' AS e, CAST(o_orderdate AS DATE) AS f, o_orderdate AS g FROM orders")
 
 
 _norm_oracles()

@@ -6,8 +6,6 @@ derives from them), over whole tables.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +17,6 @@ from .session import scratch_path
 
 QUERIES: dict = {}
 
-# Bump when a written intermediate changes shape, so stale scratch data is never reused.
-SCRATCH_VERSION = "v1"
-
 
 def query(fn):
     QUERIES[fn.__name__.removeprefix("q_")] = fn
@@ -32,9 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def scratch_for(spark: SparkSession, sf_dir: str, *parts: str) -> str:
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    return scratch_path(spark, SCRATCH_VERSION, tag, *parts)
+def scratch_for(spark: SparkSession, name: str) -> str:
+    """A folder of its own for every call, so that no query reads what another or an earlier run wrote."""
+    return scratch_path(spark, "queries", name, unique=True)
 
 
 def census_raw(spark, sf_dir):
@@ -81,13 +76,22 @@ def q_replicate(spark, sf_dir):
     return replicate(table(spark, sf_dir, "orders"), EXPAND_TIMES)
 
 
+@query
+def q_union_parts(spark, sf_dir):
+    from .operators.setops import union_parts
+    return union_parts([
+        table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")),
+        table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+        table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")])
+
+
 # ---- 2.12 end-to-end ---------------------------------------------------------------------
 
 @query
 def q_census_expand(spark, sf_dir):
-    return census_expand(census_raw(spark, sf_dir),
-                         parquet_path=scratch_for(spark, sf_dir, "expand", "census.parquet"),
-                         csv_path=scratch_for(spark, sf_dir, "expand", "census.csv"))
+    base = scratch_for(spark, "census_expand")
+    return census_expand(census_raw(spark, sf_dir), parquet_path=f"{base}/census.parquet",
+                         csv_path=f"{base}/census.csv")
 
 
 # ---- shared helpers for SQL-source queries -------------------------------------------------
@@ -97,29 +101,21 @@ def source(spark, sf_dir):
     return parquet_dir_source(spark, sf_dir)
 
 
-# Fixed query texts (the loader's documentation / tests, on the shared tables).
-SPJA_SQL = """
-SELECT l_orderkey,
-       ROUND(SUM(l_extendedprice * (1 - l_discount)), 2) AS revenue,
-       o_orderdate,
-       o_orderpriority
-FROM   customer,
-       orders,
-       lineitem
-WHERE  c_mktsegment = 'BUILDING'
-       AND c_custkey = o_custkey
-       AND l_orderkey = o_orderkey
-       AND o_orderdate < DATE '1995-03-15'
-       AND l_shipdate > DATE '1995-03-15'
-GROUP  BY l_orderkey,
-          o_orderdate,
-          o_orderpriority
-"""
-FED_JOIN_SQL = "SELECT * FROM db1.nation n, db2.region r where n.n_regionkey = r.r_regionkey"
-FED_AGG_SQL = ("select o_orderstatus, ROUND(AVG(l_extendedprice), 2) as avg_price, "
-               "SUM(l_quantity) as sum_qty from db1.lineitem as a, db2.orders as b "
-               "where a.l_orderkey = b.o_orderkey AND l_discount is not NULL "
-               "GROUP BY o_orderstatus ORDER BY sum_qty")
+# Query texts on the shared tables, one for each shape of statement that a source must take.
+PARTS = 4
+REVENUE_SQL = """
+SELECT li.l_orderkey, ord.o_orderdate, ord.o_orderpriority,
+  ROUND(SUM(li.l_extendedprice - li.l_extendedprice * li.l_discount), 2) AS revenue
+FROM orders ord JOIN customer cust ON cust.c_custkey = ord.o_custkey JOIN lineitem li ON li.l_orderkey = ord.o_orderkey
+WHERE cust.c_mktsegment = 'BUILDING' AND ord.o_orderdate < DATE '1995-03-15' AND li.l_shipdate > DATE '1995-03-15'
+GROUP BY ALL"""
+SHIPPED_SQL = "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem WHERE l_quantity > 10"
+SUPPLIERS_SQL = """
+SELECT s_suppkey, s_name, n_name AS nation FROM db1.supplier JOIN db2.nation ON n_nationkey = s_nationkey"""
+STATUS_SQL = """
+SELECT ord.o_orderstatus, COUNT(*) AS n_lines, ROUND(AVG(li.l_extendedprice), 2) AS mean_price, SUM(li.l_quantity) AS quantity
+FROM db2.orders ord JOIN db1.lineitem li ON li.l_orderkey = ord.o_orderkey WHERE li.l_discount IS NOT NULL
+GROUP BY ord.o_orderstatus ORDER BY quantity"""
 PUSHDOWN_VIEW_SQL = ("SELECT o_orderkey, o_orderdate, c_mktsegment FROM orders "
                      "JOIN customer ON o_custkey = c_custkey")
 PUSHDOWN_SQL = ("SELECT c_mktsegment, ROUND(SUM(l_extendedprice), 2) AS revenue, "
@@ -133,7 +129,8 @@ COUNT_SQL = "SELECT * FROM lineitem WHERE l_shipdate > DATE '1995-03-15'"
 READ_LIST_SQL = ["SELECT * FROM orders WHERE o_orderstatus = 'O'",
                  "SELECT * FROM orders WHERE o_orderstatus <> 'O'"]
 UDF_SQL = "SELECT o_orderkey, increment(o_custkey) AS next_custkey FROM orders"
-PARTS = 4
+CTE_SQL = "WITH dear AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 150000)"
+CTE_MAIN_SQL = "SELECT l_orderkey, l_linenumber, o_totalprice FROM lineitem JOIN dear ON o_orderkey = l_orderkey"
 
 
 # ---- 2.1 sources ----------------------------------------------------------------------------
@@ -153,8 +150,14 @@ def q_read_sql_list(spark, sf_dir):
 @query
 def q_read_sql_partitioned(spark, sf_dir):
     from .sources.sql import read_sql
-    return read_sql(spark, source(spark, sf_dir), SPJA_SQL, partition_on="l_orderkey",
-                    partition_num=PARTS)
+    return read_sql(spark, source(spark, sf_dir), SHIPPED_SQL, partition_on="l_orderkey",
+                    partition_num=PARTS, part_col="part")
+
+
+@query
+def q_read_sql_prepared(spark, sf_dir):
+    from .sources.sql import read_sql
+    return read_sql(spark, source(spark, sf_dir), CTE_MAIN_SQL, prepare_query=CTE_SQL)
 
 
 @query
@@ -165,33 +168,32 @@ def q_parquet_scan(spark, sf_dir):
 
 
 @query
-def q_jdbc_filtered_scan(spark, sf_dir):
+def q_filtered_table_scan(spark, sf_dir):
     from .sinks import load_if_incomplete
-    measured = C.add_census_measures(C.census_project(census_raw(spark, sf_dir)))
-    target = census_target(spark, sf_dir)
-    load_if_incomplete(measured, target, "census_measured", measured.count())
-    return C.readback_filter(target.table(spark, "census_measured"))
+    target = census_target(spark, "filtered_table_scan")
+    load_if_incomplete(_measured(spark, sf_dir), target, "census", table(spark, sf_dir, "orders").count())
+    return C.readback_filter(target.table(spark, "census"))
 
 
-def census_target(spark, sf_dir):
+def census_target(spark, name):
+    """An empty table target: a catalog database of its own over a folder of its own."""
     from .sources.sql import CatalogSource
-    tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    tables = {t: scratch_for(spark, sf_dir, "tables", t)
-              for t in ("census_measured", "orders_loaded", "census_pipeline")}
-    return CatalogSource(f"th_target_{tag}", tables).attach(spark)
+    folder = scratch_for(spark, name)
+    return CatalogSource("th_target_" + folder.rsplit("/", 1)[-1], {"census": f"{folder}/census"}).attach(spark)
 
 
 # ---- 2.3 predicates --------------------------------------------------------------------------
 
 @query
 def q_range_predicate(spark, sf_dir):
+    """The predicates that a database would get, evaluated in one scan: each row under the one it meets."""
     from .operators.partition import partition_bounds, plan_ranges, range_predicates
-    from .operators.setops import union_parts
     li = table(spark, sf_dir, "lineitem")
     b = partition_bounds(li, "l_orderkey").first()
     preds = range_predicates("l_orderkey", plan_ranges(b["min"], b["max"], PARTS))
-    return union_parts([li.where(F.expr(p)).withColumn("part", F.lit(i))
-                        for i, p in enumerate(preds)])
+    met = F.filter(F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(preds)]), lambda i: i.isNotNull())
+    return li.withColumn("parts", met).where(F.size("parts") > 0).withColumn(
+        "part", F.element_at("parts", 1)).withColumn("n_parts", F.size("parts")).drop("parts")
 
 
 @query
@@ -211,7 +213,14 @@ def q_partition_bounds(spark, sf_dir):
 @query
 def q_partition_assign(spark, sf_dir):
     from .operators.partition import partition_assign
-    return partition_assign(table(spark, sf_dir, "lineitem"), "l_orderkey", PARTS)
+    return partition_assign(_fractional(spark, sf_dir), "x", PARTS)
+
+
+def _fractional(spark, sf_dir):
+    """lineitem keys with a fractional column that has negative values, NULLs and NaNs."""
+    x = (F.when(F.col("l_linenumber") == 6, F.lit(None)).when(F.col("l_linenumber") == 5, F.lit(float("nan")))
+         .otherwise(F.col("l_extendedprice") - F.lit(20000.25)))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", x.alias("x"))
 
 
 @query
@@ -268,13 +277,13 @@ def q_group_sum(spark, sf_dir):
 @query
 def q_fed_group_agg(spark, sf_dir):
     from .plans.federate import federated_sql
-    return federated_sql(spark, {"db1": sf_dir, "db2": sf_dir}, FED_AGG_SQL)
+    return federated_sql(spark, {"db1": sf_dir, "db2": sf_dir}, STATUS_SQL)
 
 
 @query
 def q_spja_revenue(spark, sf_dir):
     from .sources.sql import read_sql
-    return read_sql(spark, source(spark, sf_dir), SPJA_SQL)
+    return read_sql(spark, source(spark, sf_dir), REVENUE_SQL)
 
 
 # ---- 2.7 sorts / limits ----------------------------------------------------------------------
@@ -294,8 +303,7 @@ def q_page(spark, sf_dir):
 @query
 def q_limit_then_partition(spark, sf_dir):
     from .operators.rows import limit_then_partition
-    return limit_then_partition(table(spark, sf_dir, "lineitem"), 1000,
-                                ["l_orderkey", "l_linenumber"], "l_orderkey", 3)
+    return limit_then_partition(_fractional(spark, sf_dir), 1000, ["l_orderkey", "l_linenumber"], "x", 3)
 
 
 @query
@@ -319,7 +327,7 @@ def q_sql_scalar_udf(spark, sf_dir):
 @query
 def q_federated_sql(spark, sf_dir):
     from .plans.federate import federated_sql
-    return federated_sql(spark, {"db1": sf_dir, "db2": sf_dir}, FED_JOIN_SQL)
+    return federated_sql(spark, {"db1": sf_dir, "db2": sf_dir}, SUPPLIERS_SQL)
 
 
 @query
@@ -336,25 +344,20 @@ def q_federated_pushdown(spark, sf_dir):
 
 def _census_csv(spark, sf_dir):
     """The census-shaped raw table written once as CSV (the file the job lands)."""
-    from .sources.fs import committed
-    path = scratch_for(spark, sf_dir, "files", "census_raw.csv")
-    if not committed(spark, path):
-        census_raw(spark, sf_dir).write.mode("overwrite").csv(path, header=True)
+    path = scratch_for(spark, "census_raw.csv")
+    census_raw(spark, sf_dir).write.csv(path, header=True)
     return path
 
 
 def _customer_csv_files(spark, sf_dir):
-    """``customer`` written as several CSV files (at most 500 records each)."""
-    from .sources.fs import committed
-    path = scratch_for(spark, sf_dir, "files", "customer_csv")
-    if not committed(spark, path):
-        (table(spark, sf_dir, "customer").write.mode("overwrite")
-         .option("maxRecordsPerFile", 500).csv(path, header=True))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(str(s.getPath().toString()) for s in fs.listStatus(p)
-                  if s.getPath().getName().endswith(".csv"))
+    """``customer`` as two folders of CSV files of at most 500 records, the second with its columns in
+    another order."""
+    base, customer = scratch_for(spark, "customer_csv"), table(spark, sf_dir, "customer")
+    halves = {"odd": customer.where("c_custkey % 2 = 1"),
+              "even": customer.where("c_custkey % 2 = 0").select(*reversed(customer.columns))}
+    for name, half in halves.items():
+        half.write.option("maxRecordsPerFile", 500).csv(f"{base}/{name}", header=True)
+    return [f"{base}/{name}" for name in halves]
 
 
 @query
@@ -371,17 +374,21 @@ def q_csv_multi_scan(spark, sf_dir):
 
 @query
 def q_csv_infer(spark, sf_dir):
-    from .sources.files import csv_infer
-    schema = csv_infer(spark, _customer_csv_files(spark, sf_dir)[0])
-    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields]
-    return spark.createDataFrame(rows, "column_name string, data_type string, nullable boolean")
+    """The inferred type of each column, with what all files hold under it."""
+    from .sources.files import csv_infer, csv_multi_scan
+    files = _customer_csv_files(spark, sf_dir)
+    schema = csv_infer(spark, files)
+    rows = csv_multi_scan(spark, files, schema)
+    facts = rows.agg(*[F.struct(F.lit(f.name).alias("column_name"), F.max(F.typeof(f.name)).alias("data_type"),
+                                F.lit(f.nullable).alias("nullable"), F.count(f.name).alias("n_values"),
+                                F.countDistinct(f.name).alias("n_distinct")).alias(f.name) for f in schema.fields])
+    return facts.select(F.inline(F.array(*[F.col(f.name) for f in schema.fields])))
 
 
 @query
 def q_land_raw(spark, sf_dir):
     from .sources.files import land_raw
-    return land_raw(spark, _census_csv(spark, sf_dir), scratch_for(spark, sf_dir, "raw"),
-                    preview=0)
+    return land_raw(spark, _census_csv(spark, sf_dir), scratch_for(spark, "raw"), preview=0)
 
 
 def _measured(spark, sf_dir):
@@ -391,7 +398,7 @@ def _measured(spark, sf_dir):
 @query
 def q_parquet_sink(spark, sf_dir):
     from .sinks import parquet_sink
-    path = scratch_for(spark, sf_dir, "sink", "measured.parquet")
+    path = scratch_for(spark, "measured.parquet")
     parquet_sink(_measured(spark, sf_dir), path)
     return spark.read.parquet(path)
 
@@ -400,7 +407,7 @@ def q_parquet_sink(spark, sf_dir):
 def q_csv_sink(spark, sf_dir):
     from .sinks import csv_sink
     orders = table(spark, sf_dir, "orders")
-    path = scratch_for(spark, sf_dir, "sink", "orders.csv")
+    path = scratch_for(spark, "orders.csv")
     csv_sink(orders, path)
     return spark.read.schema(orders.schema).csv(path, header=True)
 
@@ -408,32 +415,37 @@ def q_csv_sink(spark, sf_dir):
 @query
 def q_publish_if_absent(spark, sf_dir):
     from .sinks import publish_if_absent
-    path = scratch_for(spark, sf_dir, "published", "measured.parquet")
+    path = scratch_for(spark, "published.parquet")
     publish_if_absent(_measured(spark, sf_dir), path)
+    publish_if_absent(_measured(spark, sf_dir).limit(0), path)  # already there: writes nothing
     return spark.read.parquet(path)
 
 
 @query
-def q_jdbc_bulk_sink(spark, sf_dir):
+def q_bulk_table_sink(spark, sf_dir):
     from .sinks import bulk_sink
-    target = census_target(spark, sf_dir)
-    bulk_sink(table(spark, sf_dir, "orders"), target, "orders_loaded", mode="overwrite")
-    return spark.table(f"{target.database}.orders_loaded")
+    target = census_target(spark, "bulk_table_sink")
+    orders = table(spark, sf_dir, "orders")
+    bulk_sink(orders.where("o_orderkey % 2 = 0"), target, "census", mode="overwrite")
+    bulk_sink(orders.where("o_orderkey % 2 = 1"), target, "census")  # a second load is appended
+    return target.table(spark, "census")
 
 
 @query
 def q_load_if_incomplete(spark, sf_dir):
-    from .sinks import load_if_incomplete
-    measured = _measured(spark, sf_dir)
-    target = census_target(spark, sf_dir)
-    load_if_incomplete(measured, target, "census_measured", measured.count())
-    return target.table(spark, "census_measured")
+    from .sinks import bulk_sink, load_if_incomplete
+    target, measured = census_target(spark, "load_if_incomplete"), _measured(spark, sf_dir)
+    bulk_sink(measured.where("id % 3 = 0"), target, "census", mode="overwrite")  # an earlier load that broke off
+    load_if_incomplete(measured, target, "census", table(spark, sf_dir, "orders").count())
+    return target.table(spark, "census")
 
 
 @query
 def q_arrow_batches(spark, sf_dir):
-    from .streaming import arrow_batches
-    return arrow_batches(table(spark, sf_dir, "lineitem"))
+    """lineitem as encoded batches, as a consumer gets them, and decoded again."""
+    from .streaming import arrow_batches, decode_batches
+    li = table(spark, sf_dir, "lineitem")
+    return decode_batches(arrow_batches(li), li.schema)
 
 
 # ---- 2.12 the census job --------------------------------------------------------------------
@@ -442,12 +454,11 @@ def _run_census(spark, sf_dir, **kw):
     """The whole job: land the census CSV, expand, load the table target if
     incomplete, publish if absent, read back, filter."""
     from .plans.census import CensusConfig, run_census
-    cfg = CensusConfig(raw_dir=scratch_for(spark, sf_dir, "job", "raw"),
-                       expanded_dir=scratch_for(spark, sf_dir, "job", "large"),
+    base = scratch_for(spark, "census_job")
+    cfg = CensusConfig(raw_dir=f"{base}/raw", expanded_dir=f"{base}/large",
                        source_path=_census_csv(spark, sf_dir),
-                       target=census_target(spark, sf_dir), table="census_pipeline",
-                       publish_path=scratch_for(spark, sf_dir, "job", "bucket", "large",
-                                                "census.parquet"), **kw)
+                       target=census_target(spark, "census_job"), table="census",
+                       publish_path=f"{base}/bucket/large/census.parquet", **kw)
     return run_census(spark, cfg)
 
 
@@ -462,10 +473,17 @@ def q_census_etl_only(spark, sf_dir):
 
 
 @query
-def q_census_filter_from_jdbc(spark, sf_dir):
+def q_census_filter_readback(spark, sf_dir):
+    """The filter on the read-back subset, which no row meets: one age group is read, another asked for."""
     return _run_census(spark, sf_dir, filter_on="readback").simple
 
 
+@query
+def q_census_readback(spark, sf_dir):
+    """The subset that the job reads back from its table."""
+    return _run_census(spark, sf_dir).readback
+
+
 # ---- 2.9 type normalisation (source-typed columns derived from the shared tables) -----------
 
 def _normalized(spark, sf_dir, name, keep, derive, specs):
@@ -501,8 +519,9 @@ SHIFT_HOURS = "CAST(o_orderkey % 24 AS INT)"
 def q_norm_int_widen(spark, sf_dir):
     return _normalized(spark, sf_dir, "lineitem", ["l_orderkey"],
                        ["CAST(l_linenumber AS SMALLINT) AS c_small", "l_linenumber AS c_int",
-                        "CAST(l_linenumber AS SMALLINT) AS pg_small"],
-                       [("c_small", "mysql", "arrow", "smallint"),
+                        "CAST(l_linenumber AS SMALLINT) AS pg_small", "CAST(l_linenumber AS STRING) AS bq_int"],
+                       [("bq_int", "bigquery", "arrow", "INT64"),
+                        ("c_small", "mysql", "arrow", "smallint"),
                         ("c_int", "mysql", "arrow", "int"),
                         ("pg_small", "postgres", "arrow", "int2")])
 
@@ -518,8 +537,11 @@ def q_norm_u64_double(spark, sf_dir):
 @query
 def q_norm_float_widen(spark, sf_dir):
     return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
-                       ["CAST(l_discount AS FLOAT) AS f32", "CAST(l_discount AS FLOAT) AS pg_f32"],
-                       [("f32", "mysql", "arrow", "float"), ("pg_f32", "postgres", "arrow", "float4")])
+                       ["CAST(l_discount AS FLOAT) AS f32", "CAST(l_discount AS FLOAT) AS pg_f32",
+                        "CAST(CAST(l_discount AS FLOAT) AS STRING) AS ora_f32",
+                        "CAST(l_extendedprice AS STRING) AS ora_f64"],
+                       [("f32", "mysql", "arrow", "float"), ("pg_f32", "postgres", "arrow", "float4"),
+                        ("ora_f32", "oracle", "arrow", "BINARY_FLOAT"), ("ora_f64", "oracle", "arrow", "BINARY_DOUBLE")])
 
 
 @query
@@ -527,10 +549,12 @@ def q_norm_decimal(spark, sf_dir):
     return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
                        ["CAST(l_extendedprice AS DECIMAL(15,2)) AS pg_dec",
                         "CAST(l_extendedprice AS DECIMAL(15,2)) AS my_dec",
-                        "CAST(l_quantity AS DECIMAL(10,0)) AS num0"],
+                        "CAST(l_quantity AS DECIMAL(10,0)) AS num0", "CAST(l_quantity AS DECIMAL(10,0)) AS num10",
+                        "CAST(l_extendedprice AS STRING) AS bq_big"],
                        [("pg_dec", "postgres", "arrow", "numeric(15,2)"),
                         ("my_dec", "mysql", "arrow", "decimal(15,2)"),
-                        ("num0", "oracle", "arrow", "number(10,0)")])
+                        ("num0", "oracle", "arrow", "number(10,0)"), ("num10", "oracle", "arrow", "number(10)"),
+                        ("bq_big", "bigquery", "arrow", "BIGNUMERIC")])
 
 
 @query
@@ -545,7 +569,8 @@ def q_norm_tinyint_bool(spark, sf_dir):
 @query
 def q_norm_uuid(spark, sf_dir):
     return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
-                       [f"{uuid_spelled_sql()} AS u"], [("u", "postgres", "arrow", "uuid")])
+                       [f"{uuid_spelled_sql()} AS u", f"upper({uuid_canonical_sql()}) AS ms_u"],
+                       [("u", "postgres", "arrow", "uuid"), ("ms_u", "mssql", "arrow", "uniqueidentifier")])
 
 
 @query
@@ -553,8 +578,9 @@ def q_norm_json(spark, sf_dir):
     return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
                        ["'{\"qty\": ' || CAST(CAST(l_quantity AS BIGINT) AS STRING) || "
                         "', \"flag\": \"' || l_returnflag || '\", \"line\": ' || "
-                        "CAST(l_linenumber AS STRING) || '}' AS doc"],
-                       [("doc", "postgres", "arrow", "jsonb")])
+                        "CAST(l_linenumber AS STRING) || '}' AS doc",
+                        "' {\"a\": 1, \"a\": ' || CAST(l_linenumber AS STRING) || '}' AS twice"],
+                       [("doc", "postgres", "arrow", "jsonb"), ("twice", "postgres", "arrow", "json")])
 
 
 @query
@@ -589,7 +615,8 @@ def q_norm_time(spark, sf_dir):
            f"lpad(CAST({s} % 60 AS STRING), 2, '0') || "
            f"CASE WHEN l_linenumber % 3 = 0 THEN '.062547' ELSE '' END")
     return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
-                       [f"{txt} AS t"], [("t", "postgres", "pandas", "time")])
+                       [f"{txt} AS t", f"CAST({txt} AS TIME) AS typed"],
+                       [("t", "postgres", "pandas", "time"), ("typed", "postgres", "pandas", "time")])
 
 
 @query
@@ -610,10 +637,15 @@ def q_norm_text_temporal(spark, sf_dir):
           "'yyyy-MM-dd HH:mm:ss') || CASE WHEN o_orderkey % 2 = 0 THEN '.5' ELSE '' END")
     return _normalized(spark, sf_dir, "orders", ["o_orderkey"],
                        ["CAST(CAST(o_orderdate AS DATE) AS STRING) AS d_txt", f"{ts} AS ts_txt",
-                        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") AS dt_txt"],
+                        "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss\") AS dt_txt",
+                        f"{ts} AS ts3_txt", f"{ts} AS dt6_txt",
+                        "date_format(o_orderdate + make_interval(0, 0, 0, 0, 3, 4, 5), 'yyyy-MM-dd HH:mm:ss') AS ora_txt",
+                        "o_orderdate + make_interval(0, 0, 0, 0, 3, 4, 5) AS ora_date"],
                        [("d_txt", "trino", "arrow", "date"),
                         ("ts_txt", "trino", "arrow", "timestamp"),
-                        ("dt_txt", "bigquery", "arrow", "datetime")])
+                        ("dt_txt", "bigquery", "arrow", "datetime"), ("ts3_txt", "trino", "arrow", "timestamp(3)"),
+                        ("dt6_txt", "mysql", "arrow", "datetime(6)"), ("ora_txt", "oracle", "arrow", "DATE"),
+                        ("ora_date", "oracle", "arrow", "date")])
 
 
 @query
@@ -639,7 +671,11 @@ def q_norm_infinity(spark, sf_dir):
 @query
 def q_norm_array_text(spark, sf_dir):
     return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
-                       [f"{ARRAY_TEXT_SQL} AS arr"], [("arr", "postgres", "arrow", "_int8")])
+                       [f"{ARRAY_TEXT_SQL} AS arr",
+                        "'{\"' || l_returnflag || ',x\",plain,NULL,\"NULL\"}' AS words",
+                        "'{' || CAST(CAST(l_shipdate AS DATE) AS STRING) || '}' AS days"],
+                       [("arr", "postgres", "arrow", "_int8"), ("words", "postgres", "arrow", "_bpchar"),
+                        ("days", "postgres", "arrow", "_date")])
 
 
 @query
@@ -652,8 +688,14 @@ def q_norm_array_no_null(spark, sf_dir):
 @query
 def q_norm_bool_text(spark, sf_dir):
     return _normalized(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber"],
-                       ["CASE l_returnflag WHEN 'R' THEN 't' WHEN 'A' THEN 'f' ELSE '' END AS b"],
-                       [("b", "postgres", "arrow", "bool")])
+                       ["CASE l_returnflag WHEN 'R' THEN 't' WHEN 'A' THEN 'f' ELSE '' END AS b",
+                        "CASE l_returnflag WHEN 'R' THEN 'true' WHEN 'A' THEN 'false' END AS tr",
+                        "CASE l_returnflag WHEN 'R' THEN 'TRUE' WHEN 'A' THEN 'FALSE' END AS bq",
+                        "CASE l_returnflag WHEN 'R' THEN '1' WHEN 'A' THEN '0' END AS ms",
+                        "l_returnflag = 'R' AS ms_typed"],
+                       [("b", "postgres", "arrow", "bool"), ("tr", "trino", "arrow", "boolean"),
+                        ("bq", "bigquery", "arrow", "BOOL"), ("ms", "mssql", "arrow", "bit"),
+                        ("ms_typed", "mssql", "arrow", "bit")])
 
 
 @query
@@ -694,8 +736,10 @@ def q_resolve_dynamic(spark, sf_dir):
     from .functions.normalize import resolve_dynamic
     d = table(spark, sf_dir, "orders").selectExpr(
         "CAST(o_orderkey AS STRING) AS a", "CAST(o_totalprice AS STRING) AS b",
-        "o_orderpriority AS c", "CAST(o_custkey AS STRING) AS d")
-    return resolve_dynamic(d, {"a": "INTEGER"}, order_by="a")
+        "o_orderpriority AS c", "CAST(o_custkey AS STRING) AS d",
+        "CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '0' END AS e", "CAST(CAST(o_orderdate AS DATE) AS STRING) AS f",
+        "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') AS g")
+    return resolve_dynamic(d, {"a": "INTEGER", "e": "BOOL", "f": "DATE", "g": "DATETIME"}, order_by="a")
 
 
 # ---- 2.1 generator source, sized by the data ---------------------------------------------
