@@ -76,7 +76,7 @@ def test_page_runs_nothing_before_an_action(spark):
     from tablehaul.operators.rows import page
     spark.sparkContext.setJobGroup("paging", "paging")
     page(spark.range(0, 100_000), "id", 50_000, 10)
-    assert spark.sparkContext.statusTracker().getJobIdsForGroup("paging") == ()
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("paging")
     spark.sparkContext.setJobGroup("none", "none")
 
 
