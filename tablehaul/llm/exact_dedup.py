@@ -95,7 +95,7 @@ def exact_groups(docs: DataFrame, capacity: int = BUCKET_CAPACITY, digest_chars:
     every = entries(keyed.select("doc_id", "_h", "_sha", "_norm"))
     narrow = every.select("_h", F.substring("_sha", 1, digest_chars).alias("_key"), "_sha",
                           F.octet_length("_norm").alias("_bytes"), "keep_id", "group_size")
-    index = build_index(narrow, capacity)
+    index = build_index(saved(narrow, "dedup-entries"), capacity)
     total = index.agg(F.sum("group_size")).first()[0] or 0
     keyed = keyed.withColumn("_key", F.substring("_sha", 1, digest_chars))
     rows = keyed.drop("_h") if carry else keyed.drop("_h", "text")
