@@ -1,7 +1,7 @@
 """Substring dedup by hashed units: every repeated passage is kept once, where it occurs first.
 
-A text is cut into units: lines, and the sentences in them, so that a passage pasted into the middle of a
-paragraph is found too. A unit is normalised (case, punctuation, white space) and hashed to 128 bits. The
+A text is cut into units: lines, the sentences in them, and long sentences after words that a hash of the
+word picks, so that a passage pasted into the middle of a paragraph or sentence is found too. A unit is normalised (case, punctuation, white space) and hashed to 128 bits. The
 digests are grouped over all texts; the occurrence in the smallest doc_id, and there the first, stays. Of
 the others, runs of consecutive repeated units with at least MIN_WORDS words go; units below UNIT_WORDS
 words are never repeated on their own but pass with the run around them. The removed spans are returned as
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,22 +34,40 @@ from .common import lookup, saved
 
 MIN_WORDS = 10
 UNIT_WORDS = 3
+# Sentences over LONG_WORDS words are cut after one word in CUT_SHARE.
+LONG_WORDS = 16
+CUT_SHARE = 8
 
 # A unit ends after a sentence mark and white space, or at a line's end; the white space goes with it.
 UNIT = re.compile(r"[^\n]*?(?:[.!?]+[ \t\r]+|\n+|$)")
 WORD = re.compile(r"\w+")
 
 
+def _digest(words: list[str]) -> bytes | None:
+    if len(words) < UNIT_WORDS:
+        return None
+    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def units(text: str) -> list[tuple[int, int, int, bytes | None]]:
     """(start, end, words, digest) of each unit; the digest is None below UNIT_WORDS words."""
     out = []
     for m in UNIT.finditer(text):
-        if m.end() > m.start():
-            words = WORD.findall(m.group().lower())
-            digest = None
-            if len(words) >= UNIT_WORDS:
-                digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            out.append((m.start(), m.end(), len(words), digest))
+        start, end = m.span()
+        if start == end:
+            continue
+        words = WORD.findall(m.group().lower())
+        if len(words) > LONG_WORDS:
+            part = []
+            for w in WORD.finditer(text, start, end):
+                part.append(w.group().lower())
+                if zlib.crc32(part[-1].encode("utf-8", "surrogatepass")) % CUT_SHARE == 0:
+                    out.append((start, w.end(), len(part), _digest(part)))
+                    start, part = w.end(), []
+            if start == end:
+                continue
+            words = part
+        out.append((start, end, len(words), _digest(words)))
     return out
 
 
