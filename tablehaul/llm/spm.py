@@ -148,8 +148,8 @@ class Encoder:
         # an empty text gets no marker
         split = [self.chunk.findall(self.normalizer.normalize_str(t)) if t else [] for t in texts]
         chunks = set().union(*split)
-        new = list(chunks - self.memo.keys())
-        known = self.memo if len(self.memo) + len(new) <= MEMO_CHUNKS else {c: self.memo[c] for c in chunks & self.memo.keys()}
+        new = [c for c in chunks if c not in self.memo]
+        known = self.memo if len(self.memo) + len(new) <= MEMO_CHUNKS else {c: self.memo[c] for c in chunks if c in self.memo}
         known.update(self._learn(new))
         wrong = {c for c in chunks if not known[c][1]}
         return [(b"".join(known[c][0] for c in cs), not wrong or wrong.isdisjoint(cs)) for cs in split]
