@@ -27,16 +27,17 @@ def test_word_encoding_equals_the_library(tokenizer):
     texts += ["it's we'll '''s don't", "<|endoftext|> a <| b", "a" * 500, ""]
     encoder = P.WordEncoder(PATH)
     want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
-    assert encoder.encode(texts) == want
+    assert [encoder.encode(t) for t in texts] == want
+    assert [encoder.encode(t) for t in texts] == want  # from the memo
 
 
 def test_full_memo_changes_nothing(monkeypatch):
     rng = random.Random(2)
     texts = [prose(rng, 50) for _ in range(20)]
-    want = P.WordEncoder(PATH).encode(texts)
-    monkeypatch.setattr(P, "MEMO_WORDS", 40)
-    small = P.WordEncoder(PATH)
-    assert [x for t in texts for x in small.encode([t])] == want
+    whole, small = P.WordEncoder(PATH), P.WordEncoder(PATH)
+    want = [whole.encode(t) for t in texts]
+    monkeypatch.setattr(P, "MEMO_WORDS", 20)
+    assert [small.encode(t) for t in texts] == want and len(small) == 20
 
 
 @pytest.mark.parametrize("seed", range(5))
