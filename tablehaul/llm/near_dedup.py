@@ -14,9 +14,10 @@ when their weighted Jaccard similarity (sum of minima over sum of maxima) is at
    its centres: as many pairs as members, never all pairs of a bucket. Components of the confirmed links
    come from minimum labels passed along the links.
 4. What is left are buckets with several components. A member outside its bucket's largest component can
-   only have a link if enough of its shingles occur elsewhere in such buckets; an upper bound of the
-   similarity from these counts and the lengths settles nearly all. The rest is compared exactly, so no
-   candidate pair between different components is dropped unseen.
+   only have a link if enough of its shingles occur elsewhere in such buckets; that count, the lengths, and
+   the shingles' numbers in BINS bins give upper bounds of a pair's similarity, which settle nearly all within
+   the join. The rest is compared exactly, so no candidate pair between different components is dropped
+   unless its similarity is surely below the threshold.
 
 Scale: all joins are on buckets, nodes or ids, of narrow rows; texts are shuffled once, shingles only of
 nodes with a bucket mate. Copies are folded before. Signatures, buckets, shingles and links are written to
@@ -47,6 +48,7 @@ THRESHOLD = 0.8
 BANDS = 16
 ROWS = 4
 COORDINATES = BANDS * ROWS
+BINS = 256
 CHARS_AT_ONCE = 2_000_000
 MEMO_WORDS = 500_000
 
@@ -74,7 +76,7 @@ class Shingler:
 
     def _word_hashes(self, docs: list[list[str]]) -> np.ndarray:
         words = set().union(*docs)
-        new = words - self.memo.keys()
+        new = [w for w in words if w not in self.memo]
         if len(self.memo) + len(new) > MEMO_WORDS:
             self.memo = {}
             new = words
@@ -174,18 +176,23 @@ def _node(words: list[str]) -> str:
     return base64.b64encode(digest)[:22].decode()
 
 
+def _parts(texts: list[str | None]) -> Iterator[slice]:
+    """Runs of consecutive texts of together about CHARS_AT_ONCE code points."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= CHARS_AT_ONCE or i == len(texts) - 1:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, place, text) -> doc_id, place, node, bands; node and bands are null without a word."""
     shingler = per_worker("shingler", Shingler)
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        start = 0
-        while start < len(texts):
-            end, size = start, 0
-            while end < len(texts) and (end == start or size < CHARS_AT_ONCE):
-                size += len(texts[end] or "")
-                end += 1
-            words = [WORD.findall(t.lower()) if t else [] for t in texts[start:end]]
+        for part in _parts(texts):
+            words = [WORD.findall(t.lower()) if t else [] for t in texts[part]]
             nodes = [_node(ws) if ws else None for ws in words]
             first = {n: i for i, n in reversed(list(enumerate(nodes))) if n}
             bands: dict[str, list[int]] = {}
@@ -193,30 +200,35 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pairs = [np.unique(s, return_counts=True) for s in shingler.shingles([words[i] for i in first.values()])]
                 keys = band_keys(signatures([p[0] for p in pairs], [p[1] for p in pairs]))
                 bands = dict(zip(first, keys.tolist()))
+            rows = batch.slice(part.start, part.stop - part.start)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(start, end - start), batch.column("place").slice(start, end - start),
-                 pa.array(nodes, pa.string()), pa.array([bands.get(n) for n in nodes], pa.list_(pa.int64()))],
+                [rows.column("doc_id"), rows.column("place"), pa.array(nodes, pa.string()),
+                 pa.array([bands.get(n) for n in nodes], pa.list_(pa.int64()))],
                 names=["doc_id", "place", "node", "bands"])
-            start = end
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, text) -> node, n, shingles: sorted 64-bit numbers, one for each occurrence of a shingle."""
+    """(node, text) -> node, n, shingles: sorted 64-bit numbers, one for each occurrence of a shingle; bins:
+    how many of them fall into each of BINS bins."""
     shingler = per_worker("shingler", Shingler)
     for batch in batches:
-        nodes, sets = [], []
-        for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
-            words = WORD.findall(text.lower())
-            if not words or _node(words) != node:  # another text with the same hash
-                continue
-            found, counts = np.unique(shingler.shingles([words])[0], return_counts=True)
-            with np.errstate(over="ignore"):
-                nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                sets.append(np.sort(_mix(np.repeat(found, counts) + nth.astype(np.uint64))))
-            nodes.append(node)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.string()), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["node", "n", "shingles"])
+        names, texts = batch.column("node").to_pylist(), batch.column("text").to_pylist()
+        for part in _parts(texts):
+            words = [WORD.findall(t.lower()) for t in texts[part]]
+            # another text may have the same hash
+            own = [(node, ws) for node, ws in zip(names[part], words) if ws and _node(ws) == node]
+            sets, bins = [], [np.zeros(0, np.int64)]
+            for shingles in shingler.shingles([ws for _, ws in own]) if own else []:
+                found, counts = np.unique(shingles, return_counts=True)
+                with np.errstate(over="ignore"):
+                    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                    sets.append(np.sort(_mix(np.repeat(found, counts) + nth.astype(np.uint64))))
+                bins.append(np.bincount((sets[-1] % np.uint64(BINS)).astype(np.int64), minlength=BINS))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([node for node, _ in own], pa.string()), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
+                 pa.ListArray.from_arrays(np.arange(len(sets) + 1) * BINS, pa.array(np.concatenate(bins), pa.int32()))],
+                names=["node", "n", "shingles", "bins"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,12 +244,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, shingles) -> a row per shingle: node, shingle."""
+    """(name, shingles) -> a row per shingle: name, and 32 bits of the shingle."""
     for batch in batches:
         raw = batch.column("shingles").to_pylist()
         owner = np.repeat(np.arange(len(raw)), [len(x) // 8 for x in raw])
-        yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(owner)),
-                                          pa.array(np.frombuffer(b"".join(raw), "<i8"))], names=["node", "shingle"])
+        numbers = np.frombuffer(b"".join(raw), "<i4")[::2]
+        yield pa.RecordBatch.from_arrays([batch.column("name").take(pa.array(owner, pa.int64())), pa.array(numbers)],
+                                         names=["name", "shingle"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -283,24 +296,28 @@ def _left_over(mates: DataFrame, labels: DataFrame, sets: DataFrame, threshold:
     named = saved(named.join(saved(torn, "torn"), "key"), "torn-mates")
     largest = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
                .groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("_largest")))
-    open_sets = sets.join(named.select("node").distinct(), "node")
-    alone = (open_sets.mapInArrow(_each_shingle, "node string, shingle long")
-             .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
-             .groupBy("node").agg(F.count(F.lit(1)).alias("_alone")))
-    sizes = open_sets.select("node", "n").join(alone, "node", "left")
-    sizes = sizes.select("node", "n", (F.col("n") - F.coalesce("_alone", F.lit(0))).alias("c"))
+    open_sets = saved(sets.join(named.select("node").distinct(), "node").withColumn("name", F.xxhash64("node")), "open-sets")
+    # shingles of one node only; two that share 32 bits count as shared, which keeps the bound one
+    alone = (open_sets.select("name", "shingles").mapInArrow(_each_shingle, "name long, shingle int")
+             .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name")).where("n = 1")
+             .groupBy("name").agg(F.count(F.lit(1)).alias("_alone")))
+    sizes = open_sets.select("name", "node", "n", "bins").join(alone, "name", "left")
+    sizes = sizes.select("node", "n", "bins", (F.col("n") - F.coalesce("_alone", F.lit(0))).alias("c"))
     sizes = sizes.where(F.col("c") >= threshold * F.col("n"))
     alive = saved(named.join(sizes, "node"), "alive-mates")
     shortest = alive.groupBy("key").agg(F.min("n").alias("_shortest"))
     minor = (alive.join(saved(largest.join(shortest, "key"), "torn-buckets"), "key")
              .where(F.col("label") != F.col("_largest"))
              .where(F.col("c") >= threshold * (F.col("n") + F.greatest("_shortest", F.col("c")) - F.col("c"))))
-    left = saved(minor.select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("c").alias("ca")), "minor")
-    right = alive.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    shared = F.least("ca", "cb")
-    pairs = left.join(right, "key").where((F.col("la") != F.col("lb"))
-                                          & (shared >= threshold * (F.col("na") + F.col("nb") - shared)))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left = saved(minor.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "n", "c", "bins")]), "minor")
+    right = alive.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "n", "c", "bins")])
+    total, shared = F.col("n_a") + F.col("n_b"), F.least("c_a", "c_b")
+    # no more shingles in common than each bin allows; evaluated within the join, which emits no other pair
+    in_bins = F.aggregate(F.zip_with("bins_a", "bins_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    pairs = left.join(right, "key").where((F.col("label_a") != F.col("label_b"))
+                                          & (shared >= threshold * (total - shared))
+                                          & (in_bins >= threshold * (total - in_bins)))
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -324,7 +341,7 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     needed = saved(weight.select("node").join(nodes, "node").select("node", "place"), "needed")
     texts = (rows.where("text is not null").select("place", "text").join(needed, "place")
              .dropDuplicates(["place", "node"]).select("node", "text"))
-    sets = saved(texts.mapInArrow(_shingle_sets, "node string, n long, shingles binary"), "shingle-sets")
+    sets = saved(texts.mapInArrow(_shingle_sets, "node string, n long, shingles binary, bins array<int>"), "shingle-sets")
     links = saved(confirmed(pairs, sets, threshold), "near-links")
     labels = components(links)
     more = saved(confirmed(_left_over(mates, labels, sets, threshold), sets, threshold), "more-links")
