@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -63,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not current:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):  # one JVM; a local cluster has several
         raise RuntimeError(
             "spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/…) "
             "that every executor can reach")
