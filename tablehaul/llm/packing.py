@@ -18,6 +18,7 @@ by itself; null ids pass through; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,7 @@ END_ID = 1
 GROUP_DOCS = 2048
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 4096
-MEMO_WORDS = 1_000_000
-CHARS_AT_ONCE = 4_000_000
+MEMO_WORDS = 700_000
 
 # The tokenizer's own split of lower-cased text, over the alphabet that PLAIN admits; fixed values.
 LETTERS = "a-zªµºß-öø-ɏ"
@@ -42,56 +42,32 @@ WORD = re.compile(f"[{LETTERS}]+|[{DIGITS}]|'s|'t|'re|'ve|'m|'ll|'d|[^\\s{LETTER
 PLAIN = re.compile("[\t\n\v\f\r -~\xa0-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Ids of texts as little-endian 16-bit numbers, by the tokenizers library, each new word once.
 
-    The memo keeps the first MEMO_WORDS words, among them the frequent ones; later words live for one call.
+    The dict keeps the first MEMO_WORDS words, among them the frequent ones; later words are encoded anew.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 65536:
             raise ValueError("16-bit ids need a vocabulary of at most 65,536")
-        self.memo: dict[str, bytes] = {}
-
-    def _ids_of(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words by one call on all of them with spaces between; the library numbers the words."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, word = np.array(found.ids, "<u2"), np.array(found.word_ids)
-        cuts = np.flatnonzero(np.diff(word, prepend=-1))
-        if len(cuts) != len(words):
-            raise ValueError("the tokenizer splits words in another way")
-        ends = np.append(cuts[1:], len(ids)).tolist()
-        raw = ids.tobytes()
-        return {w: raw[2 * a:2 * b] for w, a, b in zip(words, cuts.tolist(), ends)}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if "<|" in t or not PLAIN.fullmatch(t) else WORD.findall(t.replace("Σ", "σ").lower()) for t in texts]
-        memo = self.memo
-        words = set().union(*(ws for ws in split if ws))
-        new = list(words - memo.keys())
-        known = memo if len(memo) + len(new) <= MEMO_WORDS else {w: memo[w] for w in words & memo.keys()}
-        for i in range(0, len(new), 20_000):
-            known.update(self._ids_of(new[i:i + 20_000]))
-        return [self._whole(t) if ws is None else b"".join(map(known.__getitem__, ws)) for t, ws in zip(texts, split)]
-
-
-def _parts(texts: list[str], chars: int) -> Iterator[list[str]]:
-    """Consecutive texts of together about ``chars`` code points."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= chars:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, word: str) -> bytes:
+        letters = word if word.isascii() else self.as_bytes.pre_tokenize_str(word)[0][0]
+        ids = array("H", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        if len(self) < MEMO_WORDS:
+            self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if "<|" in text or not PLAIN.fullmatch(text):
+            return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.__getitem__, WORD.findall(text.replace("Σ", "σ").lower())))
 
 
 def tokenize(rows: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame:
@@ -102,8 +78,7 @@ def tokenize(rows: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame
         encoder = per_worker(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
         end = np.array([END_ID], "<u2").tobytes()
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = [e + end for part in _parts(texts, CHARS_AT_ONCE) for e in encoder.encode(part)]
+            ids = [encoder.encode(t.as_py() or "") + end for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(ids, pa.binary())],
                                              names=[*keep, "ids"])
 
