@@ -48,7 +48,7 @@ THRESHOLD = 0.8
 BANDS = 16
 ROWS = 4
 COORDINATES = BANDS * ROWS
-BINS = 256
+BINS = 128
 CHARS_AT_ONCE = 2_000_000
 MEMO_WORDS = 500_000
 
@@ -296,21 +296,25 @@ def _left_over(mates: DataFrame, labels: DataFrame, sets: DataFrame, threshold:
     named = saved(named.join(saved(torn, "torn"), "key"), "torn-mates")
     largest = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
                .groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("_largest")))
-    open_sets = saved(sets.join(named.select("node").distinct(), "node").withColumn("name", F.xxhash64("node")), "open-sets")
     # shingles of one node only; two that share 32 bits count as shared, which keeps the bound one
-    alone = (open_sets.select("name", "shingles").mapInArrow(_each_shingle, "name long, shingle int")
+    named_sets = sets.withColumn("name", F.xxhash64("node"))
+    alone = (named_sets.select("name", "shingles").mapInArrow(_each_shingle, "name long, shingle int")
              .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name")).where("n = 1")
              .groupBy("name").agg(F.count(F.lit(1)).alias("_alone")))
-    sizes = open_sets.select("name", "node", "n", "bins").join(alone, "name", "left")
-    sizes = sizes.select("node", "n", "bins", (F.col("n") - F.coalesce("_alone", F.lit(0))).alias("c"))
-    sizes = sizes.where(F.col("c") >= threshold * F.col("n"))
-    alive = saved(named.join(sizes, "node"), "alive-mates")
+    sizes = named_sets.select("name", "node", "n").join(alone, "name", "left")
+    sizes = sizes.select("node", "n", (F.col("n") - F.coalesce("_alone", F.lit(0))).alias("c"))
+    alive = saved(named.join(sizes.where(F.col("c") >= threshold * F.col("n")), "node"), "alive-mates")
     shortest = alive.groupBy("key").agg(F.min("n").alias("_shortest"))
     minor = (alive.join(saved(largest.join(shortest, "key"), "torn-buckets"), "key")
              .where(F.col("label") != F.col("_largest"))
-             .where(F.col("c") >= threshold * (F.col("n") + F.greatest("_shortest", F.col("c")) - F.col("c"))))
-    left = saved(minor.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "n", "c", "bins")]), "minor")
-    right = alive.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "n", "c", "bins")])
+             .where(F.col("c") >= threshold * (F.col("n") + F.greatest("_shortest", F.col("c")) - F.col("c")))
+             .select(*alive.columns))
+    minor = saved(minor, "minor-mates")
+    bins = sets.select("node", "bins")
+    columns = ("node", "label", "n", "c", "bins")
+    left = saved(minor.join(bins, "node").select("key", *[F.col(c).alias(f"{c}_a") for c in columns]), "minor")
+    right = alive.join(minor.select("key").distinct(), "key", "left_semi").join(bins, "node")
+    right = saved(right.select("key", *[F.col(c).alias(f"{c}_b") for c in columns]), "partners")
     total, shared = F.col("n_a") + F.col("n_b"), F.least("c_a", "c_b")
     # no more shingles in common than each bin allows; evaluated within the join, which emits no other pair
     in_bins = F.aggregate(F.zip_with("bins_a", "bins_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
@@ -344,7 +348,8 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sets = saved(texts.mapInArrow(_shingle_sets, "node string, n long, shingles binary, bins array<int>"), "shingle-sets")
     links = saved(confirmed(pairs, sets, threshold), "near-links")
     labels = components(links)
-    more = saved(confirmed(_left_over(mates, labels, sets, threshold), sets, threshold), "more-links")
+    open_pairs = saved(_left_over(mates, labels, sets, threshold), "open-pairs")
+    more = saved(confirmed(open_pairs, sets, threshold), "more-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more), labels)
     grouped = labels.join(nodes, "node").groupBy("label").agg(
