@@ -1,4 +1,4 @@
-"""Physical-plan facts of every registered query -> a markdown table (PLANS.md).
+"""Physical-plan facts of the registered queries on tables -> a markdown table (PLANS.md).
 
 For each query: exchanges (shuffles), join strategies, pushed scan filters,
 columns read, and whether any Python runs in the plan. Usage:
@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tablehaul.registry import QUERIES  # noqa: E402
 from tablehaul.session import get_session  # noqa: E402
 
 
@@ -39,7 +39,7 @@ def main() -> None:
     spark = get_session("local[8]", shuffle_partitions=8,
                         extra={"spark.sql.maxMetadataStringLength": "100000"})
     rows = []
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         rows.append((name, facts(plan)))
