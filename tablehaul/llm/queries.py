@@ -158,9 +158,8 @@ def op6_substring_dedup(spark, sf_dir):
 def op8_sentencepiece(spark, sf_dir):
     path = tokenizer_path("piece_bpe_32k.model")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = docs.withColumn("text_sha256", F.sha2("text", 256)).withColumn("n_chars", F.length("text"))
-    encoded = spm.encode(docs, path, keep=["doc_id", "text_sha256", "n_chars"])
-    out = spm.decode(encoded, path)
+    docs = docs.withColumn("text_sha256", F.sha2("text", 256))
+    out = spm.encode(docs, path, keep=["doc_id", "text_sha256"], decoded=True)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
                       "parity", F.length("decoded").cast("long").alias("decoded_chars"),
                       (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))

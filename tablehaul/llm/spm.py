@@ -5,12 +5,13 @@ normaliser (the model's character map, extra spaces, the leading and the space m
 their unigram scores (or, for a BPE model, the merges in the order of their scores), and byte fallback.
 Control, byte and unused pieces are never matched in text.
 
-``encode`` works in batches: every text is normalised and cut before its markers, where no piece crosses
-(a model with such pieces gets whole texts); each new chunk is encoded once per worker, many at a time by
-the library's threads, and checked against the sentencepiece library. Where the two differ, the chunk gets
-sentencepiece's ids and its texts are marked. ``decode`` turns ids into text.
+``encode`` works in batches: every text is normalised and cut where no piece crosses, before its markers and
+between words and other signs (a model whose pieces cross markers gets whole texts); each new chunk is
+encoded once per worker, many at a time by the library's threads, and checked against the sentencepiece
+library. Where the two differ, the chunk gets sentencepiece's ids and its texts are marked. ``decode`` turns
+ids into text.
 
-Scale: a map over the rows, no shuffle; memory is bounded by MEMO_CHUNKS and BATCH_CHARS, and by a single
+Scale: a map over the rows, no shuffle; memory is bounded by MEMO_CHUNKS and BATCH_BYTES, and by a single
 text. The model is read from its path on every executor (a file of an installed package, or one on a
 shared mount).
 
@@ -26,14 +27,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import per_worker
 
 MARK = "\N{LOWER ONE EIGHTH BLOCK}"  # sentencepiece's sign for a space
-MEMO_CHUNKS = 400_000
-BATCH_CHARS = 2_000_000
-CHUNKS_PER_CALL = 5_000
+MEMO_CHUNKS = 300_000
+BATCH_BYTES = 1_000_000
+CHUNKS_PER_CALL = 2_000
+CALLS = 8
 
 # Kinds of model and of piece in the protobuf; fixed values.
 UNIGRAM, BPE = 1, 2
@@ -99,8 +102,24 @@ def rebuild(proto, normalize: bool = True):
     return out
 
 
+def word_letters(pieces: list[str]) -> re.Pattern:
+    """Letters, digits and the like that stand beside no other sign (the marker apart) in any piece."""
+    pairs = {(a, b) for p in pieces for a, b in zip(p, p[1:]) if MARK not in (a, b)}
+    mixed: set[str] = set()
+    while True:
+        more = {x for a, b in pairs for x, y in ((a, b), (b, a))
+                if re.match(r"\w", x) and x not in mixed and (y in mixed or not re.match(r"\w", y))}
+        if not more:
+            return re.compile("[^\\W" + "".join(map(re.escape, sorted(mixed))) + "]")
+        mixed |= more
+
+
 class Encoder:
-    """Ids of texts (32-bit, little-endian) and whether both libraries agree on them."""
+    """Ids of texts (32-bit, little-endian) and whether both libraries agree on them.
+
+    A text is cut where no piece crosses: before spaces, and between words and other signs. The memo keeps the
+    first MEMO_CHUNKS chunks, among them the frequent ones; later ones live for one call.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -111,78 +130,101 @@ class Encoder:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=raw)
         self.plain = rebuild(self.proto, normalize=False)
         self.normalizer = normalizer_of(self.proto)
-        crossing = any(MARK in p.piece.lstrip(MARK) for p in self.proto.pieces if p.type in (NORMAL, USER_DEFINED))
+        pieces = [p.piece for p in self.proto.pieces if p.type in (NORMAL, USER_DEFINED)]
         spec = self.proto.normalizer_spec
         simple = not (spec.precompiled_charsmap or spec.remove_extra_whitespaces)
+        crossing = any(MARK in p.lstrip(MARK) for p in pieces)
         self.by_chunk = not crossing and simple and spec.add_dummy_prefix and spec.escape_whitespaces
-        self.chunk = re.compile(f"{MARK}+[^{MARK}]*")
-        self.memo: dict[str, tuple[bytes, bool]] = {}
+        self.letter = word_letters(pieces)
+        word = self.letter.pattern
+        self.chunk = re.compile(f" *(?:{word}+|(?:(?!{word})[^ ])+)| +")
+        self.inner = next((c for c in "abcdefghijklmnopqrstuvwxyz0123456789" if self.letter.match(c)), "")
+        self.memo: dict[str, bytes] = {}
+        self.wrong: set[str] = set()
 
     def _checked(self, found: list[int], text: str, before: str = "") -> tuple[bytes, bool]:
         """sentencepiece's ids of a text (that stands after another), and whether they are those found."""
         wanted = self.reference.encode(before + text)[len(self.reference.encode(before)):]
         return np.array(wanted, "<u4").tobytes(), wanted == found
 
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[bytes, bool]]:
-        """Many chunks as one text: no piece crosses their borders, so each gets its own ids."""
-        bare = [c for c in chunks if not c.strip(MARK)]  # the end of a text; these would run into the next chunk
-        out = {c: self._checked(self.plain.encode(c, add_special_tokens=False).ids, " " * len(c), "\n") for c in bare}
-        chunks = [c for c in chunks if c not in out]
-        groups = [chunks[i:i + CHUNKS_PER_CALL] for i in range(0, len(chunks), CHUNKS_PER_CALL)]
-        texts = ["".join(g) for g in groups]
-        for group, text, e in zip(groups, texts, self.plain.encode_batch(texts, add_special_tokens=False)):
-            starts = np.cumsum([0] + [len(c) for c in group[:-1]])
-            ids = np.array(e.ids, "<u4")
-            cuts = np.searchsorted([o[0] for o in e.offsets], starts).tolist() + [len(ids)]
-            # sentencepiece adds the first marker itself
-            same = text[0] == MARK and self.reference.encode(text[1:].replace(MARK, " ")) == e.ids
-            for c, a, b in zip(group, cuts, cuts[1:]):
-                own = ids[a:b]
-                out[c] = (own.tobytes(), True) if same else self._checked(own.tolist(), c[1:].replace(MARK, " "))
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        out = {}
+        # chunks that begin with a space and hold more can stand in a row as one text, whose ids are theirs
+        rows = [c for c in chunks if c[0] == " " and not c.isspace()]
+        for i in range(0, len(rows), CHUNKS_PER_CALL * CALLS):
+            groups = [rows[k:k + CHUNKS_PER_CALL] for k in range(i, min(len(rows), i + CHUNKS_PER_CALL * CALLS), CHUNKS_PER_CALL)]
+            texts = ["".join(g) for g in groups]
+            marked = [t.replace(" ", MARK) for t in texts]
+            for group, text, e in zip(groups, texts, self.plain.encode_batch(marked, add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                starts = np.cumsum([0] + [len(c) for c in group[:-1]])
+                cuts = np.searchsorted([o[0] for o in e.offsets], starts).tolist() + [len(ids)]
+                same = self.reference.encode(text[1:]) == e.ids  # sentencepiece adds the first marker itself
+                for c, a, b in zip(group, cuts, cuts[1:]):
+                    self._keep(out, c, ids[a:b].tobytes() if same else self._checked(ids[a:b].tolist(), c, "\n"))
+        for c in chunks:
+            if c not in out:
+                after = "" if self.letter.match(c) or c.isspace() else self.inner
+                ids = self.plain.encode(c.replace(" ", MARK), add_special_tokens=False).ids
+                self._keep(out, c, self._checked(ids, c, after or "\n"))
         return out
 
+    def _keep(self, out: dict[str, bytes], chunk: str, found: bytes | tuple[bytes, bool]) -> None:
+        if isinstance(found, tuple):
+            found, same = found
+            if not same:
+                self.wrong.add(chunk)
+        out[chunk] = found
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         if not self.by_chunk:
             found = self.plain.encode_batch([self.normalizer.normalize_str(t) for t in texts], add_special_tokens=False)
             return [self._checked(e.ids, t) for e, t in zip(found, texts)]
-        # an empty text gets no marker
-        split = [self.chunk.findall(self.normalizer.normalize_str(t)) if t else [] for t in texts]
+        # the text's start gets a marker, which is a space's; a marker in a text is read as a space
+        split = [self.chunk.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         chunks = set().union(*split)
         new = [c for c in chunks if c not in self.memo]
         known = self.memo if len(self.memo) + len(new) <= MEMO_CHUNKS else {c: self.memo[c] for c in chunks if c in self.memo}
         known.update(self._learn(new))
-        wrong = {c for c in chunks if not known[c][1]}
-        return [(b"".join(known[c][0] for c in cs), not wrong or wrong.isdisjoint(cs)) for cs in split]
-
-
-def _parts(items: list, size_of, limit: int) -> Iterator[list]:
-    """Consecutive items of together about ``limit``."""
-    part, size = [], 0
-    for x in items:
-        part.append(x)
-        size += size_of(x)
-        if size >= limit:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
-def encode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (all columns, or those in ``keep``) with ids (binary, 32 bits each) and parity."""
-    keep = [c for c in keep or docs.columns if c not in ("ids", "parity")]
+        ids = known.__getitem__
+        return [(b"".join(map(ids, cs)), not self.wrong or self.wrong.isdisjoint(cs)) for cs in split]
+
+
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Runs of rows that hold about BATCH_BYTES in a column, so that a worker has few texts in memory at once."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes) // BATCH_BYTES
+    starts = np.flatnonzero(np.diff(run, prepend=-1))
+    for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
+def _texts_of(decoder, ids: list[bytes | None]) -> list[str | None]:
+    """The library's texts of encoded ids."""
+    out = decoder.decode_batch([np.frombuffer(r or b"", "<u4").tolist() for r in ids], skip_special_tokens=False)
+    return [None if r is None else t for r, t in zip(ids, out)]
+
+
+def encode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str] | None = None,
+           decoded: bool = False) -> DataFrame:
+    """``docs`` (all columns, or those in ``keep``) with ids (binary, 32 bits each) and parity; on demand also
+    with ``decoded``, the text of the ids, by the same worker."""
+    added = ["ids", "parity", *(["decoded"] if decoded else [])]
+    keep = [c for c in keep or docs.columns if c not in added]
     schema = ", ".join(f"`{c}` {dict(docs.dtypes)[c]}" for c in keep) + ", ids binary, parity boolean"
+    schema += ", decoded string" if decoded else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(("sentencepiece", model_path), lambda: Encoder(model_path))
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole, text)):
             texts = batch.column(text).to_pylist()
-            found = [x for part in _parts([t or "" for t in texts], len, BATCH_CHARS) for x in encoder.encode(part)]
+            found = encoder.encode([t or "" for t in texts])
             ids = [None if t is None else f[0] for t, f in zip(texts, found)]
             parity = [None if t is None else f[1] for t, f in zip(texts, found)]
+            more = [pa.array(_texts_of(encoder.plain, ids), pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(ids, pa.binary()), pa.array(parity, pa.bool_())],
-                names=[*keep, "ids", "parity"])
+                [*(batch.column(c) for c in keep), pa.array(ids, pa.binary()), pa.array(parity, pa.bool_()), *more],
+                names=[*keep, *added])
 
     return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
@@ -193,15 +235,10 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", keep: list[str] |
     schema = ", ".join(f"`{c}` {dict(rows.dtypes)[c]}" for c in keep) + ", decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(model_path, "rb") as f:
-            decoder = rebuild(parse(f.read()), normalize=False)
-        for batch in batches:
-            raw = batch.column(ids).to_pylist()
-            texts = []
-            for part in _parts([r or b"" for r in raw], len, BATCH_CHARS):
-                texts += decoder.decode_batch([np.frombuffer(r, "<u4").tolist() for r in part], skip_special_tokens=False)
+        decoder = per_worker(("decoder", model_path), lambda: rebuild(parse(open(model_path, "rb").read()), normalize=False))
+        for batch in (part for whole in batches for part in _slices(whole, ids)):
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array([None if r is None else t for r, t in zip(raw, texts)], pa.string())],
+                [*(batch.column(c) for c in keep), pa.array(_texts_of(decoder, batch.column(ids).to_pylist()), pa.string())],
                 names=[*keep, "decoded"])
 
     return rows.select(*dict.fromkeys([*keep, ids])).mapInArrow(run, schema)

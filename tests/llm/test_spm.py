@@ -76,9 +76,16 @@ def test_frame_round_trip(spark):
     out = S.decode(S.encode(df, PATH), PATH).collect()
     for r in out:
         assert r.decoded == r.text and (r.ids is None) == (r.text is None)
+    both = {r.doc_id: r for r in S.encode(df, PATH, decoded=True).collect()}
+    assert all((both[r.doc_id].ids, both[r.doc_id].decoded) == (r.ids, r.decoded) for r in out)
     assert S.encode(df.limit(0), PATH).count() == 0
 
 
+def test_cuts_are_where_no_piece_crosses():
+    letter = S.word_letters(["ab", "b.", S.MARK + "a", "c,", "xyz", "..", "z1"])
+    assert [bool(letter.match(c)) for c in "abcxyz1d.,"] == [False, False, False, True, True, True, True, True, False, False]
+
+
 def test_query(spark, sf_dir):
     from tablehaul.llm.queries import QUERIES
     rows = QUERIES["op8_sentencepiece"](spark, sf_dir).collect()
