@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PER_LANGUAGE = 400
@@ -255,16 +255,22 @@ def fit(docs: DataFrame) -> dict:
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                       & ~held_out(F.col("doc_id")))
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    known = [r["lang"] for r in common.collect()]
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
-    ids = (rows.where(F.col("lang").isin(known)).select("doc_id", "lang")
-           .withColumn("_n", F.row_number().over(pick)).where(F.col("_n") <= PER_LANGUAGE)
-           .select(F.col("doc_id").alias("_id")))
-    chosen = [r["_id"] for r in ids.collect()]  # at most PER_LANGUAGE * MAX_LANGUAGES ids
-    sample = rows.where(F.col("doc_id").isin(chosen)).select("doc_id", "text", "lang").collect()
-    # ids are keys; should one repeat, the first row in order of text stands for it
-    once = {r["doc_id"]: (r["text"], r["lang"]) for r in sorted(sample, key=lambda r: (r["doc_id"], r["text"]), reverse=True)}
-    return train([once[k] for k in sorted(once)])
+    known = {r["lang"]: r["count"] for r in common.collect()}
+    # rows under a hash threshold, somewhat more than are wanted of each language; then the first by hash
+    draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30))
+    limit = F.lit(0)
+    for lang, n in known.items():
+        share = min(1.0, (1.2 * PER_LANGUAGE + 100) / n)
+        limit = F.when(F.col("lang") == lang, F.lit(int(share * (1 << 30)))).otherwise(limit)
+    # ids are keys; should many rows share one, its rows beyond the bound are left out
+    sample = (rows.withColumn("_draw", draw).where(F.col("_draw") < limit).select("_draw", "doc_id", "text", "lang")
+              .orderBy("_draw", "doc_id", "text").limit(2 * PER_LANGUAGE * (len(known) + 1)).collect())
+    taken, chosen = Counter(), []
+    for r in sample:
+        if taken[r["lang"]] < PER_LANGUAGE:
+            taken[r["lang"]] += 1
+            chosen.append((r["text"], r["lang"]))
+    return train(chosen)
 
 
 class Labeller:
