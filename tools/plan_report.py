@@ -21,8 +21,7 @@ def facts(plan: str) -> dict:
     scans = re.findall(r"ReadSchema: struct<(.*?)>(?:$|,? ?\w+:|\n)", plan, flags=re.M)
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
     return {
-        "exchanges": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|"
-                                    r"RoundRobinPartitioning|SinglePartition)", plan)),
+        "exchanges": len(re.findall(r"(?<![A-Za-z])Exchange ", plan)),
         "broadcast": len(re.findall(r"BroadcastHashJoin", plan)),
         "smj": len(re.findall(r"SortMergeJoin", plan)),
         "scans": len(scans),
