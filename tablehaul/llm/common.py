@@ -35,12 +35,14 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
 
 
 def per_worker(key: Any, make: Callable[[], Any]) -> Any:
-    """One object per Python worker process, kept from task to task (functions travel by value, so a
-    module's own globals would start anew with every task)."""
+    """An object that a Python worker process keeps from task to task (functions travel by value, so a
+    module's own globals would start anew with every task). It keeps one at a time: a stage with another
+    key takes its place, so the stages of a pipeline don't add up in memory."""
     kept = sys.modules.setdefault("_tablehaul_worker", types.ModuleType("_tablehaul_worker")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kept.get("key") != key:
+        kept["value"] = None  # the old one goes before the new one comes
+        kept["key"], kept["value"] = key, make()
+    return kept["value"]
 
 
 def ascii_lower(c: Column) -> Column:

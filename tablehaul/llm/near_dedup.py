@@ -49,8 +49,8 @@ BANDS = 16
 ROWS = 4
 COORDINATES = BANDS * ROWS
 BINS = 128
-CHARS_AT_ONCE = 2_000_000
-MEMO_WORDS = 500_000
+CHARS_AT_ONCE = 1_000_000
+MEMO_WORDS = 250_000
 
 WORD = re.compile(r"\w+")
 

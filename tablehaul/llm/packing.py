@@ -33,7 +33,7 @@ END_ID = 1
 GROUP_DOCS = 2048
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 4096
-MEMO_WORDS = 700_000
+MEMO_WORDS = 600_000
 
 # The tokenizer's own split of lower-cased text, over the alphabet that PLAIN admits; fixed values.
 LETTERS = "a-zªµºß-öø-ɏ"
