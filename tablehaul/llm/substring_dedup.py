@@ -1,11 +1,20 @@
 """Substring dedup by hashed units: every repeated passage is kept once, where it occurs first.
 
-A text is cut into units: lines, the sentences in them, and long sentences after words that a hash of the
-word picks, so that a passage pasted into the middle of a paragraph or sentence is found too. A unit is normalised (case, punctuation, white space) and hashed to 128 bits. The
-digests are grouped over all texts; the occurrence in the smallest doc_id, and there the first, stays. Of
-the others, runs of consecutive repeated units with at least MIN_WORDS words go; units below UNIT_WORDS
-words are never repeated on their own but pass with the run around them. The removed spans are returned as
-offsets into the original text (code points), with the text that is left.
+A text is cut into units, normalised (case, punctuation, white space) and hashed to 128 bits. Units end
+
+* with lines and sentences; sentences below UNIT_WORDS words that follow each other (lists, table cells,
+  signs after each word) count as one, in which only the words decide;
+* in those, and in sentences over LONG_WORDS words, after words that a hash of the word picks, one in
+  CUT_SHARE; pieces below PIECE_WORDS words go with the next.
+
+A unit of one or two words between two sentences is hashed with the words of the unit before it (at a text's
+start: after it), so every word is in a hashed unit unless the whole text is below UNIT_WORDS words. Han
+characters and kana are words each, and count half a word.
+
+The digests are grouped over all texts; the occurrence in the smallest doc_id, and there the first, stays. Of
+the others, runs of consecutive repeated units with at least MIN_WORDS words go. The removed spans are returned
+as offsets into the original text (code points), with the text that is left. Of a passage pasted into a
+sentence, the words before its first and after its last cut stay.
 
 Scale: one row per different unit of a text (an id and 16 bytes) is grouped with map-side combine, so that
 a unit in a third of all texts costs each map task one row; the units found repeated are joined back,
@@ -22,8 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,64 +45,158 @@ UNIT_WORDS = 3
 # Sentences over LONG_WORDS words are cut after one word in CUT_SHARE.
 LONG_WORDS = 16
 CUT_SHARE = 8
+PIECE_WORDS = 5
+# Characters whose arrays are in memory at once.
+BLOCK = 1 << 20
+
+NO_WORD = re.compile(r"\W")
+# Han and kana: written without spaces.
+SPACELESS = [(0x3041, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF)]
+
+
+def _digest(words: str) -> bytes:
+    return hashlib.blake2b(words.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _kinds_of(codes: Iterable[int]) -> np.ndarray:
+    """0 for no part of a word, 1 for one, 2 for a word by itself."""
+    spaceless = [any(low <= c <= high for low, high in SPACELESS) for c in codes]
+    return np.array([(chr(c).isalnum() or c == 95) * (1 + s) for c, s in zip(codes, spaceless)], np.int8)
+
 
-# A unit ends after a sentence mark and white space, or at a line's end; the white space goes with it.
-UNIT = re.compile(r"[^\n]*?(?:[.!?]+[ \t\r]+|\n+|$)")
-WORD = re.compile(r"\w+")
+KINDS = _kinds_of(range(1 << 16))
 
 
-def _digest(words: list[str]) -> bytes | None:
-    if len(words) < UNIT_WORDS:
-        return None
-    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+def _kinds(codes: np.ndarray) -> np.ndarray:
+    if not len(codes) or codes.max() < len(KINDS):
+        return KINDS[codes]
+    different, at = np.unique(codes, return_inverse=True)
+    return _kinds_of(different.tolist())[at]
+
+
+class _Words:
+    """The words of a text: where they are, their hashes, and the normalised text, with a space after each word."""
+
+    def __init__(self, text: str):
+        lower = text.replace("\u0130", "i").lower()  # the one character that gets longer
+        parts, at = [], 0
+        while at < len(lower):
+            end = at + BLOCK
+            if end < len(lower):  # not inside a word
+                gap = NO_WORD.search(lower, end)
+                end = gap.start() if gap else len(lower)
+            parts.append(self._block(lower[at:end], at))
+            at = end
+        columns = list(zip(*parts))
+        self.text = "".join(columns.pop())
+        self.start, self.end, self.hash, self.spaceless, self.marks, self.spaces, self.lines = map(np.concatenate, columns)
+        self.offset = np.concatenate([[0], np.cumsum(self.end - self.start + 1)])
+
+    @staticmethod
+    def _block(lower: str, at: int) -> tuple:
+        codes = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kinds = _kinds(codes)
+        inside = kinds > 0
+        starts = inside.copy()
+        starts[1:] &= (kinds[:-1] != 1) | (kinds[1:] == 2)
+        start = np.flatnonzero(starts)
+        chars = np.flatnonzero(inside)
+        word = np.cumsum(starts)[chars] - 1
+        size = np.bincount(word, minlength=len(start))
+        if len(start):
+            value = _mixed((codes[chars].astype(np.uint64) << np.uint64(32)) + (chars - start[word]).astype(np.uint64))
+            hashes = _mixed(np.add.reduceat(value, np.searchsorted(chars, start)))
+        else:
+            hashes = np.zeros(0, np.uint64)
+        plain = np.full(len(chars) + len(start), 32, np.uint32)
+        plain[np.arange(len(chars)) + word] = codes[chars]
+        white = (codes == 32) | (codes == 9) | (codes == 13) | (codes == 10)
+        wide = (codes == 0x3002) | (codes == 0xFF01) | (codes == 0xFF1F)  # these need no space after them
+        marks = np.flatnonzero((codes == 46) | (codes == 33) | (codes == 63) | wide)
+        return (start + at, start + size + at, hashes, kinds[start] == 2, marks + at, np.flatnonzero(white | wide) + at,
+                np.flatnonzero(codes == 10) + at, plain.tobytes().decode("utf-32-le", "surrogatepass"))
+
+    def plain(self, a: int, b: int) -> str:
+        return self.text[self.offset[a]:self.offset[b] - 1]
+
+    def ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where sentences and lines end: the number of the next word, and the offset, after the white space."""
+        n, gap = len(self.start), self.spaces[1:] - self.spaces[:-1] != 1
+        last = np.concatenate([self.spaces[:-1][gap], self.spaces[-1:]]) + 1  # ends of white space
+        space = np.searchsorted(self.spaces, self.marks)
+        mark = self.marks[space < len(self.spaces)]
+        space = self.spaces[space[space < len(self.spaces)]]
+        word, cut = np.searchsorted(self.start, mark), last[np.searchsorted(last, space, "right")]
+        real = np.searchsorted(self.start, space) == word  # white space before the next word
+        at = dict(zip(word[real].tolist(), cut[real].tolist()))
+        at |= dict(zip(np.searchsorted(self.start, self.lines).tolist(), (self.lines + 1).tolist()))
+        words = np.array(sorted(w for w in at if 0 < w < n), np.int64)
+        return words, np.array([at[w] for w in words.tolist()], np.int64)
+
+    def picked(self) -> list[int]:
+        """Numbers of the words before which the words' hashes say to cut."""
+        return (np.flatnonzero(self.hash % np.uint64(CUT_SHARE) == 0) + 1).tolist()
 
 
 def units(text: str) -> list[tuple[int, int, int, bytes | None]]:
-    """(start, end, words, digest) of each unit; the digest is None below UNIT_WORDS words."""
+    """(start, end, words, digest) of each unit; the digest is None where the whole text is below UNIT_WORDS words."""
+    if not text:
+        return []
+    words = _Words(text)
+    n = len(words.start)
+    if n < UNIT_WORDS:
+        return [(0, len(text), n, None)]
+    at, cut = words.ends()
+    bounds = np.concatenate([[0], at, [n]])
+    short = bounds[1:] - bounds[:-1] < UNIT_WORDS
+    real = ~(short[:-1] & short[1:])
+    firsts = [0, *at[real].tolist()]
+    pooled = short[np.concatenate([[True], real])].tolist()
+    offsets = [0, *cut[real].tolist()]
+    inner, k = words.picked(), 0
+    cuts, places = [], []  # word numbers and text offsets at which units start
+    for i, (a, b) in enumerate(zip(firsts, [*firsts[1:], n])):
+        cuts.append(a)
+        places.append(offsets[i])
+        last = a
+        while k < len(inner) and inner[k] < b:
+            c = inner[k]
+            k += 1
+            if c - last >= PIECE_WORDS and b - c >= PIECE_WORDS and (pooled[i] or b - a > LONG_WORDS):
+                cuts.append(c)
+                places.append(int(words.end[c - 1]))
+                last = c
+    cuts.append(n)
+    places.append(len(text))
+    half = np.concatenate([[0], np.cumsum(words.spaceless)])[cuts] if words.spaceless.any() else None
     out = []
-    for m in UNIT.finditer(text):
-        start, end = m.span()
-        if start == end:
-            continue
-        words = WORD.findall(m.group().lower())
-        if len(words) > LONG_WORDS:
-            part = []
-            for w in WORD.finditer(text, start, end):
-                part.append(w.group().lower())
-                if zlib.crc32(part[-1].encode("utf-8", "surrogatepass")) % CUT_SHARE == 0:
-                    out.append((start, w.end(), len(part), _digest(part)))
-                    start, part = w.end(), []
-            if start == end:
-                continue
-            words = part
-        out.append((start, end, len(words), _digest(words)))
+    for i in range(len(cuts) - 1):
+        a, b = cuts[i], cuts[i + 1]
+        size = b - a if half is None else b - a - int(half[i + 1] - half[i]) // 2
+        if b - a < UNIT_WORDS:  # told by its neighbour too
+            a, b = (cuts[i - 1], b) if i else (a, cuts[i + 2])
+        out.append((places[i], places[i + 1], size, _digest(words.plain(a, b))))
     return out
 
 
 def repeated_spans(found: list[tuple[int, int, int, bytes | None]], elsewhere: set[str], min_words: int) -> list[tuple[int, int]]:
     """Spans to cut: runs of units that occur in an earlier text or earlier in this one."""
-    spans, run, words, seen, held = [], None, 0, set(), None
-
-    def close() -> None:
-        if run and words >= min_words:
-            spans.append(run)
-
+    spans, run, words, seen = [], None, 0, set()
     for start, end, n, digest in found:
-        if digest is None and run:  # a short unit goes with the run, if the run goes on after it
-            held = (held[0], end, held[2] + n) if held else (start, end, n)
-            continue
-        again = digest is not None and (digest in seen or bool(elsewhere) and _name(digest) in elsewhere)
-        if digest is not None:
-            seen.add(digest)
-        if again and run:
-            run, words = (run[0], end), words + n + (held[2] if held else 0)
-        elif again:
-            run, words = (start, end), n
+        if digest is not None and (digest in seen or bool(elsewhere) and _name(digest) in elsewhere):
+            run, words = (run[0] if run else start, end), words + n
         else:
-            close()
+            if run and words >= min_words:
+                spans.append(run)
             run, words = None, 0
-        held = None
-    close()
+        seen.add(digest)
+    if run and words >= min_words:
+        spans.append(run)
     return spans
 
 

@@ -99,3 +99,24 @@ def test_drop_repeats_keeps_columns(spark):
     out = S.drop_repeats(df)
     assert out.dtypes == df.dtypes and out.count() == 1
     assert S.drop_repeats(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("between", ["!! ", ".\n", "\n", "? and? "])
+def test_short_units_are_found(spark, between):
+    rng = random.Random(7)
+    text = between.join(f"v{rng.randrange(10 ** 6)}" for _ in range(155))
+    other = between.join(f"v{rng.randrange(10 ** 6)}" for _ in range(155))
+    for t in (text, "One.\n" + text, "A sentence of several words. Two words. Another one of several. End."):
+        assert all(u[3] for u in S.units(t))  # every word is in a unit with a digest
+    df = spark.createDataFrame([(1, text), (2, other), (3, text), (4, other[:700] + "\n" + text)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in S.cut_repeats(df).collect()}
+    assert (got[1], got[2], got[3]) == (text, other, "")
+    assert len(got[4]) < 0.2 * len(text)
+
+
+def test_text_without_spaces_is_found(spark):
+    rng = random.Random(8)
+    a, b = ("".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(300)) for _ in range(2))
+    df = spark.createDataFrame([(1, a), (2, b), (3, b[:100] + a[50:250])], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in S.cut_repeats(df).collect()}
+    assert (got[1], got[2]) == (a, b) and len(got[3]) < 100
