@@ -4,8 +4,9 @@ A text is cut into units, normalised (case, punctuation, white space) and hashed
 
 * with lines and sentences; sentences below UNIT_WORDS words that follow each other (lists, table cells,
   signs after each word) count as one, in which only the words decide;
-* in those, and in sentences over LONG_WORDS words, after words that a hash of the word picks, one in
-  CUT_SHARE; pieces below PIECE_WORDS words go with the next.
+* in those, and in sentences over LONG_WORDS words, where the hash of three words is the least of WINDOW
+  such hashes in a row. The words alone decide, so a passage is cut alike wherever it is pasted, and at
+  least every WINDOW words but for pieces below PIECE_WORDS words, which go with the next.
 
 A unit of one or two words between two sentences is hashed with the words of the unit before it (at a text's
 start: after it), so every word is in a hashed unit unless the whole text is below UNIT_WORDS words. Han
@@ -14,7 +15,7 @@ characters and kana are words each, and count half a word.
 The digests are grouped over all texts; the occurrence in the smallest doc_id, and there the first, stays. Of
 the others, runs of consecutive repeated units with at least MIN_WORDS words go. The removed spans are returned
 as offsets into the original text (code points), with the text that is left. Of a passage pasted into a
-sentence, the words before its first and after its last cut stay.
+sentence, the words before its first and after its last cut stay (mostly under WINDOW on either side).
 
 Scale: one row per different unit of a text (an id and 16 bytes) is grouped with map-side combine, so that
 a unit in a third of all texts costs each map task one row; the units found repeated are joined back,
@@ -42,9 +43,10 @@ from .common import lookup, saved
 
 MIN_WORDS = 10
 UNIT_WORDS = 3
-# Sentences over LONG_WORDS words are cut after one word in CUT_SHARE.
+# Sentences over LONG_WORDS words are cut where the hash of HASHED words is the least of WINDOW in a row.
 LONG_WORDS = 16
-CUT_SHARE = 8
+WINDOW = 12
+HASHED = 3
 PIECE_WORDS = 5
 # Characters whose arrays are in memory at once.
 BLOCK = 1 << 20
@@ -79,6 +81,16 @@ def _kinds(codes: np.ndarray) -> np.ndarray:
     return _kinds_of(different.tolist())[at]
 
 
+def _within(x: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
+    """The best of each ``size`` values in a row."""
+    width = 1
+    while width < size:
+        step = min(width, size - width)
+        x = best(x[:-step], x[step:])
+        width += step
+    return x
+
+
 class _Words:
     """The words of a text: where they are, their hashes, and the normalised text, with a space after each word."""
 
@@ -138,9 +150,18 @@ class _Words:
         words = np.array(sorted(w for w in at if 0 < w < n), np.int64)
         return words, np.array([at[w] for w in words.tolist()], np.int64)
 
-    def picked(self) -> list[int]:
+    def least(self) -> list[int]:
         """Numbers of the words before which the words' hashes say to cut."""
-        return (np.flatnonzero(self.hash % np.uint64(CUT_SHARE) == 0) + 1).tolist()
+        n = len(self.hash) - HASHED + 1
+        if n < WINDOW:
+            return []
+        rolled = self.hash[:n].copy()
+        for k in range(1, HASHED):
+            rolled = _mixed(rolled + self.hash[k:n + k])
+        least = _within(rolled, WINDOW, np.minimum)
+        beyond = np.zeros(WINDOW - 1, np.uint64)
+        highest = _within(np.concatenate([beyond, least, beyond]), WINDOW, np.maximum)  # of the windows around each
+        return (np.flatnonzero(highest == rolled) + HASHED - 1).tolist()
 
 
 def units(text: str) -> list[tuple[int, int, int, bytes | None]]:
@@ -158,7 +179,7 @@ def units(text: str) -> list[tuple[int, int, int, bytes | None]]:
     firsts = [0, *at[real].tolist()]
     pooled = short[np.concatenate([[True], real])].tolist()
     offsets = [0, *cut[real].tolist()]
-    inner, k = words.picked(), 0
+    inner, k = words.least(), 0
     cuts, places = [], []  # word numbers and text offsets at which units start
     for i, (a, b) in enumerate(zip(firsts, [*firsts[1:], n])):
         cuts.append(a)
