@@ -10,6 +10,12 @@ The fingerprint is a string: ``root/section(paragraph,paragraph...)section(...)`
 to SHORT hex digits. For likeness every paragraph also has leaves, its sentences: 48 hash bits and the
 length. The likeness of two trees is the share of characters in common leaves (Dice), 1 for equal roots.
 
+``with_parts`` is the tree one level deeper, which the registered query uses: its lowest nodes are the parts of
+a paragraph, ended by sentence marks, after words that a hash of the word picks (one in CUT_SHARE) and after
+PART_CHARS characters at the latest, so that a text that is one sentence is compared in parts too. A paragraph's
+digest covers its text's digest and its parts, and the fingerprint is ``root/section(paragraph[part:length,...],...)``.
+``parts_likeness`` is the share of characters in common parts, each counted as often as it occurs in both.
+
 ``with_next`` gives each row its successor in descending id order with one exchange of the texts: ranges of
 ids are cut at approximate quantiles (at most MAX_RANGES numbers), each range is a sorted window, and the
 first row of a range is also sent to the end of the range before it.
@@ -30,6 +36,11 @@ SECTION_END = "0"
 LENGTH_BITS = 16
 RANGE_ROWS = 2000
 MAX_RANGES = 16384
+CUT_SHARE = 4
+PART_CHARS = 200
+# Words with the white space after them; Han characters and kana one by one, other long words in pieces.
+TOKEN = r"[\u3040-\u30ff\u3400-\u9fff]\s*|[^\s\u3040-\u30ff\u3400-\u9fff]{1,32}\s*|\s+"
+SEPARATOR = "\x1f"
 
 
 def sentences(text: Column) -> Column:
@@ -89,6 +100,74 @@ def with_tree(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
     return df.withColumn(f"{p}leaves", leaves(F.col(text))).drop("_ends", "_members")
 
 
+def _parts(line: Column) -> Column:
+    """The parts of a paragraph: digest (SHORT hex digits) and n, the length."""
+    def marked(t: Column) -> Column:
+        ends = (F.pmod(F.xxhash64(t), F.lit(CUT_SHARE)) == 0) | F.rlike(t, F.lit(r"[.!?]\s+$"))
+        return F.when(ends, F.concat(t, F.lit(SEPARATOR))).otherwise(t)
+
+    tokens = F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0))
+    parts = F.split(F.array_join(F.transform(tokens, marked), ""), SEPARATOR)
+    parts = F.flatten(F.transform(parts, lambda s: F.regexp_extract_all(s, F.lit(f"(?s).{{1,{PART_CHARS}}}"), F.lit(0))))
+    return F.transform(parts, lambda s: F.struct(F.substring(F.sha2(s, 256), 1, SHORT).alias("digest"), F.length(s).alias("n")))
+
+
+def with_parts(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
+    """Like ``with_tree``, with {prefix}leaves the parts (digest, n), which are nodes of the tree and the fingerprint."""
+    p = prefix
+    names = [f"{p}{n}" for n in ("paragraphs", "sections", "root", "fingerprint", "leaves")]
+    lines = F.transform(F.split(F.col(text), "\n"), lambda s: F.struct(F.sha2(s, 256).alias("own"), _parts(s).alias("parts")))
+    df = df.drop(*names).withColumn("_lines", lines)
+    shown = F.transform("_lines", lambda x: F.struct(
+        x["own"].alias("own"), F.array_join(F.transform(x["parts"], lambda y: F.concat_ws(":", y["digest"], y["n"])), ",").alias("parts")))
+    df = df.withColumn("_shown", shown)
+    df = df.withColumn(f"{p}leaves", F.flatten(F.transform("_lines", lambda x: x["parts"])))
+    df = df.withColumn("_nodes", F.transform("_shown", lambda x: F.struct(
+        F.sha2(F.concat(x["own"], x["parts"]), 256).alias("digest"), x["parts"].alias("parts"),
+        (x["own"] == F.sha2(F.lit(""), 256)).alias("blank"))))
+    df = df.withColumn("_ends", F.filter(F.sequence(F.lit(1), F.size("_nodes")), lambda i: (
+        F.startswith(F.element_at("_nodes", i)["digest"], F.lit(SECTION_END))
+        | F.element_at("_nodes", i)["blank"] | (i == F.size("_nodes")))))
+
+    def members(k: Column) -> Column:  # k: a section's number from 1
+        first = F.when(k == 1, F.lit(1)).otherwise(F.try_element_at(F.col("_ends"), k - 1) + 1)
+        return F.slice(F.col("_nodes"), first, F.element_at(F.col("_ends"), k) - first + 1)
+
+    df = df.withColumn("_members", F.transform(F.sequence(F.lit(1), F.size("_ends")), members))
+    df = df.withColumn(f"{p}paragraphs", F.transform("_nodes", lambda x: x["digest"]))
+    df = df.withColumn(f"{p}sections", F.transform("_members", lambda m: F.sha2(F.array_join(F.transform(m, lambda x: x["digest"]), ""), 256)))
+    df = df.withColumn(f"{p}root", F.sha2(F.array_join(f"{p}sections", ""), 256))
+    short = F.zip_with(f"{p}sections", "_members", lambda s, m: F.concat(
+        F.substring(s, 1, SHORT), F.lit("("), F.array_join(F.transform(m, lambda x: F.concat(
+            F.substring(x["digest"], 1, SHORT), F.lit("["), x["parts"], F.lit("]"))), ","), F.lit(")")))
+    df = df.withColumn(f"{p}fingerprint", F.concat(f"{p}root", F.lit("/"), F.array_join(short, "")))
+    return df.drop("_lines", "_shown", "_nodes", "_ends", "_members")
+
+
+def parts_likeness(root_a: Column, a: Column, root_b: Column, b: Column) -> Column:
+    """Dice share of characters in common parts, as a multiset; 1 for equal roots."""
+    def side(parts: Column, step: int) -> Column:
+        return F.transform(parts, lambda x: F.struct(x["digest"].alias("digest"), x["n"].alias("n"), F.lit(step).alias("step")))
+
+    # sorted, equal parts are together: what one side has more often than the other differs
+    start = F.struct(F.lit("").alias("digest"), F.lit(0).alias("n"), F.lit(0).alias("more"),
+                     F.lit(0).cast("long").alias("differ"), F.lit(0).cast("long").alias("total"))
+
+    def closed(acc: Column) -> Column:
+        return acc["differ"] + F.abs(acc["more"]).cast("long") * acc["n"]
+
+    def step(acc: Column, x: Column) -> Column:
+        same = (acc["digest"] == x["digest"]) & (acc["n"] == x["n"])
+        return F.struct(x["digest"].alias("digest"), x["n"].alias("n"),
+                        F.when(same, acc["more"] + x["step"]).otherwise(x["step"]).alias("more"),
+                        F.when(same, acc["differ"]).otherwise(closed(acc)).alias("differ"),
+                        (acc["total"] + x["n"].cast("long")).alias("total"))
+
+    share = F.aggregate(F.array_sort(F.concat(side(a, 1), side(b, -1))), start, step, lambda acc: F.when(
+        acc["total"] == 0, F.lit(0.0)).otherwise((acc["total"] - closed(acc)).cast("double") / acc["total"]))
+    return F.when(root_a == root_b, F.lit(1.0)).otherwise(share)
+
+
 def changed_from(mine: Column, other: Column) -> Column:
     """The first paragraph (from 0) that differs; null where none does."""
     places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(mine), F.size(other))),
@@ -152,3 +231,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             .withColumn("near_next", likeness(F.col("root"), F.col("leaves"), F.col("next_root"), F.col("next_leaves")))
             .withColumn("changed_from", changed_from(F.col("paragraphs"), F.col("edited_paragraphs")))
             .drop("_tie"))
+
+
+def part_fingerprints(docs: DataFrame) -> DataFrame:
+    """Like ``fingerprints``, by ``with_parts``: the texts alone are exchanged, the trees made after it."""
+    base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    linked = with_next(base.withColumn("_tie", F.xxhash64("text")), ["text"])
+    linked = linked.withColumn("edited_text", edit(F.col("text"), F.col("next_text")))
+    for prefix in ("", "edited_", "next_"):
+        linked = with_parts(linked, f"{prefix}text", prefix)
+    return (linked.withColumn("n_chars", F.length("text").cast("long"))
+            .withColumn("edited_sha256", F.sha2("edited_text", 256))
+            .withColumn("near_edited", parts_likeness(F.col("root"), F.col("leaves"), F.col("edited_root"), F.col("edited_leaves")))
+            .withColumn("near_next", parts_likeness(F.col("root"), F.col("leaves"), F.col("next_root"), F.col("next_leaves")))
+            .withColumn("changed_from", changed_from(F.col("paragraphs"), F.col("edited_paragraphs")))
+            .drop("_tie", "next_text", "sections", "edited_sections", "next_sections"))

@@ -123,7 +123,7 @@ def op5_packing(spark, sf_dir):
 
 @query
 def op10_document_fingerprints(spark, sf_dir):
-    out = merkle.fingerprints(read(spark, sf_dir, "documents"))
+    out = merkle.part_fingerprints(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
                       "near_next", "changed_from")
 

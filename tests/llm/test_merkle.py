@@ -89,3 +89,22 @@ def test_query(spark, sf_dir):
     check(docs, [r for r in M.fingerprints(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()])
     plan = QUERIES["op10_document_fingerprints"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_parts_of_one_sentence(spark):
+    words = [f"w{i * 7919 % 1000}" for i in range(900)]
+    texts = [" ".join(words[:300]), " ".join(words[300:600]), "same " * 200, "x" * 70000, "".join(chr(0x4E00 + i) for i in range(300))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in M.part_fingerprints(df).collect()}
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert sum(x.n for x in r.leaves) == len(t) and all(f"{x.digest}:{x.n}" in r.fingerprint for x in r.leaves)
+        assert sha("".join([sha(t), ",".join(f"{x.digest}:{x.n}" for x in r.leaves)]))[:M.SHORT] in r.fingerprint
+        cut, following = len(t) // 3, len(texts[i - 1])
+        true = 2 * (len(t) - cut) / (2 * len(t) - cut + min(cut, following))
+        assert r.near_edited == pytest.approx(true, abs=0.1)
+    assert got[1].near_next < 0.05
+    both = spark.createDataFrame([("ab. " * 3 + "cd. ef. " , "ab. " * 5 + "gh. ")], "a string, b string")
+    both = M.with_parts(M.with_parts(both, "a", "a_"), "b", "b_")
+    share = both.select(M.parts_likeness(F.col("a_root"), F.col("a_leaves"), F.col("b_root"), F.col("b_leaves"))).first()[0]
+    assert share == pytest.approx(2 * 12 / (20 + 24))
