@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, langid, merkle, near_dedup, packing, sharding, spm, substring_dedup, url_filter
+from . import exact_dedup, hard_negatives, html_text, langid, merkle, near_dedup, packing, sharding, spm, substring_dedup, url_filter
 from .common import read
 
 QUERIES: dict = {}
@@ -171,3 +171,31 @@ def op8_sentencepiece(spark, sf_dir):
 def op4_html_extraction(spark, sf_dir):
     out = html_text.extract(read(spark, sf_dir, "pages"), keep=["page_id", "url"])
     return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+# ---- 13 hard-negative mining --------------------------------------------------------
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, v.vec_id AS other, v.label = a.label AS same,
+    CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER fit AS INTEGER) AS rank, other AS negative_id, positive_score,
+  score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW fit AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER fit <= 3
+"""
