@@ -6,10 +6,25 @@ brute-force versions in ``tests/llm``.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from . import exact_dedup, hard_negatives, html_text, langid, merkle, near_dedup, packing, sharding, spm, substring_dedup, url_filter
-from .common import read
+from . import (
+    exact_dedup,
+    hard_negatives,
+    html_text,
+    langid,
+    merkle,
+    near_dedup,
+    packing,
+    prefix_trie,
+    quality,
+    sharding,
+    spm,
+    substring_dedup,
+    url_filter,
+)
+from .common import read, saved
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -199,3 +214,86 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 WINDOW fit AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
 QUALIFY row_number() OVER fit <= 3
 """
+
+
+# ---- 11 conversation prefix trie ----------------------------------------------------
+
+FAMILY = 5
+MOST_SHARED = 9
+
+
+def rebuilt_conversations(conversations):
+    """Rows (conv_id, position, digest, size): every conversation c with the first h turns of c - c % 5 in place of
+    its own first h, h = crc32(c) % 9; and a row without a position for each. Equal turn numbers come in order of their digests."""
+    turns = conversations.where("conv_id IS NOT NULL").select(
+        "conv_id", "turn", prefix_trie.turn_digest(["role", "text"]).alias("digest"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "digest")
+    numbered = saved(turns.withColumn("position", F.row_number().over(order) - 1).drop("turn"), "conversations")
+    head = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(MOST_SHARED))
+    own = numbered.where(F.col("position") >= head)
+    every = numbered.where("position = 0").select("conv_id")
+    near = F.sequence(F.col("base") - (FAMILY - 1), F.col("base") + (FAMILY - 1))
+    lent = (numbered.where((F.col("conv_id") % FAMILY == 0) & (F.col("position") < MOST_SHARED)).withColumnRenamed("conv_id", "base")
+            .withColumn("conv_id", F.explode(near)).where(F.col("conv_id") - F.col("conv_id") % FAMILY == F.col("base"))
+            .where(F.col("position") < head).drop("base").join(every, "conv_id", "left_semi"))
+    columns = ["conv_id", "position", "digest", "size"]
+    alone = every.select("conv_id", F.lit(None).cast("int").alias("position"), F.lit(None).cast("binary").alias("digest"),
+                         F.lit(0).cast("long").alias("size"))
+    return own.select(*columns).unionByName(lent.select(*columns)).unionByName(alone)
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    out = prefix_trie.trie(rebuilt_conversations(read(spark, sf_dir, "conversations")))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+ORACLES["op11_prefix_trie"] = """
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS k, i AS v FROM (SELECT unnest(range(256)) AS i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+step AS (SELECT i, v FROM bits WHERE k = 8),
+crc AS (
+  SELECT conv_id AS c, CAST(conv_id AS VARCHAR) AS s, 0 AS k, CAST(4294967295 AS BIGINT) AS v
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+  UNION ALL
+  SELECT c, s, crc.k + 1, xor(crc.v >> 8, step.v)
+  FROM crc JOIN step ON step.i = xor(crc.v & 255, ascii(substr(s, crc.k + 1, 1))) WHERE crc.k < length(s)),
+heads AS (SELECT c, xor(v, 4294967295) % 9 AS h FROM crc WHERE k = length(s)),
+turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+rebuilt AS (
+  SELECT heads.c, pos, role, text FROM heads JOIN turns ON turns.c = heads.c - heads.c % 5 WHERE pos < h
+  UNION ALL
+  SELECT heads.c, pos, role, text FROM heads JOIN turns ON turns.c = heads.c WHERE pos >= h),
+placed AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY pos) AS d, strlen(text) AS size,
+    sha256(length(role) || ':' || role || length(text) || ':' || text) AS turn FROM rebuilt),
+paths AS (SELECT c, d, size, sha256(string_agg(turn, '/') OVER (PARTITION BY c ORDER BY d)) AS node FROM placed
+  UNION ALL SELECT c, 0, 0, 'root' FROM heads),
+linked AS (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS parent,
+    d = max(d) OVER (PARTITION BY c) AS is_last FROM paths),
+nodes AS (SELECT node, min(c) AS conv_id, max(d) AS depth, any_value(parent) AS parent, count(*) AS n_convs,
+    any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE is_last), '')) AS ends_sha256
+  FROM linked GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+under AS (SELECT DISTINCT a.node AS top, b.node FROM paths a JOIN paths b ON a.c = b.c AND b.d >= a.d),
+sums AS (SELECT top, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, CAST(sum((n_convs - 1) * size) AS BIGINT) AS saved_tokens
+  FROM under JOIN nodes USING (node) LEFT JOIN children USING (node) GROUP BY top)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums ON sums.top = n.node LEFT JOIN children ch ON ch.node = n.node LEFT JOIN nodes p ON p.node = n.parent
+"""
+
+
+# ---- 12 quality classifier ----------------------------------------------------------
+
+@query
+def op12_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    out = quality.predict(docs, quality.fit(docs, labels), keep=["doc_id"])
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
