@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ from ..session import scratch_path
 HOT_SHARE = 1000
 # Hot rows are dealt over this many fillers, which match nothing.
 HOT_SPREAD = 65536
+# Rows of which a worker makes Python objects at once.
+ROWS_AT_ONCE = 512
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -37,14 +41,25 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
 def per_worker(key: Any, make: Callable[[], Any]) -> Any:
     """An object that a Python worker process keeps from task to task (functions travel by value, so a
     module's own globals would start anew with every task). It keeps one at a time: a stage with another
-    key takes its place, so the stages of a pipeline don't add up in memory."""
+    key takes its place, and every stage in Python asks for one (``None`` will do), so the stages of a pipeline don't
+    add up in memory."""
     kept = sys.modules.setdefault("_tablehaul_worker", types.ModuleType("_tablehaul_worker")).__dict__
     if kept.get("key") != key:
         kept["value"] = None  # the old one goes before the new one comes
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory to itself otherwise
+        if trim:
+            trim(0)
         kept["key"], kept["value"] = key, make()
     return kept["value"]
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, fewer at a time, so that a worker has few texts as Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only, whatever the locale."""
     return F.translate(c, UPPER, LOWER)

@@ -4,13 +4,17 @@ Every word gets a label by forward-backward: emissions from affixes, character n
 learned transitions, so that text which switches languages is labelled word by word. A document's language
 is the one with the largest share of label mass over its words; the share is the score.
 
-``fit`` learns on the driver from a bounded sample of labelled rows (PER_LANGUAGE rows of each of the
-MAX_LANGUAGES most frequent languages, chosen by a hash): segments of up to SEGMENT words, several of
-different documents in a row, so that transitions between languages are seen. ``predict`` labels whole
-texts; the model is broadcast (a few MB: FEATURES rows, a bounded lexicon).
+``fit`` learns on the driver from a bounded sample of labelled rows, PER_LANGUAGE of every language that has a
+label, chosen by a hash. The tasks that read them cut each into up to SEGMENTS segments of up to SEGMENT words of at
+most WORD_CHARS letters, and these alone reach the driver; several of different documents in a row make a training chain, so
+that transitions between languages are seen. ``predict`` labels whole texts; the model is broadcast (FEATURES rows of a
+number per language, a bounded lexicon: a few MB for some dozen languages, in proportion to their number).
 
-Defined cases: a null text or one without a letter is ``und`` with score 0. Chains end with the line and
-after CHAIN words, so a very long line is no longer than that in memory. Without a labelled row every text
+A chain is a line. One of more than BLOCK words is worked through in blocks, and the messages are carried over their
+borders: each block's transfer matrix gives the forward message into the next block and the backward message out of it, so the
+labels are those of the whole chain.
+
+Defined cases: a null text or one without a letter is ``und`` with score 0. Without a labelled row every text
 with a letter is ``und`` too. Repeated rows are judged alike; other columns pass through, one named like an
 added one is replaced.
 """
@@ -18,20 +22,23 @@ added one is replaced.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import per_worker, small
+
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 64
 SEGMENTS = 8
 SEGMENT = 24
-CHAIN = 512
+WORD_CHARS = 64
+BLOCK = 512
 FEATURES = 1 << 16
 LEXICON_WORDS = 50_000
 ROUNDS = 30
@@ -138,25 +145,71 @@ def marginals(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple
     return p / p.sum(axis=1, keepdims=True), moved
 
 
-def posteriors(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """``marginals`` without the transition mass."""
-    starts, _, active = chains(lengths)
+def _borders(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, follows: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Messages over the borders of blocks that follow each other: into each block from the one before (forward), and into its
+    end from the one after (backward). ``follows``: the block goes on with the chain of the block before."""
+    k = emit.shape[1]
+    before, after = np.full((len(starts), k), 1 / k, emit.dtype), np.full((len(starts), k), 1 / k, emit.dtype)
+    leads = np.append(follows[1:], False)  # the chain goes on after the block
+    part = np.flatnonzero(follows | leads)
+    if not len(part):
+        return before, after
+    # the block as a matrix: from the label before its first word to that of its last
+    matrix = np.broadcast_to(np.eye(k, dtype=emit.dtype), (len(part), k, k)).copy()
+    for t in range(int(lengths[part].max())):
+        on = lengths[part] > t
+        step = matrix[on]
+        if t:
+            step = step @ trans
+        else:
+            step[follows[part][on]] = step[follows[part][on]] @ trans
+        step = step * emit[starts[part][on] + t][:, None, :]
+        matrix[on] = step / step.sum(axis=(1, 2), keepdims=True)
+    # block by block along the chains: the n-th blocks of all chains at once
+    first = np.flatnonzero(~follows[part])
+    size = np.diff(np.append(first, len(part)))
+    for n in range(1, int(size.max())):
+        at = first[size > n] + n
+        message = np.einsum("bi,bij->bj", before[part[at - 1]], matrix[at - 1])
+        before[part[at]] = message / message.sum(axis=1, keepdims=True)
+    for n in range(int(size.max()) - 2, -1, -1):
+        at = first[size > n + 1] + n
+        message = np.einsum("bij,bj->bi", matrix[at + 1], after[part[at + 1]])
+        after[part[at]] = message / message.sum(axis=1, keepdims=True)
+    return before, after
+
+
+def posteriors(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, block: int | None = None) -> np.ndarray:
+    """``marginals`` without the transition mass; chains longer than ``block`` are worked through in blocks of it."""
+    block = block or BLOCK
+    pieces = -(-lengths // block)
+    nth = _ramp(pieces)
+    follows = nth > 0
+    begin = np.repeat(np.cumsum(lengths) - lengths, pieces) + nth * block
+    size = np.minimum(np.repeat(lengths, pieces) - nth * block, block)
+    before, after = _borders(emit, begin, size, follows, trans)
+    order = np.argsort(-size, kind="stable")
+    starts, size, follows, before, after = begin[order], size[order], follows[order], before[order], after[order]
+    active = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")
     alpha, beta = np.empty_like(emit), np.empty_like(emit)
     for t, k in enumerate(active):
         at = starts[:k] + t
-        a = emit[at] if t == 0 else (alpha[at - 1] @ trans) * emit[at]
+        if t == 0:
+            a = np.where(follows[:k, None], before[:k] @ trans, 1) * emit[at]
+        else:
+            a = (alpha[at - 1] @ trans) * emit[at]
         alpha[at] = a / a.sum(axis=1, keepdims=True)
-    after = 0
+    reach = 0
     for t in range(len(active) - 1, -1, -1):
         k = active[t]
         at = starts[:k] + t
-        b = np.full((k, emit.shape[1]), 1 / emit.shape[1], emit.dtype)
-        if after:
-            on = at[:after] + 1
+        b = after[:k].copy()
+        if reach:
+            on = at[:reach] + 1
             y = (emit[on] * beta[on]) @ trans.T
-            b[:after] = y / y.sum(axis=1, keepdims=True)
+            b[:reach] = y / y.sum(axis=1, keepdims=True)
         beta[at] = b
-        after = k
+        reach = k
     p = alpha * beta
     return p / p.sum(axis=1, keepdims=True)
 
@@ -173,20 +226,27 @@ def words_of(text: str) -> list[str]:
     return [w for w in TOKEN.findall(text.lower()) if w != "\n"]
 
 
+def segments_of(text: str, seed: int) -> list[str]:
+    """Up to SEGMENTS pieces of a text, of up to SEGMENT words each."""
+    rng = np.random.default_rng([SEED, seed])
+    words = [w[:WORD_CHARS] for w in words_of(text)]
+    starts = range(0, len(words), SEGMENT)
+    if len(starts) > SEGMENTS:
+        starts = sorted(rng.choice(len(starts), SEGMENTS, replace=False) * SEGMENT)
+    return [" ".join(words[s:s + int(rng.integers(SEGMENT // 3, SEGMENT + 1))]) for s in starts]
+
+
 def train(sample: list[tuple[str, str]]) -> dict:
     """The model from (text, language) rows: weights, transitions, lexicon, languages."""
+    return train_segments([(s, lang) for i, (text, lang) in enumerate(sample) for s in segments_of(text, i)])
+
+
+def train_segments(sample: list[tuple[str, str]]) -> dict:
+    """``train`` from (segment, language) rows."""
     languages = sorted({lang for _, lang in sample})
     number = {lang: i for i, lang in enumerate(languages)}
     rng = np.random.default_rng(SEED)
-    segments = []  # (label, words)
-    for text, lang in sample:
-        words = words_of(text)
-        starts = range(0, len(words), SEGMENT)
-        if len(starts) > SEGMENTS:
-            starts = sorted(rng.choice(len(starts), SEGMENTS, replace=False) * SEGMENT)
-        for s in starts:
-            size = int(rng.integers(SEGMENT // 3, SEGMENT + 1))
-            segments.append((number[lang], words[s:s + size]))
+    segments = [(number[lang], text.split(" ")) for text, lang in sample]  # (label, words)
     if not segments:
         return {"languages": [], "weights": None, "trans": None, "lexicon": {}}
     n_labels = len(languages)
@@ -254,23 +314,26 @@ def fit(docs: DataFrame) -> dict:
     """Learn from the labelled rows that are not held out."""
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                       & ~held_out(F.col("doc_id")))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    known = {r["lang"]: r["count"] for r in common.collect()}
-    # rows under a hash threshold, somewhat more than are wanted of each language; then the first by hash
+    # about PER_LANGUAGE rows of each language, by a hash threshold from the counts over all rows
     draw = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30))
-    limit = F.lit(0)
-    for lang, n in known.items():
-        share = min(1.0, (1.2 * PER_LANGUAGE + 100) / n)
-        limit = F.when(F.col("lang") == lang, F.lit(int(share * (1 << 30)))).otherwise(limit)
+    counts = rows.groupBy("lang").count()  # a row per language
+    limits = counts.select("lang", (F.least(F.lit(1.0), F.lit(1.2 * PER_LANGUAGE + 100) / F.col("count")) * (1 << 30)).cast("long").alias("_limit"))
+    drawn = rows.withColumn("_draw", draw).join(F.broadcast(limits), "lang").where(F.col("_draw") < F.col("_limit"))
     # ids are keys; should many rows share one, its rows beyond the bound are left out
-    sample = (rows.withColumn("_draw", draw).where(F.col("_draw") < limit).select("_draw", "doc_id", "text", "lang")
-              .orderBy("_draw", "doc_id", "text").limit(2 * PER_LANGUAGE * (len(known) + 1)).collect())
-    taken, chosen = Counter(), []
-    for r in sample:
-        if taken[r["lang"]] < PER_LANGUAGE:
-            taken[r["lang"]] += 1
-            chosen.append((r["text"], r["lang"]))
-    return train(chosen)
+    place = Window.partitionBy("lang").orderBy("_draw", "doc_id", F.xxhash64("text"))
+    chosen = drawn.select("lang", "text", "_draw", "doc_id").withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= PER_LANGUAGE)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per_worker("segments", lambda: None)
+        for batch in small(batches):
+            found = [segments_of(t, p) for t, p in zip(batch.column("text").to_pylist(), batch.column("_place").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("_place"), pa.array(found, pa.list_(pa.string()))],
+                                             names=["lang", "place", "segments"])
+
+    sample = chosen.select("lang", "_place", "text").mapInArrow(cut, "lang string, place int, segments array<string>").toArrow()
+    sample = sample.sort_by([("lang", "ascending"), ("place", "ascending")])
+    return train_segments([(s, lang) for lang, found in zip(sample.column("lang").to_pylist(), sample.column("segments").to_pylist())
+                           for s in found])
 
 
 class Labeller:
@@ -298,7 +361,7 @@ class Labeller:
         flat = np.fromiter((self.memo[w] for ws in tokens for w in ws), np.int64, sum(map(len, tokens)))
         doc = np.repeat(np.arange(len(texts)), [len(ws) for ws in tokens])
         word = flat >= 0
-        # a chain ends with its line, its document, or after CHAIN words
+        # a chain ends with its line and its document
         line = np.cumsum(~word)
         place = np.flatnonzero(word)
         if not len(place):
@@ -306,9 +369,6 @@ class Labeller:
         doc, line = doc[place], line[place]
         new = np.ones(len(place), bool)
         new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
-        starts = np.flatnonzero(new)
-        lengths = np.diff(np.append(starts, len(place)))
-        new[starts.repeat(-(-lengths // CHAIN)) + CHAIN * _ramp(-(-lengths // CHAIN))] = True
         lengths = np.diff(np.append(np.flatnonzero(new), len(place)))
         p = posteriors(self.emit[flat[place]], lengths, self.model["trans"])
         ends = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -346,9 +406,10 @@ def predict(docs: DataFrame, model: dict, text: str = "text", keep: list[str] |
     base = docs.select(*dict.fromkeys([*keep, text]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{c}` {dict(docs.dtypes)[c]}" for c in keep) + ", lang_pred string, score double"
+    tag = uuid.uuid4().hex  # this model's
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(shared.value)
+        labeller = per_worker(("labeller", tag), lambda: Labeller(shared.value))
         for batch in batches:
             lang, score = judged(batch.column(text).to_pylist(), labeller)
             yield pa.RecordBatch.from_arrays(

@@ -1,29 +1,24 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections. DataFrame functions only.
 
-A paragraph is a line, its digest the SHA-256 of its text. Sections end where the content says so (after
-a blank line, or a paragraph whose digest starts with a fixed hex digit, one in sixteen), so an edit
-leaves the other sections as they were. A section's digest covers those of its paragraphs, the root those
-of the sections. Equal roots mean equal texts; otherwise the differing sections, then the differing
-paragraphs in them, locate the edit.
-
-The fingerprint is a string: ``root/section(paragraph,paragraph...)section(...)``, node digests shortened
-to SHORT hex digits. For likeness every paragraph also has leaves, its sentences: 48 hash bits and the
-length. The likeness of two trees is the share of characters in common leaves (Dice), 1 for equal roots.
-
-``with_parts`` is the tree one level deeper, which the registered query uses: its lowest nodes are the parts of
-a paragraph, ended by sentence marks, after words that a hash of the word picks (one in CUT_SHARE) and after
-PART_CHARS characters at the latest, so that a text that is one sentence is compared in parts too. A paragraph's
-digest covers its text's digest and its parts, and the fingerprint is ``root/section(paragraph[part:length,...],...)``.
-``parts_likeness`` is the share of characters in common parts, each counted as often as it occurs in both.
-
-``with_next`` gives each row its successor in descending id order with one exchange of the texts: ranges of
-ids are cut at approximate quantiles (at most MAX_RANGES numbers), each range is a sorted window, and the
-first row of a range is also sent to the end of the range before it.
-
-Defined cases: null text counts as empty, and has one empty paragraph; null ids come last. Rows sharing an
-id are neighbours, in order of their text's hash; an id is taken to be a key, so they stay in one range. The
-row after the last is the first; a table of one row has itself as the next. An empty table gives an empty
-result. Columns named like an added one are replaced.
+A paragraph is a line. Its lowest nodes are its parts, which end after words that a hash of the word picks (one in CUT_SHARE, a
+quarter of that among one-letter words and Han characters) and after PART_CHARS characters at the latest: an edit changes the parts it
+touches and leaves the others. A part's digest has LEAF_BITS bits of its hash; a paragraph's is the SHA-256 of that of its
+text and its parts. Sections end where the content says so (after a blank line, or a paragraph whose digest starts with a
+fixed hex digit, one in sixteen). A section's digest covers those of its paragraphs, the root those of the sections. Equal
+roots mean equal texts; otherwise the differing sections, then the differing paragraphs in them, locate the edit.
+
+The fingerprint is a string: ``root/section(paragraph:parts;paragraph:parts...)section(...)``, the root shortened to ROOT hex digits,
+sections and paragraphs to SHORT, each part LEAF_HEX digits without a separator. The likeness of two trees is the share of parts in
+common (Dice), each counted as often as it occurs in both; 1 for equal roots.
+
+``with_next`` gives each row its successor in descending id order with one exchange of the texts: ranges of ids are cut at the
+quantiles of a sample (at most MAX_RANGES values), each range is sorted in a task, and the first row of a range is also sent
+to the end of the range before it. Each text's tree is made once, after the exchange, and passed on to the row before.
+
+Defined cases: null text counts as empty, and has one empty paragraph without parts. Ids can be of any type that has an order; null ids
+come last, in order of their texts' hashes, and are dealt over ranges by it. Rows sharing an id are neighbours, in order of their
+text's hash; an id is taken to be a key, so they stay in one range. The row after the last is the first; a table of one row has
+itself as the next. An empty table gives an empty result. Columns named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -31,97 +26,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHORT = 12
+ROOT = 32
+SHORT = 6
+LEAF_HEX = 5
+LEAF_BITS = 4 * LEAF_HEX
 SECTION_END = "0"
-LENGTH_BITS = 16
 RANGE_ROWS = 2000
 MAX_RANGES = 16384
-CUT_SHARE = 4
-PART_CHARS = 200
+# Sampled ids for each range, from which its borders are taken.
+SAMPLED = 20
+CUT_SHARE = 12
+PART_CHARS = 400
 # Words with the white space after them; Han characters and kana one by one, other long words in pieces.
-TOKEN = r"[\u3040-\u30ff\u3400-\u9fff]\s*|[^\s\u3040-\u30ff\u3400-\u9fff]{1,32}\s*|\s+"
+TOKEN = r"[぀-ヿ㐀-鿿]\s*|[^\s぀-ヿ㐀-鿿]{1,32}\s*|\s+"
 SEPARATOR = "\x1f"
+SEPARATOR_SHOWN = "␟"  # in its place in a text's parts; the paragraph's own digest tells them apart
 
 
-def sentences(text: Column) -> Column:
-    return F.split(text, r"(?<=[.!?])[ \t]+|\n")
-
-
-def leaves(text: Column) -> Column:
-    """Distinct leaves of a text: 48 bits of the sentence's hash, 16 of its length."""
-    mask = (1 << LENGTH_BITS) - 1
-
-    def leaf(s: Column) -> Column:
-        size = F.least(F.length(s), F.lit(mask)).cast("long")
-        return F.call_function("shiftleft", F.shiftrightunsigned(F.xxhash64(s), LENGTH_BITS), F.lit(LENGTH_BITS)).bitwiseOR(size)
-
-    return F.array_distinct(F.transform(F.filter(sentences(text), lambda s: s != ""), leaf))
-
-
-def _weight(ls: Column) -> Column:
-    mask = F.lit((1 << LENGTH_BITS) - 1).cast("long")
-    return F.aggregate(ls, F.lit(0).cast("long"), lambda a, x: a + x.bitwiseAND(mask))
-
-
-def likeness(root_a: Column, leaves_a: Column, root_b: Column, leaves_b: Column) -> Column:
-    """Dice share of characters in common leaves; 1 for equal roots."""
-    both = _weight(F.array_intersect(leaves_a, leaves_b)).cast("double")
-    total = _weight(leaves_a) + _weight(leaves_b)
-    return (F.when(root_a == root_b, F.lit(1.0))
-            .when(total == 0, F.lit(0.0))
-            .otherwise(F.least(F.lit(1.0), F.lit(2.0) * both / total)))
-
-
-def with_tree(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
-    """Add {prefix}paragraphs and {prefix}sections (digests), {prefix}root, {prefix}fingerprint, {prefix}leaves."""
-    p = prefix
-    names = [f"{p}paragraphs", f"{p}sections", f"{p}root", f"{p}fingerprint", f"{p}leaves"]
-    lines = F.split(F.col(text), "\n")
-    # blank lines end a section too: their digest is that of the empty string
-    blank = F.sha2(F.lit(""), 256)
-    ends = F.filter(F.sequence(F.lit(1), F.size(F.col(f"{p}paragraphs"))),
-                    lambda i: F.startswith(F.element_at(F.col(f"{p}paragraphs"), i), F.lit(SECTION_END))
-                    | (F.element_at(F.col(f"{p}paragraphs"), i) == blank)
-                    | (i == F.size(F.col(f"{p}paragraphs"))))
-    df = df.drop(*names).withColumn(f"{p}paragraphs", F.transform(lines, lambda s: F.sha2(s, 256)))
-    df = df.withColumn("_ends", ends)
-
-    def members(k: Column) -> Column:  # k: a section's number from 1
-        first = F.when(k == 1, F.lit(1)).otherwise(F.try_element_at(F.col("_ends"), k - 1) + 1)
-        return F.slice(F.col(f"{p}paragraphs"), first, F.element_at(F.col("_ends"), k) - first + 1)
-
-    df = df.withColumn("_members", F.transform(F.sequence(F.lit(1), F.size("_ends")), members))
-    df = df.withColumn(f"{p}sections", F.transform("_members", lambda m: F.sha2(F.array_join(m, ""), 256)))
-    df = df.withColumn(f"{p}root", F.sha2(F.array_join(f"{p}sections", ""), 256))
-    short = F.zip_with(f"{p}sections", "_members", lambda s, m: F.concat(
-        F.substring(s, 1, SHORT), F.lit("("),
-        F.array_join(F.transform(m, lambda x: F.substring(x, 1, SHORT)), ","), F.lit(")")))
-    df = df.withColumn(f"{p}fingerprint", F.concat(f"{p}root", F.lit("/"), F.array_join(short, "")))
-    return df.withColumn(f"{p}leaves", leaves(F.col(text))).drop("_ends", "_members")
-
-
-def _parts(line: Column) -> Column:
-    """The parts of a paragraph: digest (SHORT hex digits) and n, the length."""
+def _leaves(line: Column) -> Column:
+    """The parts of a paragraph, as numbers of LEAF_BITS bits."""
     def marked(t: Column) -> Column:
-        ends = (F.pmod(F.xxhash64(t), F.lit(CUT_SHARE)) == 0) | F.rlike(t, F.lit(r"[.!?]\s+$"))
-        return F.when(ends, F.concat(t, F.lit(SEPARATOR))).otherwise(t)
+        h = F.xxhash64(t)
+        picked = F.when(F.length(t) <= 2, F.pmod(h, F.lit(4 * CUT_SHARE))).otherwise(F.pmod(h, F.lit(CUT_SHARE))) == 0
+        return F.when(picked, F.concat(t, F.lit(SEPARATOR))).otherwise(t)
 
-    tokens = F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0))
+    tokens = F.regexp_extract_all(F.translate(line, SEPARATOR, SEPARATOR_SHOWN), F.lit(TOKEN), F.lit(0))
     parts = F.split(F.array_join(F.transform(tokens, marked), ""), SEPARATOR)
-    parts = F.flatten(F.transform(parts, lambda s: F.regexp_extract_all(s, F.lit(f"(?s).{{1,{PART_CHARS}}}"), F.lit(0))))
-    return F.transform(parts, lambda s: F.struct(F.substring(F.sha2(s, 256), 1, SHORT).alias("digest"), F.length(s).alias("n")))
+    pieces = F.flatten(F.transform(parts, lambda s: F.when(F.length(s) <= PART_CHARS, F.array(s)).otherwise(
+        F.regexp_extract_all(s, F.lit(f"(?s).{{1,{PART_CHARS}}}"), F.lit(0)))))
+    mask = F.lit((1 << LEAF_BITS) - 1).cast("long")
+    return F.transform(F.filter(pieces, lambda s: s != ""), lambda s: F.xxhash64(s).bitwiseAND(mask))
 
 
-def with_parts(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
-    """Like ``with_tree``, with {prefix}leaves the parts (digest, n), which are nodes of the tree and the fingerprint."""
+def with_tree(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
+    """Add {prefix}paragraphs and {prefix}sections (digests), {prefix}root, {prefix}fingerprint, {prefix}leaves (the parts)."""
     p = prefix
     names = [f"{p}{n}" for n in ("paragraphs", "sections", "root", "fingerprint", "leaves")]
-    lines = F.transform(F.split(F.col(text), "\n"), lambda s: F.struct(F.sha2(s, 256).alias("own"), _parts(s).alias("parts")))
+    lines = F.transform(F.split(F.col(text), "\n"), lambda s: F.struct(F.sha2(s, 256).alias("own"), _leaves(s).alias("leaves")))
     df = df.drop(*names).withColumn("_lines", lines)
-    shown = F.transform("_lines", lambda x: F.struct(
-        x["own"].alias("own"), F.array_join(F.transform(x["parts"], lambda y: F.concat_ws(":", y["digest"], y["n"])), ",").alias("parts")))
-    df = df.withColumn("_shown", shown)
-    df = df.withColumn(f"{p}leaves", F.flatten(F.transform("_lines", lambda x: x["parts"])))
+    df = df.withColumn(f"{p}leaves", F.flatten(F.transform("_lines", lambda x: x["leaves"])))
+    df = df.withColumn("_shown", F.transform("_lines", lambda x: F.struct(x["own"].alias("own"), F.array_join(
+        F.transform(x["leaves"], lambda y: F.lpad(F.hex(y), LEAF_HEX, "0")), "").alias("parts"))))
     df = df.withColumn("_nodes", F.transform("_shown", lambda x: F.struct(
         F.sha2(F.concat(x["own"], x["parts"]), 256).alias("digest"), x["parts"].alias("parts"),
         (x["own"] == F.sha2(F.lit(""), 256)).alias("blank"))))
@@ -139,33 +84,26 @@ def with_parts(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
     df = df.withColumn(f"{p}root", F.sha2(F.array_join(f"{p}sections", ""), 256))
     short = F.zip_with(f"{p}sections", "_members", lambda s, m: F.concat(
         F.substring(s, 1, SHORT), F.lit("("), F.array_join(F.transform(m, lambda x: F.concat(
-            F.substring(x["digest"], 1, SHORT), F.lit("["), x["parts"], F.lit("]"))), ","), F.lit(")")))
-    df = df.withColumn(f"{p}fingerprint", F.concat(f"{p}root", F.lit("/"), F.array_join(short, "")))
+            F.substring(x["digest"], 1, SHORT), F.lit(":"), x["parts"])), ";"), F.lit(")")))
+    df = df.withColumn(f"{p}fingerprint", F.concat(F.substring(f"{p}root", 1, ROOT), F.lit("/"), F.array_join(short, "")))
     return df.drop("_lines", "_shown", "_nodes", "_ends", "_members")
 
 
-def parts_likeness(root_a: Column, a: Column, root_b: Column, b: Column) -> Column:
-    """Dice share of characters in common parts, as a multiset; 1 for equal roots."""
-    def side(parts: Column, step: int) -> Column:
-        return F.transform(parts, lambda x: F.struct(x["digest"].alias("digest"), x["n"].alias("n"), F.lit(step).alias("step")))
-
-    # sorted, equal parts are together: what one side has more often than the other differs
-    start = F.struct(F.lit("").alias("digest"), F.lit(0).alias("n"), F.lit(0).alias("more"),
-                     F.lit(0).cast("long").alias("differ"), F.lit(0).cast("long").alias("total"))
-
-    def closed(acc: Column) -> Column:
-        return acc["differ"] + F.abs(acc["more"]).cast("long") * acc["n"]
+def likeness(root_a: Column, a: Column, root_b: Column, b: Column) -> Column:
+    """Dice share of common parts, as a multiset; 1 for equal roots."""
+    # the side is the lowest bit; sorted, equal parts are together: what one side has more often than the other differs
+    both = F.array_sort(F.concat(F.transform(a, lambda x: x * 2), F.transform(b, lambda x: x * 2 + 1)))
+    start = F.struct(F.lit(-1).cast("long").alias("part"), F.lit(0).alias("more"), F.lit(0).alias("differ"))
 
     def step(acc: Column, x: Column) -> Column:
-        same = (acc["digest"] == x["digest"]) & (acc["n"] == x["n"])
-        return F.struct(x["digest"].alias("digest"), x["n"].alias("n"),
-                        F.when(same, acc["more"] + x["step"]).otherwise(x["step"]).alias("more"),
-                        F.when(same, acc["differ"]).otherwise(closed(acc)).alias("differ"),
-                        (acc["total"] + x["n"].cast("long")).alias("total"))
+        part, side = F.shiftright(x, 1), F.when(x % 2 == 0, 1).otherwise(-1)
+        same = acc["part"] == part
+        return F.struct(part.alias("part"), F.when(same, acc["more"] + side).otherwise(side).alias("more"),
+                        F.when(same, acc["differ"]).otherwise(acc["differ"] + F.abs(acc["more"])).alias("differ"))
 
-    share = F.aggregate(F.array_sort(F.concat(side(a, 1), side(b, -1))), start, step, lambda acc: F.when(
-        acc["total"] == 0, F.lit(0.0)).otherwise((acc["total"] - closed(acc)).cast("double") / acc["total"]))
-    return F.when(root_a == root_b, F.lit(1.0)).otherwise(share)
+    differ = F.aggregate(both, start, step, lambda acc: acc["differ"] + F.abs(acc["more"]))
+    total = F.size(a) + F.size(b)
+    return F.when(root_a == root_b, F.lit(1.0)).when(total == 0, F.lit(0.0)).otherwise((total - differ).cast("double") / total)
 
 
 def changed_from(mine: Column, other: Column) -> Column:
@@ -175,39 +113,62 @@ def changed_from(mine: Column, other: Column) -> Column:
     return F.try_element_at(places, F.lit(1)) - 1
 
 
-def with_next(rows: DataFrame, columns: list[str], key: str = "doc_id") -> DataFrame:
-    """``rows`` with ``next_<column>`` of the next row in descending ``key`` order (after the last: the first).
+def _range_number(key: Column, cuts: list, kind: str) -> Column:
+    """How many of the sorted cuts are at most the key, by a look at every stride-th and then at those between."""
+    if not cuts:
+        return F.lit(0)
+    stride = max(1, int(len(cuts) ** 0.5))
+
+    def among(values: Column) -> Column:
+        return F.size(F.filter(values, lambda c: c <= key))
+
+    coarse = among(F.lit(cuts[::stride]).cast(f"array<{kind}>"))
+    inner = F.slice(F.lit(cuts).cast(f"array<{kind}>"), (coarse - 1) * stride + 1, stride)
+    return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * stride + among(inner))
+
+
+def in_ranges(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with _range: descending ranges of the key, then those of null keys; about RANGE_ROWS rows in each."""
+    total = rows.agg(F.count(key).alias("known"), F.count(F.lit(1)).alias("all")).first()
+    known, unknown = total["known"], total["all"] - total["known"]
+    ranges = min(MAX_RANGES, max(1, -(-known // RANGE_ROWS)))
+    cuts = []
+    if ranges > 1:  # a sample of about SAMPLED ids a range: a bounded number
+        share = min(1.0, SAMPLED * ranges / known)
+        drawn = F.pmod(F.xxhash64(key, "_tie"), F.lit(1 << 30)) < int(share * (1 << 30))
+        some = sorted(r[0] for r in rows.where(F.col(key).isNotNull() & drawn).select(key).limit(2 * SAMPLED * ranges).collect())
+        cuts = sorted({some[len(some) * i // ranges] for i in range(1, ranges)}) if some else []
+    number = F.lit(len(cuts)) - _range_number(F.col(key), cuts, dict(rows.dtypes)[key])
+    # null keys: by the leading bits of their texts' hashes, in the order of signed numbers
+    bits = max(0, (min(MAX_RANGES, -(-unknown // RANGE_ROWS)) - 1).bit_length())
+    half = F.shiftright("_tie", 64 - bits) + (1 << (bits - 1)) if bits else F.lit(0)
+    return rows.withColumn("_range", F.when(F.col(key).isNull(), F.lit(len(cuts) + 1) + half).otherwise(number).cast("int"))
+
+
+def with_next(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``rows`` dealt by ranges and sorted in descending ``key`` order, with ``_tail`` rows: copies of the first row of the
+    next range (after the last: of the first) at the end of each range, so that the row after any row is in its task.
 
     ``rows`` needs ``_tie``, an order among rows of one key that is a function of their content.
     """
-    order = [F.col(key).desc_nulls_last(), F.col("_tie").asc_nulls_last()]
-    total = rows.select(key).count()
-    ranges = min(MAX_RANGES, max(1, -(-total // RANGE_ROWS)))
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = (rows.agg(F.percentile_approx(key, shares, 20 * ranges)).first()[0] or []) if shares else []
-    cuts = sorted(set(cuts))
-    # range 0 holds the highest keys; nulls go to the last one
-    number = F.lit(len(cuts)) - F.size(F.filter(F.lit(cuts).cast("array<long>"), lambda c: c <= F.col(key)))
-    number = F.when(F.col(key).isNull(), F.lit(len(cuts))).otherwise(number) if cuts else F.lit(0)
-    numbered = rows.withColumn("_range", number)
-    # the first row of each range, by key and tie: at most MAX_RANGES rows
-    heads = numbered.select("_range", key, "_tie").groupBy("_range").agg(F.max(key).alias("_head"))
-    ties = (numbered.select("_range", key, "_tie").join(F.broadcast(heads), "_range")
-            .where(F.col(key).eqNullSafe(F.col("_head")))
-            .groupBy("_range", "_head").agg(F.min("_tie").alias("_head_tie")).collect())
-    ties = sorted(ties, key=lambda r: r["_range"])
-    table = rows.sparkSession.createDataFrame(
-        [(r["_range"], r["_head"], r["_head_tie"], ties[i - 1]["_range"]) for i, r in enumerate(ties)],
-        "_range int, _head long, _head_tie long, _before int")
+    numbered = in_ranges(rows, key)
+    # the first row of each range, by key and tie: at most 2 MAX_RANGES rows
+    heads = numbered.groupBy("_range").agg(F.max(key).alias("_head"))
+    ties = (numbered.select("_range", key, "_tie").join(F.broadcast(heads), "_range").where(F.col(key).eqNullSafe(F.col("_head")))
+            .groupBy("_range", "_head").agg(F.min("_tie").alias("_head_tie")))
+    every = Window.orderBy("_range")
+    last = F.max("_range").over(Window.partitionBy())
+    table = ties.withColumn("_before", F.coalesce(F.lag("_range").over(every), last))
     # identical rows: one of them stands for the head
     heads_of = numbered.join(F.broadcast(table), "_range").where(
         F.col(key).eqNullSafe(F.col("_head")) & F.col("_tie").eqNullSafe(F.col("_head_tie")))
-    heads_of = (heads_of.select(F.col("_before").alias("_range"), key, "_tie", *[c for c in columns if c != key])
-                .withColumn("_tail", F.lit(True)))
-    both = numbered.withColumn("_tail", F.lit(False)).unionByName(heads_of, allowMissingColumns=True)
-    at = Window.partitionBy("_range").orderBy("_tail", *order)
-    return (both.withColumns({f"next_{c}": F.lead(c).over(at) for c in columns})
-            .where(~F.col("_tail")).drop("_range", "_tail"))
+    heads_of = heads_of.withColumn("_range", F.col("_before")).select(*numbered.columns).withColumn("_tail", F.lit(True))
+    both = numbered.withColumn("_tail", F.lit(False)).unionByName(heads_of)
+    return both.repartition("_range").sortWithinPartitions("_range", *_order(key))
+
+
+def _order(key: str) -> list[Column]:
+    return [F.col("_tail").asc(), F.col(key).desc_nulls_last(), F.col("_tie").asc()]
 
 
 def edit(text: Column, other: Column) -> Column:
@@ -218,31 +179,16 @@ def edit(text: Column, other: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Per row: the id, the tree of its text, of its edited text, and the likeness to that and to the next row."""
+    """Per row: the id, the tree of its text and of its edited text, and the likeness to that and to the next row."""
     base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("_tie", F.xxhash64("text"))
-    trees = with_tree(base, "text").drop("sections")
-    linked = with_next(trees, ["text", "root", "leaves"])
-    edited = linked.withColumn("edited_text", edit(F.col("text"), F.col("next_text"))).drop("next_text")
-    edited = with_tree(edited, "edited_text", "edited_")
+    trees = with_tree(with_next(base.withColumn("_tie", F.xxhash64("text"))), "text")
+    at = Window.partitionBy("_range").orderBy(*_order("doc_id"))
+    linked = trees.withColumns({f"next_{c}": F.lead(c).over(at) for c in ("text", "root", "leaves")}).where(~F.col("_tail"))
+    linked = linked.withColumn("edited_text", edit(F.col("text"), F.col("next_text"))).drop("next_text")
+    edited = with_tree(linked, "edited_text", "edited_")
     return (edited.withColumn("n_chars", F.length("text").cast("long"))
             .withColumn("edited_sha256", F.sha2("edited_text", 256))
             .withColumn("near_edited", likeness(F.col("root"), F.col("leaves"), F.col("edited_root"), F.col("edited_leaves")))
             .withColumn("near_next", likeness(F.col("root"), F.col("leaves"), F.col("next_root"), F.col("next_leaves")))
             .withColumn("changed_from", changed_from(F.col("paragraphs"), F.col("edited_paragraphs")))
-            .drop("_tie"))
-
-
-def part_fingerprints(docs: DataFrame) -> DataFrame:
-    """Like ``fingerprints``, by ``with_parts``: the texts alone are exchanged, the trees made after it."""
-    base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    linked = with_next(base.withColumn("_tie", F.xxhash64("text")), ["text"])
-    linked = linked.withColumn("edited_text", edit(F.col("text"), F.col("next_text")))
-    for prefix in ("", "edited_", "next_"):
-        linked = with_parts(linked, f"{prefix}text", prefix)
-    return (linked.withColumn("n_chars", F.length("text").cast("long"))
-            .withColumn("edited_sha256", F.sha2("edited_text", 256))
-            .withColumn("near_edited", parts_likeness(F.col("root"), F.col("leaves"), F.col("edited_root"), F.col("edited_leaves")))
-            .withColumn("near_next", parts_likeness(F.col("root"), F.col("leaves"), F.col("next_root"), F.col("next_leaves")))
-            .withColumn("changed_from", changed_from(F.col("paragraphs"), F.col("edited_paragraphs")))
-            .drop("_tie", "next_text", "sections", "edited_sections", "next_sections"))
+            .drop("_tie", "_range", "_tail", "next_root", "next_leaves"))

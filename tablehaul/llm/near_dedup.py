@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, per_worker, saved
+from .common import lookup, per_worker, saved, small
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -189,7 +189,7 @@ def _parts(texts: list[str | None]) -> Iterator[slice]:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, place, text) -> doc_id, place, node, bands; node and bands are null without a word."""
     shingler = per_worker("shingler", Shingler)
-    for batch in batches:
+    for batch in small(batches):
         texts = batch.column("text").to_pylist()
         for part in _parts(texts):
             words = [WORD.findall(t.lower()) if t else [] for t in texts[part]]
@@ -211,7 +211,7 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """(node, text) -> node, n, shingles: sorted 64-bit numbers, one for each occurrence of a shingle; bins:
     how many of them fall into each of BINS bins."""
     shingler = per_worker("shingler", Shingler)
-    for batch in batches:
+    for batch in small(batches):
         names, texts = batch.column("node").to_pylist(), batch.column("text").to_pylist()
         for part in _parts(texts):
             words = [WORD.findall(t.lower()) for t in texts[part]]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_worker
+from .common import per_worker, small
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -77,7 +77,7 @@ def tokenize(rows: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker(("words", tokenizer_path), lambda: WordEncoder(tokenizer_path))
         end = np.array([END_ID], "<u2").tobytes()
-        for batch in batches:
+        for batch in small(batches):
             ids = [encoder.encode(t.as_py() or "") + end for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(ids, pa.binary())],
                                              names=[*keep, "ids"])

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lookup, saved
+from .common import lookup, per_worker, saved, small
 
 MIN_WORDS = 10
 UNIT_WORDS = 3
@@ -223,7 +223,8 @@ def repeated_spans(found: list[tuple[int, int, int, bytes | None]], elsewhere: s
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> doc_id and the different digests of its units, in two halves."""
-    for batch in batches:
+    per_worker("units", lambda: None)  # what another stage kept goes
+    for batch in small(batches):
         ids, raw = [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
             own = {u[3] for u in units(text)} - {None}
@@ -261,7 +262,8 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        per_worker("units", lambda: None)
+        for batch in small(batches):
             left, removed = [], []
             for doc_id, text, elsewhere in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(),
                                                batch.column("_elsewhere").to_pylist()):

@@ -58,15 +58,35 @@ def test_code_switched_text_is_labelled_word_by_word(model):
     assert abs(mass[0].sum() - 25) < 1e-3
 
 
-def test_chain_cuts_and_small_memo_change_little(model, monkeypatch):
+@pytest.mark.parametrize("block", [1, 2, 7, 1000])
+def test_messages_are_carried_over_blocks(block):
+    rng = np.random.default_rng(1)
+    lengths = np.array([1, 3, 50, 7, 8, 120, 2])
+    for k in (1, 2, 5):
+        emit, trans = rng.random((lengths.sum(), k)) ** 8 + 1e-9, np.exp(2 * rng.normal(size=(k, k)))
+        assert np.allclose(L.posteriors(emit, lengths, trans, block), L.marginals(emit, lengths, trans)[0], atol=1e-9)
+
+
+def test_blocks_and_a_small_memo_change_nothing(model, monkeypatch):
     model, one, two = model
     rng = random.Random(3)
     texts = [prose(rng, 900, one) + " " + prose(rng, 500, two) for _ in range(4)]
     want = L.judged(texts, L.Labeller(model))
     monkeypatch.setattr(L, "MEMO_WORDS", 5)
-    monkeypatch.setattr(L, "CHAIN", 7)
+    monkeypatch.setattr(L, "BLOCK", 7)
     got = L.judged(texts, L.Labeller(model))
-    assert got[0] == want[0] == ["aa"] * 4 and np.allclose(got[1], want[1], atol=0.02)
+    assert got[0] == want[0] == ["aa"] * 4 and np.allclose(got[1], want[1], atol=1e-4)
+
+
+def test_every_label_is_learnt(spark):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{k:02d}": ["".join(rng.choice(letters) for _ in range(6)) for _ in range(12)] for k in range(70)}
+    rows = [(70 * i + k, prose(rng, 30, words), lang, "s") for i in range(8) for k, (lang, words) in enumerate(own.items())]
+    docs = documents(spark, rows)
+    out = {r.doc_id: r.lang_pred for r in L.predict(docs, L.fit(docs)).collect()}
+    right = [out[i] == lang for i, _, lang, _ in rows]
+    assert {out[i] for i in out} == set(own) and sum(right) / len(right) > 0.98
 
 
 def test_defined_cases(spark, model):
