@@ -38,7 +38,8 @@ def page(df: DataFrame, order_by, offset: int = 0, n: int = PAGE_ROWS, after=Non
     A reader that walks through a large table passes ``after``, the ``order_by`` values of the last row of
     the page before (keyset paging): the comparison is pushed into the scan and each page costs a top-n
     of ``n`` rows, however deep it lies. ``order_by`` must then be a key. ``offset`` counts rows instead; each task then
-    ranks ``offset + n`` rows, which suits browsing. A whole table is exported by a sink, not by pages.
+    ranks ``offset + n`` rows, which suits browsing the first pages. Deep pages, or many of them, come from a
+    ``pages.PageIndex``, which is written once and reads one or two ranges for any page. A whole table is exported by a sink.
     """
     if offset < 0 or n < 0:
         raise ValueError("offset and n must be >= 0")
@@ -59,11 +60,19 @@ def limit_then_partition(df: DataFrame, limit: int, order_by, column: str, n: in
                          part_col: str = "part") -> DataFrame:
     """``LIMIT`` inside the derived table, then the range parts of ``column`` over it.
 
-    The limited table follows a total order and is written once (a reliable checkpoint), so its bounds and
-    its parts see the same rows. Bounds are the floored MIN/MAX of the limited rows; NULL rows are dropped.
+    The limited table follows a total order and is written when this is called, so its bounds and its parts see the same
+    rows: up to PAGE_ROWS rows by a top-k per task, merged; more by a page index, of which whole ranges and a part of
+    one are taken, so that no task merges them. Bounds are the floored MIN/MAX of the limited rows; NULL rows are dropped.
     """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    limited = df.orderBy(*_total_order(df, order_by)).limit(limit).checkpoint()
+    from ..session import ensure_checkpoint_dir, scratch_path
+    from .pages import PageIndex
+    from .partition import check_numeric
+
+    spark = df.sparkSession
+    check_numeric(df, column)
+    if limit <= PAGE_ROWS:
+        ensure_checkpoint_dir(spark)
+        limited = df.orderBy(*_total_order(df, order_by)).limit(limit).checkpoint()
+    else:
+        limited = PageIndex.build(df, _keys(order_by), scratch_path(spark, "limit", unique=True)).first(limit)
     return partition_assign(limited, column, n, part_col=part_col)

@@ -2,6 +2,7 @@
 
 from .core import (bulk_sink, csv_sink, ddl_types, load_if_incomplete, parquet_sink,
                    publish_if_absent, table_count)
+from .ledger import LedgerTable
 
-__all__ = ["bulk_sink", "csv_sink", "ddl_types", "load_if_incomplete", "parquet_sink",
+__all__ = ["LedgerTable", "bulk_sink", "csv_sink", "ddl_types", "load_if_incomplete", "parquet_sink",
            "publish_if_absent", "table_count"]

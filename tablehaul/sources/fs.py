@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Name of the file ``write_note`` leaves in a folder; the underscore hides it from readers.
@@ -62,3 +64,51 @@ def read_note(spark: SparkSession, folder: str) -> dict | None:
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs_and_path(spark, path)
     return bool(fs.delete(jpath, True))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = _fs_and_path(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none where there is no such folder."""
+    fs, jpath = _fs_and_path(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, unless one of that name is there: of several writers one succeeds.
+
+    The text goes to a file of its own first. On a local disk a hard link then gives it its name, elsewhere a rename that
+    doesn't overwrite; either fails where the name is taken, and a reader sees all of the text or none. (Both are atomic on local
+    disks and HDFS. An object store whose rename is a copy gives no such promise.)
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs, target = _fs_and_path(spark, path)
+    fs.mkdirs(target.getParent())
+    draft = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            jvm.java.nio.file.Files.createLink(*[jvm.java.io.File(fs.makeQualified(p).toUri().getPath()).toPath() for p in (target, draft)])
+        else:
+            once = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            once[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(draft), fs.makeQualified(target), once)
+        return True
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    finally:
+        fs.delete(draft, False)
