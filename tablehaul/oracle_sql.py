@@ -126,7 +126,7 @@ def _query_oracles():
     ORACLES["federated_sql"] = ("SELECT s_suppkey, s_name, (SELECT n_name FROM nation WHERE n_nationkey = s_nationkey) "
                                 "AS nation FROM supplier")
     ORACLES["spja_three_way"] = REVENUE
-    ORACLES["spja_revenue"] = REVENUE
+    ORACLES["spja_revenue"] = REVENUE.replace("BUILDING", "MACHINERY").replace("1995-03-15", "1994-07-01")
     ORACLES["count_rows"] = "SELECT COUNT(*) AS n FROM lineitem WHERE l_shipdate > TIMESTAMP '1995-03-15'"
     ORACLES["min_max"] = (
         "SELECT COALESCE(CAST(FLOOR(MIN(l_extendedprice)) AS BIGINT), 0) AS min, "
@@ -175,7 +175,7 @@ def _sink_oracles():
     ORACLES["bulk_table_sink"] = (
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
         "CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders")
-    ORACLES["arrow_batches"] = "SELECT * FROM lineitem"
+    ORACLES["arrow_batches"] = "SELECT COUNT(*) AS n_rows, true AS within_bound FROM lineitem"
     expanded = census_expanded_sql()
     ORACLES["census_pipeline"] = f"SELECT * FROM ({expanded}) e WHERE {SIMPLE_WHERE}"
     ORACLES["census_etl_only"] = ORACLES["census_expand"]
@@ -273,8 +273,55 @@ def _norm_oracles():
 _norm_oracles()
 
 
-ORACLES["row_generator"] = (
-    "SELECT i AS a, CAST(i AS DOUBLE) AS b, i % 2 = 0 AS c, CAST(i AS VARCHAR) AS d, "
-    "CASE i % 3 WHEN 0 THEN true WHEN 1 THEN false ELSE NULL END AS e "
-    "FROM (SELECT unnest(range(n)) AS i FROM (SELECT COUNT(*) AS n FROM orders "
-    "GROUP BY o_orderstatus) g) t")
+def _time_oracles():
+    ORACLES["page_index"] = """
+WITH numbered AS (SELECT row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber) - 1 AS row_no, l_extendedprice,
+  l_orderkey, l_linenumber, l_shipdate FROM lineitem),
+size AS (SELECT (count(*) - 1) // 1000 AS last FROM lineitem)
+SELECT numbered.* FROM numbered, size WHERE row_no // 1000 IN (0, last // 2, last)"""
+    ORACLES["ledger_load"] = "SELECT * FROM orders"
+    ORACLES["asof_join"] = """
+SELECT p.event_id, p.user_id, p.ts, p.value, CASE WHEN near THEN v.event_id END AS event_id_seen, CASE WHEN near THEN v.ts END AS ts_seen,
+  CASE WHEN near THEN v.value END AS value_seen
+FROM (SELECT p.*, v.event_id AS seen, p.ts - v.ts <= INTERVAL 1 DAY AS near
+  FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+  ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts) p
+LEFT JOIN events v ON v.event_id = p.seen"""
+    ORACLES["asof_join_forward"] = """
+SELECT event_id, ts, event_id_next, ts_next, event_type FROM (
+  SELECT event_id, ts, event_type AS kind, lead(event_id) OVER w AS event_id_next, lead(ts) OVER w AS ts_next,
+    lead(event_type) OVER w AS event_type
+  FROM events WINDOW w AS (ORDER BY ts, event_id)) WHERE kind = 'error'"""
+    ORACLES["range_join"] = """
+SELECT c.event_id, c.user_id, c.ts, p.event_id AS event_id_purchase, p.ts AS begins, p.ts + to_minutes(10 * trunc(p.value)::INT) AS ends
+FROM events c, events p WHERE c.event_type = 'click' AND p.event_type = 'purchase' AND c.user_id = p.user_id
+  AND p.ts <= c.ts AND c.ts < p.ts + to_minutes(10 * trunc(p.value)::INT)"""
+    ORACLES["interval_join"] = """
+WITH spells AS (SELECT *, ts + to_seconds(trunc(value)::INT) AS ends FROM events)
+SELECT a.event_id, a.user_id, a.ts AS begins, a.ends, b.event_id AS event_id_signup, b.user_id AS user_id_signup,
+  b.ts AS begins_signup, b.ends AS ends_signup
+FROM spells a JOIN spells b ON a.ts < b.ends AND b.ts < a.ends
+WHERE a.event_type = 'error' AND b.event_type = 'signup' AND a.ts < a.ends AND b.ts < b.ends"""
+    tumbling = """
+SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start,
+  time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 6 HOUR AS window_end, event_type, count(*) AS n_events,
+  count(value) AS n_values, max(value) AS most FROM events WHERE ts IS NOT NULL GROUP BY ALL"""
+    passed = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 30 MINUTE FROM events)"
+    ORACLES["event_windows_batch"] = tumbling
+    ORACLES["event_windows"] = f"SELECT * FROM ({tumbling}) WHERE window_end <= {passed}"
+    ORACLES["event_windows_sliding"] = f"""
+SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, count(*) AS n_events, count(value) AS n_values, max(value) AS most
+FROM (SELECT value, time_bucket(INTERVAL 8 HOUR, ts, TIMESTAMP '1970-01-01') - INTERVAL 8 HOUR * i AS window_start
+  FROM events, range(3) r(i) WHERE ts IS NOT NULL)
+GROUP BY ALL HAVING window_end <= {passed}"""
+    sessions = """
+SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_events, round(sum(value), 2) AS total
+FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no
+  FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 DAY THEN 0 ELSE 1 END AS fresh
+    FROM events WHERE ts IS NOT NULL))
+GROUP BY user_id, no"""
+    ORACLES["event_sessions"] = sessions
+    ORACLES["event_sessions_stream"] = f"SELECT * FROM ({sessions}) WHERE session_end + INTERVAL 2 DAY < {passed}"
+
+
+_time_oracles()

@@ -11,7 +11,7 @@ CUTOFF = "1995-03-15"
 
 
 def spja_three_way(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
-                   priority_col: str = "o_shippriority") -> DataFrame:
+                   priority_col: str = "o_shippriority", segment: str = SEGMENT, cutoff: str = CUTOFF) -> DataFrame:
     """Revenue per order of one segment, ordered before and shipped after the cut-off.
 
     Filters are applied before the joins and reach the parquet scans;
@@ -19,8 +19,8 @@ def spja_three_way(customer: DataFrame, orders: DataFrame, lineitem: DataFrame,
     the small one after its segment filter; the planner broadcasts it when its
     statistics allow, else AQE does once the filtered size is known.
     """
-    cutoff = F.lit(CUTOFF).cast("date")
-    c = customer.where(F.col("c_mktsegment") == SEGMENT).select("c_custkey")
+    cutoff = F.lit(cutoff).cast("date")
+    c = customer.where(F.col("c_mktsegment") == segment).select("c_custkey")
     o = orders.where(F.col("o_orderdate") < cutoff).select(
         "o_orderkey", "o_custkey", "o_orderdate", priority_col)
     l = lineitem.where(F.col("l_shipdate") > cutoff).select(

@@ -103,12 +103,6 @@ def source(spark, sf_dir):
 
 # Query texts on the shared tables, one for each shape of statement that a source must take.
 PARTS = 4
-REVENUE_SQL = """
-SELECT li.l_orderkey, ord.o_orderdate, ord.o_orderpriority,
-  ROUND(SUM(li.l_extendedprice - li.l_extendedprice * li.l_discount), 2) AS revenue
-FROM orders ord JOIN customer cust ON cust.c_custkey = ord.o_custkey JOIN lineitem li ON li.l_orderkey = ord.o_orderkey
-WHERE cust.c_mktsegment = 'BUILDING' AND ord.o_orderdate < DATE '1995-03-15' AND li.l_shipdate > DATE '1995-03-15'
-GROUP BY ALL"""
 SHIPPED_SQL = "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem WHERE l_quantity > 10"
 SUPPLIERS_SQL = """
 SELECT s_suppkey, s_name, n_name AS nation FROM db1.supplier JOIN db2.nation ON n_nationkey = s_nationkey"""
@@ -282,8 +276,10 @@ def q_fed_group_agg(spark, sf_dir):
 
 @query
 def q_spja_revenue(spark, sf_dir):
-    from .sources.sql import read_sql
-    return read_sql(spark, source(spark, sf_dir), REVENUE_SQL)
+    from .plans.spja import spja_three_way
+    out = spja_three_way(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
+                         priority_col="o_orderpriority", segment="MACHINERY", cutoff="1994-07-01")
+    return out.withColumn("revenue", F.round("revenue", 2))
 
 
 # ---- 2.7 sorts / limits ----------------------------------------------------------------------
@@ -442,10 +438,11 @@ def q_load_if_incomplete(spark, sf_dir):
 
 @query
 def q_arrow_batches(spark, sf_dir):
-    """lineitem as encoded batches, as a consumer gets them, and decoded again."""
-    from .streaming import arrow_batches, decode_batches
-    li = table(spark, sf_dir, "lineitem")
-    return decode_batches(arrow_batches(li), li.schema)
+    """What a consumer of lineitem's encoded batches gets: how many rows, and whether every batch is whole and within the bound."""
+    from .streaming.batches import STREAM_BATCH_ROWS, arrow_batches
+    batches = arrow_batches(table(spark, sf_dir, "lineitem"))
+    whole = (F.col("n_rows") > 0) & (F.col("n_rows") <= STREAM_BATCH_ROWS) & (F.octet_length("batch") > 0)
+    return batches.agg(F.sum("n_rows").alias("n_rows"), F.bool_and(whole).alias("within_bound"))
 
 
 # ---- 2.12 the census job --------------------------------------------------------------------
@@ -609,6 +606,7 @@ def q_norm_textlike(spark, sf_dir):
 
 @query
 def q_norm_time(spark, sf_dir):
+    spark.conf.set("spark.sql.timeType.enabled", "true")  # without it Spark refuses the cast to TIME below
     s = "((l_orderkey * 37 + l_linenumber * 1013) % 86400)"
     txt = (f"lpad(CAST({s} DIV 3600 AS STRING), 2, '0') || ':' || "
            f"lpad(CAST(({s} DIV 60) % 60 AS STRING), 2, '0') || ':' || "
@@ -742,15 +740,149 @@ def q_resolve_dynamic(spark, sf_dir):
     return resolve_dynamic(d, {"a": "INTEGER", "e": "BOOL", "f": "DATE", "g": "DATETIME"}, order_by="a")
 
 
-# ---- 2.1 generator source, sized by the data ---------------------------------------------
+# ---- 2.7 pages at any depth, 2.2 loads that happen once ----------------------------------
+
+PAGE_SIZE = 1000
+
+
+@query
+def q_page_index(spark, sf_dir):
+    """The first, a middle and the last page of lineitem by price, from a written index."""
+    from .operators.pages import PageIndex
+    keys = ["l_extendedprice", "l_orderkey", "l_linenumber"]
+    index = PageIndex.build(table(spark, sf_dir, "lineitem"), keys, scratch_for(spark, "page_index"), range_rows=5 * PAGE_SIZE)
+    last = (index.count() - 1) // PAGE_SIZE
+    pages = [index.page(p * PAGE_SIZE, PAGE_SIZE, number="row_no") for p in sorted({0, last // 2, last})]
+    out = pages[0]
+    for p in pages[1:]:
+        out = out.unionAll(p)
+    return out.select("row_no", *keys, "l_shipdate")
+
+
+@query
+def q_ledger_load(spark, sf_dir):
+    """orders, loaded by order status: one load is tried twice, one breaks off, one replaces an earlier table."""
+    from .sinks import LedgerTable
+    orders = table(spark, sf_dir, "orders")
+    target = LedgerTable(spark, scratch_for(spark, "ledger"))
+    target.load(orders.limit(0), "empty")
+    target.load(orders.where("o_orderstatus = 'O'"), "open", replace=True)
+    target.stage(orders, "broken")  # written, never entered
+    for _ in range(2):
+        target.load(orders.where("o_orderstatus = 'F'"), "filled")
+    target.load(orders.where("o_orderstatus NOT IN ('O', 'F') OR o_orderstatus IS NULL"), "others")
+    return target.read()
+
+
+# ---- joins on time: as-of, points in intervals, overlapping intervals -------------------
+
+@query
+def q_asof_join(spark, sf_dir):
+    """Each purchase with the last view of the same user in the day before it."""
+    from datetime import timedelta
+
+    from .operators.asof import asof_join
+    events = table(spark, sf_dir, "events")
+    bought = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
+    seen = events.where("event_type = 'view'").select("event_id", "user_id", "ts", "value")
+    return asof_join(bought, seen, "user_id", "ts", tolerance=timedelta(days=1), bucket=timedelta(days=2), suffix="_seen")
+
+
+@query
+def q_asof_join_forward(spark, sf_dir):
+    """Each error with the next event of its type after it, whoever's it is: one key has all rows."""
+    from .operators.asof import asof_join
+    events = table(spark, sf_dir, "events").withColumn("shop", F.lit(1))
+    errors = events.where("event_type = 'error'").select("shop", "event_id", "ts")
+    return asof_join(errors, events.select("shop", "event_id", "ts", "event_type"), "shop", "ts", direction="forward", exact=False,
+                     suffix="_next", bucket_rows=2000).drop("shop")
+
+
+def _spells(spark, sf_dir, kind: str, unit: str):
+    """Events of a kind as intervals: as many units long as their value says."""
+    events = table(spark, sf_dir, "events").where(F.col("event_type") == kind)
+    return events.select("event_id", "user_id", F.col("ts").alias("begins"),
+                         F.expr(f"ts + make_interval(0, 0, 0, 0, 0, {unit})").alias("ends"))
+
+
+@query
+def q_range_join(spark, sf_dir):
+    """Clicks of a user while one of that user's purchases is open (its value in minutes, ten times over)."""
+    from .operators.intervals import range_join
+    clicks = table(spark, sf_dir, "events").where("event_type = 'click'").select("event_id", "user_id", "ts")
+    return range_join(clicks, _spells(spark, sf_dir, "purchase", "10 * CAST(value AS INT), 0"), "ts", "begins", "ends", on="user_id",
+                      suffix="_purchase")
+
+
+@query
+def q_interval_join(spark, sf_dir):
+    """Errors and sign-ups of any users that overlap (each as many seconds long as its value)."""
+    from .operators.intervals import interval_join
+    return interval_join(_spells(spark, sf_dir, "error", "0, CAST(value AS INT)"), _spells(spark, sf_dir, "signup", "0, CAST(value AS INT)"),
+                         ("begins", "ends"), suffix="_signup")
+
+
+# ---- event-time streaming ------------------------------------------------------------------
+
+SLICES = 3
+
+
+def _streamed(spark, sf_dir, name, plan):
+    """``plan`` over events as a stream of files: a third of the time arrives, the stream works through it and stops,
+    the next third arrives, and it goes on from its checkpoint."""
+    from .streaming import file_stream, run_once, written
+    base, events = scratch_for(spark, name), table(spark, sf_dir, "events")
+    lo, hi = events.agg(F.min("event_id"), F.max("event_id")).first()
+    size = (hi - lo) // SLICES + 1 if hi is not None else 1
+    out = None
+    for i in range(SLICES):
+        events.where(F.floor((F.col("event_id") - F.lit(lo)) / F.lit(size)) == i).write.parquet(f"{base}/in/slice-{i}")
+        out = plan(file_stream(spark, f"{base}/in", events.schema))
+        run_once(out, f"{base}/out", f"{base}/checkpoint")
+    return written(spark, f"{base}/out", out.schema)
+
+
+def _event_counts():
+    return {"n_events": F.count(F.lit(1)), "n_values": F.count("value"), "most": F.max("value")}
+
 
-GENERATOR_SCHEMA = "a long, b double, c boolean not null, d string, e boolean"
+@query
+def q_event_windows(spark, sf_dir):
+    """Events by type in windows of six hours, as a stream: the windows that the watermark has passed."""
+    from .streaming import event_windows
+    return _streamed(spark, sf_dir, "event_windows", lambda events: event_windows(
+        events, "ts", "6 hours", _event_counts(), keys=["event_type"], delay="30 minutes"))
+
+
+@query
+def q_event_windows_sliding(spark, sf_dir):
+    """Events in windows of a day, every eight hours, as a stream."""
+    from .streaming import event_windows
+    return _streamed(spark, sf_dir, "event_windows_sliding", lambda events: event_windows(
+        events, "ts", "24 hours", _event_counts(), slide="8 hours", delay="30 minutes"))
+
+
+@query
+def q_event_windows_batch(spark, sf_dir):
+    """The same plan over the table: all windows."""
+    from .streaming import event_windows
+    return event_windows(table(spark, sf_dir, "events"), "ts", "6 hours", _event_counts(), keys=["event_type"])
+
+
+@query
+def q_event_sessions(spark, sf_dir):
+    """The sessions of each user: no two days without an event."""
+    from datetime import timedelta
+
+    from .streaming import sessions
+    return sessions(table(spark, sf_dir, "events"), "ts", ["user_id"], timedelta(days=2), "value").withColumn("total", F.round("total", 2))
 
 
 @query
-def q_row_generator(spark, sf_dir):
-    """One generated part per order status, as many rows as that status has orders."""
-    from .sources.generator import row_generator
-    sizes = [r["n"] for r in table(spark, sf_dir, "orders").groupBy("o_orderstatus")
-             .agg(F.count(F.lit(1)).alias("n")).orderBy("o_orderstatus").collect()]
-    return row_generator(spark, sizes, GENERATOR_SCHEMA)
+def q_event_sessions_stream(spark, sf_dir):
+    """The same sessions as a stream: those that the watermark has passed."""
+    from datetime import timedelta
+
+    from .streaming import session_stream
+    return _streamed(spark, sf_dir, "event_sessions", lambda events: session_stream(
+        events, "ts", ["user_id"], timedelta(days=2), "30 minutes", "value")).withColumn("total", F.round("total", 2))

@@ -277,19 +277,20 @@ def read_sql(spark: SparkSession, conn, sql: str | Sequence[str], partition_on:
              partition_range: tuple[int, int] | None = None, partition_num: int | None = None,
              keep_nulls: bool = False, pre_execution_query: str | None = None,
              schema_only: bool = False, prepare_query: str | None = None,
-             part_col: str | None = None) -> DataFrame:
+             part_col: str | None = None, deal: bool = False) -> DataFrame:
     """Run SQL on a source and return a DataFrame.
 
     * one SQL text -> one read;
     * a list of SQL texts -> their bag union (schema of the first);
     * ``partition_on`` + ``partition_num`` -> the SQL split into half-open ranges
       of that numeric column (bounds probed with MIN/MAX unless
-      ``partition_range`` is given): part i is task i. A database gets one
-      query per part, each over its own connection; any other source is read
-      once, labelled, and dealt out by the label. Rows whose column is NULL or
-      outside the ranges are not read, unless ``keep_nulls`` adds a
-      ``column IS NULL`` part. ``part_col`` names a column for the part
-      (sources other than databases).
+      ``partition_range`` is given). A database gets one query per part, each
+      over its own connection, so part i is task i. Any other source is read
+      once, in as many tasks as its files give, with the rows of the ranges as
+      a pushed filter and the part as a label (``part_col`` names a column for
+      it); only ``deal=True`` shuffles the rows so that part i is task i.
+      Rows whose column is NULL or outside the ranges are not read, unless
+      ``keep_nulls`` adds a ``column IS NULL`` part.
 
     ``prepare_query`` is text to stand before the whole statement, such as a WITH clause.
     """
@@ -326,5 +327,6 @@ def read_sql(spark: SparkSession, conn, sql: str | Sequence[str], partition_on:
     check_numeric(df, partition_on)
     label = part_col or "__tablehaul_part"
     parts = partition_assign(df, partition_on, n, partition_range, keep_nulls, label)
-    parts = parts.repartitionById(n + (1 if keep_nulls else 0), F.col(label))
+    if deal:
+        parts = parts.repartitionById(n + (1 if keep_nulls else 0), F.col(label))
     return parts if part_col else parts.drop(label)

@@ -202,11 +202,14 @@ def test_partitioned_read_puts_each_part_in_one_task(spark, tmp_path):
     spark.range(0, 1000, numPartitions=7).selectExpr("IF(id % 10 = 0, NULL, id) AS k", "id AS v").write.parquet(path)
     src = CatalogSource("th_parts_src", {"t": path})
     for n in (1, 8):
-        df = read_sql(spark, src, "SELECT * FROM t", partition_on="k", partition_num=n, keep_nulls=True, part_col="part")
+        df = read_sql(spark, src, "SELECT * FROM t", partition_on="k", partition_num=n, keep_nulls=True, part_col="part", deal=True)
         placed = df.withColumn("task", F.spark_partition_id())
         assert df.rdd.getNumPartitions() == n + 1
         assert placed.where("task <> part").count() == 0 and placed.count() == 1000
         assert placed.where("part = %d AND k IS NOT NULL" % n).count() == 0
+        labelled = read_sql(spark, src, "SELECT * FROM t", partition_on="k", partition_num=n, keep_nulls=True, part_col="part")
+        assert "Exchange" not in labelled._jdf.queryExecution().toString()  # the label alone moves no row
+        assert sorted(map(tuple, labelled.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
     assert read_sql(spark, src, "SELECT * FROM t", partition_on="k", partition_num=8).columns == ["k", "v"]
 
 
