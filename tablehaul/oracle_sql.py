@@ -325,3 +325,39 @@ GROUP BY user_id, no"""
 
 
 _time_oracles()
+
+
+def _frame_oracles():
+    ORACLES["running_frames"] = """
+SELECT l_returnflag, l_shipdate, l_orderkey, l_linenumber, l_quantity, rank() OVER d AS day_rank, dense_rank() OVER d AS day_no,
+  row_number() OVER w AS row_no, sum(l_quantity) OVER w AS sum_qty, max(l_quantity) OVER w AS most_qty,
+  min(l_quantity) OVER w AS least_qty, count(l_quantity) OVER w AS n_qty
+FROM lineitem WINDOW d AS (PARTITION BY l_returnflag ORDER BY l_shipdate NULLS FIRST),
+  w AS (PARTITION BY l_returnflag ORDER BY l_shipdate NULLS FIRST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST ROWS UNBOUNDED PRECEDING)"""
+    ORACLES["running_desc"] = """
+SELECT o_orderstatus, o_orderkey, cents, row_number() OVER w AS place, avg(cents) OVER w AS mean
+FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+WINDOW w AS (PARTITION BY o_orderstatus ORDER BY cents DESC NULLS LAST, o_orderkey NULLS FIRST ROWS UNBOUNDED PRECEDING)"""
+    ORACLES["cube_levels"] = """
+SELECT status, o_orderpriority, CAST(year AS INTEGER) AS year, grouping_id(status, o_orderpriority, year) AS grouping_id, count(*) AS n,
+  min(o_totalprice) AS least, max(o_totalprice) AS most, max(o_orderdate) AS last_day, count(DISTINCT o_custkey) AS customers,
+  count(DISTINCT o_orderdate) AS days
+FROM (SELECT *, nullif(o_orderstatus, 'P') AS status, year(o_orderdate) AS year FROM orders)
+GROUP BY CUBE (status, o_orderpriority, year)"""
+    ORACLES["rollup_levels"] = """
+SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, l_returnflag, grouping_id(year, month, l_returnflag) AS grouping_id,
+  count(l_quantity) AS n, round(avg(l_quantity), 4) AS mean_qty, count(DISTINCT l_partkey) AS parts
+FROM (SELECT *, year(l_shipdate) AS year, month(l_shipdate) AS month FROM lineitem) GROUP BY ROLLUP (year, month, l_returnflag)"""
+    shares = ("SELECT l_returnflag, nullif(l_linenumber, 7) AS line FROM lineitem WHERE l_quantity > 20",
+              "SELECT l_linestatus, nullif(l_linenumber, 7) AS line FROM lineitem WHERE l_discount > 0.02")
+    ORACLES["intersect_all"] = " INTERSECT ALL ".join(shares)
+    ORACLES["except_all"] = " EXCEPT ALL ".join(shares)
+    large = "(SELECT o_custkey FROM orders WHERE o_totalprice > 300000)"
+    ORACLES["not_in"] = f"SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN {large}"
+    ORACLES["is_in"] = f"SELECT c_custkey, c_name FROM customer WHERE c_custkey IN {large}"
+    ORACLES["sketch_rollup"] = """
+SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, count(DISTINCT props) AS props, true AS rows_equal, true AS users_near,
+  true AS props_near, true AS median_near FROM events GROUP BY event_type"""
+
+
+_frame_oracles()

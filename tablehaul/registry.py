@@ -886,3 +886,100 @@ def q_event_sessions_stream(spark, sf_dir):
     from .streaming import session_stream
     return _streamed(spark, sf_dir, "event_sessions", lambda events: session_stream(
         events, "ts", ["user_id"], timedelta(days=2), "30 minutes", "value")).withColumn("total", F.round("total", 2))
+
+
+# ---- ranks, levels, bags and sketches on keys of any size --------------------------------
+
+@query
+def q_running_frames(spark, sf_dir):
+    """Ranks and running measures of lineitem within its three return flags."""
+    from .operators.frames import running
+    li = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")
+    days = running(li, "l_returnflag", "l_shipdate", {"day_rank": "rank", "day_no": "dense_rank"}, piece_rows=5000)
+    return running(days, "l_returnflag", ["l_shipdate", "l_orderkey", "l_linenumber"], {
+        "row_no": "row_number", "sum_qty": ("sum", "l_quantity"), "most_qty": ("max", "l_quantity"), "least_qty": ("min", "l_quantity"),
+        "n_qty": ("count", "l_quantity")}, piece_rows=5000)
+
+
+@query
+def q_running_desc(spark, sf_dir):
+    """Orders of each status from the dearest down: place, and the mean price so far in cents."""
+    from .operators.frames import running
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    return running(orders, "o_orderstatus", [("cents", "desc"), "o_orderkey"], {"place": "row_number", "mean": ("avg", "cents")}, piece_rows=1000)
+
+
+@query
+def q_cube_levels(spark, sf_dir):
+    """Orders by status, priority and year, at all eight levels, with two distinct counts."""
+    from .operators.levels import levels
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    orders = orders.withColumn("status", F.nullif("o_orderstatus", F.lit("P")))  # a NULL of the data beside those of the levels
+    return levels(orders, ["status", "o_orderpriority", "year"], {
+        "n": ("count", "*"), "least": ("min", "o_totalprice"), "most": ("max", "o_totalprice"), "last_day": ("max", "o_orderdate")},
+        {"customers": "o_custkey", "days": "o_orderdate"})
+
+
+@query
+def q_rollup_levels(spark, sf_dir):
+    """lineitem by ship year and month and return flag, rolled up, with mean quantity and distinct parts."""
+    from .operators.levels import levels
+    li = table(spark, sf_dir, "lineitem").withColumns({"year": F.year("l_shipdate"), "month": F.month("l_shipdate")})
+    out = levels(li, ["year", "month", "l_returnflag"], {"n": ("count", "l_quantity"), "mean_qty": ("avg", "l_quantity")},
+                 {"parts": "l_partkey"}, sets="rollup")
+    return out.withColumn("mean_qty", F.round("mean_qty", 4))
+
+
+def _shares(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return (li.where("l_quantity > 20").select("l_returnflag", F.nullif("l_linenumber", F.lit(7)).alias("line")),
+            li.where("l_discount > 0.02").select("l_linestatus", F.nullif("l_linenumber", F.lit(7)).alias("line")))
+
+
+@query
+def q_intersect_all(spark, sf_dir):
+    from .operators.bags import intersect_all
+    return intersect_all(*_shares(spark, sf_dir))
+
+
+@query
+def q_except_all(spark, sf_dir):
+    from .operators.bags import except_all
+    return except_all(*_shares(spark, sf_dir))
+
+
+@query
+def q_not_in(spark, sf_dir):
+    """Customers that are not among the buyers of large orders."""
+    from .operators.bags import not_in
+    large = table(spark, sf_dir, "orders").where("o_totalprice > 300000")
+    return not_in(table(spark, sf_dir, "customer"), large, "c_custkey", "o_custkey").select("c_custkey", "c_name")
+
+
+@query
+def q_is_in(spark, sf_dir):
+    from .operators.bags import is_in
+    large = table(spark, sf_dir, "orders").where("o_totalprice > 300000")
+    return is_in(table(spark, sf_dir, "customer"), large, "c_custkey", "o_custkey").select("c_custkey", "c_name")
+
+
+@query
+def q_sketch_rollup(spark, sf_dir):
+    """Sketches of events by type and day, stored, then merged by type: exact numbers, and whether the estimates are near them
+    (4 % of the count; 3 % of the rows about the median)."""
+    from .operators.sketches import estimates, merge_parts, sketch_parts
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    path = scratch_for(spark, "sketches")
+    sketch_parts(events, ["event_type", "day"], distinct=["user_id", "props"], quantiles=["value"]).write.parquet(path)
+    merged = estimates(merge_parts(spark.read.parquet(path), ["event_type"]), at=[0.5])
+    near = events.join(merged.select("event_type", F.col("q_value")[0].alias("_q")), "event_type")
+    exact = near.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"), F.countDistinct("props").alias("props"),
+        (F.count_if(F.col("value") < F.col("_q")) / F.count("value")).alias("_below"),
+        (F.count_if(F.col("value") <= F.col("_q")) / F.count("value")).alias("_upto"))
+    both = exact.join(merged, "event_type")
+    return both.select(
+        "event_type", "n", "users", "props", (F.col("n") == F.col("n_rows")).alias("rows_equal"),
+        (F.abs(F.col("n_distinct_user_id") - F.col("users")) <= 0.04 * F.col("users")).alias("users_near"),
+        (F.abs(F.col("n_distinct_props") - F.col("props")) <= 0.04 * F.col("props")).alias("props_near"),
+        ((F.col("_below") <= 0.53) & (F.col("_upto") >= 0.47)).alias("median_near"))
