@@ -4,6 +4,7 @@ import hashlib
 import numpy as np
 import pytest
 from helpers import odd_texts
+from pyspark.sql import functions as F
 
 from tablehaul.llm import exact_dedup as X
 
@@ -43,6 +44,37 @@ def test_directory_doubles_until_buckets_fit():
     assert X.directory(np.zeros(16, np.int64), 10) == [(0, 0)]
 
 
+def test_the_index_decides(spark, monkeypatch):
+    """What the owners found under a bucket and chain is what the rows get."""
+    docs = spark.createDataFrame([(i, f"text {i % 5}") for i in range(20)], "doc_id long, text string")
+    build = X.build_index
+    monkeypatch.setattr(X, "build_index", lambda *a: build(*a).withColumn("keep_id", F.col("keep_id") - 5))
+    assert {(r.doc_id % 5, r.keep_id) for r in X.exact_groups(docs).collect()} == {(i, 10 + i) for i in range(5)}
+    monkeypatch.setattr(X, "build_index", lambda *a: build(*a).withColumn("_bucket", F.col("_bucket") + 1))
+    assert {r.keep_id for r in X.exact_groups(docs, 1).collect()} == {None}  # nothing is found in another bucket
+    monkeypatch.setattr(X, "build_index", lambda rows, hot, table: rows.groupBy("_h", "_norm").agg(F.max("doc_id").alias("keep_id")))
+    with pytest.raises(Exception):  # plain groups are no index
+        X.exact_groups(docs).collect()
+
+
+def test_index_of_buckets_and_chains(spark):
+    rows = [(i, f"text {i % 300}") for i in range(900)] + [(1000 + i, "hot") for i in range(900)]
+    keyed = spark.createDataFrame(rows, "doc_id long, _norm string").withColumn("_h", X.text_hash(F.col("_norm"), 2))
+    hashes = keyed.groupBy("_h").count()
+    table = X.build_directory(hashes, 10)
+    index = X.build_index(keyed, hashes.where("count > 500"), table).collect()
+    assert len(index) == 301 and sum(r.group_size for r in index) == 1800
+    chains = collections.defaultdict(list)
+    for r in index:
+        chains[(r._bucket, r._h)].append(r)
+    assert any(len(c) > 1 for c in chains.values())
+    for c in chains.values():
+        assert sorted(r._chain for r in c) == list(range(1, len(c) + 1)) and {r._length for r in c} == {len(c)}
+        assert len({r._norm for r in c}) == len(c) and {r.n_rows for r in c} == {sum(r.group_size for r in c)}
+    per_bucket = collections.Counter(b for b, _ in chains)
+    assert max(per_bucket.values()) <= 10 and len(per_bucket) > 10  # the directory has doubled until all fit
+
+
 def test_drop_copies_and_empty(spark):
     rows = [(1, "a", "x"), (2, "A", "y"), (3, None, None), (4, "", "z"), (5, "b", "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
