@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.census import (RANDOM_SEED, add_census_measures, census_project,
                                 complex_filter, readback_filter, simple_filter)
 from ..operators.setops import replicate
-from ..sinks import csv_sink, load_if_incomplete, parquet_sink, publish_if_absent
+from ..sinks import attach_if_incomplete, csv_sink, load_if_incomplete, loads_unchanged, parquet_sink, publish_if_absent
 from ..sources.files import land_raw
 from ..sources.fs import committed, read_note, write_note
 from ..sources.sql import CatalogSource, JdbcSource, check_identifier
@@ -81,6 +81,7 @@ class CensusConfig:
     write_csv: bool = True
     filter_on: str = "published"          # or "readback": filter the target's read-back subset
     partitions: int | None = None         # deal a raw input in few splits over so many first
+    share_files: bool = True              # a catalog target without a path for the table gets the expanded files themselves
 
 
 @dataclass
@@ -117,8 +118,11 @@ def run_census(spark: SparkSession, cfg: CensusConfig, raw: DataFrame | None = N
         expected = cfg.expected_rows
         if expected is None:
             expected = cfg.times * raw.count()
-        result.loaded = load_if_incomplete(expanded, cfg.target, cfg.table, expected,
-                                           drop=cfg.drop_table)
+        shared = cfg.share_files and isinstance(cfg.target, CatalogSource) and cfg.table not in cfg.target.tables
+        if shared and loads_unchanged(expanded):
+            result.loaded = attach_if_incomplete(spark, f"{exp_dir}/census.parquet", cfg.target, cfg.table, expected, cfg.drop_table)
+        else:
+            result.loaded = load_if_incomplete(expanded, cfg.target, cfg.table, expected, drop=cfg.drop_table)
     if cfg.publish_path:
         result.published = publish_if_absent(expanded, cfg.publish_path, cfg.replace_published)
     if cfg.etl_only:

@@ -451,10 +451,12 @@ def _run_census(spark, sf_dir, **kw):
     """The whole job: land the census CSV, expand, load the table target if
     incomplete, publish if absent, read back, filter."""
     from .plans.census import CensusConfig, run_census
+    from .sources.sql import CatalogSource
     base = scratch_for(spark, "census_job")
+    target = CatalogSource("th_target_" + base.rsplit("/", 1)[-1], {})  # its table shares the expanded files
     cfg = CensusConfig(raw_dir=f"{base}/raw", expanded_dir=f"{base}/large",
                        source_path=_census_csv(spark, sf_dir),
-                       target=census_target(spark, "census_job"), table="census",
+                       target=target, table="census",
                        publish_path=f"{base}/bucket/large/census.parquet", **kw)
     return run_census(spark, cfg)
 

@@ -1,8 +1,8 @@
 """Writers: parquet/CSV sinks, idempotent publishing, bulk table loads."""
 
-from .core import (bulk_sink, csv_sink, ddl_types, load_if_incomplete, parquet_sink,
+from .core import (attach_if_incomplete, bulk_sink, csv_sink, ddl_types, load_if_incomplete, loads_unchanged, parquet_sink,
                    publish_if_absent, table_count)
 from .ledger import LedgerTable
 
-__all__ = ["LedgerTable", "bulk_sink", "csv_sink", "ddl_types", "load_if_incomplete", "parquet_sink",
+__all__ = ["LedgerTable", "attach_if_incomplete", "bulk_sink", "csv_sink", "ddl_types", "load_if_incomplete", "loads_unchanged", "parquet_sink",
            "publish_if_absent", "table_count"]

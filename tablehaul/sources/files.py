@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.setops import union_parts
-from .fs import committed, complete
+from .fs import _fs_and_path, committed, complete
 
 # The patterns of one CSV cell (booleans compare case-insensitively).
 BOOL_PATTERN = r"(?i)^(true|false)$"
 DECIMAL_PATTERN = r"^-?\d+\.\d+$"
 INTEGER_PATTERN = r"^-?\d+$"
 DATETIME_PATTERN = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d$"
+# Bytes of a file that are read at once for its header, and files whose headers are read side by side.
+HEADER_BYTES = 8192
+HEADER_THREADS = 32
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[XXX]"
 
 
@@ -26,39 +32,105 @@ def _as_paths(path: str | Sequence[str]) -> list[str]:
     return paths
 
 
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """The first record of a CSV file (its first bytes are read, decompressed where its name says so); () for an empty file."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        data = b""
+        while True:
+            more = bytes(source.readNBytes(HEADER_BYTES))
+            data += more
+            text = data.decode("utf-8", "replace").removeprefix("\ufeff")
+            # a line break within quotes belongs to a name
+            end = next((i for i, c in enumerate(text) if c in "\r\n" and text.count('"', 0, i) % 2 == 0), None)
+            if end is not None or not more:
+                return tuple(next(csv.reader([text if end is None else text[:end]]), ()))
+    finally:
+        stream.close()
+
+
+def _in_order(spark: SparkSession, paths: list[str], files: list[str]) -> list[str]:
+    """Files in the order of the paths that name them or a folder above them, then by name."""
+    place = {}
+    for i, p in enumerate(paths):
+        fs, path = _fs_and_path(spark, p)
+        place.setdefault(fs.makeQualified(path).toUri().getPath(), i)
+
+    def key(file: str) -> tuple[int, str]:
+        at = unquote(urlsplit(file).path)
+        while at not in place and at.strip("/"):
+            at = at.rsplit("/", 1)[0]
+        return place.get(at, len(paths)), file
+
+    return sorted(files, key=key)
+
+
 def _read_by_name(spark: SparkSession, paths: list[str], types: dict[str, T.DataType] | None = None) -> DataFrame:
     """CSV files (or folders) with headers as one table, columns matched by name.
 
-    Paths whose headers list the columns in the same order are one read; other orders are read with
-    their own and united by name. Within a read the header of every file is checked, so a file that
-    disagrees with its folder fails instead of swapping columns. A column outside ``types`` is text.
+    The first bytes of every file are read side by side, without a Spark job; files whose headers list the columns in the same
+    order are one read, whatever folder they are in; other orders are read with their own and united by name. Within a
+    read Spark checks the header of every file once more. A column outside ``types`` is text.
     """
+    files = _in_order(spark, paths, spark.read.text(paths).inputFiles())
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f), files))
     by_header: dict[tuple, list[str]] = {}
-    for p in paths:  # one line of each path
-        by_header.setdefault(tuple(spark.read.csv(p, header=True).columns), []).append(p)
+    for f, header in zip(files, headers):
+        if header:  # an empty file has no rows either
+            by_header.setdefault(header, []).append(f)
+    if not by_header:
+        raise ValueError(f"no header in {paths}")
     names = next(iter(by_header))
     frames = []
     for header, group in by_header.items():
+        if len(set(header)) < len(header):
+            raise ValueError(f"columns share a name: {list(header)}")
         if set(header) != set(names):
             raise ValueError(f"headers differ: {list(names)} and {list(header)}")
         schema = T.StructType([T.StructField(n, (types or {}).get(n, T.StringType())) for n in header])
-        frames.append(spark.read.schema(schema).csv(group, header=True, mode="FAILFAST", enforceSchema=False,
+        jvm = spark.sparkContext._jvm
+        chosen = paths if len(group) == len(files) else [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in group]
+        frames.append(spark.read.schema(schema).csv(chosen, header=True, mode="FAILFAST", enforceSchema=False,
                                                     timestampFormat=TIMESTAMP_FORMAT).select(*[f"`{n}`" for n in names]))
     return union_parts(frames)
 
 
-def _cells(text: DataFrame) -> list[tuple[str, dict]]:
-    """What holds for all non-empty cells of each text column: one aggregation over all rows."""
-    patterns = {"integer": INTEGER_PATTERN, "number": f"{INTEGER_PATTERN}|{DECIMAL_PATTERN}",
-                "bool": BOOL_PATTERN, "datetime": DATETIME_PATTERN}
+PATTERNS = {"integer": INTEGER_PATTERN, "number": f"{INTEGER_PATTERN}|{DECIMAL_PATTERN}", "bool": BOOL_PATTERN,
+            "datetime": DATETIME_PATTERN}
+
+
+def _facts(text: DataFrame) -> list:
+    """Aggregates of what holds for all non-empty cells of each text column."""
     aggs = []
     for i, name in enumerate(text.columns):
         cell = F.col(f"`{name}`")
         empty = F.coalesce(cell == "", F.lit(True))
-        aggs += [F.bool_and(F.when(~empty, cell.rlike(p))).alias(f"{k}{i}") for k, p in patterns.items()]
+        aggs += [F.bool_and(F.when(~empty, cell.rlike(p))).alias(f"{k}{i}") for k, p in PATTERNS.items()]
         aggs.append(F.bool_or(empty).alias(f"empty{i}"))
-    found = text.agg(*aggs).first()
-    return [(n, {k: found[f"{k}{i}"] for k in (*patterns, "empty")}) for i, n in enumerate(text.columns)]
+    return aggs
+
+
+def _typed(columns: list[str], found: dict) -> T.StructType:
+    """The schema that those facts give."""
+    fields = []
+    for i, name in enumerate(columns):
+        has = {k: found[f"{k}{i}"] for k in (*PATTERNS, "empty")}
+        kind = (T.LongType() if has["integer"] else T.DoubleType() if has["number"] else
+                T.BooleanType() if has["bool"] else T.TimestampType() if has["datetime"] else T.StringType())
+        fields.append(T.StructField(name, kind, bool(has["empty"])))
+    return T.StructType(fields)
+
+
+def _scan_types(schema: T.StructType) -> T.StructType:
+    """Column types of the single-file scan: date-times stay text."""
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampType) else f.dataType, True)
+                         for f in schema.fields])
 
 
 def csv_infer(spark: SparkSession, path: str | Sequence[str], rows: int | None = None) -> T.StructType:
@@ -69,19 +141,12 @@ def csv_infer(spark: SparkSession, path: str | Sequence[str], rows: int | None =
     nullable iff it has an empty cell.
     """
     text = _read_by_name(spark, _as_paths(path))
-    fields = []
-    for name, has in _cells(text if rows is None else text.limit(rows)):
-        kind = (T.LongType() if has["integer"] else T.DoubleType() if has["number"] else
-                T.BooleanType() if has["bool"] else T.TimestampType() if has["datetime"] else T.StringType())
-        fields.append(T.StructField(name, kind, bool(has["empty"])))
-    return T.StructType(fields)
+    return _typed(text.columns, (text if rows is None else text.limit(rows)).agg(*_facts(text)).first().asDict())
 
 
 def infer_csv_schema(spark: SparkSession, path: str | Sequence[str], rows: int | None = None) -> T.StructType:
     """Column types of the single-file scan: those of ``csv_infer``, but date-times stay text."""
-    return T.StructType([
-        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampType) else f.dataType, True)
-        for f in csv_infer(spark, path, rows).fields])
+    return _scan_types(csv_infer(spark, path, rows))
 
 
 def csv_scan(spark: SparkSession, path: str | Sequence[str], infer_rows: int | None = None,
@@ -146,19 +211,23 @@ def land_raw(spark: SparkSession, source_path: str, raw_dir: str,
 
     ``source_path`` is any Hadoop path. The CSV is copied unless ``raw_dir/csv_name``
     is complete: a plain file, or a folder with the ``_SUCCESS`` marker of a
-    finished write (a half-written one is landed anew). The parquet archive is
-    written when it has no such marker. Returns the landed table, read from the
-    parquet archive.
+    finished write (a half-written one is landed anew). Cells are copied as they
+    are, and the copy finds the column types as it goes, so landing is two passes:
+    the copy and the archive. The parquet archive is written when it has no such
+    marker. Returns the landed table, read from the parquet archive.
     """
     raw_dir = raw_dir.rstrip("/")
     csv_path = f"{raw_dir}/{csv_name}"
     parquet_path = f"{raw_dir}/{parquet_name}"
     landed_now = not complete(spark, csv_path)
+    schema = None
     if landed_now:
-        src = csv_scan(spark, source_path)
-        src.write.mode("overwrite").csv(csv_path, header=True)
+        cells = _read_by_name(spark, _as_paths(source_path))
+        seen = Observation()
+        cells.observe(seen, *_facts(cells)).write.mode("overwrite").csv(csv_path, header=True)
+        schema = _scan_types(_typed(cells.columns, seen.get))
     if landed_now or not committed(spark, parquet_path):
-        csv_scan(spark, csv_path).write.mode("overwrite").parquet(parquet_path)
+        csv_scan(spark, csv_path, schema=schema).write.mode("overwrite").parquet(parquet_path)
     landed = spark.read.parquet(parquet_path)
     if preview:
         landed.limit(preview).collect()

@@ -110,3 +110,16 @@ def test_census_expand_notices_other_parameters_and_a_missing_csv(spark, sf_dir,
     shutil.rmtree(paths["csv_path"])
     census_expand(raw, times=5, seed=3, **paths)
     assert spark.read.csv(paths["csv_path"], header=True).count() == 5 * n
+
+
+def test_a_catalog_target_shares_the_expanded_files(spark, sf_dir, tmp_path):
+    from tablehaul.plans.census import CensusConfig, run_census
+    from tablehaul.sources.sql import CatalogSource
+    raw = census_like(spark.read.parquet(f"{sf_dir}/orders.parquet")).limit(30)
+    cfg = CensusConfig(raw_dir=str(tmp_path / "raw"), expanded_dir=str(tmp_path / "large"), target=CatalogSource("th_shared_target", {}),
+                       publish_path=str(tmp_path / "published"), times=3, write_csv=False)
+    first = run_census(spark, cfg, raw)
+    assert first.loaded and spark.table("th_shared_target.census").count() == 90
+    assert sorted(spark.table("th_shared_target.census").inputFiles()) == sorted(first.expanded.inputFiles())
+    again = run_census(spark, cfg, raw)
+    assert not again.loaded and not again.published

@@ -192,8 +192,43 @@ def test_types_come_from_all_rows_and_columns_from_headers(spark, tmp_path):
     folder.mkdir()
     (folder / "1.csv").write_text("a,b\n1,x\n")
     (folder / "2.csv").write_text("b,a\ny,2\n")
-    with pytest.raises(Exception):  # within one folder the headers must agree
-        csv_scan(spark, str(folder), schema="a string, b string").collect()
+    mixed = csv_scan(spark, str(folder))  # within one folder, too
+    assert mixed.columns == ["a", "b"] and sorted(map(tuple, mixed.collect())) == [(1, "x"), (2, "y")]
+
+
+def test_headers_of_many_files_take_no_job_each(spark, tmp_path):
+    import gzip
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for i in range(300):
+        (folder / f"{i}.csv").write_text(f"n,m\n{i},{-i}\n" if i % 3 else f"m,n\n{-i},{i}\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "zipped.csv.gz").write_bytes(gzip.compress(b"m,n\n-1000,1000\n"))
+    (folder / "_hidden.csv").write_text("not,read\n1,2\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    df = csv_scan(spark, str(folder), schema="n long, m long")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("none", "none")
+    assert jobs <= 4  # listing the files, at most
+    assert sorted(r.n for r in df.collect()) == [*range(300), 1000] and df.where("n <> -m").count() == 0
+    (folder / "quoted.csv").write_text('"two\nlines","say ""m"""\n1,2\n')
+    from tablehaul.sources.files import _header
+    assert _header(spark, (folder / "quoted.csv").as_uri()) == ("two\nlines", 'say "m"')
+    assert _header(spark, (folder / "empty.csv").as_uri()) == ()
+
+
+def test_landing_reads_the_source_once(spark, tmp_path):
+    from tablehaul.sources.files import land_raw
+    source = tmp_path / "source.csv"
+    source.write_text("n,x,s,t,e\n1,1.50,a,2024-01-01T00:00:00,\n-2,2,,2024-01-02T00:00:00,\n")
+    landed = land_raw(spark, str(source), str(tmp_path / "raw"), preview=1)
+    assert [(f.name, f.dataType.simpleString()) for f in landed.schema.fields] == [
+        ("n", "bigint"), ("x", "double"), ("s", "string"), ("t", "string"), ("e", "string")]
+    assert sorted(map(tuple, landed.collect())) == [(-2, 2.0, None, "2024-01-02T00:00:00", None), (1, 1.5, "a", "2024-01-01T00:00:00", None)]
+    kept = [line for f in (tmp_path / "raw" / "census.csv").glob("part*") for line in f.read_text().split("\n")]
+    assert any(line.startswith("1,1.50,a") for line in kept)  # cells as they came
+    source.write_text("n,x,s,t,e\n")
+    assert land_raw(spark, str(source), str(tmp_path / "raw"), preview=0).count() == 2  # landed before: not read again
 
 
 def test_partitioned_read_puts_each_part_in_one_task(spark, tmp_path):
