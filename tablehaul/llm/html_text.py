@@ -4,14 +4,16 @@ A page's text is cut into blocks at block-level tags. A small logistic classifie
 elements and names around a block, its links, length and punctuation) gives each block the cost of calling
 it content or boilerplate; these are the capacities to the two terminals. Smoothness edges join blocks that
 follow each other (stronger the nearer they are in the DOM) and blocks under one parent. The minimum cut
-splits content from boilerplate. Scripts, styles, comments, templates and the head never become blocks.
+splits content from boilerplate. Where nothing is left, the page is taken to be short: what no boilerplate element holds and isn't
+mostly links is its text. Scripts, styles, comments, templates, drawings and the head never become blocks; formulas do. Within
+an article only the narrow names of adverts, comments, sharing and related pieces mark boilerplate, on elements of text those of adverts alone.
 
 Scale: a map over the pages, no shuffle; one page is in memory at a time beside its Arrow batch. Blocks
 whose terminal outweighs all their edges are settled before the flow runs, which changes no minimum, so
 the flow graph stays small on long pages.
 
 Defined cases: null or empty html, and pages without content, give an empty text. Repeated rows are handled
-alike. Broken markup is read as browsers do: unclosed paragraphs end with the next block, an unclosed
+alike. Broken markup is read as browsers do: unclosed paragraphs and drawings end with the next block, an unclosed
 script, comment or tag takes the rest. White space in a block (br included) becomes one space. Columns
 named like an added one are replaced.
 """
@@ -32,12 +34,15 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 NAMED_WITH = re.compile(r"\b(?:has|no|with|without|hide|show)[-_]+\w+")
 NAME = re.compile(r"[a-z0-9]+")
+WORD = re.compile(r"\w")
 
 # Elements by what they do to the text; fixed values of the HTML standard.
-RAW = frozenset("script style template textarea title iframe noembed noframes noscript xmp svg math".split())
+RAW = frozenset("script style template textarea title iframe noembed noframes xmp".split())
+# Their text is not shown; unlike RAW ones they have elements in them.
+MUTE = frozenset("svg annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
-figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option
+figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option
 p pre search section select summary table tbody td tfoot th thead tr ul""".split())
 CLOSES_P = BLOCK - frozenset("td th tr tbody thead tfoot caption option optgroup legend".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -53,7 +58,11 @@ header topbar toolbar cookie cookies consent gdpr notice notices alert disclaime
 subscribe subscription signup login paywall share sharing social comment comments commentlist respond reply replies
 discussion disqus review reviews related recommended recommendations teaser trending popular tags pagination pager
 search copyright legal skip complementary contentinfo hidden""".split())
-ARTICLE_BOILER_NAMES = frozenset("ad ads advert sponsored promo comment comments reply replies review related teaser".split())
+# Within an article: of the elements that hold others, and of those that hold text.
+ARTICLE_BOILER_NAMES = frozenset("""ad ads adv advert adverts advertisement sponsor sponsored promo comment comments reply replies
+review reviews related recommended share sharing social teaser""".split())
+AD_NAMES = frozenset("ad ads adv advert adverts advertisement sponsor sponsored".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption summary span em strong b i u small sup sub".split())
 CONTENT_NAMES = frozenset("article content post entry story main body text prose".split())
 
 # Log-odds of content.
@@ -63,7 +72,7 @@ SAME_PARENT, NEIGHBOUR, SIBLING = 0.7, 0.5, 0.35
 
 
 class Frame:
-    __slots__ = ("tag", "parent", "depth", "boiler", "content", "named", "link", "heading")
+    __slots__ = ("tag", "parent", "depth", "boiler", "content", "named", "link", "heading", "mute")
 
     def __init__(self, tag: str, parent: Frame | None):
         self.tag, self.parent = tag, parent
@@ -73,14 +82,17 @@ class Frame:
         self.named = parent.named if parent else False
         self.link = parent.link if parent else False
         self.heading = parent.heading if parent else False
+        self.mute = parent.mute if parent else False
 
 
 def _open(tag: str, attributes: str, parent: Frame) -> Frame:
     f = Frame(tag, parent)
-    if tag in BOILER_TAGS or (tag == "header" and not parent.content):
+    if tag in BOILER_TAGS or (tag in ("header", "noscript") and not parent.content):
         f.boiler = True
     elif tag in CONTENT_TAGS:
         f.content = True
+    elif tag in MUTE:
+        f.mute = True
     elif tag == "a":
         f.link = True
     elif tag[0] == "h" and tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
@@ -94,7 +106,8 @@ def _open(tag: str, attributes: str, parent: Frame) -> Frame:
                 f.boiler = f.boiler or "display:none" in value.replace(" ", "")
             else:
                 words = set(NAME.findall(NAMED_WITH.sub(" ", value)))
-                if tag != "main" and words & (ARTICLE_BOILER_NAMES if tag == "article" else BOILER_NAMES):
+                names = (BOILER_NAMES if not parent.content and tag != "article" else AD_NAMES if tag in TEXT_TAGS else ARTICLE_BOILER_NAMES)
+                if tag != "main" and words & names:
                     f.boiler = True
                 elif words & CONTENT_NAMES:
                     f.named = True
@@ -120,6 +133,8 @@ def blocks(page: str) -> list[tuple[str, Frame, int, int]]:
 
     def say(raw: str) -> None:
         nonlocal linked, total
+        if at.mute:
+            return
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
         total += len(text)
@@ -164,6 +179,14 @@ def blocks(page: str) -> list[tuple[str, Frame, int, int]]:
             elif tag == "hr":
                 flush()
             continue
+        if at.mute:
+            if tag in BLOCK:  # a block ends a drawing that was not closed
+                while at.mute and at.parent:
+                    at = at.parent
+            elif m[3].endswith("/"):
+                continue
+        elif tag in MUTE and m[3].endswith("/"):
+            continue
         if tag in BLOCK:
             flush()
             ends = CLOSED_BY.get(tag, ())
@@ -317,6 +340,8 @@ def main_text(page: str | None) -> str:
     found = [(" ".join(text.split()), f, linked, total) for text, f, linked, total in blocks(page or "")]
     found = [b for b in found if b[0]]
     label = min_cut([log_odds(*b) for b in found], edges_of([b[1] for b in found]))
+    if not any(label):  # a page of a few words: what no boilerplate element holds, and is not mostly links
+        label = [not f.boiler and 2 * linked <= total and WORD.search(text) is not None for text, f, linked, total in found]
     return "\n".join(b[0] for b, content in zip(found, label) if content)
 
 

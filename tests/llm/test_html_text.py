@@ -51,7 +51,32 @@ def test_cut_is_minimal():
 def test_smoothness_keeps_a_short_block_among_content():
     body = "<div><p>A long paragraph of text with many words, which is surely content.</p>%s<p>A second long paragraph with many words in it too.</p></div>"
     assert "\nShort\n" in H.main_text(body % "<p>Short</p>")
-    assert H.main_text("<div><p>Short</p></div>") == ""
+    beside = "<div><p>Short</p></div><article><p>A long paragraph of text with many words, which is surely content.</p></article>"
+    assert "Short" not in H.main_text(beside)
+    assert H.main_text("<div><p>Short</p></div>") == "Short"  # nothing else is there
+
+
+@pytest.mark.parametrize("inner, text", [
+    ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> hold.</p>", "Let x=2 hold."),
+    ("<noscript><p>A picture of the sea, for those without scripts.</p></noscript>", "A picture of the sea, for those without scripts."),
+    ("<p>Before <svg><path d='M0 0'/><text>drawn</text></p><p>After the drawing that nobody closed.</p>", "Before\nAfter the drawing that nobody closed."),
+    ("<p>Icon <svg viewBox='0 0 1 1'><title>t</title><g><path/></g></svg> shown.</p><svg/>", "Icon shown."),
+    ("<div class=notice>The notice that the town had put up is quoted here.</div>", "The notice that the town had put up is quoted here."),
+    ("<p class=legal>The law says so, in its third part.</p>", "The law says so, in its third part."),
+    ("<h2 class=related>What else is known</h2>", "What else is known"),
+    ("<div id=left-side>On the left side stood a house.</div>", "On the left side stood a house."),
+    ("<p class='ad'>Buy now, it is cheap.</p>", None), ("<div class='share-buttons'>Share this with all your friends.</div>", None),
+    ("<section id=comments><p>A reader said that this was very good.</p></section>", None)])
+def test_what_an_article_holds(inner, text):
+    page = f"<article><h1>Title</h1><p>The story begins here, with a good many words.</p>{inner}<p>And here it ends, with some more of them.</p></article>"
+    lines = ["Title", "The story begins here, with a good many words.", *([text] if text else []), "And here it ends, with some more of them."]
+    assert H.main_text(page) == "\n".join(lines)
+
+
+@pytest.mark.parametrize("page, text", [("<p>One.</p>", "One."), ("just text", "just text"), ("<noscript>Turn scripts on, please.</noscript>", ""),
+                                        ("<nav>One</nav>", ""), ("<p><a href=x>One link</a></p>", ""), ("<svg>a", "")])
+def test_short_pages(page, text):
+    assert H.main_text(page) == text
 
 
 def test_very_long_page():
