@@ -24,9 +24,9 @@ nodes with a bucket mate. Copies are folded before. Signatures, buckets, shingle
 the shared folder, so a lost executor costs its tasks only. Nothing but counts reaches the driver.
 
 Defined cases: texts without a word (null and empty among them) are nobody's copies; texts of one to four
-words have one shingle. The smallest doc_id names the class and stays; rows that share a doc_id share its
-fate; rows without an id are grouped like others but never dropped by ``drop_near_copies``. An empty table
-gives an empty result.
+words have one shingle. The smallest doc_id names the class, and its row stays (null ids come last; of rows sharing the id,
+the first by its text's hash; rows equal in id and text share their fate). Other rows of the class go, whatever else has their id.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lookup, per_worker, saved, small
@@ -275,15 +275,17 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         now = now.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         now = now.unionByName(labels.join(now, "node", "left_anti"))
     now = saved(now, "labels")
+    total = now.count()
     while True:
         heard = both.join(now.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("_heard"))
-        step = now.join(heard, "node", "left").select(
-            "node", F.col("label").alias("_was"), F.least("label", F.coalesce("_heard", "label")).alias("label"))
-        # a root that hears a smaller label hands it to all that carry the root's label
-        roots = step.where(F.col("node") == F.col("_was")).select(F.col("node").alias("_root"), F.col("label").alias("_next"))
-        after = (step.join(roots, F.col("label") == F.col("_root"), "left")
-                 .select("node", "_was", F.least("label", F.coalesce("_next", "label")).alias("label")))
-        after = saved(after, "labels")
+        step = saved(now.join(heard, "node", "left").select(
+            "node", F.col("label").alias("_was"), F.least("label", F.coalesce("_heard", "label")).alias("label")), "heard")
+        # a root that hears a smaller label hands it to all that carry the root's label; a label of many nodes is a hot key
+        roots = step.where((F.col("node") == F.col("_was")) & (F.col("label") < F.col("_was"))).select(
+            F.col("node").alias("label"), F.col("label").alias("_next"))
+        carried = step.groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
+        handed = lookup(step, roots.join(carried, "label"), "label", ["_next"], "_n", total, ["node"])
+        after = saved(handed.select("node", "_was", F.least("label", F.coalesce("_next", "label")).alias("label")), "labels")
         now, moved = after.drop("_was"), after.where(F.col("_was") != F.col("label")).limit(1).count()
         if not moved:
             return now
@@ -324,11 +326,15 @@ def _left_over(mates: DataFrame, labels: DataFrame, sets: DataFrame, threshold:
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
-def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id, class_size (rows), kept."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+def _place(docs: DataFrame) -> Column:
+    """A name for a row: its id, and a hash of its text."""
+    return F.concat_ws(":", docs["doc_id"].cast("string"), F.xxhash64(docs["text"].cast("string")).cast("string"))
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """``near_groups`` with ``place``, the row's name."""
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), _place(docs).alias("place"))
     # one row of each node stands for its text: the one with the smallest id, null ids by their hash
-    rows = rows.withColumn("place", F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")))
     signed = saved(rows.mapInArrow(_sign, f"doc_id {dict(docs.dtypes)['doc_id']}, place string, node string, bands array<long>"), "signed")
     nodes = saved(signed.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place"))["place"].alias("place"),
@@ -352,20 +358,29 @@ def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     more = saved(confirmed(open_pairs, sets, threshold), "more-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more), labels)
+    # the row that stays: the one with the smallest id (null ids last), then by its text's hash
+    stays = F.min(F.struct(F.col("first_id").isNull(), "first_id", "place"))["place"].alias("class_place")
     grouped = labels.join(nodes, "node").groupBy("label").agg(
-        F.min("first_id").alias("class_id"), F.sum("rows").alias("class_size"), F.count(F.lit(1)).alias("members"))
-    linked = lookup(labels, saved(grouped, "classes"), "label", ["class_id", "class_size"], "members", labels.count(), ["node"])
-    of_node = nodes.join(linked.select("node", "class_id", "class_size"), "node", "left").select(
-        "node", "rows", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("class_size", "rows").alias("class_size"))
-    found = lookup(signed.select("doc_id", "node"), saved(of_node, "node-classes"), "node", ["class_id", "class_size"],
-                   "rows", signed.count(), ["doc_id"])
+        F.min("first_id").alias("class_id"), F.sum("rows").alias("class_size"), stays, F.count(F.lit(1)).alias("members"))
+    values = ["class_id", "class_size", "class_place"]
+    linked = lookup(labels, saved(grouped, "classes"), "label", values, "members", labels.count(), ["node"])
+    of_node = nodes.join(linked.select("node", *values), "node", "left").select(
+        "node", "rows", F.coalesce("class_id", "first_id").alias("class_id"), F.coalesce("class_size", "rows").alias("class_size"),
+        F.coalesce("class_place", "place").alias("class_place"))
+    found = lookup(signed.select("doc_id", "place", "node"), saved(of_node, "node-classes"), "node", values, "rows", signed.count(), ["doc_id"])
     has = F.col("node").isNotNull()
     return found.select("doc_id", F.when(has, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-                        F.when(has, F.col("class_size")).otherwise(F.lit(1)).cast("long").alias("class_size")
-                        ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+                        F.when(has, F.col("class_size")).otherwise(F.lit(1)).cast("long").alias("class_size"),
+                        F.when(has, F.col("place") == F.col("class_place")).otherwise(F.lit(True)).alias("kept"), "place")
+
+
+def near_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id, class_size (rows), kept."""
+    return _classes(docs, threshold).drop("place")
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` without those that have a near copy with a smaller id in their class."""
-    gone = near_groups(docs, threshold).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(saved(gone, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that stay: of each class the row with the smallest id (and rows equal to it in id and text)."""
+    gone = saved(_classes(docs, threshold).where(~F.col("kept")).select("place").distinct(), "near-copies")
+    placed = docs.withColumn("_place", _place(docs))
+    return placed.join(gone.withColumnRenamed("place", "_place"), "_place", "left_anti").select(*docs.columns)

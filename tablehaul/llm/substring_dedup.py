@@ -1,6 +1,6 @@
 """Substring dedup by hashed units: every repeated passage is kept once, where it occurs first.
 
-A text is cut into units, normalised (case, punctuation, white space) and hashed to 128 bits. Units end
+A text is cut into units. They end
 
 * with lines and sentences; sentences below UNIT_WORDS words that follow each other (lists, table cells,
   signs after each word) count as one, in which only the words decide;
@@ -8,22 +8,23 @@ A text is cut into units, normalised (case, punctuation, white space) and hashed
   such hashes in a row. The words alone decide, so a passage is cut alike wherever it is pasted, and at
   least every WINDOW words but for pieces below PIECE_WORDS words, which go with the next.
 
-A unit of one or two words between two sentences is hashed with the words of the unit before it (at a text's
-start: after it), so every word is in a hashed unit unless the whole text is below UNIT_WORDS words. Han
-characters and kana are words each, and count half a word.
+What is compared are passages: from each unit on as many whole units as make MIN_WORDS words, and the last such piece to the end
+of the text. A passage is normalised (case, punctuation, white space) and hashed to 128 bits. So whatever is removed lies
+in a run of at least MIN_WORDS words that stands in one piece somewhere else. Han characters and kana are words each, and
+count half a word.
 
 The digests are grouped over all texts; the occurrence in the smallest doc_id, and there the first, stays. Of
-the others, runs of consecutive repeated units with at least MIN_WORDS words go. The removed spans are returned
-as offsets into the original text (code points), with the text that is left. Of a passage pasted into a
+the others, all words go; in one text a passage is repeated where it begins after its first occurrence ends. The removed spans
+are returned as offsets into the original text (code points), with the text that is left. Of a passage pasted into a
 sentence, the words before its first and after its last cut stay (mostly under WINDOW on either side).
 
-Scale: one row per different unit of a text (an id and 16 bytes) is grouped with map-side combine, so that
-a unit in a third of all texts costs each map task one row; the units found repeated are joined back,
-hot ones broadcast (fewer than 1,000); each text moves once, to its list of repeated units. The units are
+Scale: one row per different passage of a text (an id and 16 bytes) is grouped with map-side combine, so that
+a passage in a third of all texts costs each map task one row; those found repeated are joined back,
+hot ones broadcast (fewer than 1,000); each text moves once, to its list of repeated passages. The digests are
 written to the shared folder. A text, of any length, is handled by one task, never a group of texts.
 
-Defined cases: null text stays null and an empty one empty; rows without an id rank last and are never
-cut; rows that share a doc_id count as one document, each cut by itself. A text repeated as a whole is
+Defined cases: null text stays null and an empty one empty; texts below MIN_WORDS words are never cut; rows without an id rank
+last and are never cut; rows that share a doc_id count as one document, each cut by itself. A text repeated as a whole is
 cut like any passage and may become empty. White space left around a cut is kept, except that a cut takes
 the spaces after it. An empty table gives an empty result; a column named like an added one is replaced.
 """
@@ -33,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -164,14 +166,12 @@ class _Words:
         return (np.flatnonzero(highest == rolled) + HASHED - 1).tolist()
 
 
-def units(text: str) -> list[tuple[int, int, int, bytes | None]]:
-    """(start, end, words, digest) of each unit; the digest is None where the whole text is below UNIT_WORDS words."""
-    if not text:
-        return []
+def units(text: str) -> tuple[_Words, list[int], list[int]]:
+    """The words, and the borders of the units: numbers of words, and offsets in the text."""
     words = _Words(text)
     n = len(words.start)
     if n < UNIT_WORDS:
-        return [(0, len(text), n, None)]
+        return words, [0, n], [0, len(text)]
     at, cut = words.ends()
     bounds = np.concatenate([[0], at, [n]])
     short = bounds[1:] - bounds[:-1] < UNIT_WORDS
@@ -194,40 +194,51 @@ def units(text: str) -> list[tuple[int, int, int, bytes | None]]:
                 last = c
     cuts.append(n)
     places.append(len(text))
-    half = np.concatenate([[0], np.cumsum(words.spaceless)])[cuts] if words.spaceless.any() else None
-    out = []
-    for i in range(len(cuts) - 1):
-        a, b = cuts[i], cuts[i + 1]
-        size = b - a if half is None else b - a - int(half[i + 1] - half[i]) // 2
-        if b - a < UNIT_WORDS:  # told by its neighbour too
-            a, b = (cuts[i - 1], b) if i else (a, cuts[i + 2])
-        out.append((places[i], places[i + 1], size, _digest(words.plain(a, b))))
+    return words, cuts, places
+
+
+def passages(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, bytes]]:
+    """(start, end, digest) of each passage, in order of their starts."""
+    if not text:
+        return []
+    words, cuts, places = units(text)
+    weight = np.arange(len(words.start) + 1, dtype=np.float64)
+    if words.spaceless.any():
+        weight[1:] -= np.cumsum(words.spaceless) / 2
+    size = weight[cuts].tolist()
+    out, j, last = [], 0, len(cuts) - 1
+    for i in range(last):
+        while j < last and size[j] - size[i] < min_words:
+            j += 1
+        if size[j] - size[i] < min_words:
+            break
+        out.append((places[i], places[j], _digest(words.plain(cuts[i], cuts[j]))))
+    if out and out[-1][1] < places[-1]:  # the units after the last passage are fewer words than one
+        i = len(out) - 1
+        out.append((places[i], places[-1], _digest(words.plain(cuts[i], cuts[-1]))))
     return out
 
 
-def repeated_spans(found: list[tuple[int, int, int, bytes | None]], elsewhere: set[str], min_words: int) -> list[tuple[int, int]]:
-    """Spans to cut: runs of units that occur in an earlier text or earlier in this one."""
-    spans, run, words, seen = [], None, 0, set()
-    for start, end, n, digest in found:
-        if digest is not None and (digest in seen or bool(elsewhere) and _name(digest) in elsewhere):
-            run, words = (run[0] if run else start, end), words + n
-        else:
-            if run and words >= min_words:
-                spans.append(run)
-            run, words = None, 0
-        seen.add(digest)
-    if run and words >= min_words:
-        spans.append(run)
+def repeated_spans(found: list[tuple[int, int, bytes]], elsewhere: set[str]) -> list[tuple[int, int]]:
+    """Spans to cut: passages that occur in an earlier text or earlier in this one."""
+    spans: list[tuple[int, int]] = []
+    first: dict[bytes, int] = {}
+    for start, end, digest in found:
+        if first.setdefault(digest, end) <= start or bool(elsewhere) and _name(digest) in elsewhere:
+            if spans and start <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
+            else:
+                spans.append((start, end))
     return spans
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> doc_id and the different digests of its units, in two halves."""
+def _digests(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> doc_id and the different digests of its passages, in two halves."""
     per_worker("units", lambda: None)  # what another stage kept goes
     for batch in small(batches):
         ids, raw = [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
-            own = {u[3] for u in units(text)} - {None}
+            own = {p[2] for p in passages(text, min_words)}
             ids += [i] * len(own)
             raw += own
         halves = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2)
@@ -245,7 +256,7 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the text that is left, ``removed`` (spans: start, end) and ``n_removed`` (code points)."""
     id_type = dict(docs.dtypes)["doc_id"]
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    found = saved(texts.mapInArrow(_digests, f"doc_id {id_type}, high long, low long"), "units")
+    found = saved(texts.mapInArrow(partial(_digests, min_words=min_words), f"doc_id {id_type}, high long, low long"), "units")
     # one half finds the candidates, both decide
     often = saved(found.groupBy("high").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "frequent-units")
     again = lookup(found, often, "high", ["n"], "n", found.count(), ["doc_id", "low"]).where("n is not null")
@@ -269,7 +280,7 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                                                batch.column("_elsewhere").to_pylist()):
                 spans = []
                 if text and doc_id is not None:
-                    spans = repeated_spans(units(text), set(elsewhere or ()), min_words)
+                    spans = repeated_spans(passages(text, min_words), set(elsewhere or ()))
                     at, kept = 0, []
                     for a, b in spans:
                         kept.append(text[at:a])

@@ -81,3 +81,13 @@ def test_drop_near_copies(spark, rows):
     want = near_classes(rows)
     assert sorted(r.doc_id for r in N.drop_near_copies(df).collect()) == sorted(set(want.values()))
     assert N.near_groups(df.limit(0)).count() == 0
+
+
+def test_clean_rows_that_share_an_id_with_a_copy_stay(spark):
+    rng = random.Random(3)
+    a, b, c = (prose(rng, 80, [f"{k}{i}" for i in range(300)]) for k in "xyz")
+    rows = [(1, a), (2, a + " more"), (2, b), (None, b + " end"), (None, c), (None, c + " and"), (7, None), (7, a + " here")]
+    out = N.drop_near_copies(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, place int")).collect()
+    assert sorted(r.place for r in out if r.doc_id is not None) == [0, 2, 6]  # 1 and 7 are copies, 2 is not
+    alone = [r.place for r in out if r.doc_id is None]
+    assert len(alone) == 1 and alone[0] in (4, 5)  # of two copies without an id one stays
