@@ -171,6 +171,7 @@ def op6_substring_dedup(spark, sf_dir):
 
 @query
 def op8_sentencepiece(spark, sf_dir):
+    """The public model is a BPE one, so this query's path has merges; unigram scores are run by the tests, on a model written by hand."""
     path = tokenizer_path("piece_bpe_32k.model")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_sha256", F.sha2("text", 256))

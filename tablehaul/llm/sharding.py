@@ -3,8 +3,9 @@
 Rows fall into source blocks by a hash. The matrix says how many rows of each block go to each shard: it
 is drawn row by row from the multivariate hypergeometric law over the room left in the shards, so every
 shard gets its exact size and every assignment of rows to shards is equally likely. Each block permutes
-its rows (seeded hash order) and deals them out by the matrix; one exchange moves them, and each shard
-permutes what it got.
+its rows (seeded hash order) and deals them out by the matrix; then they are exchanged, and each shard
+permutes what it got. As blocks go by hash, not by where rows lie, a text crosses the network twice, once to its block and once to its
+shard; in return the result doesn't depend on the partitioning.
 
 Scale: the driver holds block and bin counts (at most MAX_BLOCKS rows) and the matrix, never rows. A shard
 of any size is permuted in bins of about BLOCK_ROWS rows, numbered through by their counts, so no task
