@@ -6,8 +6,8 @@ order of length, each piece goes to the lowest-cost sequence with room for it; w
 enough, it is cut at the lowest-cost sequence that has room left. Only as many sequences are opened as the
 ids need, so at most one sequence of a group is padded.
 
-Scale: documents are dealt by a hash into groups of about GROUP_DOCS, each packed by one task; one shuffle
-of the ids, 2 bytes each. A word is encoded once per worker and kept in a bounded memo; the ids are those of
+Scale: documents are dealt by a hash into groups of about GROUP_DOCS, or of GROUP_BYTES of text where they are long, each packed
+by one task; one shuffle of the ids, 2 bytes each. A word is encoded once per worker and kept in a bounded memo; the ids are those of
 the tokenizers library, which encodes every new word, and the whole text where it holds anything but Latin
 letters, digits and common signs.
 
@@ -30,7 +30,9 @@ from .common import per_worker, small
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
+# A group is packed by one task: so many documents on average, fewer where they are long.
 GROUP_DOCS = 2048
+GROUP_BYTES = 8 << 20
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 4096
 MEMO_WORDS = 600_000
@@ -117,7 +119,8 @@ def pack_lengths(lengths: list[int], capacity: int) -> list[tuple[int, int, int,
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = SEQUENCE_TOKENS) -> DataFrame:
     """Pieces of the documents: doc_id, start, length, doc_tokens, sequence_id, offset, ids (binary, 32 bits each)."""
-    groups = max(1, -(-docs.select(F.lit(1)).count() // GROUP_DOCS))
+    size = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes")).first()
+    groups = max(1, -(-size["rows"] // GROUP_DOCS), -(-(size["bytes"] or 0) // GROUP_BYTES))
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("_group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("long"))
     encoded = tokenize(rows, tokenizer_path, ["doc_id", "_group"])

@@ -90,3 +90,12 @@ def test_frame(spark, tokenizer):
     for r in one:
         assert np.frombuffer(r.ids, "<u4").tolist() == ids[r.start:r.start + r.length] and r.doc_tokens == len(ids)
     assert P.pack(df.limit(0), PATH).count() == 0
+
+
+def test_long_documents_make_more_groups(spark, monkeypatch):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(i, prose(rng, 2000)) for i in range(40)], "doc_id long, text string")
+    assert {r.sequence_id >> 32 for r in P.pack(df, PATH).collect()} == {0}
+    monkeypatch.setattr(P, "GROUP_BYTES", 100_000)
+    out = P.pack(df, PATH).collect()
+    assert len({r.sequence_id >> 32 for r in out}) >= 3 and sum(r.length for r in out) == sum({r.doc_id: r.doc_tokens for r in out}.values())
