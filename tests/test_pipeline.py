@@ -123,3 +123,20 @@ def test_a_catalog_target_shares_the_expanded_files(spark, sf_dir, tmp_path):
     assert sorted(spark.table("th_shared_target.census").inputFiles()) == sorted(first.expanded.inputFiles())
     again = run_census(spark, cfg, raw)
     assert not again.loaded and not again.published
+
+
+def test_the_expanded_table_is_dealt_out_and_its_csv_packed(spark, tmp_path, monkeypatch):
+    import glob
+    import os
+
+    from tablehaul.plans import census
+    orders = spark.range(1, 1001).selectExpr("id AS o_orderkey", "id % 97 AS o_custkey").coalesce(1)
+    monkeypatch.setattr(census, "TASK_ROWS", 4000)
+    got = census.census_expand(census_like(orders), parquet_path=str(tmp_path / "p"), csv_path=str(tmp_path / "c"))
+    files = glob.glob(str(tmp_path / "p" / "*.parquet"))
+    assert len(files) == 25  # the raw table is one partition
+    packed = glob.glob(str(tmp_path / "c" / "*.csv*"))
+    assert packed and all(f.endswith(".csv.gz") for f in packed)
+    assert sum(map(os.path.getsize, packed)) < 1000 * 100 * 63 / 20
+    back = spark.read.csv(str(tmp_path / "c"), header=True, schema=got.schema)
+    assert got.count() == 100_000 and back.exceptAll(got).count() == 0 and got.exceptAll(back).count() == 0
