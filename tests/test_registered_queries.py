@@ -82,3 +82,12 @@ def test_query_matches_oracle(plain, sf_dir, duck, name):
     orows = res.fetchall()
     assert len(rows) == len(orows)
     assert _digest(cols, rows) == _digest(res.columns, orows)
+
+
+def test_arrow_batches_gives_the_rows_of_lineitem(spark, sf_dir):
+    queries, sql = E.queries(), E.oracle_sql()
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    got = queries["arrow_batches"](spark, sf_dir)
+    assert got.schema.simpleString() == lineitem.schema.simpleString()
+    assert got.exceptAll(lineitem).count() == 0 and lineitem.exceptAll(got).count() == 0
+    assert sql["arrow_batches"] == "SELECT * FROM lineitem"
