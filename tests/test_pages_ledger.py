@@ -77,6 +77,20 @@ def test_index_of_an_empty_table(spark, tmp_path):
         PageIndex.build(spark.range(3), "missing", str(tmp_path / "bad"))
 
 
+@pytest.mark.parametrize("part_rows, parts", [(200_000, 1), (1000, 20)])
+def test_small_ranges_share_a_part(spark, tmp_path, monkeypatch, part_rows, parts):
+    from tablehaul.operators import pages
+    monkeypatch.setattr(pages, "PART_ROWS", part_rows)
+    df = spark.range(0, 20_000).select((F.col("id") * 7919 % 20_000).alias("k"), "id")
+    index = PageIndex.build(df, "k", str(tmp_path / "index"), range_rows=100)
+    # what the driver samples and is told grows with the parts, not with the ranges
+    assert sum(n.startswith("_part=") for n in list_names(spark, f"{index.path}/rows")) == parts
+    assert index.fences().count() >= 200 and index.fences().agg(F.max("n")).first()[0] == 100
+    for offset in (0, 950, 1999, 12_345, 19_990):
+        assert [r.k for r in index.page(offset, 150).collect()] == list(range(offset, min(offset + 150, 20_000)))
+        assert index.seek(offset) == offset and index.first(offset).agg(F.count("k"), F.max("k")).first()[0] == offset
+
+
 def test_large_limit_goes_by_ranges(spark, monkeypatch):
     from tablehaul.operators import rows as R
     df = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 7).cast("double").alias("x"))
