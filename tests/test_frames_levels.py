@@ -52,6 +52,27 @@ def test_running_spreads_a_hot_key(spark):
     assert "Python" not in got._jdf.queryExecution().toString()
 
 
+def test_running_shuffles_and_sorts_the_rows_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = running(table(spark), "k", ["t", "id"], {"n": "row_number", "s": ("sum", "v")}, 37)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        above, rows = plan[:plan.index("Window")], plan[plan.index("Window"):]
+        assert "Exchange" not in above and "Sort [" not in above  # the join takes the rows as the window leaves them
+        assert rows[:rows.index("Scan")].count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("kind, values", [("int", [5, 1, 9, 3, 7]), ("string", ["b", "é", "a"]), ("double", [float("nan"), 2.5, -1.0]), ("int", [4])])
+def test_pieces_count_the_cuts_at_most_the_key(spark, kind, values):
+    keys = values + {"int": [0, 4, 10, None], "string": ["", "aa", "z", None], "double": [0.0, 9.0, None]}[kind]
+    df = spark.createDataFrame([(k,) for k in keys], f"k {kind}")
+    cut = F.size(F.filter(F.lit(values).cast(f"array<{kind}>"), lambda c: c <= F.col("k")))
+    want = F.when(F.col("k").isNotNull(), cut)
+    assert df.where(~piece_of(F.col("k"), values, kind).eqNullSafe(want)).count() == 0
+
+
 def test_running_other_types_empty_and_bad(spark):
     df = spark.createDataFrame([("a", f"w{i:03d}", {"m": i}) for i in range(50)], "k string, s string, m map<string, int>")
     assert [r.n for r in running(df, "k", "s", {"n": "row_number"}, 7).orderBy("s").collect()] == list(range(1, 51))
