@@ -2,8 +2,9 @@
 
 The rows are aggregated once, at the finest level. The other levels are made from that result: only its rows are copied
 to each level, not those of the table. A distinct count isn't the sum of finer ones, so each counted column has a result of its
-own, the distinct pairs of the dimensions and its values, made once and copied to the levels. The levels of all these are put
-together by one exchange on (grouping_id, dimensions).
+own, the distinct pairs of the dimensions and its values, made once and copied to the levels. Both steps deal their rows over as
+many tasks as the table's rows ask for, so a task's share stays the same however large the table is. The levels of all these are
+put together by one exchange on (grouping_id, dimensions).
 
 The dimension that a level leaves out is NULL, and ``grouping_id`` tells such a NULL from one in the data: its bits are 1 for
 the dimensions left out, the last dimension the lowest.
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 
 ADDED_UP = {"sum": (F.sum, F.sum), "count": (F.count, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
 
+# Rows of the table for each task that tells apart the values of a distinct count.
+DISTINCT_ROWS = 500_000
+
 
 def cube_sets(dims: Sequence[str]) -> list[tuple[str, ...]]:
     return [s for n in range(len(dims), -1, -1) for s in combinations(dims, n)]
@@ -73,9 +77,12 @@ def levels(df: DataFrame, dims: Sequence[str], aggregates: dict | None = None, d
     if partial:
         fine = df.groupBy(*[f"`{d}`" for d in dims]).agg(*partial)
         pieces.append(_at_levels(fine, dims, chosen).groupBy(*key).agg(*again))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // DISTINCT_ROWS)) if distinct else 0
     for i, (name, column) in enumerate(distinct.items()):
-        pairs = df.where(F.col(f"`{column}`").isNotNull()).select(*[f"`{d}`" for d in dims], F.col(f"`{column}`").alias("_v")).distinct()
-        counted = _at_levels(pairs, dims, chosen).distinct().groupBy(*key).agg(F.count("_v").alias(f"_n{i}"))
+        values = df.where(F.col(f"`{column}`").isNotNull()).select(*[f"`{d}`" for d in dims], F.col(f"`{column}`").alias("_v"))
+        pairs = values.repartition(tasks, *[f"`{d}`" for d in dims], "_v").distinct()
+        at_levels = _at_levels(pairs, dims, chosen).repartition(tasks, *key, "_v")
+        counted = at_levels.distinct().groupBy(*key).agg(F.count("_v").alias(f"_n{i}"))
         pieces.append(counted)
         shown[name] = F.coalesce(f"_n{i}", F.lit(0))
     if distinct and not partial:  # levels all of whose values are NULL

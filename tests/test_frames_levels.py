@@ -119,6 +119,16 @@ def test_levels_copy_the_fine_rows_only(spark):
         levels(df, ["a"])
 
 
+def test_levels_deal_the_values_over_tasks_by_the_rows(spark, monkeypatch):
+    from tablehaul.operators import levels as module
+    monkeypatch.setattr(module, "DISTINCT_ROWS", 100)
+    got = levels(spark.range(0, 4000).selectExpr("id % 3 AS a", "id % 2 AS b", "id % 900 AS v"), ["a", "b"], None, {"d": "v"}, "rollup")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 40), REPARTITION_BY_NUM") == 2  # before pairs and before levels are told apart: 100 rows for each task
+    assert "partial" not in plan[plan.rindex(", 40), REPARTITION_BY_NUM"):]  # no task gathers pairs before they are dealt
+    assert got.where("a IS NULL AND b IS NULL").first().d == 900
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_bags_equal_multisets(spark, seed):
     rng = random.Random(seed)
