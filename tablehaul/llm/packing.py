@@ -35,7 +35,7 @@ GROUP_DOCS = 2048
 GROUP_BYTES = 8 << 20
 LINEAR_COST = 1.0
 QUADRATIC_COST = 1.0 / 4096
-MEMO_WORDS = 600_000
+MEMO_WORDS = 200_000
 
 # The tokenizer's own split of lower-cased text, over the alphabet that PLAIN admits; fixed values.
 LETTERS = "a-zªµºß-öø-ɏ"
@@ -126,6 +126,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = SEQUENCE_TOKENS)
     encoded = tokenize(rows, tokenizer_path, ["doc_id", "_group"])
 
     def pack_group(key: tuple, table: pa.Table) -> pa.Table:
+        per_worker("groups", lambda: None)  # the words' ids aren't needed any more
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
         ids = [np.frombuffer(b, "<u2") for b in table.column("ids").to_pylist()]
         found = pack_lengths([len(x) for x in ids], capacity)
