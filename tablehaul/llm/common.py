@@ -38,6 +38,14 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)  # an empty table may have no file to take it from
 
 
+def trim() -> None:
+    """Give freed memory back to the system: glibc and Arrow keep it to themselves otherwise, while a worker waits for its next task."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
+
+
 def per_worker(key: Any, make: Callable[[], Any]) -> Any:
     """An object that a Python worker process keeps from task to task (functions travel by value, so a
     module's own globals would start anew with every task). It keeps one at a time: a stage with another
@@ -46,9 +54,7 @@ def per_worker(key: Any, make: Callable[[], Any]) -> Any:
     kept = sys.modules.setdefault("_tablehaul_worker", types.ModuleType("_tablehaul_worker")).__dict__
     if kept.get("key") != key:
         kept["value"] = None  # the old one goes before the new one comes
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory to itself otherwise
-        if trim:
-            trim(0)
+        trim()
         kept["key"], kept["value"] = key, make()
     return kept["value"]
 

@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_worker, small
+from .common import per_worker, small, trim
 
 PER_LANGUAGE = 400
 SEGMENTS = 8
@@ -415,5 +415,6 @@ def predict(docs: DataFrame, model: dict, text: str = "text", keep: list[str] |
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=[*keep, "lang_pred", "score"])
+        trim()
 
     return base.mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_worker, small
+from .common import per_worker, small, trim
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -83,6 +83,7 @@ def tokenize(rows: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame
             ids = [encoder.encode(t.as_py() or "") + end for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(ids, pa.binary())],
                                              names=[*keep, "ids"])
+        trim()
 
     return rows.mapInArrow(run, schema)
 
