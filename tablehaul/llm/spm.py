@@ -9,7 +9,7 @@ Control, byte and unused pieces are never matched in text.
 between words and other signs (a model whose pieces cross markers gets whole texts); each new chunk is
 encoded once per worker, many at a time by the library's threads, and checked against the sentencepiece
 library. Where the two differ, the chunk gets sentencepiece's ids and its texts are marked. ``decode`` turns
-ids into text.
+ids into text; ``encode`` does so for a new chunk's ids, and puts a text together from its chunks' texts.
 
 Scale: a map over the rows, no shuffle; memory is bounded by MEMO_CHUNKS and BATCH_BYTES, and by a single
 text. The model is read from its path on every executor (a file of an installed package, or one on a
@@ -139,8 +139,10 @@ class Encoder:
         word = self.letter.pattern
         self.chunk = re.compile(f" *(?:{word}+|(?:(?!{word})[^ ])+)| +")
         self.inner = next((c for c in "abcdefghijklmnopqrstuvwxyz0123456789" if self.letter.match(c)), "")
+        self.leads = np.array([p.piece.startswith(MARK) for p in self.proto.pieces])
         self.memo: dict[str, bytes] = {}
         self.wrong: set[str] = set()
+        self.altered: set[str] = set()  # chunks whose ids don't give their text again
 
     def _checked(self, found: list[int], text: str, before: str = "") -> tuple[bytes, bool]:
         """sentencepiece's ids of a text (that stands after another), and whether they are those found."""
@@ -151,17 +153,25 @@ class Encoder:
         out = {}
         # chunks that begin with a space and hold more can stand in a row as one text, whose ids are theirs
         rows = [c for c in chunks if c[0] == " " and not c.isspace()]
+        rows.sort(key=lambda c: c[1] == " ")
         for i in range(0, len(rows), CHUNKS_PER_CALL * CALLS):
             groups = [rows[k:k + CHUNKS_PER_CALL] for k in range(i, min(len(rows), i + CHUNKS_PER_CALL * CALLS), CHUNKS_PER_CALL)]
             texts = ["".join(g) for g in groups]
             marked = [t.replace(" ", MARK) for t in texts]
             for group, text, e in zip(groups, texts, self.plain.encode_batch(marked, add_special_tokens=False)):
-                ids = np.array(e.ids, "<u4")
-                starts = np.cumsum([0] + [len(c) for c in group[:-1]])
-                cuts = np.searchsorted([o[0] for o in e.offsets], starts).tolist() + [len(ids)]
-                same = self.reference.encode(text[1:]) == e.ids  # sentencepiece adds the first marker itself
-                for c, a, b in zip(group, cuts, cuts[1:]):
-                    self._keep(out, c, ids[a:b].tobytes() if same else self._checked(ids[a:b].tolist(), c, "\n"))
+                found = e.ids
+                ids = np.array(found, "<u4")
+                cuts = np.flatnonzero(self.leads[ids])  # a chunk with one space has one such piece, its first
+                if group[-1][1] == " " or len(cuts) != len(group):
+                    starts = np.cumsum([0] + [len(c) for c in group[:-1]])
+                    cuts = np.searchsorted([o[0] for o in e.offsets], starts)
+                raw, cuts = ids.tobytes(), [*(cuts * 4).tolist(), 4 * len(ids)]
+                parts = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+                if self.reference.encode(text[1:]) == found:  # sentencepiece adds the first marker itself
+                    out.update(zip(group, parts))
+                else:
+                    for c, part in zip(group, parts):
+                        self._keep(out, c, self._checked(np.frombuffer(part, "<u4").tolist(), c, "\n"))
         for c in chunks:
             if c not in out:
                 after = "" if self.letter.match(c) or c.isspace() else self.inner
@@ -169,25 +179,42 @@ class Encoder:
                 self._keep(out, c, self._checked(ids, c, after or "\n"))
         return out
 
-    def _keep(self, out: dict[str, bytes], chunk: str, found: bytes | tuple[bytes, bool]) -> None:
-        if isinstance(found, tuple):
-            found, same = found
-            if not same:
-                self.wrong.add(chunk)
-        out[chunk] = found
+    def _keep(self, out: dict[str, bytes], chunk: str, found: tuple[bytes, bool]) -> None:
+        out[chunk], same = found
+        if not same:
+            self.wrong.add(chunk)
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+    def _spell(self, learnt: dict[str, bytes]) -> None:
+        """Decodes the ids of new chunks and notes those that give another text."""
+        texts = _texts_of(self.plain, list(learnt.values()))  # the decoder takes the first space for the added one
+        self.altered.update(c for c, t in zip(learnt, texts) if t != c.removeprefix(" "))
+
+    def encode(self, texts: list[str], decoded: bool = False) -> list[tuple]:
+        """Per text its ids and whether the libraries agree, on demand also the text of its ids."""
         if not self.by_chunk:
             found = self.plain.encode_batch([self.normalizer.normalize_str(t) for t in texts], add_special_tokens=False)
-            return [self._checked(e.ids, t) for e, t in zip(found, texts)]
+            out = [self._checked(e.ids, t) for e, t in zip(found, texts)]
+            return [(*o, t) for o, t in zip(out, _texts_of(self.plain, [o[0] for o in out]))] if decoded else out
         # the text's start gets a marker, which is a space's; a marker in a text is read as a space
         split = [self.chunk.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         chunks = set().union(*split)
         new = [c for c in chunks if c not in self.memo]
         known = self.memo if len(self.memo) + len(new) <= MEMO_CHUNKS else {c: self.memo[c] for c in chunks if c in self.memo}
-        known.update(self._learn(new))
+        learnt = self._learn(new)
+        known.update(learnt)
+        if decoded:
+            self._spell(learnt)
         ids = known.__getitem__
-        return [(b"".join(map(ids, cs)), not self.wrong or self.wrong.isdisjoint(cs)) for cs in split]
+        out = [(b"".join(map(ids, cs)), not self.wrong or self.wrong.isdisjoint(cs)) for cs in split]
+        if decoded:
+            # every chunk has whole characters, so the text of ids that stand in a row is that of each in a row
+            whole = [not self.altered or self.altered.isdisjoint(cs) for cs in split]
+            rest = iter(_texts_of(self.plain, [o[0] for o, w in zip(out, whole) if not w]))
+            out = [(*o, "".join(cs).removeprefix(" ") if w else next(rest)) for o, cs, w in zip(out, split, whole)]
+        if known is not self.memo:
+            self.wrong.difference_update(new)
+            self.altered.difference_update(new)
+        return out
 
 
 def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -218,10 +245,10 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: list[str]
         encoder = per_worker(("sentencepiece", model_path), lambda: Encoder(model_path))
         for batch in (part for whole in batches for part in _slices(whole, text)):
             texts = batch.column(text).to_pylist()
-            found = encoder.encode([t or "" for t in texts])
+            found = encoder.encode([t or "" for t in texts], decoded)
             ids = [None if t is None else f[0] for t, f in zip(texts, found)]
             parity = [None if t is None else f[1] for t, f in zip(texts, found)]
-            more = [pa.array(_texts_of(encoder.plain, ids), pa.string())] if decoded else []
+            more = [pa.array([None if t is None else f[2] for t, f in zip(texts, found)], pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(ids, pa.binary()), pa.array(parity, pa.bool_()), *more],
                 names=[*keep, *added])

@@ -70,6 +70,32 @@ def test_small_memo_and_single_texts(monkeypatch):
     assert [small.encode([t])[0] for t in found] == want
 
 
+@pytest.mark.parametrize("fallback", [True, False])
+def test_chunks_are_decoded_once(monkeypatch, tmp_path, fallback):
+    path, found = PATH, texts()
+    if not fallback:  # signs without a piece become unknown ones, so some texts are altered
+        proto = S.parse(open(unigram_model(tmp_path), "rb").read())
+        pieces = [p for p in proto.pieces if p.type != S.BYTE]
+        del proto.pieces[:]
+        proto.pieces.extend(pieces)
+        proto.trainer_spec.byte_fallback = False
+        path = str(tmp_path / "plain.model")
+        with open(path, "wb") as f:
+            f.write(proto.SerializeToString())
+    plain, decoded, library = S.Encoder(path), [], S._texts_of
+    want = [(*r, t) for r, t in zip(plain.encode(found), library(plain.plain, [r[0] for r in plain.encode(found)]))]
+    monkeypatch.setattr(S, "_texts_of", lambda decoder, ids: decoded.extend(ids) or library(decoder, ids))
+    encoder = S.Encoder(path)
+    assert encoder.encode(found, decoded=True) == want and encoder.by_chunk and bool(encoder.altered) != fallback
+    once = len(decoded)
+    assert encoder.encode(found * 5, decoded=True) == want * 5
+    assert not fallback or (once == len(encoder.memo) == len(decoded))
+    monkeypatch.setattr(S, "MEMO_CHUNKS", 10)
+    small = S.Encoder(path)
+    assert [small.encode([t], decoded=True)[0] for t in found] == want
+    assert not (small.altered | small.wrong) - set(small.memo)
+
+
 def test_frame_round_trip(spark):
     rows = [(i, t, "clash") for i, t in enumerate(odd_texts())]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
