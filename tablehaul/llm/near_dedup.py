@@ -262,42 +262,48 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return out.where(F.col("similarity") >= threshold).select("a", "b")
 
 
-def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node, label of all linked nodes: the smallest node of the component.
 
-    Labels pass along the links, then each takes its label's label, until nothing changes; the rounds
-    grow with the logarithm of a component's width. Each round is written to the shared folder.
+    A node starts with the smallest of its neighbours and itself. Labels pass along the links, then each takes
+    its label's label, until none passes; the rounds grow with the logarithm of a component's width. Each round
+    is written to the shared folder; ``links`` is read in each and should be, too.
     """
-    both = saved(links.select(F.col("a").alias("node"), F.col("b").alias("other"))
-                 .unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other"))).distinct(), "links")
-    now = both.select("node").distinct().withColumn("label", F.col("node"))
-    if labels is not None:
-        now = now.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        now = now.unionByName(labels.join(now, "node", "left_anti"))
-    now = saved(now, "labels")
+    both = (links.select(F.col("a").alias("node"), F.col("b").alias("other"))
+            .unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other"))))
+    now = saved(both.groupBy("node").agg(F.min("other").alias("_heard"))
+                .select("node", F.least("node", "_heard").alias("label")), "labels")
     total = now.count()
     while True:
         heard = both.join(now.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("_heard"))
         step = saved(now.join(heard, "node", "left").select(
             "node", F.col("label").alias("_was"), F.least("label", F.coalesce("_heard", "label")).alias("label")), "heard")
-        # a root that hears a smaller label hands it to all that carry the root's label; a label of many nodes is a hot key
-        roots = step.where((F.col("node") == F.col("_was")) & (F.col("label") < F.col("_was"))).select(
-            F.col("node").alias("label"), F.col("label").alias("_next"))
-        carried = step.groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
-        handed = lookup(step, roots.join(carried, "label"), "label", ["_next"], "_n", total, ["node"])
-        after = saved(handed.select("node", "_was", F.least("label", F.coalesce("_next", "label")).alias("label")), "labels")
-        now, moved = after.drop("_was"), after.where(F.col("_was") != F.col("label")).limit(1).count()
-        if not moved:
+        if step.where(F.col("_was") != F.col("label")).isEmpty():  # neighbours have the same label, so components have
             return now
+        now = saved(_relabelled(step.select("node", "label"), step.where(F.col("label") < F.col("node")).select("node", "label"), total), "labels")
+
+
+def _relabelled(labels: DataFrame, heads: DataFrame, total: int) -> DataFrame:
+    """``labels`` (``total`` rows of node, label) with the label that a row's label has in ``heads``, if any."""
+    # a label of many nodes is a hot key
+    carried = (labels.select("label", F.lit(1).cast("long").alias("_n"), F.lit(None).cast("string").alias("_next"))
+               .unionByName(heads.select(F.col("node").alias("label"), F.lit(0).cast("long").alias("_n"), F.col("label").alias("_next")))
+               .groupBy("label").agg(F.sum("_n").alias("_n"), F.min("_next").alias("_next")).where("_n > 0 AND _next IS NOT NULL"))
+    handed = lookup(labels, carried, "label", ["_next"], "_n", total, ["node"])
+    return handed.select("node", F.coalesce("_next", "label").alias("label"))
+
+
+def _merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """``labels`` after more links, which join whole components: links between labels, and labels of labels."""
+    a, b = (labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}")) for end in "ab")
+    ends = more.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    heads = components(saved(ends.distinct(), "label-links"))
+    single = heads.join(labels, "node", "left_anti")  # a label is one of its component's nodes
+    return saved(_relabelled(labels, heads, labels.count()).unionByName(single), "labels")
 
 
 def _left_over(mates: DataFrame, labels: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs of bucket mates in different components that the bounds can't rule out."""
-    named = mates.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    torn = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    named = saved(named.join(saved(torn, "torn"), "key"), "torn-mates")
-    largest = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("key").agg(F.max(F.struct("n", "label"))["label"].alias("_largest")))
     # shingles of one node only; two that share 32 bits count as shared, which keeps the bound one
     named_sets = sets.withColumn("name", F.xxhash64("node"))
     alone = (named_sets.select("name", "shingles").mapInArrow(_each_shingle, "name long, shingle int")
@@ -305,18 +311,23 @@ def _left_over(mates: DataFrame, labels: DataFrame, sets: DataFrame, threshold:
              .groupBy("name").agg(F.count(F.lit(1)).alias("_alone")))
     sizes = named_sets.select("name", "node", "n").join(alone, "name", "left")
     sizes = sizes.select("node", "n", (F.col("n") - F.coalesce("_alone", F.lit(0))).alias("c"))
-    alive = saved(named.join(sizes.where(F.col("c") >= threshold * F.col("n")), "node"), "alive-mates")
-    shortest = alive.groupBy("key").agg(F.min("n").alias("_shortest"))
-    minor = (alive.join(saved(largest.join(shortest, "key"), "torn-buckets"), "key")
-             .where(F.col("label") != F.col("_largest"))
-             .where(F.col("c") >= threshold * (F.col("n") + F.greatest("_shortest", F.col("c")) - F.col("c")))
-             .select(*alive.columns))
-    minor = saved(minor, "minor-mates")
-    bins = sets.select("node", "bins")
+    # one row of a node, until its buckets are needed
+    alive = F.coalesce(F.col("c") >= threshold * F.col("n"), F.lit(False)).alias("alive")
+    members = saved(mates.join(labels, "node", "left").join(sizes, "node", "left").select(
+        "node", "keys", F.coalesce("label", "node").alias("label"), "n", "c", alive), "members")
+    named = members.select(F.explode("keys").alias("key"), "node", "label", "n", "c", "alive")
+    torn = (named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("rows"), F.min(F.when(F.col("alive"), F.col("n"))).alias("_shortest"))
+            .groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("rows", "label"))["label"].alias("_largest"),
+                                F.min("_shortest").alias("_shortest")).where("labels > 1 AND _shortest IS NOT NULL"))
+    minor = ((F.col("label") != F.col("_largest"))
+             & (F.col("c") >= threshold * (F.col("n") + F.greatest("_shortest", F.col("c")) - F.col("c")))).alias("minor")
     columns = ("node", "label", "n", "c", "bins")
-    left = saved(minor.join(bins, "node").select("key", *[F.col(c).alias(f"{c}_a") for c in columns]), "minor")
-    right = alive.join(minor.select("key").distinct(), "key", "left_semi").join(bins, "node")
-    right = saved(right.select("key", *[F.col(c).alias(f"{c}_b") for c in columns]), "partners")
+    alive = saved(named.where("alive").join(saved(torn.select("key", "_largest", "_shortest"), "torn-buckets"), "key")
+                  .select("key", *columns[:-1], minor), "alive-mates")
+    partners = saved(alive.join(alive.where("minor").select("key").distinct(), "key", "left_semi")
+                     .join(sets.select("node", "bins"), "node").select("key", "minor", *columns), "partners")
+    left = partners.where("minor").select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = partners.select("key", *[F.col(c).alias(f"{c}_b") for c in columns])
     total, shared = F.col("n_a") + F.col("n_b"), F.least("c_a", "c_b")
     # no more shingles in common than each bin allows; evaluated within the join, which emits no other pair
     in_bins = F.aggregate(F.zip_with("bins_a", "bins_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
@@ -338,17 +349,17 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     signed = saved(rows.mapInArrow(_sign, f"doc_id {dict(docs.dtypes)['doc_id']}, place string, node string, bands array<long>"), "signed")
     nodes = saved(signed.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place"))["place"].alias("place"),
-        F.count(F.lit(1)).alias("rows")), "nodes")
-    buckets = saved(signed.where("node is not null").select("node", "bands").dropDuplicates(["node"])
-                    .select("node", F.explode("bands").alias("key")), "buckets")
+        F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands")), "nodes")
+    buckets = nodes.select("node", "place", F.explode("bands").alias("key"))
     shared = saved(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared-buckets")
-    mates = saved(buckets.join(shared, "key"), "mates")
-    weight = saved(mates.groupBy("node").agg(F.sum("size").alias("weight")), "node-weights")
-    centres = saved(mates.join(weight, "node").groupBy("key").agg(
-        F.max(F.struct("weight", "node"))["node"].alias("centre")), "centres")
-    pairs = saved(mates.join(centres, "key").where("node <> centre")
+    # one row of a node, with its shared buckets
+    mates = saved(buckets.join(shared, "key").groupBy("node").agg(
+        F.first("place").alias("place"), F.sum("size").alias("weight"), F.collect_list("key").alias("keys")), "mates")
+    each = mates.select("node", "weight", F.explode("keys").alias("key"))
+    centres = saved(each.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("centre")), "centres")
+    pairs = saved(each.join(centres, "key").where("node <> centre")
                   .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs")
-    needed = saved(weight.select("node").join(nodes, "node").select("node", "place"), "needed")
+    needed = mates.select("node", "place")
     texts = (rows.where("text is not null").select("place", "text").join(needed, "place")
              .dropDuplicates(["place", "node"]).select("node", "text"))
     sets = saved(texts.mapInArrow(_shingle_sets, "node string, n long, shingles binary, bins array<int>"), "shingle-sets")
@@ -357,7 +368,7 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     open_pairs = saved(_left_over(mates, labels, sets, threshold), "open-pairs")
     more = saved(confirmed(open_pairs, sets, threshold), "more-links")
     if not more.isEmpty():
-        labels = components(links.unionByName(more), labels)
+        labels = _merged(labels, more)
     # the row that stays: the one with the smallest id (null ids last), then by its text's hash
     stays = F.min(F.struct(F.col("first_id").isNull(), "first_id", "place"))["place"].alias("class_place")
     grouped = labels.join(nodes, "node").groupBy("label").agg(

@@ -66,6 +66,23 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{n: "n000" for n in names}, "z1": "z1", "z2": "z1"}
 
 
+def test_more_links_join_components(spark):
+    labels = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "c"), ("d", "c"), ("y", "x"), ("x", "x")], "node string, label string")
+    more = spark.createDataFrame([("b", "d"), ("d", "z"), ("p", "q")], "a string, b string")
+    got = sorted(tuple(r) for r in N._merged(labels, more).collect())
+    assert got == [*((n, "a") for n in "abcd"), ("p", "p"), ("q", "p"), ("x", "x"), ("y", "x"), ("z", "a")]
+
+
+def test_few_tables_are_written(spark, rows, monkeypatch):
+    tags, save = [], N.saved
+    monkeypatch.setattr(N, "saved", lambda df, tag: tags.append(tag) or save(df, tag))
+    star = spark.createDataFrame([("c", f"n{i}") for i in range(9)] + [("b", "c")], "a string, b string")
+    assert {r.label for r in N.components(star).collect()} == {"b"} and len(tags) <= 4
+    tags.clear()
+    N.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len([t for t in tags if t not in ("labels", "heard", "links", "label-links")]) <= 16
+
+
 def test_null_and_repeated_ids(spark):
     rng = random.Random(2)
     a, b = prose(rng, 80), prose(rng, 80, [f"k{i}" for i in range(300)])
