@@ -19,8 +19,9 @@ when their weighted Jaccard similarity (sum of minima over sum of maxima) is at
    the join. The rest is compared exactly, so no candidate pair between different components is dropped
    unless its similarity is surely below the threshold.
 
-Scale: all joins are on buckets, nodes or ids, of narrow rows; texts are shuffled once, shingles only of
-nodes with a bucket mate. Copies are folded before. Signatures, buckets, shingles and links are written to
+Scale: all joins are on buckets, nodes or ids, of narrow rows; shingles are shuffled only of nodes with a bucket
+mate, and texts once: a broadcast bitmap of FILTER_BITS first drops most rows that the exact join would. The more
+mates there are, the less it drops, and no more than all texts are shuffled. Copies are folded before. Signatures, buckets, shingles and links are written to
 the shared folder, so a lost executor costs its tasks only. Nothing but counts reaches the driver.
 
 Defined cases: texts without a word (null and empty among them) are nobody's copies; texts of one to four
@@ -51,6 +52,7 @@ COORDINATES = BANDS * ROWS
 BINS = 128
 CHARS_AT_ONCE = 1_000_000
 MEMO_WORDS = 250_000
+FILTER_BITS = 1 << 25  # 4 MB
 
 WORD = re.compile(r"\w+")
 
@@ -253,6 +255,18 @@ def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                          names=["name", "shingle"])
 
 
+def among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` occurs in ``wanted``, and some others, by a broadcast bitmap of the keys' hashes:
+    what goes before a join whose shuffle would carry many rows that match nothing."""
+    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    bitmaps = (wanted.select(F.bitmap_bucket_number(bit).alias("_block"), F.bitmap_bit_position(bit).alias("_at"))
+               .repartition("_block").groupBy("_block").agg(F.bitmap_construct_agg("_at").alias("_bits")))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substr("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, (at % 8).cast("int")) == 1
+    return df.join(F.broadcast(bitmaps), (F.bitmap_bucket_number(bit) == F.col("_block")) & held, "left_semi")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose similarity reaches the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -353,14 +367,14 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
     buckets = nodes.select("node", "place", F.explode("bands").alias("key"))
     shared = saved(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared-buckets")
     # one row of a node, with its shared buckets
-    mates = saved(buckets.join(shared, "key").groupBy("node").agg(
+    mates = saved(among(buckets, "key", shared).join(shared, "key").groupBy("node").agg(
         F.first("place").alias("place"), F.sum("size").alias("weight"), F.collect_list("key").alias("keys")), "mates")
     each = mates.select("node", "weight", F.explode("keys").alias("key"))
     centres = saved(each.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("centre")), "centres")
     pairs = saved(each.join(centres, "key").where("node <> centre")
                   .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs")
     needed = mates.select("node", "place")
-    texts = (rows.where("text is not null").select("place", "text").join(needed, "place")
+    texts = (among(rows.where("text is not null").select("place", "text"), "place", needed).join(needed, "place")
              .dropDuplicates(["place", "node"]).select("node", "text"))
     sets = saved(texts.mapInArrow(_shingle_sets, "node string, n long, shingles binary, bins array<int>"), "shingle-sets")
     links = saved(confirmed(pairs, sets, threshold), "near-links")

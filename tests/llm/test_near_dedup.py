@@ -83,6 +83,26 @@ def test_few_tables_are_written(spark, rows, monkeypatch):
     assert len([t for t in tags if t not in ("labels", "heard", "links", "label-links")]) <= 16
 
 
+def test_among_keeps_all_wanted_keys_and_few_others(spark, monkeypatch):
+    df = spark.range(40000).selectExpr("if(id < 39990, concat('k', id), null) AS key", "id")
+    wanted = df.where("id % 40 = 0").select("key")
+    wanted = wanted.union(wanted)
+    for bits, most in ((N.FILTER_BITS, 1020), (1 << 15, 3500), (1 << 3, 40000)):  # too few bits only keep more
+        monkeypatch.setattr(N, "FILTER_BITS", bits)
+        got = [r.id for r in N.among(df, "key", wanted).collect()]
+        assert len(got) == len(set(got)) <= most and {i for i in range(0, 39990, 40)} <= set(got)
+    assert N.among(df, "key", wanted.limit(0)).isEmpty()
+
+
+def test_rows_without_a_mate_are_dropped_before_the_shuffles(spark, rows, monkeypatch):
+    plans, save = {}, N.saved
+    monkeypatch.setattr(N, "saved", lambda df, tag: plans.setdefault(tag, df._jdf.queryExecution().optimizedPlan().toString()) and save(df, tag))
+    monkeypatch.setattr(N, "FILTER_BITS", 1 << 10)  # other keys share bits: the exact join must follow
+    got = {r.doc_id: r.class_id for r in N.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_classes(rows)
+    assert all("Join LeftSemi" in plans[tag] and "rightHint=(strategy=broadcast)" in plans[tag] for tag in ("mates", "shingle-sets"))
+
+
 def test_null_and_repeated_ids(spark):
     rng = random.Random(2)
     a, b = prose(rng, 80), prose(rng, 80, [f"k{i}" for i in range(300)])
