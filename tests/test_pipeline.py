@@ -140,3 +140,39 @@ def test_the_expanded_table_is_dealt_out_and_its_csv_packed(spark, tmp_path, mon
     assert sum(map(os.path.getsize, packed)) < 1000 * 100 * 63 / 20
     back = spark.read.csv(str(tmp_path / "c"), header=True, schema=got.schema)
     assert got.count() == 100_000 and back.exceptAll(got).count() == 0 and got.exceptAll(back).count() == 0
+
+
+def test_the_census_job_encodes_the_copies_once(spark, tmp_path, monkeypatch):
+    import os
+
+    from tablehaul.plans import census
+    orders = spark.range(1, 501).selectExpr("id AS o_orderkey", "id % 97 AS o_custkey")
+    raw = census_like(orders)
+    made = {}
+    sink = census.csv_sink
+    monkeypatch.setattr(census, "csv_sink", lambda df, path, **kw: (made.update(rows=df.count(), **kw), sink(df, path, **kw))[1])
+    cfg = CensusConfig(raw_dir=str(tmp_path / "raw"), expanded_dir=str(tmp_path / "large"), target=CatalogSource("th_once_target", {}),
+                       publish_path=str(tmp_path / "published"))
+    got = run_census(spark, cfg, raw)
+    assert made["rows"] == 500 and made["times"] == 100  # each line is made once
+    data = [{open(f"{p}/{f}", "rb").read() for f in os.listdir(p) if f.endswith(".parquet")}
+            for p in (str(tmp_path / "published"), str(tmp_path / "large" / "census.parquet"))]
+    assert data[0] == data[1] and data[0]  # the published files are copies
+    want = census_expand_plan(raw)
+    csv = spark.read.csv(str(tmp_path / "large" / "census.csv"), header=True, schema=want.schema)
+    for df in (got.expanded, got.frames["published"], csv):
+        assert df.count() == 50_000 and df.exceptAll(want).count() == want.exceptAll(df).count() == 0
+
+
+def test_parquet_and_csv_agree_whatever_the_raw_rows_are(spark, tmp_path):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tablehaul.plans.census import census_expand
+    raw = census_like(spark.range(1, 301).selectExpr("id AS o_orderkey", "id % 97 AS o_custkey"))
+    draw = F.udf(lambda: random.getrandbits(40), "long").asNondeterministic()
+    raw = raw.withColumn("resident_id_m", draw())  # another one whenever the plan runs
+    got = census_expand(raw, times=3, parquet_path=str(tmp_path / "p"), csv_path=str(tmp_path / "c"))
+    csv = spark.read.csv(str(tmp_path / "c"), header=True, schema=got.schema)
+    assert got.count() > 0 and csv.exceptAll(got).count() == got.exceptAll(csv).count() == 0

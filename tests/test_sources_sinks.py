@@ -252,3 +252,67 @@ def test_a_moved_source_is_read_from_its_new_place(spark, tmp_path):
     for name, n in (("a", 3), ("b", 5)):
         spark.range(n).write.parquet(str(tmp_path / name / "t"))
         assert CatalogSource("th_moved_src", {"t": str(tmp_path / name / "t")}).table(spark, "t").count() == n
+
+
+def files_of(folder):
+    return sorted(os.path.join(folder, f) for f in os.listdir(folder) if not f.startswith(("_", ".")))
+
+
+def test_publishing_finished_files_copies_their_bytes(spark, tmp_path):
+    source, path = str(tmp_path / "made"), str(tmp_path / "published")
+    spark.range(1000).selectExpr("id", "IF(id % 7 = 0, NULL, 'é' || id) AS t").repartition(6).write.parquet(source)
+    df = spark.read.parquet(source)
+    os.makedirs(path)  # what a publish that broke off left there
+    open(os.path.join(path, "part-00000-old.parquet"), "w").close()
+    assert publish_if_absent(df, path, files=source) is True
+    assert sorted(open(f, "rb").read() for f in files_of(path)) == sorted(open(f, "rb").read() for f in files_of(source))
+    assert len(files_of(path)) == 6 and all(f.endswith(".parquet") for f in files_of(path))
+    assert os.path.exists(os.path.join(path, "_SUCCESS")) and not os.path.exists(os.path.join(path, "_staged"))
+    assert spark.read.parquet(path).exceptAll(df).count() == 0
+    assert publish_if_absent(spark.range(3), path, files=source) is False
+    assert publish_if_absent(df, path, replace=True, files=source) is True
+    assert spark.read.parquet(path).count() == 1000
+
+
+def test_publishing_falls_back_to_rows(spark, tmp_path, monkeypatch):
+    from tablehaul.sinks import core
+    source = str(tmp_path / "made")
+    spark.range(1000).repartition(3).write.parquet(source)
+    df = spark.read.parquet(source)
+    monkeypatch.setattr(core, "COPY_FILE_BYTES", 100)  # files too large to be held by a task
+    assert publish_if_absent(df, str(tmp_path / "large"), files=source) is True
+    monkeypatch.undo()
+    os.remove(os.path.join(source, "_SUCCESS"))  # not finished
+    assert publish_if_absent(df, str(tmp_path / "unfinished"), files=source) is True
+    assert spark.read.parquet(str(tmp_path / "large")).count() == spark.read.parquet(str(tmp_path / "unfinished")).count() == 1000
+    open(os.path.join(source, "_SUCCESS"), "w").close()
+    with pytest.raises(ValueError):
+        publish_if_absent(df, source, replace=True, files=source)  # onto itself
+    assert spark.read.parquet(source).count() == 1000
+
+
+@pytest.mark.parametrize("times", [2, 3, 2500])
+def test_repeated_csv_lines_are_those_of_replicated_rows(spark, tmp_path, times):
+    from tablehaul.operators.setops import replicate
+    from tablehaul.sinks import csv_sink
+    rows = [(i, t, None if i % 3 else i / 4) for i, t in enumerate([None, "", " a ", "a,b", 'say "x"', "two\nlines", "#", "\\", "é", "-"])]
+    df = spark.createDataFrame(rows, "`id` long, `a, \"b\"` string, `x``y` double").coalesce(1)
+    csv_sink(replicate(df, times), str(tmp_path / "plain"))
+    csv_sink(df, str(tmp_path / "fast"), times=times)
+    plain, fast = ([open(f, "rb").read() for f in files_of(str(tmp_path / p))] for p in ("plain", "fast"))
+    assert plain == fast and len(fast) == 1
+    # several files, packed: a header in each, no more than so many records in one
+    csv_sink(df.repartition(2), str(tmp_path / "cut"), compression="gzip", max_records_per_file=2 * times, times=times)
+    files = files_of(str(tmp_path / "cut"))
+    assert len(files) >= 5 and all(f.endswith(".csv.gz") for f in files)
+    read = spark.read.schema("id long, t string, x double")
+    assert all(0 < read.csv(f, header=True, multiLine=True).count() <= 2 * times for f in files)
+    got = read.csv(str(tmp_path / "cut"), header=True, multiLine=True)
+    want = read.csv(str(tmp_path / "plain"), header=True, multiLine=True)
+    assert got.count() == len(rows) * times and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_repeated_csv_of_no_rows_has_a_header(spark, tmp_path):
+    from tablehaul.sinks import csv_sink
+    csv_sink(spark.createDataFrame([], "a long, b string"), str(tmp_path / "none"), times=100)
+    assert spark.read.csv(str(tmp_path / "none"), header=True).columns == ["a", "b"]
