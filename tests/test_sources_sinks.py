@@ -316,3 +316,13 @@ def test_repeated_csv_of_no_rows_has_a_header(spark, tmp_path):
     from tablehaul.sinks import csv_sink
     csv_sink(spark.createDataFrame([], "a long, b string"), str(tmp_path / "none"), times=100)
     assert spark.read.csv(str(tmp_path / "none"), header=True).columns == ["a", "b"]
+
+
+def test_each_cell_is_tried_until_a_pattern_fits(spark, tmp_path):
+    from tablehaul.sources.files import _facts
+    (tmp_path / "t.csv").write_text("a,b,c,d,e,f\n1,1,true,2020-01-01T00:00:00,,x\n-2,2.5,FALSE,,,1\n,3,true,2020-01-01T00:00:01,,true\n")
+    s = csv_infer(spark, str(tmp_path / "t.csv"))
+    assert [(f.dataType.simpleString(), f.nullable) for f in s.fields] == [
+        ("bigint", True), ("double", False), ("boolean", False), ("timestamp", True), ("string", True), ("string", False)]
+    df = spark.createDataFrame([("1", "x")], "a string, b string")
+    assert len(_facts(df)) == 2  # one aggregate a column
